@@ -133,7 +133,7 @@ DATE_FORMATS = ("d/M/yyyy", "d-M-yyyy", "yyyy-M-d", "d MMM yyyy", "d MMMM yyyy",
 def parse_date(c: Column) -> Column:
     """S-26 first format that parses wins; none -> NULL."""
     s = F.trim(c)
-    return F.coalesce(*[F.try_to_date(s, F.lit(f)) for f in DATE_FORMATS])
+    return F.coalesce(*[F.try_to_date(s, f) for f in DATE_FORMATS])
 
 
 def first_nonempty(*cols: Column) -> Column:

@@ -49,24 +49,27 @@ def percentile_cont(df: DataFrame, keys: Sequence[str], value: str, p: float = 0
     if approx:
         return (df.where(F.col(value).isNotNull()).groupBy(*keys)
                 .agg(F.percentile_approx(F.col(value), p, accuracy).alias(out)))
+    # group keys travel as one struct: struct equality treats NULL fields as equal,
+    # so NULL-keyed groups survive the joins below
+    g = F.struct(*[F.col(k) for k in keys]).alias("_g") if keys else F.lit(0).alias("_g")
+    base = df.where(F.col(value).isNotNull()).select(g, F.col(value))
     # 1. histogram, partially aggregated before the shuffle
-    hist = (df.where(F.col(value).isNotNull())
-            .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
-    # 2. range partitions over (keys, value): ordered, balanced, a hot group spans many
-    ranged = hist.repartitionByRange(*keys, value).withColumn("_pid", F.spark_partition_id())
+    hist = base.groupBy("_g", value).agg(F.count(F.lit(1)).alias("_c"))
+    # 2. range partitions over (group, value): ordered, balanced, a hot group spans many
+    ranged = hist.repartitionByRange("_g", value).withColumn("_pid", F.spark_partition_id())
     # 3. running count inside each (partition, group) slice
-    wloc = Window.partitionBy("_pid", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    wloc = Window.partitionBy("_pid", "_g").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_cum", F.sum("_c").over(wloc))
     # 4. slice totals -> offset of each slice inside its group (small: slices x groups)
-    slices = ranged.groupBy("_pid", *keys).agg(F.sum("_c").alias("_slice"))
-    wsl = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    wall = Window.partitionBy(*keys)
+    slices = ranged.groupBy("_pid", "_g").agg(F.sum("_c").alias("_slice"))
+    wsl = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    wall = Window.partitionBy("_g")
     slices = (slices.withColumn("_off", F.coalesce(F.sum("_slice").over(wsl), F.lit(0)))
               .withColumn("_n", F.sum("_slice").over(wall)))
     # 5. global rank range [start, end) of every histogram row; targets lo, hi
     pdec = F.lit(str(Decimal(str(p)))).cast("decimal(20,10)")
     pos = (F.col("_n") - 1).cast("decimal(28,0)") * pdec
-    ranked = (local.join(slices, ["_pid", *keys])
+    ranked = (local.join(slices, ["_pid", "_g"])
               .withColumn("_end", F.col("_off") + F.col("_cum"))
               .withColumn("_start", F.col("_end") - F.col("_c"))
               .withColumn("_lo", F.floor(pos).cast("bigint"))
@@ -74,7 +77,7 @@ def percentile_cont(df: DataFrame, keys: Sequence[str], value: str, p: float = 0
               .withColumn("_frac", pos - F.floor(pos)))
     covers_lo = (F.col("_start") <= F.col("_lo")) & (F.col("_lo") < F.col("_end"))
     covers_hi = (F.col("_start") <= F.col("_hi")) & (F.col("_hi") < F.col("_end"))
-    picked = (ranked.where(covers_lo | covers_hi).groupBy(*keys)
+    picked = (ranked.where(covers_lo | covers_hi).groupBy("_g")
               .agg(F.max(F.when(covers_lo, F.col(value))).alias("_vlo"),
                    F.max(F.when(covers_hi, F.col(value))).alias("_vhi"),
                    F.first("_frac").alias("_frac")))
@@ -84,7 +87,7 @@ def percentile_cont(df: DataFrame, keys: Sequence[str], value: str, p: float = 0
     else:
         lo, hi = F.col("_vlo").cast("double"), F.col("_vhi").cast("double")
         res = lo + (hi - lo) * F.col("_frac").cast("double")
-    return picked.select(*keys, res.alias(out))
+    return picked.select(*[F.col(f"_g.{k}").alias(k) for k in keys], res.alias(out))
 
 
 def pivot_sum(df: DataFrame, keys: Sequence[str], category: str, amount: str,

@@ -102,31 +102,29 @@ def locate_points(points: DataFrame, polys: DataFrame, x: str = "longitude",
                        .otherwise(F.col("_near.d")).alias("distance_km"))
 
 
-def _ring_cells(k: Column) -> Column:
-    """Cell offsets (dx, dy) of the square of Chebyshev radius k."""
-    return F.flatten(F.transform(F.sequence(-k, k), lambda dx: F.transform(
-        F.sequence(-k, k), lambda dy: F.struct(dx.alias("dx"), dy.alias("dy")))))
-
-
 def nearest_point(left: DataFrame, right: DataFrame, key: str, *, x: str = "longitude",
                   y: str = "latitude", rx: str = "longitude", ry: str = "latitude",
-                  cell: float = 0.02, dist=None, bound=None, start_k: int = 1,
-                  max_rounds: int = 30, out: str = "nearest_km") -> DataFrame:
-    """Exact nearest ``right`` point for every ``left`` row (J-13, G-5).
+                  extent: tuple[str, str, str, str] | None = None, cell: float = 0.02,
+                  dist=None, bound=None, start_k: int = 1, max_rounds: int = 40,
+                  out: str = "nearest_km") -> DataFrame:
+    """Exact distance from every ``left`` row to its nearest ``right`` point (J-13, G-5).
 
     Rounds of a grid search with doubling radius k: each unresolved left row
-    meets the right points of the cells within Chebyshev radius k of its cell
-    (an equi-join on the cell, never a cross product); a row is resolved once
-    its best distance is within ``bound(k)``, the least distance any point
-    outside the searched square can have. Right points with NULL x/y are
-    ignored; left rows stay NULL when ``right`` is empty.
-
-    ``dist(lx, ly, rx, ry)`` and ``bound(lx, ly, k_deg)`` default to haversine
-    and its lower bound for points outside a square of half-width k_deg.
+    meets the right points in the cells within k cells of its extent (an
+    equi-join on the cell id, never a cross product), and is resolved once its
+    best distance is at most ``bound(k_deg)``, the least distance any right
+    point outside the searched box can have. Each round is checkpointed to the
+    cluster's checkpoint folder, so the loop's lineage stays short.
+
+    ``extent`` (min_x, min_y, max_x, max_y) defaults to the point (x, y).
+    ``dist(rx, ry)`` and ``bound(k_deg)`` are column expressions over the
+    left row's columns; the defaults are haversine km from (x, y) and its
+    lower bound outside the box. Left rows stay NULL when ``right`` is empty.
     """
     spark = left.sparkSession
-    dist = dist or (lambda lx, ly, px, py: geo.haversine_km(lx, ly, px, py))
-    bound = bound or _haversine_bound
+    mnx, mny, mxx, mxy = extent or (x, y, x, y)
+    dist = dist or (lambda px, py: geo.haversine_km(F.col(x), F.col(y), px, py))
+    bound = bound or (lambda kdeg: haversine_bound(F.col(mny), F.col(mxy), kdeg))
     rpts = (right.where(F.col(rx).isNotNull() & F.col(ry).isNotNull())
             .select(F.col(rx).alias("_rx"), F.col(ry).alias("_ry"))
             .withColumn("_cx", _cell(F.col("_rx"), cell)).withColumn("_cy", _cell(F.col("_ry"), cell)))
@@ -134,20 +132,19 @@ def nearest_point(left: DataFrame, right: DataFrame, key: str, *, x: str = "long
         return left.withColumn(out, F.lit(None).cast("double"))
     from wardpulse.session import checkpoint_dir
     checkpoint_dir(spark)
-    todo = left.select(key, x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    todo = todo.withColumn("_cx", _cell(F.col(x), cell)).withColumn("_cy", _cell(F.col(y), cell))
+    todo = left.where(F.col(mnx).isNotNull() & F.col(mny).isNotNull())
     done = []
     k = start_k
     for _ in range(max_rounds):
-        probe = (todo.select(key, x, y, F.explode(_ring_cells(F.lit(k))).alias("_o"),
-                             "_cx", "_cy")
-                 .select(key, x, y, (F.col("_cx") + F.col("_o.dx")).alias("_cx"),
-                         (F.col("_cy") + F.col("_o.dy")).alias("_cy")))
+        kk = F.lit(k)
+        probe = (todo.withColumn("_cx", F.explode(F.sequence(_cell(F.col(mnx), cell) - kk,
+                                                             _cell(F.col(mxx), cell) + kk)))
+                 .withColumn("_cy", F.explode(F.sequence(_cell(F.col(mny), cell) - kk,
+                                                         _cell(F.col(mxy), cell) + kk))))
         best = (probe.join(rpts, ["_cx", "_cy"])
-                .groupBy(key).agg(F.min(dist(F.col(x), F.col(y), F.col("_rx"), F.col("_ry"))).alias("_d")))
+                .groupBy(key).agg(F.min(dist(F.col("_rx"), F.col("_ry"))).alias("_d")))
         step = (todo.join(best, key, "left")
-                .withColumn("_ok", F.col("_d").isNotNull()
-                            & (F.col("_d") <= bound(F.col(x), F.col(y), F.lit(k * cell))))
+                .withColumn("_ok", F.col("_d").isNotNull() & (F.col("_d") <= bound(F.lit(k * cell))))
                 .checkpoint())
         done.append(step.where("_ok").select(key, F.col("_d").alias(out)))
         todo = step.where("NOT _ok").drop("_d", "_ok")
@@ -162,16 +159,20 @@ def nearest_point(left: DataFrame, right: DataFrame, key: str, *, x: str = "long
     return left.join(res, key, "left")
 
 
-def _haversine_bound(lon: Column, lat: Column, half_deg: Column) -> Column:
-    """Least haversine distance from (lon, lat) to any point outside the square
-    of half-width ``half_deg`` degrees around the point's cell."""
+def haversine_bound(min_lat: Column, max_lat: Column, half_deg: Column) -> Column:
+    """Least haversine km from any point with latitude in [min_lat, max_lat] to a
+    point more than ``half_deg`` degrees away in latitude or longitude."""
     r = geo.EARTH_RADIUS_KM
     by_lat = F.radians(half_deg) * r
-    far_lat = F.least(F.abs(lat) + half_deg, F.lit(90.0))
-    by_lon = 2 * r * F.asin(F.least(F.lit(1.0), F.sqrt(F.greatest(F.lit(0.0), F.cos(F.radians(lat))
-                                                                   * F.cos(F.radians(far_lat))))
-                                    * F.sin(F.radians(half_deg) / 2)))
+    far = F.least(F.greatest(F.abs(min_lat), F.abs(max_lat)) + half_deg, F.lit(90.0))
+    by_lon = 2 * r * F.asin(F.least(F.lit(1.0), F.cos(F.radians(far)) * F.sin(F.radians(half_deg) / 2)))
     return F.least(by_lat, by_lon)
 
 
+def plane_bound(min_lat: Column, max_lat: Column, half_deg: Column) -> Column:
+    """The same bound for the local equirectangular distance of G-4."""
+    far = F.least(F.greatest(F.abs(min_lat), F.abs(max_lat)) + half_deg, F.lit(90.0))
+    return half_deg * geo.KM_PER_DEG * F.least(F.lit(1.0), F.cos(F.radians(far)))
+
+
 __all__ = ["cell_index", "points_in_polygons", "locate_points", "nearest_point", "math"]

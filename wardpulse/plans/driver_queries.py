@@ -105,9 +105,18 @@ def q_stg_census(spark, sf_dir):
 
 @query
 def q_census_clean(spark, sf_dir):
-    c = S.census_clean(census_feed(_v(spark, sf_dir)))
-    return c.select("ward_name", "ward_number", "year", "population", "population_density",
-                    "literacy_rate", "sex_ratio")
+    """SRC-4 loader rules (title-cased names, density fill, drop incomplete rows)."""
+    from wardpulse.sources.files import load_census
+    c = load_census(census_feed(_v(spark, sf_dir)))
+    return c.select("ward_name", "ward_number", "year", "population", "male_population",
+                    "female_population", "area_sqkm", "density", "literacy_rate")
+
+
+@query
+def q_census_validate(spark, sf_dir):
+    from wardpulse.operators.quality import census_validation
+    from wardpulse.sources.files import load_census
+    return census_validation(load_census(census_feed(_v(spark, sf_dir))))
 
 
 def ndvi_zonal_feed(v: DriverViews) -> DataFrame:
@@ -132,3 +141,449 @@ def q_stg_ndvi(spark, sf_dir):
 def q_stg_property(spark, sf_dir):
     v = _v(spark, sf_dir)
     return S.stg_property(v.property(), v.ward_boundaries(), YL, YH, mode="strict")
+
+
+# ------------------------------------------------------------------ geo
+def _wards_geo(v: DriverViews) -> DataFrame:
+    return v.ward_polygons()
+
+
+@query
+def q_point_in_ward(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    from wardpulse.operators.spatial import points_in_polygons
+    j = points_in_polygons(v.stops_geo(), _wards_geo(v), how="inner")
+    return j.select("stop_id", "ward_id")
+
+
+@query
+def q_ward_lookup(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    from wardpulse.operators.spatial import locate_points
+    j = locate_points(v.stops_geo(), _wards_geo(v), snap_km=0.5)
+    return j.select("stop_id", "ward_id", "match")
+
+
+@query
+def q_nearest_metro(spark, sf_dir):
+    st = _v(spark, sf_dir).stops_geo()
+    d = S.stop_metro_distance(st)
+    return d.select("stop_id", F.col("metro_distance_km").cast("decimal(12,6)").alias("metro_distance_km"))
+
+
+@query
+def q_ward_metro(spark, sf_dir):
+    """G-5 ward polygon -> nearest metro stop, km (local plane, 0 inside)."""
+    from wardpulse.functions import geo
+    from wardpulse.operators.spatial import nearest_point, plane_bound
+    v = _v(spark, sf_dir)
+    wards = _wards_geo(v)
+    metros = v.stops_geo().where(F.col("source") == "BMRCL")
+    d = nearest_point(wards, metros, "ward_id", extent=("min_x", "min_y", "max_x", "max_y"),
+                      dist=lambda px, py: geo.polygon_distance_km(F.col("rings"), px, py),
+                      bound=lambda kdeg: plane_bound(F.col("min_y"), F.col("max_y"), kdeg),
+                      out="metro_km")
+    return d.select("ward_id", F.round(F.col("metro_km").cast("decimal(20,10)"), 3)
+                    .cast("decimal(10,3)").alias("metro_km"))
+
+
+# ------------------------------------------------------------------ air quality
+def aqi_readings(v: DriverViews) -> DataFrame:
+    """d_aqi_feed as raw.cpcb_aqi rows: the last reading per (station, day)."""
+    from wardpulse.operators.sinks import dedup_last
+    a = v.aqi_feed().select("station_id", "date", "event_id", "ts", "pm25", "aqi", "px", "py")
+    last = dedup_last(a, ["station_id", "date"], ["ts", "event_id"])
+    deg = F.lit("0.0001").cast("decimal(5,4)")
+    nul = F.lit(None).cast("decimal(8,2)")
+    return last.select("station_id", F.concat(F.lit("station_"), F.col("station_id")).alias("station_name"),
+                       (F.col("py").cast("decimal(12,0)") * deg).cast("decimal(10,7)").alias("latitude"),
+                       (F.col("px").cast("decimal(12,0)") * deg).cast("decimal(10,7)").alias("longitude"),
+                       "date", "pm25", nul.alias("pm10"), nul.alias("no2"), nul.alias("so2"),
+                       nul.alias("co"), nul.alias("o3"), "aqi")
+
+
+def station_cities(v: DriverViews) -> DataFrame:
+    """Stations placed in wards (containment) with the ward's city."""
+    from wardpulse.operators.spatial import points_in_polygons
+    st = v.aqi_feed().select("station_id", "px", "py").distinct() \
+          .select("station_id", (F.col("px") / 10000.0).alias("x"), (F.col("py") / 10000.0).alias("y"))
+    wards = _wards_geo(v)
+    placed = points_in_polygons(st, wards, x="x", y="y", how="inner", carry=("ward_name", "city"))
+    return placed.select("station_id", "ward_id", "city")
+
+
+@query
+def q_stg_aqi(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return S.stg_aqi(aqi_readings(v), _wards_geo(v), 2018, 2024)
+
+
+def aqi_payloads(v: DriverViews) -> DataFrame:
+    """Station payloads in five shapes built from d_aqi_feed rows."""
+    a = v.aqi_feed()
+    pm, aq, k = F.col("pm25").cast("string"), F.col("aqi").cast("string"), F.col("event_id") % 6
+    payload = (F.when(k == 0, F.concat(F.lit('{"records":[{"pm25":"'), pm, F.lit('","pm10":"NA","aqi":"'), aq,
+                                       F.lit('","prominent_pollutant":"PM2.5","meta":'), F.col("props"), F.lit("}]}")))
+               .when(k == 1, F.concat(F.lit('{"data":[{"PM2.5":"'), pm, F.lit('","PM10":"","AQI":"'), aq,
+                                      F.lit('.7","predominant":"PM10"}]}')))
+               .when(k == 2, F.concat(F.lit('{"data":{"pm25":'), pm, F.lit(',"aqi":'), aq, F.lit("}}")))
+               .when(k == 3, F.lit('{"records":[]}'))
+               .when(k == 4, F.concat(F.lit('{"records":[{"pm25":null,"PM2.5":"'), pm, F.lit('","aqi":"'),
+                                      aq, F.lit('"}]}')))
+               .otherwise(F.lit('{"other":1}')))
+    return a.select("event_id", payload.alias("payload"))
+
+
+@query
+def q_aqi_parse(spark, sf_dir):
+    from wardpulse.plans.feeds import parse_aqi_payloads
+    return parse_aqi_payloads(aqi_payloads(_v(spark, sf_dir))).drop("payload")
+
+
+@query
+def q_aqi_coverage(spark, sf_dir):
+    from wardpulse.plans.feeds import aqi_coverage
+    a = _v(spark, sf_dir).aqi_feed()
+    start = a.select(F.min("date")).scalar()
+    end = a.select(F.max("date")).scalar()
+    return aqi_coverage(a, start, end)
+
+
+@query
+def q_daily_aqi(spark, sf_dir):
+    from wardpulse.streaming.ingest import daily_city_means
+    v = _v(spark, sf_dir)
+    return daily_city_means(v.aqi_feed(), station_cities(v))
+
+
+@query
+def q_latest_aqi(spark, sf_dir):
+    from wardpulse.plans.mart import latest_readings
+    v = _v(spark, sf_dir)
+    r = aqi_readings(v).join(station_cities(v).select("station_id", "city"), "station_id")
+    top = latest_readings(r, k=10, group="city")
+    return top.select("city", "station_id", "date", "pm25", "aqi")
+
+
+# ------------------------------------------------------------------ sinks
+SPLIT_TARGET_MAX, SPLIT_BATCH_MIN = "2024-01-20", "2024-01-15"
+
+
+def _target_batch(v: DriverViews):
+    from wardpulse.operators.sinks import dedup_first, dedup_last
+    a = v.aqi_feed().select("station_id", "date", "event_id", "ts", "pm25", "aqi", "props")
+    target = dedup_last(a.where(F.col("date") <= F.lit(SPLIT_TARGET_MAX).cast("date")),
+                        ["station_id", "date"], ["ts", "event_id"])
+    batch = dedup_first(a.where(F.col("date") >= F.lit(SPLIT_BATCH_MIN).cast("date")),
+                        ["station_id", "date"], ["ts", "event_id"])
+    return target, batch
+
+
+@query
+def q_upsert(spark, sf_dir):
+    from wardpulse.operators.sinks import upsert
+    t, b = _target_batch(_v(spark, sf_dir))
+    return upsert(t, b, ["station_id", "date"], ["pm25", "aqi"])
+
+
+@query
+def q_insert_ignore(spark, sf_dir):
+    from wardpulse.operators.sinks import insert_ignore
+    t, b = _target_batch(_v(spark, sf_dir))
+    return insert_ignore(t, b, ["station_id", "date"])
+
+
+@query
+def q_replace_where(spark, sf_dir):
+    from wardpulse.operators.sinks import replace_where
+    t, b = _target_batch(_v(spark, sf_dir))
+    return replace_where(t, b, F.col("date") >= F.lit(SPLIT_BATCH_MIN).cast("date"))
+
+
+def run_events(v: DriverViews) -> DataFrame:
+    """Pipeline-run audit events derived from the event stream."""
+    e = v.table("events")
+    status = (F.when(F.col("event_type") == "purchase", "success")
+              .when(F.col("event_type") == "error", "failed").otherwise("running"))
+    return e.select(F.concat(F.lit("run-"), F.col("user_id")).alias("run_id"), status.alias("status"),
+                    F.floor("value").cast("int").alias("records_loaded"),
+                    F.when(F.col("event_type") == "error",
+                           F.concat(F.lit("error at "), F.col("event_id"))).alias("error_message"),
+                    "ts", "event_id")
+
+
+@query
+def q_audit_state(spark, sf_dir):
+    from wardpulse.operators.sinks import run_state
+    return run_state(run_events(_v(spark, sf_dir)), seq="event_id")
+
+
+# ------------------------------------------------------------------ GTFS
+def raw_stops_txt(v: DriverViews) -> DataFrame:
+    """d_stops as the string columns of a stops.txt."""
+    deg = F.lit("0.0001").cast("decimal(5,4)")
+    s = v.stops()
+    return s.select(F.concat(F.lit(" "), F.col("stop_id").cast("string"), F.lit(" ")).alias("Stop_ID"),
+                    F.concat(F.col("stop_name"), F.lit(" ")).alias("stop_name"),
+                    (F.col("py").cast("decimal(12,0)") * deg).cast("decimal(10,4)").cast("string").alias("stop_lat"),
+                    (F.col("px").cast("decimal(12,0)") * deg).cast("decimal(10,4)").cast("string").alias(" stop_lon"),
+                    "source")
+
+
+@query
+def q_gtfs_stops(spark, sf_dir):
+    from wardpulse.plans.feeds import parse_gtfs_stops
+    raw = raw_stops_txt(_v(spark, sf_dir))
+    st = parse_gtfs_stops(raw, source=F.col("source"))
+    return st.select("stop_id", "stop_name", "latitude", "longitude", "source", "stop_desc", "zone_id")
+
+
+@query
+def q_bbox_filter(spark, sf_dir):
+    from wardpulse.config import CITY_BBOXES
+    from wardpulse.functions import geo
+    from wardpulse.functions.text import source_city
+    st = _v(spark, sf_dir).stops_geo().withColumn("city", source_city(F.col("source")))
+    inside = None
+    for city, b in CITY_BBOXES.items():
+        cond = (F.col("city") == city) & geo.in_bbox(F.col("longitude"), F.col("latitude"),
+                                                    b["west"], b["south"], b["east"], b["north"])
+        inside = cond if inside is None else inside | cond
+    return st.select("stop_id", "city", F.coalesce(inside, F.lit(False)).alias("inside"))
+
+
+def _freq(v: DriverViews) -> DataFrame:
+    from wardpulse.plans.feeds import route_frequency
+    return route_frequency(v.stop_times(), v.trips())
+
+
+@query
+def q_route_frequency(spark, sf_dir):
+    return _freq(_v(spark, sf_dir))
+
+
+def enriched_stops(v: DriverViews) -> DataFrame:
+    from wardpulse.plans.feeds import enrich_stops
+    return enrich_stops(v.stops_geo(), _freq(v))
+
+
+@query
+def q_gtfs_enriched(spark, sf_dir):
+    e = enriched_stops(_v(spark, sf_dir))
+    return e.select("stop_id", "stop_name", "source", "route_count", "avg_frequency")
+
+
+@query
+def q_transit_score(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return S.ward_transit(enriched_stops(v), _wards_geo(v))
+
+
+@query
+def q_stg_transit(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    return S.stg_transit(enriched_stops(v), _wards_geo(v), YL, YH)
+
+
+# ------------------------------------------------------------------ NDVI composite
+def ndvi_observations(v: DriverViews) -> DataFrame:
+    """Scene-pixel observations from lineitem: pixel (supplier, part), scene =
+    line number with a fixed cloud percent per scene, class from quantity."""
+    l = v.table("lineitem")
+    return l.select(F.col("l_suppkey").alias("x"), F.col("l_partkey").alias("y"),
+                    F.year("l_shipdate").cast("int").alias("year"),
+                    F.month("l_shipdate").cast("int").alias("month"),
+                    F.col("l_linenumber").alias("scene"),
+                    ((F.col("l_linenumber") * 11) % 40).alias("cloud"),
+                    (F.col("l_quantity").cast("int") % 12).alias("scl"),
+                    F.col("l_quantity").alias("b4"), (F.col("l_extendedprice") / 1000.0).alias("b8"))
+
+
+@query
+def q_ndvi_composite(spark, sf_dir):
+    from wardpulse.plans.feeds import ndvi_composite
+    c = ndvi_composite(ndvi_observations(_v(spark, sf_dir)))
+    return c.select("x", "y", "year", "month", F.col("ndvi").cast("decimal(12,6)").alias("ndvi"),
+                    "is_fallback")
+
+
+@query
+def q_semi_join(spark, sf_dir):
+    v = _v(spark, sf_dir)
+    wards = v.ward_boundaries().where(F.col("city").isNotNull()).select("ward_id")
+    return v.ndvi_pixels().join(wards, "ward_id", "left_semi")
+
+
+# ------------------------------------------------------------------ mart and scores
+def staged(v: DriverViews) -> dict:
+    wards = v.ward_boundaries()
+    geo_w = _wards_geo(v)
+    return {
+        "crime": S.stg_crime(v.crime(), v.census(), wards, city=None, year_lo=YL, year_hi=YH,
+                             by_city=True, count_col="cnt"),
+        "complaints": S.stg_complaints(v.complaints(), wards, YL, YH),
+        "aqi": S.stg_aqi(aqi_readings(v), geo_w, YL, YH),
+        "census": S.stg_census(census_feed(v), wards),
+        "transit": S.stg_transit(enriched_stops(v), geo_w, YL, YH),
+        "ndvi": S.stg_ndvi(ndvi_zonal_feed(v), YL, YH),
+        "property": S.stg_property(v.property(), wards, YL, YH, mode="strict"),
+    }
+
+
+def mart(v: DriverViews) -> DataFrame:
+    from wardpulse.plans.mart import mart_ward_features
+    return mart_ward_features(v.ward_boundaries(), staged(v), YL, YH)
+
+
+@query
+def q_ward_year_spine(spark, sf_dir):
+    from wardpulse.plans.mart import ward_year_spine
+    return ward_year_spine(_v(spark, sf_dir).ward_boundaries(), YL, YH)
+
+
+@query
+def q_mart(spark, sf_dir):
+    return mart(_v(spark, sf_dir))
+
+
+@query
+def q_latest_year(spark, sf_dir):
+    from wardpulse.plans.mart import latest_year
+    return latest_year(mart(_v(spark, sf_dir)))
+
+
+def materialized_mart(spark, sf_dir) -> DataFrame:
+    """The mart as a table: scoring reads the written mart, as the reference
+    does; a reliable checkpoint in the cluster's checkpoint folder stands in
+    for the mart table here and cuts the lineage of the seven models."""
+    from wardpulse.session import checkpoint_dir
+    checkpoint_dir(spark)
+    return mart(_v(spark, sf_dir)).checkpoint()
+
+
+@query
+def q_scores(spark, sf_dir):
+    from wardpulse.plans.mart import scores
+    return scores(materialized_mart(spark, sf_dir))
+
+
+@query
+def q_city_scores(spark, sf_dir):
+    from wardpulse.plans.mart import city_scores
+    return city_scores(q_scores(spark, sf_dir))
+
+
+@query
+def q_ward_history(spark, sf_dir):
+    from wardpulse.plans.mart import ward_history
+    return ward_history(q_scores(spark, sf_dir))
+
+
+@query
+def q_quick_features(spark, sf_dir):
+    from wardpulse.plans.mart import quick_features
+    v = _v(spark, sf_dir)
+    aq = v.aqi_feed().join(station_cities(v).select("station_id", "city"), "station_id")
+    return quick_features(v.ward_boundaries(), v.crime(), v.complaints(), aq, v.census(),
+                          ndvi_zonal_feed(v), v.property(), year=YH, count_col="cnt")
+
+
+# ------------------------------------------------------------------ text functions
+@query
+def q_clean_text(spark, sf_dir):
+    from wardpulse.functions.text import clean_text
+    d = _v(spark, sf_dir).table("documents")
+    return d.select("doc_id", clean_text(F.col("text")).alias("clean_text"))
+
+
+@query
+def q_title_case(spark, sf_dir):
+    from wardpulse.functions.text import slug_label, title_case
+    p = _v(spark, sf_dir).table("part")
+    return p.select("p_partkey", title_case(F.col("p_name")).alias("title"),
+                    slug_label(F.replace(F.col("p_name"), F.lit(" "), F.lit("-"))).alias("label"))
+
+
+@query
+def q_first_nonempty(spark, sf_dir):
+    from wardpulse.functions.text import first_nonempty
+    o = _v(spark, sf_dir).table("orders")
+    k = F.col("o_orderkey")
+    a = F.when(k % 4 == 0, F.lit(None)).when(k % 4 == 1, F.lit("   ")).otherwise(F.col("o_orderstatus"))
+    b = F.when(k % 5 == 0, F.lit("")).otherwise(F.col("o_orderpriority"))
+    c = F.col("o_custkey").cast("string")
+    return o.select("o_orderkey", first_nonempty(a, b, c).alias("value"))
+
+
+def date_texts(v: DriverViews) -> DataFrame:
+    o = v.table("orders")
+    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 7
+    txt = (F.when(k == 0, F.date_format(d, "dd/MM/yyyy")).when(k == 1, F.date_format(d, "dd-MM-yyyy"))
+           .when(k == 2, F.date_format(d, "yyyy-MM-dd")).when(k == 3, F.date_format(d, "dd MMM yyyy"))
+           .when(k == 4, F.date_format(d, "dd MMMM yyyy")).when(k == 5, F.date_format(d, "dd/MM/yyyy HH:mm"))
+           .otherwise(F.concat(F.lit("day "), F.col("o_orderkey"))))
+    return o.select("o_orderkey", txt.alias("date_text"))
+
+
+@query
+def q_parse_date(spark, sf_dir):
+    from wardpulse.functions.text import parse_date
+    t = date_texts(_v(spark, sf_dir))
+    return t.select("o_orderkey", "date_text", parse_date(F.col("date_text")).alias("date_filed"))
+
+
+def listing_texts(v: DriverViews) -> DataFrame:
+    l = v.table("lineitem")
+    p = F.floor("l_extendedprice").cast("bigint")
+    n = F.col("l_linenumber")
+    s = lambda c: c.cast("string")
+    price = (F.when(n == 1, F.concat(F.lit("₹ "), s(F.floor(p / 100000)), F.lit("."),
+                                     F.lpad(s(p % 100), 2, "0"), F.lit(" Cr")))
+             .when(n == 2, F.concat(s(F.floor(p / 1000)), F.lit(" Lac")))
+             .when(n == 3, F.concat(F.lit("₹"), s(F.floor(p / 1000)), F.lit(" Lakh")))
+             .when(n == 4, F.concat(s(F.floor(p / 1000)), F.lit(","), F.lpad(s(p % 1000), 3, "0")))
+             .when(n == 5, F.concat(F.lit("Rs "), s(p), F.lit(" lakh")))
+             .when(n == 6, F.lit("Price on Request"))
+             .otherwise(F.concat(s(F.floor(p / 10)), F.lit("."), s(p % 10), F.lit(" cr"))))
+    unit = F.when(n % 3 == 0, " sq ft").when(n % 3 == 1, " sqft").otherwise(" Sq.Ft")
+    area = F.when(n == 6, F.lit("")).otherwise(F.concat(s(F.col("l_quantity").cast("int") * 37), unit))
+    beds = F.concat(s(n % 4 + 1), F.lit(" BHK Apartment"))
+    return l.select("l_orderkey", "l_linenumber", price.alias("price_text"), area.alias("area_text"),
+                    beds.alias("config_text"))
+
+
+@query
+def q_parse_price(spark, sf_dir):
+    from wardpulse.functions.text import parse_area, parse_bedrooms, parse_price, price_per_sqft
+    t = listing_texts(_v(spark, sf_dir))
+    r = t.select("l_orderkey", "l_linenumber", parse_price(F.col("price_text")).alias("price_total"),
+                 parse_area(F.col("area_text")).alias("area_sqft"),
+                 parse_bedrooms(F.col("config_text")).alias("bedrooms"))
+    r = r.withColumn("price_sqft", price_per_sqft(F.col("price_total"), F.col("area_sqft")).cast("decimal(14,2)"))
+    return r.where(F.col("price_total").isNotNull() | F.col("price_sqft").isNotNull())
+
+
+# ------------------------------------------------------------------ data quality
+@query
+def q_dq_report(spark, sf_dir):
+    from wardpulse import config as C
+    from wardpulse.operators import quality as Q
+    v = _v(spark, sf_dir)
+    comp, cen, aqi, px, wards = v.complaints(), v.census(), v.aqi_feed(), v.ndvi_pixels(), v.ward_boundaries()
+    statuses = C.PENDING_STATUSES + C.RESOLVED_STATUSES + C.REJECTED_STATUSES
+    return Q.report(
+        Q.not_null(comp, "complaints", ["complaint_id", "category", "ward_name", "date_filed", "status"]),
+        Q.unique(comp, "complaints", ["complaint_id"]),
+        Q.predicate_failures(comp, "complaints", "accepted_values", "status",
+                             F.lower(F.col("status")).isin(*statuses)),
+        Q.orphans(comp, wards, "complaints", S.norm_name(F.col("ward_name")),
+                  S.norm_name(F.col("ward_name")), "ward_name"),
+        Q.not_null(cen, "census", ["ward_name", "ward_number", "population", "year"]),
+        Q.unique(cen, "census", ["ward_name", "year"]),
+        Q.predicate_failures(cen, "census", "accepted_values", "year", F.col("year").between(YL, YH)),
+        Q.predicate_failures(cen, "census", "check", "literacy_rate", F.col("literacy_rate") <= 100),
+        Q.not_null(aqi, "aqi", ["station_id", "date", "pm25"]),
+        Q.unique(aqi, "aqi", ["station_id", "date"]),
+        Q.predicate_failures(px, "ndvi", "check", "month", F.col("month").between(1, 12)),
+        Q.orphans(px, wards, "ndvi", F.col("ward_id"), F.col("ward_id"), "ward_id"),
+    )

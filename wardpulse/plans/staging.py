@@ -186,10 +186,12 @@ def stop_metro_distance(stops: DataFrame, metro_source: str = C.METRO_SOURCE,
     return nearest_point(stops, metros, key, out="metro_distance_km")
 
 
-def stg_transit(stops: DataFrame, wards_geo: DataFrame, year_lo: int = C.YEAR_LO,
-                year_hi: int = C.YEAR_HI, metro_source: str = C.METRO_SOURCE,
-                cell: float = DEFAULT_CELL_DEG) -> DataFrame:
-    """``stops``: stop_id, longitude, latitude (double), route_count, avg_frequency, source."""
+def ward_transit(stops: DataFrame, wards_geo: DataFrame, metro_source: str = C.METRO_SOURCE,
+                 cell: float = DEFAULT_CELL_DEG) -> DataFrame:
+    """Per ward: stops inside it, nearest-metro km (min over its stops), mean
+    frequency, summed routes and the S-13 score.
+
+    ``stops``: stop_id, longitude, latitude (double), route_count, avg_frequency, source."""
     s = stops.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     placed = points_in_polygons(s, wards_geo, cell=cell, how="inner")
     metros = stops.where(F.col("source") == metro_source)
@@ -202,12 +204,21 @@ def stg_transit(stops: DataFrame, wards_geo: DataFrame, year_lo: int = C.YEAR_LO
                round_ratio(F.sum("avg_frequency"), F.count("avg_frequency"), 2, 2,
                            precision=8).alias("avg_route_frequency"),
                F.sum("route_count").alias("total_routes")))
-    out = year_spine(wt, year_lo, year_hi, *wt.columns)
     km = F.round(F.coalesce(F.col("_km"), F.lit(C.NO_METRO_KM)).cast("decimal(20,10)"), 3).cast("decimal(8,3)")
-    return out.select("ward_id", "ward_name", "year", "bus_stops_count",
-                      km.alias("metro_proximity_km"), "avg_route_frequency", "total_routes",
-                      transit_score(F.col("bus_stops_count"), F.col("_km"),
-                                    F.col("avg_route_frequency")).alias("transit_score"))
+    return wt.select("ward_id", "ward_name", "bus_stops_count", km.alias("metro_proximity_km"),
+                     "avg_route_frequency", "total_routes",
+                     transit_score(F.col("bus_stops_count"), F.col("_km"),
+                                   F.col("avg_route_frequency")).alias("transit_score"))
+
+
+def stg_transit(stops: DataFrame, wards_geo: DataFrame, year_lo: int = C.YEAR_LO,
+                year_hi: int = C.YEAR_HI, metro_source: str = C.METRO_SOURCE,
+                cell: float = DEFAULT_CELL_DEG) -> DataFrame:
+    """M-5: the (static) ward transit figures repeated for every year."""
+    wt = ward_transit(stops, wards_geo, metro_source, cell)
+    out = year_spine(wt, year_lo, year_hi, *wt.columns)
+    return out.select("ward_id", "ward_name", "year", "bus_stops_count", "metro_proximity_km",
+                      "avg_route_frequency", "total_routes", "transit_score")
 
 
 # ----------------------------------------------------------------- M-6 NDVI

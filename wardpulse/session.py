@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # coalesces small ones; ANSI stays on (failed casts are written as try_cast).
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.driver.memory": "16g",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
