@@ -47,7 +47,9 @@ def to_scaled(unscaled: Column, scale: int, precision: int = 18) -> Column:
     if scale == 0:
         return unscaled.cast(f"decimal({precision},0)")
     step = F.lit(f"0.{'0' * (scale - 1)}1").cast(f"decimal({scale + 1},{scale})")
-    return (unscaled.cast("decimal(38,0)") * step).cast(f"decimal({precision},{scale})")
+    # keep the product's precision <= 38 so Spark never trims the scale
+    wide = min(36 - scale, 30)
+    return (unscaled.cast(f"decimal({wide},0)") * step).cast(f"decimal({precision},{scale})")
 
 
 def avg_exact(col: Column, scale: int, col_scale: int, precision: int = 18) -> Column:

@@ -72,7 +72,8 @@ def census_validation(census: DataFrame, min_wards: int = C.CENSUS_MIN_WARDS,
                       F.sort_array(F.collect_set("year")).alias("year_range"),
                       F.min("population").alias("_min_pop"),
                       F.max("literacy_rate").alias("_max_lit"))
-    dup_n = dups.scalar()
+    prof = prof.withColumn("_dup", dups.scalar())
+    dup_n = F.col("_dup")
     warnings = F.filter(F.array(
         F.when(dup_n > 0, F.concat(F.lit("Duplicate ward-year entries: "), dup_n.cast("string"))),
         F.when(F.col("_min_pop") < 0, F.lit("Negative population values found")),

@@ -114,9 +114,10 @@ def with_views(*names: str) -> str:
 
 def q(views: tuple[str, ...], body: str) -> str:
     """``body`` may start with more CTEs (", x AS (...)") or with SELECT."""
-    head = with_views(*views)
     body = body.strip()
-    return head + ("\n" if body.startswith(",") else "\n") + body
+    if not views:
+        return "WITH " + body[1:].strip() if body.startswith(",") else body
+    return with_views(*views) + "\n" + body
 
 
 ORACLES: dict[str, str] = {}
@@ -367,7 +368,7 @@ TITLE_RUN = r"[\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+"
 
 def title(x: str) -> str:
     return (f"CASE WHEN {x} IS NOT NULL THEN array_to_string(list_transform(regexp_extract_all({x}, "
-            f"'{TITLE_RUN}'), s -> upper(s[1]) || lower(s[2:])), '') END")
+            f"'{TITLE_RUN}'), lambda s: upper(s[1]) || lower(s[2:])), '') END")
 
 
 def hav(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
@@ -750,7 +751,7 @@ SELECT count(*) AS total_rows, count(DISTINCT ward_name) AS unique_wards,
                     CASE WHEN max(literacy_rate) > 100 THEN 'Literacy rate > 100% found' END,
                     CASE WHEN count(DISTINCT ward_name) < 150
                          THEN 'Low ward coverage: ' || count(DISTINCT ward_name) || '/198' END],
-                   x -> x IS NOT NULL) AS warnings
+                   lambda x: x IS NOT NULL) AS warnings
 FROM cl, d"""
 
 
