@@ -102,3 +102,19 @@ def observed_counts(df: DataFrame, name: str, **conditions: Column) -> DataFrame
     """Q-10 row counts in/out as DataFrame.observe metrics (no extra pass)."""
     metrics = [F.count(F.lit(1)).alias("rows")] + [F.count_if(c).alias(k) for k, c in conditions.items()]
     return df.observe(name, *metrics)
+
+
+def limit_violations(df: DataFrame, table: str, limits: dict) -> DataFrame:
+    """Q-9 values that would not fit the warehouse column: ``limits`` maps a
+    column to ("varchar", n) or ("numeric", precision, scale). One pass."""
+    checks = []
+    for c, spec in limits.items():
+        if spec[0] == "varchar":
+            bad = F.length(F.col(c)) > spec[1]
+        else:
+            p, s = spec[1], spec[2]
+            v = F.col(c).cast("decimal(38,10)")
+            bad = (F.abs(v) >= F.lit(10 ** (p - s))) | (F.round(v, s) != v)
+        checks.append((c, bad))
+    agg = df.agg(*[F.count_if(b).alias(c) for c, b in checks])
+    return _explode(agg, _rows(table, "limits", [(c, F.col(c)) for c, _ in checks]))

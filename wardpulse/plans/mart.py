@@ -186,3 +186,15 @@ def quick_features(wards: DataFrame, crime: DataFrame, complaints: DataFrame, aq
         z(round_ratio(F.col("_nd_s"), F.col("_nd_n"), 4, 4)).cast("decimal(6,4)").alias("avg_ndvi"),
         z(round_ratio(F.col("_pr_s"), F.col("_pr_n"), 2, 2)).cast("decimal(10,2)").alias("avg_price_sqft"))
 
+
+
+SCORE_COLUMNS = ["composite_score", "safety_score", "aqi_score", "civic_score", "transit_score",
+                 "green_score", "affordability_score"]
+
+
+def save_scores(spark, path: str, scored: DataFrame) -> None:
+    """SNK-10 upsert on (ward_id, year, month): the seven score columns are
+    updated, other columns keep their first value. Partitioned by year, a
+    column of the key, so a key never spans two partitions."""
+    from wardpulse.operators.sinks import write_upsert
+    write_upsert(spark, path, scored, ["ward_id", "year", "month"], SCORE_COLUMNS, ["year"])

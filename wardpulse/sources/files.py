@@ -141,3 +141,20 @@ def ward_key(city: Column, ward_number: Column, ward_name: Column) -> Column:
     return F.struct(city.alias("city"),
                     F.when(ward_number != 0, ward_number.cast("string"))
                      .otherwise(F.lower(F.trim(ward_name))).alias("k"))
+
+
+def upsert_wards(existing: DataFrame, batch: DataFrame) -> DataFrame:
+    """SNK-9 ward upsert keyed by (city, ward_number), a number of 0 keyed by the
+    name instead (D-12); name, zone, area and geometry follow the batch. The
+    ward_id of a matched ward is kept; new wards get xxhash64 of their key
+    (stable across runs, unlike a sequence or monotonically_increasing_id)."""
+    from wardpulse.operators.sinks import upsert
+    k = lambda df: df.withColumn("_wkey", ward_key(F.col("city"), F.col("ward_number"), F.col("ward_name")))
+    b = k(batch)
+    b = b.withColumn("ward_id", F.xxhash64("_wkey.city", "_wkey.k")) if "ward_id" not in batch.columns else b
+    e = k(existing)
+    cols = [c for c in e.columns]
+    upd = [c for c in ("ward_name", "zone_name", "area_sqkm", "rings", "min_x", "min_y", "max_x", "max_y")
+           if c in cols]
+    out = upsert(e, b.select(*cols), ["_wkey"], upd)
+    return out.drop("_wkey")
