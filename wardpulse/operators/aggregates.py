@@ -38,13 +38,26 @@ def grouped_mode(df: DataFrame, keys: Sequence[str], value: str, out: str | None
     return counts.groupBy(*keys).agg(mode_pick(value, "_n").alias(out or f"mode_{value}"))
 
 
+SMALL_DOMAIN_PRECISION = 6   # decimal(p<=6): at most 2e6 distinct values per group
+
+
+def _small_domain(dtype: str) -> bool:
+    if dtype.startswith("decimal("):
+        return int(dtype[8:].split(",")[0]) <= SMALL_DOMAIN_PRECISION
+    return dtype in ("boolean", "tinyint", "smallint")
+
+
 def percentile_cont(df: DataFrame, keys: Sequence[str], value: str, p: float = 0.5,
                     out: str = "median", approx: bool = False,
-                    accuracy: int = 10000) -> DataFrame:
+                    accuracy: int = 10000, method: str = "auto", weight: str | None = None) -> DataFrame:
     """Exact PERCENTILE_CONT(p) of ``value`` per ``keys`` (NULLs ignored).
 
     For a DECIMAL input the interpolation stays DECIMAL (exact); other inputs
-    are interpolated as DOUBLE.
+    are interpolated as DOUBLE. ``method``: ``range`` (the distributed rank
+    search, any domain), ``histogram`` (a running count over each group's
+    distinct values -- one task per group, so only for value types whose
+    domain is small), ``auto`` (histogram when the type bounds the domain).
+    ``weight``: the rows are already a histogram, this column holds the counts.
     """
     if approx:
         return (df.where(F.col(value).isNotNull()).groupBy(*keys)
@@ -54,7 +67,18 @@ def percentile_cont(df: DataFrame, keys: Sequence[str], value: str, p: float = 0
     g = F.struct(*[F.col(k) for k in keys]).alias("_g") if keys else F.lit(0).alias("_g")
     base = df.where(F.col(value).isNotNull()).select(g, F.col(value))
     # 1. histogram, partially aggregated before the shuffle
-    hist = base.groupBy("_g", value).agg(F.count(F.lit(1)).alias("_c"))
+    if weight:
+        base = df.where(F.col(value).isNotNull()).select(g, F.col(value), F.col(weight).alias("_w"))
+        hist = base.groupBy("_g", value).agg(F.sum("_w").alias("_c"))
+    else:
+        hist = base.groupBy("_g", value).agg(F.count(F.lit(1)).alias("_c"))
+    dtype = dict(df.dtypes)[value]
+    if method == "histogram" or (method == "auto" and _small_domain(dtype)):
+        run = Window.partitionBy("_g").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+        ranked = (hist.withColumn("_end", F.sum("_c").over(run))
+                  .withColumn("_n", F.sum("_c").over(Window.partitionBy("_g")))
+                  .withColumn("_start", F.col("_end") - F.col("_c")))
+        return _pick(ranked, keys, value, p, out, dtype)
     # 2. range partitions over (group, value): ordered, balanced, a hot group spans many
     ranged = hist.repartitionByRange("_g", value).withColumn("_pid", F.spark_partition_id())
     # 3. running count inside each (partition, group) slice
@@ -67,12 +91,17 @@ def percentile_cont(df: DataFrame, keys: Sequence[str], value: str, p: float = 0
     slices = (slices.withColumn("_off", F.coalesce(F.sum("_slice").over(wsl), F.lit(0)))
               .withColumn("_n", F.sum("_slice").over(wall)))
     # 5. global rank range [start, end) of every histogram row; targets lo, hi
-    pdec = F.lit(str(Decimal(str(p)))).cast("decimal(20,10)")
-    pos = (F.col("_n") - 1).cast("decimal(28,0)") * pdec
     ranked = (local.join(slices, ["_pid", "_g"])
               .withColumn("_end", F.col("_off") + F.col("_cum"))
-              .withColumn("_start", F.col("_end") - F.col("_c"))
-              .withColumn("_lo", F.floor(pos).cast("bigint"))
+              .withColumn("_start", F.col("_end") - F.col("_c")))
+    return _pick(ranked, keys, value, p, out, dtype)
+
+
+def _pick(ranked: DataFrame, keys: Sequence[str], value: str, p: float, out: str, dtype: str) -> DataFrame:
+    """Rows whose rank range [_start, _end) covers the target ranks -> interpolated value."""
+    pdec = F.lit(str(Decimal(str(p)))).cast("decimal(20,10)")
+    pos = (F.col("_n") - 1).cast("decimal(28,0)") * pdec
+    ranked = (ranked.withColumn("_lo", F.floor(pos).cast("bigint"))
               .withColumn("_hi", F.ceil(pos).cast("bigint"))
               .withColumn("_frac", pos - F.floor(pos)))
     covers_lo = (F.col("_start") <= F.col("_lo")) & (F.col("_lo") < F.col("_end"))
@@ -81,7 +110,6 @@ def percentile_cont(df: DataFrame, keys: Sequence[str], value: str, p: float = 0
               .agg(F.max(F.when(covers_lo, F.col(value))).alias("_vlo"),
                    F.max(F.when(covers_hi, F.col(value))).alias("_vhi"),
                    F.first("_frac").alias("_frac")))
-    dtype = dict(df.dtypes)[value]
     if dtype.startswith("decimal"):
         res = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
     else:

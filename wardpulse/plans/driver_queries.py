@@ -449,7 +449,7 @@ def q_mart(spark, sf_dir):
 @query
 def q_latest_year(spark, sf_dir):
     from wardpulse.plans.mart import latest_year
-    return latest_year(mart(_v(spark, sf_dir)))
+    return latest_year(materialized_mart(spark, sf_dir))
 
 
 def materialized_mart(spark, sf_dir) -> DataFrame:

@@ -224,19 +224,30 @@ def stg_transit(stops: DataFrame, wards_geo: DataFrame, year_lo: int = C.YEAR_LO
 # ----------------------------------------------------------------- M-6 NDVI
 def zonal_stats(pixels: DataFrame, keys=("ward_id", "year", "month"), value: str = "ndvi",
                 value_scale: int = 4) -> DataFrame:
-    """A-15 mean, median, min, max, std, count per zone (P-10: zones with pixels only)."""
+    """A-15 mean, median, min, max, std, count per zone (P-10: zones with pixels only).
+
+    One pass over the pixels builds the (zone, value) histogram -- partial
+    aggregation shrinks it before the shuffle, and a decimal(6,4) index has at
+    most 20001 values per zone -- and every statistic comes from it. The
+    population std uses exact sums: var = (n*sum(v^2) - sum(v)^2) / n^2."""
     keys = list(keys)
-    stats = pixels.where(F.col(value).isNotNull()).groupBy(*keys).agg(
-        round_ratio(F.sum(value), F.count(value), 4, value_scale, precision=6).alias("mean_ndvi"),
-        F.round(F.min(value), 4).cast("decimal(6,4)").alias("min_ndvi"),
-        F.round(F.max(value), 4).cast("decimal(6,4)").alias("max_ndvi"),
-        F.stddev_pop(F.col(value).cast("double")).cast("decimal(6,4)").alias("std_ndvi"),
-        F.count(value).cast("int").alias("pixel_count"))
-    med = percentile_cont(pixels, keys, value, 0.5, out="_med")
-    return (stats.join(med, keys)
-            .withColumn("median_ndvi", F.round(F.col("_med"), 4).cast("decimal(6,4)"))
-            .where(F.col("pixel_count") > 0)
-            .select(*keys, "mean_ndvi", "median_ndvi", "min_ndvi", "max_ndvi", "std_ndvi", "pixel_count"))
+    hist = (pixels.where(F.col(value).isNotNull()).groupBy(*keys, value)
+            .agg(F.count(F.lit(1)).alias("_c")))
+    v = F.col(value)
+    stats = hist.groupBy(*keys).agg(
+        F.sum(v * F.col("_c")).alias("_s"), F.sum("_c").alias("_n"),
+        F.sum(v * v * F.col("_c")).alias("_ss"), F.min(v).alias("_mn"), F.max(v).alias("_mx"))
+    num = F.col("_ss") * F.col("_n") - F.col("_s") * F.col("_s")
+    var = num.cast("double") / (F.col("_n").cast("double") * F.col("_n").cast("double"))
+    med = percentile_cont(hist, keys, value, 0.5, out="_med", weight="_c")
+    return (stats.join(med, keys).where(F.col("_n") > 0)
+            .select(*keys,
+                    round_ratio(F.col("_s"), F.col("_n"), 4, value_scale, precision=6).alias("mean_ndvi"),
+                    F.round("_med", 4).cast("decimal(6,4)").alias("median_ndvi"),
+                    F.round("_mn", 4).cast("decimal(6,4)").alias("min_ndvi"),
+                    F.round("_mx", 4).cast("decimal(6,4)").alias("max_ndvi"),
+                    F.sqrt(F.greatest(var, F.lit(0.0))).cast("decimal(6,4)").alias("std_ndvi"),
+                    F.col("_n").cast("int").alias("pixel_count")))
 
 
 def green_cover(avg: Column) -> Column:
