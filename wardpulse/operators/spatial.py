@@ -125,14 +125,17 @@ def nearest_point(left: DataFrame, right: DataFrame, key: str, *, x: str = "long
     mnx, mny, mxx, mxy = extent or (x, y, x, y)
     dist = dist or (lambda px, py: geo.haversine_km(F.col(x), F.col(y), px, py))
     bound = bound or (lambda kdeg: haversine_bound(F.col(mny), F.col(mxy), kdeg))
+    from wardpulse.session import checkpoint_dir
+    checkpoint_dir(spark)
+    # both inputs are materialised once in the checkpoint folder: the rounds
+    # re-read them instead of recomputing their lineage
     rpts = (right.where(F.col(rx).isNotNull() & F.col(ry).isNotNull())
             .select(F.col(rx).alias("_rx"), F.col(ry).alias("_ry"))
-            .withColumn("_cx", _cell(F.col("_rx"), cell)).withColumn("_cy", _cell(F.col("_ry"), cell)))
+            .withColumn("_cx", _cell(F.col("_rx"), cell)).withColumn("_cy", _cell(F.col("_ry"), cell))
+            .checkpoint())
     if rpts.isEmpty():
         return left.withColumn(out, F.lit(None).cast("double"))
-    from wardpulse.session import checkpoint_dir
-    checkpoint_dir(spark)
-    todo = left.where(F.col(mnx).isNotNull() & F.col(mny).isNotNull())
+    todo = left.where(F.col(mnx).isNotNull() & F.col(mny).isNotNull()).checkpoint()
     done = []
     k = start_k
     for _ in range(max_rounds):

@@ -376,13 +376,13 @@ def q_gtfs_enriched(spark, sf_dir):
 @query
 def q_transit_score(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return S.ward_transit(enriched_stops(v), _wards_geo(v))
+    return S.ward_transit(v.stops_geo(), _wards_geo(v), freq=_freq(v))
 
 
 @query
 def q_stg_transit(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return S.stg_transit(enriched_stops(v), _wards_geo(v), YL, YH)
+    return S.stg_transit(v.stops_geo(), _wards_geo(v), YL, YH, freq=_freq(v))
 
 
 # ------------------------------------------------------------------ NDVI composite
@@ -424,7 +424,7 @@ def staged(v: DriverViews) -> dict:
         "complaints": S.stg_complaints(v.complaints(), wards, YL, YH),
         "aqi": S.stg_aqi(aqi_readings(v), geo_w, YL, YH),
         "census": S.stg_census(census_feed(v), wards),
-        "transit": S.stg_transit(enriched_stops(v), geo_w, YL, YH),
+        "transit": S.stg_transit(v.stops_geo(), geo_w, YL, YH, freq=_freq(v)),
         "ndvi": S.stg_ndvi(ndvi_zonal_feed(v), YL, YH),
         "property": S.stg_property(v.property(), wards, YL, YH, mode="strict"),
     }

@@ -18,6 +18,14 @@ from wardpulse.operators.aggregates import mode_pick, percentile_cont, pivot_sum
 from wardpulse.operators.spatial import DEFAULT_CELL_DEG, nearest_point, points_in_polygons
 
 
+def in_years(date_col: str, year_lo: int, year_hi: int) -> Column:
+    """year(d) BETWEEN lo AND hi, plus the same range on the raw column so the
+    parquet scan can skip row groups by their min/max statistics."""
+    d = F.col(date_col)
+    return (d >= F.lit(f"{year_lo}-01-01").cast("date")) & (d < F.lit(f"{year_hi + 1}-01-01").cast("date")) \
+        & F.year(d).between(year_lo, year_hi)
+
+
 def year_spine(wards: DataFrame, year_lo: int, year_hi: int, *cols: str) -> DataFrame:
     """U-1/J-1 wards x generate_series(lo, hi), as a generator (no join)."""
     return wards.select(*cols, F.explode(F.sequence(F.lit(year_lo), F.lit(year_hi))).alias("year"))
@@ -65,7 +73,7 @@ def stg_complaints(complaints: DataFrame, wards: DataFrame, year_lo: int = C.YEA
     st = F.lower(F.col("status"))
     yr = F.year("date_filed").cast("int")
     # stage 1: per (ward name, year, category) -- feeds the counts and the mode
-    s1 = (complaints.where(F.col("date_filed").isNotNull() & yr.between(year_lo, year_hi))
+    s1 = (complaints.where(F.col("date_filed").isNotNull() & in_years("date_filed", year_lo, year_hi))
           .groupBy("ward_name", yr.alias("year"), "category")
           .agg(F.count(F.lit(1)).alias("_n"),
                F.count_if(st.isin(*C.PENDING_STATUSES)).alias("_p"),
@@ -105,7 +113,7 @@ def stg_aqi(readings: DataFrame, wards_geo: DataFrame, year_lo: int = C.YEAR_LO,
     swm = (points_in_polygons(pts, wards_geo, x="_x", y="_y", cell=cell, how="left")
            .where(F.col("ward_id").isNotNull()).select("station_id", "ward_id", "ward_name"))
     yr = F.year("date").cast("int")
-    r = readings.where(F.col("date").isNotNull() & yr.between(year_lo, year_hi)) \
+    r = readings.where(F.col("date").isNotNull() & in_years("date", year_lo, year_hi)) \
                 .withColumn("year", yr)
     j = r.join(swm, "station_id")
     # stage 1 per station, stage 2 per ward: COUNT(DISTINCT station) without Expand
@@ -187,16 +195,21 @@ def stop_metro_distance(stops: DataFrame, metro_source: str = C.METRO_SOURCE,
 
 
 def ward_transit(stops: DataFrame, wards_geo: DataFrame, metro_source: str = C.METRO_SOURCE,
-                 cell: float = DEFAULT_CELL_DEG) -> DataFrame:
+                 cell: float = DEFAULT_CELL_DEG, freq: DataFrame | None = None) -> DataFrame:
     """Per ward: stops inside it, nearest-metro km (min over its stops), mean
     frequency, summed routes and the S-13 score.
 
-    ``stops``: stop_id, longitude, latitude (double), route_count, avg_frequency, source."""
+    ``stops``: stop_id, longitude, latitude (double), source, and route_count /
+    avg_frequency -- or pass the per-stop ``freq`` table (F-7) and it is joined
+    once, after the distance search, which only needs coordinates."""
     s = stops.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     placed = points_in_polygons(s, wards_geo, cell=cell, how="inner")
     metros = stops.where(F.col("source") == metro_source)
     with_km = nearest_point(placed.select("stop_id", "longitude", "latitude").distinct(), metros,
                             "stop_id", out="metro_distance_km")
+    if freq is not None:
+        from wardpulse.plans.feeds import enrich_stops
+        placed = enrich_stops(placed, freq)
     wt = (placed.join(with_km.select("stop_id", "metro_distance_km"), "stop_id", "left")
           .groupBy("ward_id", "ward_name")
           .agg(F.count(F.lit(1)).alias("bus_stops_count"),
@@ -213,9 +226,9 @@ def ward_transit(stops: DataFrame, wards_geo: DataFrame, metro_source: str = C.M
 
 def stg_transit(stops: DataFrame, wards_geo: DataFrame, year_lo: int = C.YEAR_LO,
                 year_hi: int = C.YEAR_HI, metro_source: str = C.METRO_SOURCE,
-                cell: float = DEFAULT_CELL_DEG) -> DataFrame:
+                cell: float = DEFAULT_CELL_DEG, freq: DataFrame | None = None) -> DataFrame:
     """M-5: the (static) ward transit figures repeated for every year."""
-    wt = ward_transit(stops, wards_geo, metro_source, cell)
+    wt = ward_transit(stops, wards_geo, metro_source, cell, freq)
     out = year_spine(wt, year_lo, year_hi, *wt.columns)
     return out.select("ward_id", "ward_name", "year", "bus_stops_count", "metro_proximity_km",
                       "avg_route_frequency", "total_routes", "transit_score")
