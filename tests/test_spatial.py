@@ -65,3 +65,19 @@ def test_haversine_reference_distance(spark):
     df = spark.createDataFrame([(77.6101, 12.9165, 77.5192, 13.0285)], "a double, b double, c double, d double")
     km = df.select(geo.haversine_km(F.col("a"), F.col("b"), F.col("c"), F.col("d"))).collect()[0][0]
     assert abs(km - 15.878) < 0.001
+
+
+def test_nearest_point_far_and_sparse(spark):
+    # stops in Bengaluru, the only "metro" points in Delhi: the search must coarsen, not explode
+    L = spark.createDataFrame([(1, 77.59, 12.97), (2, 77.60, 12.98)], "k int, longitude double, latitude double")
+    R = spark.createDataFrame([(77.21, 28.61), (77.10, 28.70)], "longitude double, latitude double")
+    got = {r.k: r.nearest_km for r in nearest_point(L, R, "k", cell=0.01).collect()}
+
+    def hav(a, b, c, d):
+        p1, p2 = math.radians(b), math.radians(d)
+        h = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin((math.radians(c) - math.radians(a)) / 2) ** 2
+        return 2 * 6371.0088 * math.asin(math.sqrt(min(1.0, h)))
+    for k, x, y in [(1, 77.59, 12.97), (2, 77.60, 12.98)]:
+        assert abs(got[k] - min(hav(x, y, 77.21, 28.61), hav(x, y, 77.10, 28.70))) < 1e-9
+    empty = spark.createDataFrame([], "longitude double, latitude double")
+    assert all(r.nearest_km is None for r in nearest_point(L, empty, "k").collect())
