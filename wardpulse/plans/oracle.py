@@ -829,6 +829,22 @@ scores AS (SELECT ward_id, ward_name, city, year, 3 AS month,
            FROM sc)"""
 
 
+@oracle("q_ward_metro", ("d_stops", "d_ward_edges"))
+def _():
+    return f"""
+, mp AS (SELECT stop_id, px, py FROM d_stops WHERE source = 'BMRCL'),
+inside AS ({inward('mp', 'stop_id')}),
+p AS (SELECT stop_id, px / 10000.0 AS x, py / 10000.0 AS y FROM mp),
+e AS (SELECT ward_id, ax / 10000.0 AS ax, ay / 10000.0 AS ay, bx / 10000.0 AS bx, by_ / 10000.0 AS by_
+      FROM d_ward_edges),
+d AS (SELECT e.ward_id, p.stop_id, min({_seg_dist()}) AS km FROM p, e GROUP BY e.ward_id, p.stop_id),
+d0 AS (SELECT d.ward_id, CASE WHEN i.id IS NOT NULL THEN 0.0 ELSE d.km END AS km
+       FROM d LEFT JOIN inside i ON i.id = d.stop_id AND i.ward_id = d.ward_id)
+SELECT w.ward_id, CAST(round(CAST(min(d0.km) AS DECIMAL(20,10)), 3) AS DECIMAL(10,3)) AS metro_km
+FROM (SELECT DISTINCT ward_id FROM d_ward_edges) w LEFT JOIN d0 ON d0.ward_id = w.ward_id
+GROUP BY w.ward_id"""
+
+
 def _register_late() -> None:
     ORACLES["q_ward_year_spine"] = q(("d_ward_boundaries",), f"""
 SELECT ward_id, ward_name, ward_number, zone_name, city, CAST(y.year AS INTEGER) AS year
