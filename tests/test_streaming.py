@@ -28,3 +28,44 @@ def test_stream_upsert(spark, scratch):
     q.awaitTermination(120)
     got = sorted((r.station_id, str(r.date), r.pm25) for r in spark.read.parquet(table).collect())
     assert got == [("s1", "2024-01-01", 7.0), ("s2", "2024-01-02", 5.0)]
+
+
+def test_daily_means_stream_with_watermark(spark, scratch):
+    from decimal import Decimal
+
+    from wardpulse.streaming.ingest import daily_city_means
+    landing = f"{scratch}/readings"
+    land(landing, "a.json", [{"station_id": 1, "ts": "2024-01-01T05:00:00", "pm25": "10.00"},
+                             {"station_id": 1, "ts": "2024-01-01T09:00:00", "pm25": "11.01"},
+                             {"station_id": 2, "ts": "2024-01-02T09:00:00", "pm25": "30.00"},
+                             {"station_id": 2, "ts": "2024-01-05T09:00:00", "pm25": "1.00"}])
+    src = spark.readStream.schema("station_id long, ts timestamp, pm25 decimal(8,2)").json(landing)
+    cities = spark.createDataFrame([(1, "A"), (2, "B")], "station_id long, city string")
+    name = f"daily_{os.getpid()}"
+    q = (daily_city_means(src, cities, watermark="1 day").writeStream.outputMode("append")
+         .format("memory").queryName(name).start())
+    q.processAllAvailable()
+    q.processAllAvailable()
+    q.stop()
+    got = sorted((r.city, str(r.day), r.avg_pm25, r.n_readings) for r in spark.table(name).collect())
+    # the 2024-01-05 window is still open (watermark 2024-01-04 09:00)
+    assert got == [("A", "2024-01-01", Decimal("10.51"), 2), ("B", "2024-01-02", Decimal("30.00"), 1)]
+
+
+def test_complaint_stream_keeps_first_seen_date(spark, scratch):
+    from wardpulse.streaming.ingest import start_complaint_ingest
+    landing, table = f"{scratch}/complaints", f"{scratch}/civic"
+    schema = ("city string, complaint_id string, category string, status string, description string, "
+              "latitude double, longitude double, date_filed date, scraped_at long")
+    land(landing, "a.json", [{"city": "Bengaluru", "complaint_id": "c1", "category": "Roads", "status": "Open",
+                              "description": "pothole", "latitude": 12.9, "longitude": 77.6,
+                              "date_filed": "2024-01-01", "scraped_at": 1}])
+    q = start_complaint_ingest(spark, landing, table, schema, trigger_once=True, name=f"c{os.getpid()}")
+    q.awaitTermination(120)
+    land(landing, "b.json", [{"city": "Bengaluru", "complaint_id": "c1", "category": "Roads", "status": "Closed",
+                              "description": "fixed", "latitude": 12.9, "longitude": 77.6,
+                              "date_filed": "2024-02-01", "scraped_at": 2}])
+    q = start_complaint_ingest(spark, landing, table, schema, trigger_once=True, name=f"c{os.getpid()}")
+    q.awaitTermination(120)
+    rows = spark.read.parquet(table).collect()
+    assert [(r.status, r.description, str(r.date_filed)) for r in rows] == [("Closed", "fixed", "2024-01-01")]
