@@ -587,3 +587,11 @@ def q_dq_report(spark, sf_dir):
         Q.predicate_failures(px, "ndvi", "check", "month", F.col("month").between(1, 12)),
         Q.orphans(px, wards, "ndvi", F.col("ward_id"), F.col("ward_id"), "ward_id"),
     )
+
+
+@query
+def q_fuzzy_ward(spark, sf_dir):
+    """G-8 census ward names (garbled, lower-cased) to the best ward by trigram similarity."""
+    from wardpulse.operators.fuzzy import fuzzy_match
+    v = _v(spark, sf_dir)
+    return fuzzy_match(v.census(), v.ward_boundaries(), "ward_name")

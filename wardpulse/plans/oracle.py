@@ -845,6 +845,26 @@ FROM (SELECT DISTINCT ward_id FROM d_ward_edges) w LEFT JOIN d0 ON d0.ward_id =
 GROUP BY w.ward_id"""
 
 
+def _trigram_sets(src: str, col: str, keycol: str) -> str:
+    return f"""(SELECT {keycol} AS k, list(DISTINCT substr('  ' || w || ' ', i, 3)) AS g
+  FROM (SELECT {keycol}, unnest(regexp_split_to_array(lower({col}), '[^\\p{{L}}\\p{{N}}]+')) AS w FROM {src}) ws,
+       LATERAL generate_series(1, length(w) + 1) AS s(i)
+  WHERE w <> '' GROUP BY {keycol})"""
+
+
+@oracle("q_fuzzy_ward", ("d_census", "d_ward_boundaries"))
+def _():
+    return f"""
+, nm AS (SELECT DISTINCT ward_name AS nm FROM d_census WHERE ward_name IS NOT NULL),
+ga AS {_trigram_sets('nm', 'nm', 'nm')},
+gb AS {_trigram_sets('d_ward_boundaries', 'ward_name', 'ward_id')},
+pr AS (SELECT ga.k AS nm, gb.k AS ward_id, len(list_intersect(ga.g, gb.g)) AS sh,
+              len(list_distinct(list_concat(ga.g, gb.g))) AS un FROM ga, gb),
+ok AS (SELECT *, row_number() OVER (PARTITION BY nm ORDER BY CAST(sh AS DOUBLE) / CAST(un AS DOUBLE) DESC, ward_id) AS rk
+       FROM pr WHERE CAST(sh AS DOUBLE) / CAST(un AS DOUBLE) > 0.3)
+SELECT nm AS ward_name, ward_id, {rr('sh', 'un', 4, 0, 6)} AS similarity FROM ok WHERE rk = 1"""
+
+
 def _register_late() -> None:
     ORACLES["q_ward_year_spine"] = q(("d_ward_boundaries",), f"""
 SELECT ward_id, ward_name, ward_number, zone_name, city, CAST(y.year AS INTEGER) AS year
