@@ -79,3 +79,26 @@ def test_limit_violations(spark):
     df = spark.createDataFrame([("abcdef", Decimal("123.456")), ("ab", Decimal("1.5"))], "s string, n decimal(10,3)")
     got = {r.column_name: r.failures for r in limit_violations(df, "t", {"s": ("varchar", 3), "n": ("numeric", 5, 2)}).collect()}
     assert got == {"s": 1, "n": 1}
+
+
+def test_saved_pages_scan(spark, scratch):
+    import os
+    from wardpulse.sources.markup import read_saved_pages
+    d = f"{scratch}/pages/source=magicbricks/locality=hsr-layout"
+    os.makedirs(d)
+    with open(f"{d}/p1.html", "w") as f:
+        f.write(MB)
+    pages = read_saved_pages(spark, f"{scratch}/pages")
+    rows = parse_listing_pages(pages).collect()
+    assert len(rows) == 2 and {r.locality for r in rows} == {"Hsr Layout"}
+
+
+def test_observed_counts(spark):
+    from pyspark.sql import Observation
+    from wardpulse.operators.quality import observed_counts
+    df = spark.createDataFrame([(1,), (None,), (3,)], "v int")
+    obs = Observation("rows_in")
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("v").isNull()).alias("dropped"))
+    assert out.where(F.col("v").isNotNull()).count() == 2
+    assert obs.get == {"rows": 3, "dropped": 1}
+    assert observed_counts(df, "x", nulls=F.col("v").isNull()).count() == 3

@@ -128,3 +128,109 @@ def pivot_sum(df: DataFrame, keys: Sequence[str], category: str, amount: str,
     if total:
         aggs.append(F.sum(amount).alias(total))
     return df.groupBy(*keys).agg(*aggs)
+
+
+# ---------------------------------------------------------------- ordered scans
+def running_before(df: DataFrame, part: Sequence[str], order: Sequence[str], weight: str,
+                   out: str = "_before") -> DataFrame:
+    """Sum of ``weight`` over the rows strictly before each row in ``order``
+    within ``part`` -- a running sum that never puts a whole ``part`` group in
+    one task. Rows are range-partitioned on (part, order); per-slice totals
+    (one row per slice and group) give every slice its offset. Rows that tie
+    on the order key must carry weight 0, except one."""
+    r = df.repartitionByRange(*part, *order).withColumn("_pid", F.spark_partition_id())
+    wl = Window.partitionBy("_pid", *part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = r.withColumn("_lb", F.coalesce(F.sum(weight).over(wl), F.lit(0)))
+    sl = r.groupBy("_pid", *part).agg(F.sum(weight).alias("_sw"))
+    ws = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sl = sl.withColumn("_off", F.coalesce(F.sum("_sw").over(ws), F.lit(0))).select("_pid", *part, "_off")
+    part_struct = F.struct(*[F.col(c) for c in part]) if part else F.lit(0)
+    joined = (local.withColumn("_pk", part_struct)
+              .join(sl.withColumn("_pk", part_struct).drop(*part), ["_pid", "_pk"]))
+    return joined.withColumn(out, F.col("_off") + F.col("_lb")).drop("_pid", "_pk", "_off", "_lb")
+
+
+def running_last(df: DataFrame, part: Sequence[str], order: Sequence[str], value: str,
+                 out: str = "_last") -> DataFrame:
+    """Last non-null ``value`` at or before each row in ``order`` within
+    ``part`` (an as-of lookup), distributed like :func:`running_before`: a
+    window inside each range slice, plus the last value of the earlier slices
+    of the same group (one row per slice and group)."""
+    r = df.repartitionByRange(*part, *order).withColumn("_pid", F.spark_partition_id())
+    wl = Window.partitionBy("_pid", *part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = r.withColumn("_ll", F.last(value, ignorenulls=True).over(wl))
+    part_struct = F.struct(*[F.col(c) for c in part]) if part else F.lit(0)
+    order_struct = F.struct(*[F.col(c) for c in order])
+    slice_last = (r.groupBy("_pid", *part)
+                  .agg(F.max_by(F.col(value), F.when(F.col(value).isNotNull(), order_struct)).alias("_sv"))
+                  .withColumn("_pk", part_struct).drop(*part))
+    earlier = Window.partitionBy("_pk").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = slice_last.withColumn("_carry", F.last("_sv", ignorenulls=True).over(earlier)).drop("_sv")
+    joined = local.withColumn("_pk", part_struct).join(carry, ["_pid", "_pk"], "left")
+    return joined.withColumn(out, F.coalesce(F.col("_ll"), F.col("_carry"))) \
+                 .drop("_pid", "_pk", "_carry", "_ll")
+
+
+def merged_percentile(named: DataFrame, shared: DataFrame, gkeys: Sequence[str], skey: str,
+                      value: str, groups: DataFrame, p: float = 0.5, out: str = "median") -> DataFrame:
+    """Exact PERCENTILE_CONT(p) per group g of N_g + U_s(g): the group's own
+    values plus every value of the shared set its key ``skey`` names -- without
+    pairing the shared values with the groups.
+
+    ``named``: rows (gkeys..., value) with ``skey`` among gkeys; ``shared``:
+    rows (skey, value); ``groups``: (gkeys...) to answer for. A value v of
+    N_g sits at merged ranks [ltN(v) + ltU(v), leN(v) + leU(v)). A target rank
+    k no N_g value covers falls on a shared-only value: U[k - J], J the N_g
+    items before it, found by an as-of scan of the shared order."""
+    g = list(gkeys)
+    from wardpulse.session import checkpoint_dir
+    checkpoint_dir(named.sparkSession)
+    # the histograms feed three range-partitioned scans (each samples its
+    # input first): materialise them once in the cluster's checkpoint folder
+    NH = (named.where(F.col(value).isNotNull()).groupBy(*g, value)
+          .agg(F.count(F.lit(1)).alias("_c")).checkpoint())
+    UH = (shared.where(F.col(value).isNotNull()).groupBy(skey, value)
+          .agg(F.count(F.lit(1)).alias("_cu")).checkpoint())
+    nN = NH.groupBy(*g).agg(F.sum("_c").alias("_nN"))
+    nU = UH.groupBy(skey).agg(F.sum("_cu").alias("_nU"))
+    pdec = F.lit(str(Decimal(str(p)))).cast("decimal(20,10)")
+    tg = (groups.join(nN, g, "left").join(nU, skey, "left")
+          .withColumn("_n", F.coalesce(F.col("_nN"), F.lit(0)) + F.coalesce(F.col("_nU"), F.lit(0)))
+          .where(F.col("_n") > 0)
+          .withColumn("_pos", (F.col("_n") - 1).cast("decimal(28,0)") * pdec)
+          .withColumn("_frac", F.col("_pos") - F.floor("_pos")))
+    targets = tg.select(*g, "_frac", F.explode(F.array(
+        F.struct(F.lit("lo").alias("t"), F.floor("_pos").cast("bigint").alias("k")),
+        F.struct(F.lit("hi").alias("t"), F.ceil("_pos").cast("bigint").alias("k")))).alias("_t")) \
+        .select(*g, "_frac", F.col("_t.t").alias("_tn"), F.col("_t.k").alias("_k"))
+    # ranks of N values inside their group, and shared values below each N value
+    NR = running_before(NH, g, [value], "_c", "_ltN")
+    R = (NR.select(*g, value, "_c", "_ltN", F.lit(0).alias("_tag"), F.lit(0).cast("bigint").alias("_w"))
+         .unionByName(UH.select(skey, value, F.col("_cu").alias("_w"), F.lit(1).alias("_tag")),
+                      allowMissingColumns=True))
+    # R feeds both the N-side ranges and the shared-side as-of scan: materialise it
+    R = running_before(R, [skey], [value, "_tag"], "_w", "_ltU").checkpoint()
+    Nrows = (R.where(F.col("_tag") == 0)
+             .join(UH.select(skey, value, "_cu"), [skey, value], "left")
+             .withColumn("_s", F.col("_ltN") + F.col("_ltU"))
+             .withColumn("_e", F.col("_ltN") + F.col("_c") + F.col("_ltU") + F.coalesce(F.col("_cu"), F.lit(0))))
+    hit = (targets.join(Nrows.select(*g, value, "_s", "_e", "_ltN", "_c"), g, "left")
+           .groupBy(*g, "_tn", "_k", "_frac")
+           .agg(F.max(F.when((F.col("_s") <= F.col("_k")) & (F.col("_k") < F.col("_e")), F.col(value))).alias("_vN"),
+                F.coalesce(F.max(F.when(F.col("_e") <= F.col("_k"), F.col("_ltN") + F.col("_c"))),
+                           F.lit(0)).alias("_J")))
+    # targets on shared-only values: the (k - J)-th shared value, by an as-of scan
+    q = hit.where(F.col("_vN").isNull()).withColumn("_j", F.col("_k") - F.col("_J"))
+    Urows = R.where(F.col("_tag") == 1).select(skey, F.col("_ltU").alias("_pos"), value,
+                                               F.lit(0).alias("_qt"))
+    qrows = q.select(*g, "_tn", F.col("_j").alias("_pos"), F.lit(1).alias("_qt"),
+                     F.lit(None).cast(dict(shared.dtypes)[value]).alias(value))
+    asof = running_last(Urows.unionByName(qrows, allowMissingColumns=True), [skey], ["_pos", "_qt"],
+                        value, "_vU")
+    vu = asof.where(F.col("_qt") == 1).select(*g, "_tn", "_vU")
+    res = (hit.join(vu, [*g, "_tn"], "left")
+           .withColumn("_v", F.coalesce(F.col("_vN"), F.col("_vU")))
+           .groupBy(*g).agg(F.max(F.when(F.col("_tn") == "lo", F.col("_v"))).alias("_vlo"),
+                            F.max(F.when(F.col("_tn") == "hi", F.col("_v"))).alias("_vhi"),
+                            F.first("_frac").alias("_frac")))
+    return res.select(*g, (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias(out))

@@ -140,7 +140,7 @@ def q_stg_ndvi(spark, sf_dir):
 @query
 def q_stg_property(spark, sf_dir):
     v = _v(spark, sf_dir)
-    return S.stg_property(v.property(), v.ward_boundaries(), YL, YH, mode="strict")
+    return S.stg_property(v.property(), v.ward_boundaries(), YL, YH, mode="exact")
 
 
 # ------------------------------------------------------------------ geo
@@ -426,7 +426,7 @@ def staged(v: DriverViews) -> dict:
         "census": S.stg_census(census_feed(v), wards),
         "transit": S.stg_transit(v.stops_geo(), geo_w, YL, YH, freq=_freq(v)),
         "ndvi": S.stg_ndvi(ndvi_zonal_feed(v), YL, YH),
-        "property": S.stg_property(v.property(), wards, YL, YH, mode="strict"),
+        "property": S.stg_property(v.property(), wards, YL, YH, mode="exact"),
     }
 
 

@@ -324,10 +324,12 @@ FROM yr y LEFT JOIN med m ON m.ward_id = y.ward_id AND m.ward_name = y.ward_name
 def _():
     return f"""
 , mapped AS (
-  SELECT w.ward_id, coalesce(w.ward_name, p.ward_name) AS ward_name,
+  SELECT coalesce(wn.ward_id, wg.ward_id) AS ward_id, coalesce(wn.ward_name, wg.ward_name, p.ward_name) AS ward_name,
          CAST(coalesce(year(p.listing_date), year(p.scraped_at)) AS INTEGER) AS year,
          p.price_sqft, p.property_type
-  FROM d_property p LEFT JOIN d_ward_boundaries w ON lower(trim(p.ward_name)) = lower(trim(w.ward_name))
+  FROM d_property p
+  LEFT JOIN d_ward_boundaries wn ON lower(trim(p.ward_name)) = lower(trim(wn.ward_name))
+  LEFT JOIN d_ward_boundaries wg ON p.ward_name IS NULL
   WHERE p.price_sqft IS NOT NULL AND p.price_sqft BETWEEN 1000 AND 100000),
 m AS (SELECT * FROM mapped WHERE ward_id IS NOT NULL AND year BETWEEN {Y_LO} AND {Y_HI}),
 r AS (SELECT ward_id, ward_name, year, price_sqft,

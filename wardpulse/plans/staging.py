@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from wardpulse import config as C
 from wardpulse.functions.numeric import round_ratio
 from wardpulse.functions.text import norm_name
-from wardpulse.operators.aggregates import mode_pick, percentile_cont, pivot_sum
+from wardpulse.operators.aggregates import merged_percentile, mode_pick, percentile_cont, pivot_sum
 from wardpulse.operators.spatial import DEFAULT_CELL_DEG, nearest_point, points_in_polygons
 
 
@@ -292,10 +292,11 @@ def stg_ndvi(ndvi: DataFrame, year_lo: int = C.YEAR_LO, year_hi: int = C.YEAR_HI
 
 # ------------------------------------------------------------- M-7 property
 def map_listings_to_wards(listings: DataFrame, wards: DataFrame, mode: str = "strict") -> DataFrame:
-    """J-4/J-7 listing -> ward. ``strict``: by normalised ward name only
-    (unnamed listings get no ward); ``locality``: unnamed listings fall back to
-    their locality matched to a ward name. The reference's own rule joins an
-    unnamed listing to every ward (D-4); that all-pairs fan-out is not built."""
+    """J-4/J-7 listing -> ward by normalised ward name. ``strict``: unnamed
+    listings get no ward; ``locality``: they fall back to their locality
+    matched to a ward name. (``exact`` -- the reference's rule that an unnamed
+    listing belongs to every ward -- is handled by :func:`stg_property`
+    without pairing listings with wards.)"""
     w = wards.select(F.col("ward_id").alias("_wid"), F.col("ward_name").alias("_wname"))
     key = norm_name(F.col("ward_name"))
     if mode == "locality":
@@ -308,24 +309,85 @@ def map_listings_to_wards(listings: DataFrame, wards: DataFrame, mode: str = "st
             .drop("_key", "_wid", "_wname")
 
 
+def _property_exact(base: DataFrame, wards: DataFrame, year_lo: int, year_hi: int) -> DataFrame:
+    """Aggregates per (ward, year) over the ward's named listings plus every
+    unnamed listing of the year (J-7 as the reference joins them), computed
+    from per-ward and per-year parts -- no listing x ward pairs."""
+    keys = ["ward_id", "ward_name", "year"]
+    inyr = F.col("year").between(year_lo, year_hi)
+    wn = wards.select("ward_id", F.col("ward_name").alias("_wname"))
+    named = base.where(F.col("ward_name").isNotNull() & inyr)
+    N = (named.join(wn, norm_name(named.ward_name) == norm_name(wn._wname))
+         .select("ward_id", F.col("_wname").alias("ward_name"), "year", "price_sqft", "property_type"))
+    U = base.where(F.col("ward_name").isNull() & inyr).select("year", "price_sqft", "property_type")
+    # both parts feed several aggregates: materialise them once (checkpoint folder)
+    from wardpulse.session import checkpoint_dir
+    checkpoint_dir(base.sparkSession)
+    N, U = N.checkpoint(), U.checkpoint()
+    spine = year_spine(wards, year_lo, year_hi, "ward_id", "ward_name")
+    NA = N.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nN"), F.sum("price_sqft").alias("_sN"),
+                              F.min("price_sqft").alias("_mnN"), F.max("price_sqft").alias("_mxN"))
+    UA = U.groupBy("year").agg(F.count(F.lit(1)).alias("_nU"), F.sum("price_sqft").alias("_sU"),
+                               F.min("price_sqft").alias("_mnU"), F.max("price_sqft").alias("_mxU"))
+    z = lambda c: F.coalesce(F.col(c), F.lit(0))
+    agg = (spine.join(NA, keys, "left").join(UA, "year", "left")
+           .withColumn("listing_count", z("_nN") + z("_nU"))
+           .where(F.col("listing_count") > 0)
+           .withColumn("_s", F.coalesce(F.col("_sN"), F.lit(0)) + F.coalesce(F.col("_sU"), F.lit(0)))
+           .withColumn("min_price_sqft", F.least("_mnN", "_mnU"))
+           .withColumn("max_price_sqft", F.greatest("_mxN", "_mxU")))
+    groups = agg.select(*keys)
+    # mode: the best named type (named + unnamed count), or the best unnamed type
+    # absent from the ward's named types (found in the year's top K+1 unnamed types)
+    NT = N.where(F.col("property_type").isNotNull()).groupBy(*keys, "property_type") \
+          .agg(F.count(F.lit(1)).alias("_cN"))
+    UT = U.where(F.col("property_type").isNotNull()).groupBy("year", "property_type") \
+          .agg(F.count(F.lit(1)).alias("_cU"))
+    UT = UT.withColumn("_rk", F.row_number().over(
+        Window.partitionBy("year").orderBy(F.col("_cU").desc(), F.col("property_type"))))
+    best_a = (NT.join(UT.select("year", "property_type", "_cU"), ["year", "property_type"], "left")
+              .withColumn("_tot", F.col("_cN") + F.coalesce(F.col("_cU"), F.lit(0)))
+              .groupBy(*keys).agg(F.min(F.struct((-F.col("_tot")).alias("n"),
+                                                 F.col("property_type").alias("t"))).alias("_a")))
+    kn = NT.groupBy(*keys).agg(F.count(F.lit(1)).alias("_k"))
+    probe = (groups.join(kn, keys, "left")
+             .select(*keys, F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_k"), F.lit(0)) + 1)).alias("_rk")))
+    best_b = (probe.join(UT, ["year", "_rk"])
+              .join(NT.select(*keys, "property_type"), [*keys, "property_type"], "left_anti")
+              .groupBy(*keys).agg(F.min(F.struct(F.col("_rk").alias("r"), (-F.col("_cU")).alias("n"),
+                                                 F.col("property_type").alias("t"))).alias("_b")))
+    b_cand = F.when(F.col("_b").isNotNull(), F.struct(F.col("_b.n").alias("n"), F.col("_b.t").alias("t")))
+    best = F.least(F.col("_a"), b_cand)
+    med = merged_percentile(N, U, keys, "year", "price_sqft", groups, 0.5, "_med")
+    return (agg.join(best_a, keys, "left").join(best_b, keys, "left").join(med, keys, "left")
+            .withColumn("dominant_property_type", best["t"])
+            .select(*keys, "listing_count", "_s", "min_price_sqft", "max_price_sqft",
+                    "dominant_property_type", "_med"))
+
+
 def stg_property(listings: DataFrame, wards: DataFrame, year_lo: int = C.YEAR_LO,
-                 year_hi: int = C.YEAR_HI, mode: str = "strict") -> DataFrame:
+                 year_hi: int = C.YEAR_HI, mode: str = "exact") -> DataFrame:
+    """M-7. ``mode``: ``exact`` (the reference: an unnamed listing counts in
+    every ward), ``strict`` (unnamed listings dropped) or ``locality``."""
     yr = F.coalesce(F.year("listing_date"), F.year("scraped_at")).cast("int")
     base = (listings.where(F.col("price_sqft").isNotNull()
                            & F.col("price_sqft").between(C.PRICE_SQFT_LO, C.PRICE_SQFT_HI))
             .withColumn("year", yr))
-    mapped = map_listings_to_wards(base, wards, mode)
-    m = mapped.where(F.col("ward_id").isNotNull() & F.col("year").between(year_lo, year_hi))
     keys = ["ward_id", "ward_name", "year"]
-    s1 = m.groupBy(*keys, "property_type").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("price_sqft").alias("_s"),
-        F.min("price_sqft").alias("_mn"), F.max("price_sqft").alias("_mx"))
-    agg = s1.groupBy(*keys).agg(
-        F.sum("_n").alias("listing_count"), F.sum("_s").alias("_s"),
-        F.min("_mn").alias("min_price_sqft"), F.max("_mx").alias("max_price_sqft"),
-        mode_pick("property_type", "_n").alias("dominant_property_type"))
-    med = percentile_cont(m, keys, "price_sqft", 0.5, out="_med")
-    j = agg.join(med, keys)
+    if mode == "exact":
+        j = _property_exact(base, wards, year_lo, year_hi)
+    else:
+        mapped = map_listings_to_wards(base, wards, mode)
+        m = mapped.where(F.col("ward_id").isNotNull() & F.col("year").between(year_lo, year_hi))
+        s1 = m.groupBy(*keys, "property_type").agg(
+            F.count(F.lit(1)).alias("_n"), F.sum("price_sqft").alias("_s"),
+            F.min("price_sqft").alias("_mn"), F.max("price_sqft").alias("_mx"))
+        agg = s1.groupBy(*keys).agg(
+            F.sum("_n").alias("listing_count"), F.sum("_s").alias("_s"),
+            F.min("_mn").alias("min_price_sqft"), F.max("_mx").alias("max_price_sqft"),
+            mode_pick("property_type", "_n").alias("dominant_property_type"))
+        med = percentile_cont(m, keys, "price_sqft", 0.5, out="_med")
+        j = agg.join(med, keys)
     j = j.withColumn("median_price_sqft", F.round("_med", 2).cast("decimal(10,2)"))
     w = Window.partitionBy("ward_id").orderBy("year")
     prev = F.lag("median_price_sqft").over(w)
