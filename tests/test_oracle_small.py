@@ -10,7 +10,8 @@ from tools.check_oracle import TABLES, digest
 
 FAST = ["q_stg_complaints", "q_stg_crime", "q_stg_census", "q_or_join", "q_mode", "q_median",
         "q_point_in_ward", "q_ward_lookup", "q_nearest_metro", "q_upsert", "q_aqi_parse",
-        "q_parse_price", "q_parse_date", "q_clean_text", "q_dq_report", "q_route_frequency"]
+        "q_parse_price", "q_parse_date", "q_clean_text", "q_dq_report", "q_route_frequency",
+        "q_stg_property", "q_fuzzy_ward", "q_ward_metro"]
 
 
 @pytest.fixture(scope="module")
