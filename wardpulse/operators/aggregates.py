@@ -21,10 +21,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _cols(keys: Sequence[str]) -> list[Column]:
-    return [F.col(k) for k in keys]
-
-
 def mode_pick(value: str, count_col: str) -> Column:
     """Aggregate over (value, count) rows: the value with the highest count,
     ties to the lowest value, NULL values never chosen."""

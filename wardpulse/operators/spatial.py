@@ -11,8 +11,6 @@ explosion, no Python.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,13 +42,27 @@ def cell_index(polys: DataFrame, cell: float = DEFAULT_CELL_DEG, grow_km: float
             .groupBy("cx", "cy").agg(F.collect_list("cand").alias("cands")))
 
 
+MAX_BROADCAST_INDEX_BYTES = 64 << 20
+
+
+def sized_broadcast(index: DataFrame, max_bytes: int = MAX_BROADCAST_INDEX_BYTES) -> DataFrame:
+    """Broadcast the cell index only when its measured size is below
+    ``max_bytes``: a small aggregate counts its rows and ring vertices (16
+    bytes a vertex plus a per-candidate allowance). Above the bound the plain
+    equi-join stays, and AQE plans a sort-merge join with skew splitting."""
+    verts = F.aggregate(F.col("cands"), F.lit(0).cast("bigint"),
+                        lambda acc, c: acc + F.size(F.flatten(c["rings"])) * 16 + 128)
+    est = index.agg(F.sum(verts).alias("b")).collect()[0]["b"] or 0   # one number to the driver
+    return F.broadcast(index) if est <= max_bytes else index
+
+
 def _with_cell(points: DataFrame, x: str, y: str, cell: float) -> DataFrame:
     return points.withColumn("_cx", _cell(F.col(x), cell)).withColumn("_cy", _cell(F.col(y), cell))
 
 
 def _join_index(points: DataFrame, index: DataFrame, x: str, y: str, cell: float) -> DataFrame:
     p = _with_cell(points, x, y, cell)
-    idx = index.withColumnRenamed("cx", "_cx").withColumnRenamed("cy", "_cy")
+    idx = sized_broadcast(index).withColumnRenamed("cx", "_cx").withColumnRenamed("cy", "_cy")
     return p.join(idx, ["_cx", "_cy"], "left").drop("_cx", "_cy")
 
 
@@ -179,4 +191,5 @@ def plane_bound(min_lat: Column, max_lat: Column, half_deg: Column) -> Column:
     return half_deg * geo.KM_PER_DEG * F.least(F.lit(1.0), F.cos(F.radians(far)))
 
 
-__all__ = ["cell_index", "points_in_polygons", "locate_points", "nearest_point", "math"]
+__all__ = ["cell_index", "points_in_polygons", "locate_points", "nearest_point", "haversine_bound",
+           "plane_bound", "sized_broadcast"]

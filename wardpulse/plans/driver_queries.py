@@ -33,10 +33,6 @@ def census_feed(v: DriverViews) -> DataFrame:
             .withColumn("total_households", F.lit(None).cast("int")))
 
 
-def property_feed(v: DriverViews) -> DataFrame:
-    return v.property()
-
-
 # ------------------------------------------------------------------ models
 @query
 def q_stg_complaints(spark, sf_dir):

@@ -133,10 +133,6 @@ def oracle(name: str, views: tuple[str, ...]):
     return deco
 
 
-def round_avg(sum_expr: str, cnt_expr: str, scale: int, num_scale: int, precision: int = 18) -> str:
-    return rr(sum_expr, cnt_expr, scale, num_scale, precision)
-
-
 # ------------------------------------------------------------------ models
 
 @oracle("q_stg_complaints", ("d_complaints", "d_ward_boundaries"))
