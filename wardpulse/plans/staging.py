@@ -315,15 +315,15 @@ def _property_exact(base: DataFrame, wards: DataFrame, year_lo: int, year_hi: in
     from per-ward and per-year parts -- no listing x ward pairs."""
     keys = ["ward_id", "ward_name", "year"]
     inyr = F.col("year").between(year_lo, year_hi)
+    # the in-band listings feed every part below: materialise them once (checkpoint folder)
+    from wardpulse.session import checkpoint_dir
+    checkpoint_dir(base.sparkSession)
+    base = base.where(inyr).select("ward_name", "year", "price_sqft", "property_type").checkpoint()
     wn = wards.select("ward_id", F.col("ward_name").alias("_wname"))
-    named = base.where(F.col("ward_name").isNotNull() & inyr)
+    named = base.where(F.col("ward_name").isNotNull())
     N = (named.join(wn, norm_name(named.ward_name) == norm_name(wn._wname))
          .select("ward_id", F.col("_wname").alias("ward_name"), "year", "price_sqft", "property_type"))
-    U = base.where(F.col("ward_name").isNull() & inyr).select("year", "price_sqft", "property_type")
-    # both parts feed several aggregates: materialise them once (checkpoint folder)
-    from wardpulse.session import checkpoint_dir
-    checkpoint_dir(base.sparkSession)
-    N, U = N.checkpoint(), U.checkpoint()
+    U = base.where(F.col("ward_name").isNull()).select("year", "price_sqft", "property_type")
     spine = year_spine(wards, year_lo, year_hi, "ward_id", "ward_name")
     NA = N.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nN"), F.sum("price_sqft").alias("_sN"),
                               F.min("price_sqft").alias("_mnN"), F.max("price_sqft").alias("_mxN"))
