@@ -74,3 +74,35 @@ def test_run_state(spark):
     got = {r.run_id: (r.status, r.records_loaded, r.error_message, r.started_at, r.finished_at)
            for r in run_state(ev).collect()}
     assert got == {"r1": ("success", 10, None, 1, 2), "r2": ("failed", None, "boom", 1, 3)}
+
+
+def test_append_rebuild_and_first_stop(spark, scratch):
+    from wardpulse.operators.sinks import append, rebuild
+    from wardpulse.sources.files import first_stop_per_id
+    p = f"{scratch}/t"
+    b = spark.createDataFrame([("a", D1, 1.0, 1.0, 1)], SCHEMA)
+    append(b, p, ["date"])
+    append(b.limit(0), p, ["date"])            # an empty batch adds nothing
+    append(b, p, ["date"])
+    assert spark.read.parquet(p).count() == 2
+    rebuild(b, f"{scratch}/v2", ["date"])
+    assert spark.read.parquet(f"{scratch}/v2").count() == 1
+    stops = spark.createDataFrame([("001", "A", "12.9", "77.6"), ("001", "B", "13.0", "77.7"), ("002", "C", "x", "77.5")],
+                                  "stop_id string, stop_name string, latitude string, longitude string").coalesce(1)
+    got = {r.stop_id: (r.stop_name, r.geom) for r in first_stop_per_id(stops).collect()}
+    assert got["001"][0] == "A" and got["001"][1].lon == 77.6 and got["002"][1].lat is None
+
+
+def test_save_scores_upsert(spark, scratch):
+    from decimal import Decimal
+    from wardpulse.plans.mart import save_scores
+    cols = ("ward_id int, ward_name string, city string, year int, month int, composite_score decimal(5,2), "
+            "safety_score decimal(5,2), aqi_score decimal(5,2), civic_score decimal(5,2), transit_score decimal(5,2), "
+            "green_score decimal(5,2), affordability_score decimal(5,2)")
+    s1 = spark.createDataFrame([(1, "W", "C", 2024, 3) + (Decimal("10.00"),) * 7], cols)
+    s2 = spark.createDataFrame([(1, "Renamed", "C", 2024, 3) + (Decimal("20.00"),) * 7], cols)
+    path = f"{scratch}/scores"
+    save_scores(spark, path, s1)
+    save_scores(spark, path, s2)
+    rows = spark.read.parquet(path).collect()
+    assert [(r.ward_name, r.composite_score) for r in rows] == [("W", Decimal("20.00"))]
