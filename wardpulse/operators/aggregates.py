@@ -210,11 +210,14 @@ def merged_percentile(named: DataFrame, shared: DataFrame, gkeys: Sequence[str],
              .join(UH.select(skey, value, "_cu"), [skey, value], "left")
              .withColumn("_s", F.col("_ltN") + F.col("_ltU"))
              .withColumn("_e", F.col("_ltN") + F.col("_c") + F.col("_ltU") + F.coalesce(F.col("_cu"), F.lit(0))))
-    hit = (targets.join(Nrows.select(*g, value, "_s", "_e", "_ltN", "_c"), g, "left")
-           .groupBy(*g, "_tn", "_k", "_frac")
+    # data rows on the left of an inner join: the (small) targets can be
+    # broadcast, or a hot group split by AQE; targets without N rows rejoin after
+    per = (Nrows.select(*g, value, "_s", "_e", "_ltN", "_c").join(targets.select(*g, "_tn", "_k"), g)
+           .groupBy(*g, "_tn")
            .agg(F.max(F.when((F.col("_s") <= F.col("_k")) & (F.col("_k") < F.col("_e")), F.col(value))).alias("_vN"),
-                F.coalesce(F.max(F.when(F.col("_e") <= F.col("_k"), F.col("_ltN") + F.col("_c"))),
-                           F.lit(0)).alias("_J")))
+                F.max(F.when(F.col("_e") <= F.col("_k"), F.col("_ltN") + F.col("_c"))).alias("_J")))
+    hit = (targets.join(per, [*g, "_tn"], "left")
+           .withColumn("_J", F.coalesce(F.col("_J"), F.lit(0))))
     # targets on shared-only values: the (k - J)-th shared value, by an as-of scan
     q = hit.where(F.col("_vN").isNull()).withColumn("_j", F.col("_k") - F.col("_J"))
     Urows = R.where(F.col("_tag") == 1).select(skey, F.col("_ltU").alias("_pos"), value,
