@@ -556,7 +556,9 @@ def q_parse_price(spark, sf_dir):
                  parse_area(F.col("area_text")).alias("area_sqft"),
                  parse_bedrooms(F.col("config_text")).alias("bedrooms"))
     r = r.withColumn("price_sqft", price_per_sqft(F.col("price_total"), F.col("area_sqft")).cast("decimal(14,2)"))
-    return r.where(F.col("price_total").isNotNull() | F.col("price_sqft").isNotNull())
+    # Python's "not price_total and not price_sqft" (missing or zero) drops the card
+    falsy = lambda c: F.coalesce(F.col(c) == 0, F.lit(True))
+    return r.where(~(falsy("price_total") & falsy("price_sqft")))
 
 
 # ------------------------------------------------------------------ data quality

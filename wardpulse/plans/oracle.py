@@ -987,7 +987,7 @@ y AS (SELECT l_orderkey, l_linenumber,
 z AS (SELECT *, CAST(CASE WHEN price_total > 0 AND area_sqft > 0
                           THEN {rr('price_total', 'area_sqft', 2, 4, 14, den_scale=4)} END AS DECIMAL(14,2)) AS price_sqft
       FROM y)
-SELECT * FROM z WHERE price_total IS NOT NULL OR price_sqft IS NOT NULL"""
+SELECT * FROM z WHERE NOT ((price_total IS NULL OR price_total = 0) AND (price_sqft IS NULL OR price_sqft = 0))"""
 
 
 # ------------------------------------------------------------ data quality
