@@ -1,6 +1,8 @@
 """Plan assertions: rewrites keep hash joins, no Python in the hot path,
 scans prune columns; every registered query runs at sf0.001."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -23,6 +25,10 @@ def test_no_python_udf_in_any_query(spark):
             continue   # these run checkpointed search rounds while planning; covered below
         p = plan(fn(spark, SF_SMALL))
         assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+        # no window without PARTITION BY, except over the month calendar of the NDVI composite
+        for spec in re.findall(r"windowspecdefinition\(([^,]+),", p):
+            unpartitioned = "ASC" in spec or "DESC" in spec or spec.startswith("specifiedwindowframe")
+            assert not unpartitioned or name == "q_ndvi_composite", (name, spec)
 
 
 def test_scan_prunes_columns(spark):

@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of unreferenced data are deleted (long-running sessions)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
