@@ -111,5 +111,8 @@ CENSUS_OPTIONAL = ["male_population", "female_population", "male_literacy",
                    "female_literacy", "total_households"]
 CENSUS_MIN_WARDS, CENSUS_EXPECTED_WARDS = 150, 198
 
+# --- fixed values: suffix of the crime model's source_pdf column (city || suffix)
+CRIME_SOURCE_SUFFIX = "_ncrb"
+
 DEFAULT_CRIME_YEAR = 2022
 DEFAULT_STATE = "Karnataka"

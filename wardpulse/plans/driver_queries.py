@@ -185,7 +185,7 @@ def q_ward_metro(spark, sf_dir):
 
 # ------------------------------------------------------------------ air quality
 def aqi_readings(v: DriverViews) -> DataFrame:
-    """d_aqi_feed as raw.cpcb_aqi rows: the last reading per (station, day)."""
+    """d_aqi_feed as raw air-quality rows: the last reading per (station, day)."""
     from wardpulse.operators.sinks import dedup_last
     a = v.aqi_feed().select("station_id", "date", "event_id", "ts", "pm25", "aqi", "px", "py")
     last = dedup_last(a, ["station_id", "date"], ["ts", "event_id"])

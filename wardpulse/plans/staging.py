@@ -64,7 +64,7 @@ def stg_crime(crime: DataFrame, census: DataFrame, wards: DataFrame, city: str |
                    round_ratio(F.col("total_ipc_offenses") * 1000, F.col("_pop_total"), 4))
             .otherwise(F.lit(0)).cast("decimal(18,4)"))
     return base.select("ward_id", "ward_name", "year", *spread, rate.alias("crime_rate_per_1000"),
-                       F.concat(F.col("city"), F.lit("_ncrb")).alias("source_pdf"))
+                       F.concat(F.col("city"), F.lit(C.CRIME_SOURCE_SUFFIX)).alias("source_pdf"))
 
 
 # ----------------------------------------------------------- M-2 complaints
