@@ -7,9 +7,10 @@ default), the best ward wins, ties to the lowest id.
 
 Exact without comparing all pairs: tokens are ordered by global frequency
 (rarest first) and two sets with Jaccard >= t must share a token among their
-first |S| - ceil(t |S|) + 1 tokens (prefix filtering). Candidates come from an
-equi-join on those prefix tokens only; the exact similarity is then computed
-on the candidate pairs with array functions.
+first |S| - ceil(t |S|) + 1 tokens (prefix filtering), with enough tokens left
+after it (positional filtering). Candidates come from an equi-join on those
+prefix tokens only; the exact similarity is then computed on the candidate
+pairs with array functions.
 """
 
 from __future__ import annotations
@@ -30,15 +31,17 @@ def trigrams(c: Column) -> Column:
     return F.array_distinct(grams)
 
 
-def _prefixed(sets: DataFrame, key: str, freq: DataFrame, t: float) -> DataFrame:
-    """Each set's rarest-first prefix tokens, one row per token."""
+def _prefixed(sets: DataFrame, key: str, freq: DataFrame, t: float, side: str) -> DataFrame:
+    """Each set's rarest-first prefix tokens, one row per token, with the
+    token's position and the set's size."""
     toks = sets.select(key, F.explode("_g").alias("_t")).join(freq, "_t")
     ordered = (toks.groupBy(key)
                .agg(F.array_sort(F.collect_list(F.struct("_f", "_t"))).alias("_o")))
     size = F.size("_o")
     plen = size - F.ceil(F.lit(t) * size) + 1
-    return ordered.select(key, F.explode(F.slice("_o", F.lit(1), plen)).alias("_p")) \
-                  .select(key, F.col("_p._t").alias("_t"))
+    return (ordered.select(key, size.alias(f"_n{side}"),
+                           F.posexplode(F.slice("_o", F.lit(1), plen)).alias(f"_i{side}", "_p"))
+            .select(key, F.col("_p._t").alias("_t"), f"_n{side}", f"_i{side}"))
 
 
 def fuzzy_match(names: DataFrame, wards: DataFrame, name_col: str, threshold: float = 0.3,
@@ -52,8 +55,14 @@ def fuzzy_match(names: DataFrame, wards: DataFrame, name_col: str, threshold: fl
             .groupBy("_t").agg(F.count(F.lit(1)).alias("_f")))
     # slightly lower threshold for the filter keeps it complete for the strict ">" test
     t = math.nextafter(threshold, 0.0)
-    pa, pb = _prefixed(a, "_name", freq, t), _prefixed(b, "_wid", freq, t)
-    cand = pa.join(pb, "_t").select("_name", "_wid").distinct()
+    pa, pb = _prefixed(a, "_name", freq, t, "a"), _prefixed(b, "_wid", freq, t, "b")
+    # positional filter: at a pair's first shared token the overlap is at most
+    # 1 + the tokens left on the shorter side; Jaccard >= t needs an overlap of
+    # t/(1+t) * (|A| + |B|). A pair that can qualify keeps that row, so the
+    # other rows may be dropped before the dedup.
+    need = F.ceil(F.lit(t / (1 + t)) * (F.col("_na") + F.col("_nb")))
+    room = 1 + F.least(F.col("_na") - 1 - F.col("_ia"), F.col("_nb") - 1 - F.col("_ib"))
+    cand = pa.join(pb, "_t").where(room >= need).select("_name", "_wid").distinct()
     pairs = (cand.join(a.select("_name", F.col("_g").alias("_ga")), "_name")
              .join(b.select("_wid", F.col("_g").alias("_gb")), "_wid")
              .withColumn("_sh", F.size(F.array_intersect("_ga", "_gb")))
