@@ -73,3 +73,19 @@ def test_census_loader(spark):
     rows = load_census(df).collect()
     assert len(rows) == 1 and rows[0].ward_name == "B.T.M Layout"
     assert rows[0].density == Decimal("500.00")       # filled: every density was NULL
+
+
+def test_ndvi_composite_fallback_and_mask(spark):
+    from wardpulse.plans.feeds import ndvi_composite
+    rows = []
+    # Jan: two clear scenes, one masked pixel class (SCL 8) that must be ignored
+    rows += [(1, 1, 2024, 1, 1, 10, 4, 10.0, 30.0), (1, 1, 2024, 1, 2, 20, 4, 10.0, 50.0),
+             (1, 1, 2024, 1, 3, 10, 8, 10.0, 1000.0)]
+    # Feb..May: cloudy months (mean scene cloud over 80)
+    for m in (2, 3, 4, 5):
+        rows.append((1, 1, 2024, m, 1, 95, 4, 10.0, 20.0))
+    df = spark.createDataFrame(rows, "x int, y int, year int, month int, scene int, cloud int, scl int, "
+                                     "b4 double, b8 double")
+    got = {(r.month): (round(r.ndvi, 9), r.is_fallback) for r in ndvi_composite(df).collect()}
+    jan = round((0.5 + (40.0 / 60.0)) / 2, 9)         # median of (30-10)/40 and (50-10)/60
+    assert got == {1: (jan, False), 2: (jan, True), 3: (jan, True), 4: (jan, True)}   # May: nothing within 3 months
