@@ -18,3 +18,14 @@ def test_stg_crime_single_city(spark):
     assert (rows[2].total_ipc_offenses, rows[2].murder_count, rows[2].theft_count) == (6, 2, 4)
     assert rows[1].crime_rate_per_1000 == Decimal("20.0000") and rows[1].source_pdf == "B_ncrb"
     assert {r.year for r in rows.values()} == {2020}
+
+
+def test_transit_score_null_rules(spark):
+    from pyspark.sql import functions as F
+
+    from wardpulse.plans.staging import transit_score
+    df = spark.createDataFrame([(10, 2.5, Decimal("40.00")), (60, None, None), (0, 0.0, Decimal("150.00"))],
+                               "stops long, km double, freq decimal(8,2)")
+    got = [r[0] for r in df.select(transit_score(F.col("stops"), F.col("km"), F.col("freq"))).collect()]
+    # 8 + 30 + 8; 40 + 0 (no metro) + 20 (LEAST skips NULL); 0 + 40 + 20
+    assert got == [Decimal("46.00"), Decimal("60.00"), Decimal("60.00")]
