@@ -29,3 +29,19 @@ def test_transit_score_null_rules(spark):
     got = [r[0] for r in df.select(transit_score(F.col("stops"), F.col("km"), F.col("freq"))).collect()]
     # 8 + 30 + 8; 40 + 0 (no metro) + 20 (LEAST skips NULL); 0 + 40 + 20
     assert got == [Decimal("46.00"), Decimal("60.00"), Decimal("60.00")]
+
+
+def test_scores_edge_rules(spark):
+    from wardpulse.plans.mart import scores
+    mart = spark.createDataFrame(
+        [(1, "a", "C", 2020, 10.0, 5.0, 0.5, 40.0, 0.2, 1000.0),
+         (2, "b", "C", 2020, 20.0, 5.0, 1.0, 80.0, 0.4, None)],
+        "ward_id int, ward_name string, city string, year int, crime_rate_per_1000 double, avg_aqi double, "
+        "resolution_rate double, transit_score double, avg_ndvi double, median_price_sqft double")
+    r = {x.ward_id: x for x in scores(mart).collect()}
+    assert (r[1].safety_score, r[2].safety_score) == (Decimal("100.00"), Decimal("0.00"))   # inverted
+    assert r[1].aqi_score == Decimal("100.00") == r[2].aqi_score      # zero range -> 0, inverted -> 100
+    assert r[2].affordability_score is None and r[2].composite_score is None   # D-10
+    assert r[1].composite_score == Decimal("50.00")   # 20 + 20 + 0 + 0 + 0 + 10 (affordability 100 x .1)
+    no_ndvi = scores(mart.drop("avg_ndvi")).collect()
+    assert all(x.green_score == Decimal("0.00") for x in no_ndvi)   # missing column scores 0
