@@ -45,3 +45,20 @@ def test_scores_edge_rules(spark):
     assert r[1].composite_score == Decimal("50.00")   # 20 + 20 + 0 + 0 + 0 + 10 (affordability 100 x .1)
     no_ndvi = scores(mart.drop("avg_ndvi")).collect()
     assert all(x.green_score == Decimal("0.00") for x in no_ndvi)   # missing column scores 0
+
+
+def test_stg_complaints_rules(spark):
+    import datetime as dt
+
+    from wardpulse.plans.staging import stg_complaints
+    wards = spark.createDataFrame([(7, "Koramangala")], "ward_id int, ward_name string")
+    d = dt.date(2020, 5, 1)
+    c = spark.createDataFrame([(" koramangala ", "Roads", d, "OPEN"), (" koramangala ", "Water", d, "Closed"),
+                               (" koramangala ", "Water", d, "resolved"), (" koramangala ", "Roads", d, "Cancelled"),
+                               (" koramangala ", None, d, "weird"), (" koramangala ", "Roads", None, "open")],
+                              "ward_name string, category string, date_filed date, status string")
+    r = stg_complaints(c, wards, 2018, 2024).collect()[0]
+    assert (r.ward_id, r.ward_name, r.year) == (7, "Koramangala", 2020)
+    assert (r.total_complaints, r.pending_complaints, r.resolved_complaints, r.rejected_complaints) == (5, 1, 2, 1)
+    assert r.resolution_rate == Decimal("0.4000")
+    assert r.top_category == "Roads"      # Roads 2, Water 2: tie to the lowest; NULL ignored
