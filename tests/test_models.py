@@ -62,3 +62,21 @@ def test_stg_complaints_rules(spark):
     assert (r.total_complaints, r.pending_complaints, r.resolved_complaints, r.rejected_complaints) == (5, 1, 2, 1)
     assert r.resolution_rate == Decimal("0.4000")
     assert r.top_category == "Roads"      # Roads 2, Water 2: tie to the lowest; NULL ignored
+
+
+def test_latest_readings_matches_brute_force(spark):
+    import datetime as dt
+    import random
+
+    from wardpulse.plans.mart import latest_readings
+    rnd = random.Random(2)
+    rows = [(c, s, dt.date(2024, 1, rnd.randint(1, 6))) for c in ("A", "B", "C") for s in range(40)
+            if not (c == "C" and s > 4)]
+    rows = list({(c, s, d) for c, s, d in rows})
+    df = spark.createDataFrame(rows, "city string, station_id int, date date")
+    got = sorted((r.city, r.station_id, r.date) for r in latest_readings(df, k=10).collect())
+    want = []
+    for c in ("A", "B", "C"):
+        mine = sorted((r for r in rows if r[0] == c), key=lambda r: (-r[2].toordinal(), r[1]))
+        want += mine[:10]
+    assert got == sorted(want)
