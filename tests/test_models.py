@@ -80,3 +80,22 @@ def test_latest_readings_matches_brute_force(spark):
         mine = sorted((r for r in rows if r[0] == c), key=lambda r: (-r[2].toordinal(), r[1]))
         want += mine[:10]
     assert got == sorted(want)
+
+
+def test_aqi_coverage_and_computed_upsert(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from wardpulse.operators.sinks import upsert
+    from wardpulse.plans.feeds import aqi_coverage
+    d = lambda i: dt.date(2024, 1, i)
+    r = spark.createDataFrame([(1, d(1)), (1, d(1)), (1, d(4)), (2, d(2))], "station_id int, date date")
+    cov = {x.station_id: (x.days_expected, x.days_with_reading, x.days_missing)
+           for x in aqi_coverage(r, F.lit(d(1)), F.lit(d(4))).collect()}
+    assert cov == {1: (4, 2, 2), 2: (4, 1, 3)}
+    t = spark.createDataFrame([("c1", "Open", 1)], "complaint_id string, status string, ingested_at int")
+    b = spark.createDataFrame([("c1", "Closed", 0), ("c2", "Open", 0)], "complaint_id string, status string, ingested_at int")
+    out = {x.complaint_id: (x.status, x.ingested_at)
+           for x in upsert(t, b, ["complaint_id"], ["status"], set_exprs={"ingested_at": F.lit(9)}).collect()}
+    assert out == {"c1": ("Closed", 9), "c2": ("Open", 9)}
