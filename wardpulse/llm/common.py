@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import glob
 import os
 import tempfile
 import uuid
+import zipfile
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,25 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with this subpackage sent to the executors once per
+    application, so that their Python workers can import it from anywhere."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        here = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="run-"), "wardpulse_llm.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            z.write(os.path.join(os.path.dirname(here), "__init__.py"), "wardpulse/__init__.py")
+            for f in sorted(glob.glob(os.path.join(here, "*.py"))):
+                z.write(f, f"wardpulse/llm/{os.path.basename(f)}")
+        sc.addPyFile(path)
+        _SHIPPED.add(sc.applicationId)
+    return df.mapInArrow(run, schema)
+
+
 def fold(a: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (multiply and xor-shift), element by element."""
     a = a.astype(np.uint64, copy=True)
@@ -146,6 +167,35 @@ def pieces_of(batch: pa.RecordBatch, column: str, most: int = 16 << 20):
         lo = hi
 
 
+class Memory:
+    """A bounded memory of computed values in two generations: when the young
+    one is full it becomes the old one, whose entries return on use."""
+
+    def __init__(self, compute, most: int):
+        self.compute, self.most = compute, most
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        value = self.young.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is None:
+                value = self.compute(key)
+            if len(key) < 64:
+                if len(self.young) >= self.most:
+                    self.old, self.young = self.young, {}
+                self.young[key] = value
+        return value
+
+    def get_all(self, keys: list) -> list:
+        values = list(map(self.young.get, keys))
+        if None in values:
+            get = self.get
+            return [get(k) if v is None else v for k, v in zip(keys, values)]
+        return values
+
+
 def local_path(name_or_path: str) -> str:
     """A tokenizer file: a path as it is, or a name of the public set."""
     if os.path.sep in name_or_path:

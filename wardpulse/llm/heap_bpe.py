@@ -6,10 +6,11 @@ Popping the best pair merges it and offers its two new neighbours. The count
 is the initial symbols (an unknown character stands for its UTF-8 bytes)
 minus the merges; no identifiers are made.
 
-No piece has a word mark after another character, so merging never crosses the
-place before a run of marks: the text falls into independent segments, and
-the counts of repeated segments are remembered per Python worker (a bounded
-memory; it is only a memory, counts do not depend on it).
+Merging never joins two characters that stand side by side in no piece: there
+(and before a run of word marks, as no piece has a mark after another
+character) the text falls into independent segments. Counts of repeated
+segments are remembered per Python worker (a bounded memory; counts do not
+depend on it).
 
 Nulls count as empty texts (0 tokens); an empty text has none. Texts of any
 length are counted whole, in n log n of their longest segment. Repeated rows
@@ -25,10 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import local_path, pieces_of
+from .common import Memory, arrow, local_path, pieces_of
 
 MARK = "▁"
-#: Segments remembered by a worker before it starts anew.
+#: Segments that a generation of a worker's memory holds.
 MEMORY = 600_000
 
 
@@ -44,6 +45,8 @@ class PieceCounter:
         order = sorted(normal, key=lambda i: (-sp.get_score(i), i))
         self.rank = {sp.id_to_piece(i): k for k, i in enumerate(order)}
         longer = [p for p in self.rank if len(p) > 1]
+        if max(map(len, longer)) >= 64:
+            raise ValueError("pieces of 64 characters or more are not supported")
         if any(MARK in p.lstrip(MARK) for p in longer):
             raise ValueError("pieces with an inner word mark are not supported")
         if not sp.encode("\x00a", out_type=str)[0].startswith(MARK):
@@ -51,50 +54,57 @@ class PieceCounter:
         inner = {c for p in longer for c in p}
         # a line end that no longer piece holds is a segment of its own
         self.lines_apart = "\n" not in inner
-        self.memory: dict[str, int] = {}
+        self.beside = {p[k:k + 2] for p in longer for k in range(len(p) - 1)}
+        self.memory = Memory(self.tokens, MEMORY)
+
+    def tokens(self, segment: str) -> int:
+        """Tokens of a segment, cut where its characters never meet."""
+        beside = self.beside
+        cuts = [k + 1 for k in range(len(segment) - 1) if segment[k:k + 2] not in beside]
+        if not cuts:
+            return self.merges(segment)
+        get = self.memory.get
+        return sum(get(segment[i:j]) for i, j in zip([0, *cuts], [*cuts, len(segment)]))
 
     def merges(self, segment: str) -> int:
-        """The segment's tokens: initial symbols minus merges."""
+        """Initial symbols minus merges."""
         rank = self.rank
         n = len(segment)
-        total = sum(1 if c in rank else len(c.encode("utf-8", "surrogatepass")) for c in segment)
+        total = 0
+        for c in segment:
+            total += 1 if c in rank else len(c.encode("utf-8", "surrogatepass"))
         if n < 2:
             return total
-        piece = list(segment)
-        after = list(range(1, n)) + [-1]
+        piece: list = list(segment)
+        after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
         get = rank.get
-        heap = []
-        for i in range(n - 1):
-            r = get(segment[i:i + 2])
-            if r is not None:
-                heap.append((r, i, 2))
+        # an entry: rank, then place, then length of the merged piece
+        wide, place = 64 * n, 64
+        heap = [r * wide + i * place + 2 for i in range(n - 1) if (r := get(segment[i:i + 2])) is not None]
         heapq.heapify(heap)
         pop, push = heapq.heappop, heapq.heappush
         while heap:
-            _, i, size = pop(heap)
-            a = piece[i]
-            if a is None:
-                continue
-            j = after[i]
-            if j < 0 or len(a) + len(piece[j]) != size:
-                continue
+            i, size = divmod(pop(heap) % wide, place)
+            a, j = piece[i], after[i]
+            if a is None or j >= n or len(a) + len(piece[j]) != size:
+                continue                          # one of the two has merged since
             merged = piece[i] = a + piece[j]
             piece[j] = None
             total -= 1
             k = after[i] = after[j]
-            if k >= 0:
+            if k < n:
                 before[k] = i
                 both = merged + piece[k]
                 r = get(both)
                 if r is not None:
-                    push(heap, (r, i, len(both)))
+                    push(heap, r * wide + i * place + len(both))
             h = before[i]
             if h >= 0:
                 both = piece[h] + merged
                 r = get(both)
                 if r is not None:
-                    push(heap, (r, h, len(both)))
+                    push(heap, r * wide + h * place + len(both))
         return total
 
     def segments(self, text: str) -> list[str]:
@@ -108,24 +118,7 @@ class PieceCounter:
     def count(self, text: str | None) -> int:
         if not text:
             return 0
-        memory = self.memory
-        if len(memory) > MEMORY:
-            memory.clear()
-        parts = self.segments(text)
-        counts = list(map(memory.get, parts))
-        total = 0
-        if None in counts:
-            for k, c in enumerate(counts):
-                if c is None:
-                    p = parts[k]
-                    c = memory.get(p)
-                    if c is None:
-                        c = self.merges(p)
-                        if len(p) < 64:
-                            memory[p] = c
-                total += c
-            return total
-        return sum(counts)
+        return sum(self.memory.get_all(self.segments(text)))
 
 
 _COUNTERS: dict[str, PieceCounter] = {}
@@ -149,5 +142,5 @@ def token_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", limit: int
                     [part.column(0), pa.array(size), pa.array(n), pa.array(n > limit)],
                     names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return (docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("_t"))
-            .mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean"))
+    return arrow(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("_t")), run,
+                 f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")

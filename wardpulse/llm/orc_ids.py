@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import local_path, pieces_of, shared_dir
+from .common import Memory, arrow, local_path, pieces_of, shared_dir
 
-#: Words remembered by a worker before it starts anew.
-MEMORY = 500_000
+#: Words that a generation of a worker's memory holds.
+MEMORY = 300_000
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 
 
@@ -57,43 +57,28 @@ class WordEncoder:
         self.tok = Tokenizer.from_file(local_path(path))
         self.model = self.tok.model
         self.table = _byte_letters()
-        self.memory: dict[bytes, bytes] = {}
+        self.memory = Memory(self.word, MEMORY)
 
     def _whole(self, word: str) -> bytes:
         return np.array(self.tok.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def word(self, w: bytes) -> bytes:
-        got = self.memory.get(w)
-        if got is not None:
-            return got
         s = w.decode()
         if len(s) > 1 and s[-1] in ".," and _LETTERS(s[:-1]):
-            got = self.word(w[:-1]) + self.word(w[-1:])
-        else:
-            if _LETTERS(s) and unicodedata.is_normalized("NFC", s):
-                mapped = s.lower()
-                if not mapped.isascii():
-                    mapped = "".join(map(self.table.__getitem__, mapped.encode()))
-                got = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-            else:
-                got = self._whole(s)
-        if len(w) < 64:
-            self.memory[w] = got
-        return got
+            return self.memory.get(w[:-1]) + self.memory.get(w[-1:])
+        if not _LETTERS(s) or not unicodedata.is_normalized("NFC", s):
+            return self._whole(s)
+        low = s.lower()
+        if low != s:
+            return self.memory.get(low.encode())
+        mapped = s if s.isascii() else "".join(map(self.table.__getitem__, w))
+        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids."""
         if not text:
             return b""
-        memory = self.memory
-        if len(memory) > MEMORY:
-            memory.clear()
-        words = text.encode("utf-8").split()
-        got = list(map(memory.get, words))
-        if None in got:
-            one = self.word
-            got = [g if g is not None else one(w) for w, g in zip(words, got)]
-        return b"".join(got)
+        return b"".join(self.memory.get_all(text.encode("utf-8").split()))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -146,7 +131,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json",
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
                     names=["doc_id", "slice", "local_start", "n_tokens", "ids"])
 
-    (dealt.mapInArrow(run, f"doc_id {kind}, slice int, local_start long, n_tokens long, ids array<int>")
+    (arrow(dealt, run, f"doc_id {kind}, slice int, local_start long, n_tokens long, ids array<int>")
      .write.option("orc.stripe.size", str(stripe_bytes)).option("orc.row.index.stride", str(row_stride))
      .option("orc.create.index", "true").option("orc.bloom.filter.columns", "doc_id")
      .option("orc.bloom.filter.fpp", str(bloom_fpp)).option("compression", "zstd").orc(path))
@@ -182,8 +167,8 @@ def ids_digest(rows: DataFrame) -> DataFrame:
                                               pa.array(crc, pa.int64())],
                                              names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return (rows.select("doc_id", "start", "n_tokens", "ids")
-            .mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long"))
+    return arrow(rows.select("doc_id", "start", "n_tokens", "ids"), run,
+                 f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
 
 
 def orc_round_trip(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 1, **options) -> DataFrame:

@@ -10,6 +10,9 @@ from __future__ import annotations
 from .common import table
 from .heap_bpe import token_counts
 from .orc_ids import orc_round_trip
+from .partenum import ngram_jaccard_components
+from .simhash_windows import contaminated
+from .suffix_rules import repetition_rules
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -28,3 +31,18 @@ def op2_token_counts(spark, sf_dir):
 @query
 def op7_orc_ids(spark, sf_dir):
     return orc_round_trip(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_suffix_rules(spark, sf_dir):
+    return repetition_rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_simhash_windows(spark, sf_dir):
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_partenum_join(spark, sf_dir):
+    return ngram_jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
