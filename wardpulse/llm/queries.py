@@ -11,6 +11,7 @@ from .common import table
 from .heap_bpe import token_counts
 from .orc_ids import orc_round_trip
 from .partenum import ngram_jaccard_components
+from .piece_langid import predict_language
 from .simhash_windows import contaminated
 from .suffix_rules import repetition_rules
 
@@ -33,6 +34,11 @@ def op7_orc_ids(spark, sf_dir):
     return orc_round_trip(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_piece_langid(spark, sf_dir):
+    return predict_language(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_suffix_rules(spark, sf_dir):
     return repetition_rules(table(spark, sf_dir, "documents"))
