@@ -8,6 +8,7 @@ brute-force version instead.
 from __future__ import annotations
 
 from .common import table
+from .gumbel_pieces import sample_segmentations
 from .heap_bpe import token_counts
 from .orc_ids import orc_round_trip
 from .partenum import ngram_jaccard_components
@@ -29,6 +30,11 @@ def op2_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_gumbel_pieces(spark, sf_dir):
+    return sample_segmentations(table(spark, sf_dir, "documents"), k=2, digest=True)
+
+
 @query
 def op7_orc_ids(spark, sf_dir):
     return orc_round_trip(table(spark, sf_dir, "documents"))
