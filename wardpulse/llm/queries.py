@@ -15,6 +15,7 @@ from .partenum import ngram_jaccard_components
 from .piece_langid import predict_language
 from .simhash_windows import contaminated
 from .suffix_rules import repetition_rules
+from .toxic_automata import toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +36,11 @@ def op5_gumbel_pieces(spark, sf_dir):
     return sample_segmentations(table(spark, sf_dir, "documents"), k=2, digest=True)
 
 
+@query
+def op6_toxic_automata(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_orc_ids(spark, sf_dir):
     return orc_round_trip(table(spark, sf_dir, "documents"))
