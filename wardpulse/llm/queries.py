@@ -7,12 +7,16 @@ brute-force version instead.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .common import table
 from .gumbel_pieces import sample_segmentations
 from .heap_bpe import token_counts
 from .orc_ids import orc_round_trip
 from .partenum import ngram_jaccard_components
 from .piece_langid import predict_language
+from .preference import ORACLE as PREFERENCE_SQL
+from .preference import format_preferences
 from .simhash_windows import contaminated
 from .suffix_rules import repetition_rules
 from .toxic_automata import toxicity
@@ -56,6 +60,17 @@ def op4_suffix_rules(spark, sf_dir):
     return repetition_rules(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_preference(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").where("conv_id is not null")
+    pairs = (turns.withColumn("pair_id", F.shiftright("conv_id", 1))
+             .withColumn("is_chosen", F.pmod("conv_id", F.lit(2)) == 0))
+    return format_preferences(pairs)
+
+
+ORACLES["op8_preference"] = PREFERENCE_SQL
+
+
 @query
 def op9_simhash_windows(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
