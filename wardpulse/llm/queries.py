@@ -15,6 +15,7 @@ from .heap_bpe import token_counts
 from .orc_ids import orc_round_trip
 from .partenum import ngram_jaccard_components
 from .piece_langid import predict_language
+from .pii_boost import digest, personal_data
 from .preference import ORACLE as PREFERENCE_SQL
 from .preference import format_preferences
 from .simhash_windows import contaminated
@@ -30,6 +31,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_pii_boost(spark, sf_dir):
+    return digest(personal_data(table(spark, sf_dir, "documents")))
+
+
 @query
 def op2_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"))
