@@ -1,8 +1,75 @@
-"""Corpus pipeline over the documents table (stages follow with their operators)."""
+"""Corpus pipeline over the documents table.
 
-STAGES: list = []
+Five stages, each on all that its predecessor kept, each written as Parquet in
+the shared folder and read again. All but the last return the columns of the
+documents they get.
+
+* language: documents without a letter, or whose best language has less than
+  half of the likelihood, go.
+* near_duplicates: of each group of documents linked by five-word shingle sets
+  with Jaccard similarity 0.8 or more, the smallest id stays. Of rows that repeat
+  an id one stays. Rows without an id stay, as no group can name them.
+* decontamination: documents that hold a benchmark item go.
+* personal_data: found spans are replaced by their kind; n_chars follows.
+* pieces: two sampled piece encodings of each text, with inclusion scores.
+
+Nulls, empty tables and extra columns pass as the operators' docstrings say; a
+null text has no letter and goes in the first stage.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wardpulse.llm.common import land, table
+from wardpulse.llm.gumbel_pieces import sample_segmentations
+from wardpulse.llm.partenum import ngram_jaccard_components
+from wardpulse.llm.pii_boost import personal_data, redacted
+from wardpulse.llm.piece_langid import predict_language
+from wardpulse.llm.simhash_windows import without_contaminated
+
+LEAST_SHARE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    others = [c for c in docs.columns if c != "doc_id"]
+    judged = predict_language(docs, keep=others)
+    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = ngram_jaccard_components(docs, n=5, percent=80)
+    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionAll(docs.where("doc_id is null")).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    found = personal_data(docs, keep=others).withColumn("text", redacted(F.col("spans")))
+    return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sample_segmentations(docs, k=2)
+
+
+STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+          ("personal_data", pii), ("pieces", pieces)]
+
+#: No stage after the first is expressible in SQL; tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = land(docs, name)
+    return docs

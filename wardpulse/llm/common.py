@@ -47,7 +47,7 @@ def land(df: DataFrame, name: str) -> DataFrame:
 _SHIPPED: set[str] = set()
 
 
-def arrow(df: DataFrame, run, schema: str) -> DataFrame:
+def arrow(df: DataFrame, run, schema) -> DataFrame:
     """``df.mapInArrow`` with this subpackage sent to the executors once per
     application, so that their Python workers can import it from anywhere."""
     sc = df.sparkSession.sparkContext

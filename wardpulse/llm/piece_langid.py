@@ -209,14 +209,18 @@ _SCORERS: dict[int, Scorer] = {}
 
 
 def predict_language(docs: DataFrame, model: str = "piece_bpe_32k.model", rounds: int = 2, max_docs: int = 10_000,
-                     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every document."""
-    docs = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"))
-    langs, p = fit(docs, model, rounds, max_docs)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+                     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                     keep: list[str] | None = None) -> DataFrame:
+    """doc_id, held_out, lang_pred, score for every document; columns named in
+    ``keep`` come along unchanged, before lang_pred."""
+    keep = keep or []
+    own = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"))
+    langs, p = fit(own, model, rounds, max_docs)
+    rows = docs.select(docs[text_col].alias("_t"), docs[id_col].alias("doc_id"),
+                       held_out(docs[id_col]).alias("held_out"), *[docs[c] for c in keep])
     if not langs:
-        return rows.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        return rows.drop("_t").select("*", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
     key = hash((model, tuple(langs), p.tobytes()))
 
     def run(batches):
@@ -225,9 +229,9 @@ def predict_language(docs: DataFrame, model: str = "piece_bpe_32k.model", rounds
             _SCORERS[key] = Scorer(model, langs, p)
         scorer = _SCORERS[key]
         for batch in batches:
-            for part in pieces_of(batch, "text", 4 << 20):
-                lang, score = scorer.score(part.column(2).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(lang, pa.string()),
-                                                  pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
+            for part in pieces_of(batch, "_t", 4 << 20):
+                lang, score = scorer.score(part.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(lang, pa.string()), pa.array(score)],
+                                                 names=["doc_id", "held_out", *keep, "lang_pred", "score"])
 
-    return arrow(rows, run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return arrow(rows, run, f"{schema}, lang_pred string, score double")

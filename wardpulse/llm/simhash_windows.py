@@ -213,17 +213,21 @@ class ItemIndex:
 _INDEXES: dict[tuple, ItemIndex] = {}
 
 
+def _index(texts: list[str], shingle: int, spread: int) -> ItemIndex:
+    key = (shingle, spread, hash(tuple(texts)))
+    if key not in _INDEXES:
+        _INDEXES.clear()
+        _INDEXES[key] = ItemIndex(texts, shingle, spread)
+    return _INDEXES[key]
+
+
 def _search_block(docs: DataFrame, ids: list, texts: list[str], shingle: int, spread: int, threshold: float,
                   item_kind: str) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     item_type = pa.int64() if item_kind == "bigint" else None
 
     def run(batches):
-        key = (shingle, spread, hash(tuple(texts)))
-        if key not in _INDEXES:
-            _INDEXES.clear()
-            _INDEXES[key] = ItemIndex(texts, shingle, spread)
-        index = _INDEXES[key]
+        index = _index(texts, shingle, spread)
         for batch in batches:
             for part in pieces_of(batch, "_t", 4 << 20):
                 found = index.search(part.column(1), threshold)
@@ -238,22 +242,49 @@ def _search_block(docs: DataFrame, ids: list, texts: list[str], shingle: int, sp
     return arrow(docs, run, f"doc_id {kind}, item_id {item_kind}, start_word long, n_words long, similarity double")
 
 
+def _blocks(benchmark: DataFrame, block_items: int, item_col: str, item_text_col: str):
+    """The benchmark's items in blocks of about ``block_items``: (ids, texts)."""
+    items = (benchmark.select(benchmark[item_col].alias("item_id"), benchmark[item_text_col].alias("text"))
+             .where("text is not null"))
+    blocks = max(1, -(-items.count() // block_items))
+    dealt = items.withColumn("_b", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    for b in range(blocks):
+        rows = dealt.where(F.col("_b") == b).orderBy("item_id", "text").collect()
+        yield [r["item_id"] for r in rows], [r["text"] for r in rows]
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, threshold: float = 0.8, spread: int = 1,
                  block_items: int = 2000, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, start_word, n_words, similarity) of every verified
     pair; ``start_word`` counts the document's words from 0."""
     docs = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("_t"))
-    items = benchmark.select(benchmark[item_col].alias("item_id"), benchmark[item_text_col].alias("text"))
-    item_kind = items.schema["item_id"].dataType.simpleString()
-    items = items.where("text is not null")
-    n = items.count()
-    blocks = max(1, -(-n // block_items))
-    dealt = items.withColumn("_b", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    item_kind = benchmark.schema[item_col].dataType.simpleString()
     out = None
-    for b in range(blocks):     # one pass over the documents for each bounded block of items
-        rows = dealt.where(F.col("_b") == b).orderBy("item_id", "text").collect()
-        got = _search_block(docs, [r["item_id"] for r in rows], [r["text"] for r in rows], shingle, spread,
-                            threshold, item_kind)
+    for ids, texts in _blocks(benchmark, block_items, item_col, item_text_col):   # a pass over the documents each
+        got = _search_block(docs, ids, texts, shingle, spread, threshold, item_kind)
         out = got if out is None else out.unionAll(got)
     return out
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, threshold: float = 0.8,
+                         spread: int = 1, block_items: int = 2000, text_col: str = "text",
+                         item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The documents, all columns as they are, that hold no benchmark item."""
+    for _, texts in _blocks(benchmark, block_items, item_col, item_text_col):
+        docs = _drop_block(docs, texts, shingle, spread, threshold, text_col)
+    return docs
+
+
+def _drop_block(docs: DataFrame, texts: list[str], shingle: int, spread: int, threshold: float,
+                text_col: str) -> DataFrame:
+    def run(batches):
+        index = _index(texts, shingle, spread)
+        for batch in batches:
+            for part in pieces_of(batch, text_col, 4 << 20):
+                column = part.column(part.schema.get_field_index(text_col))
+                clean = np.ones(part.num_rows, bool)
+                clean[[f[0] for f in index.search(column, threshold)]] = False
+                yield part.filter(pa.array(clean))
+
+    return arrow(docs, run, docs.schema)
