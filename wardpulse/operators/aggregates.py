@@ -20,6 +20,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardpulse.session import checkpoint_dir
+
 
 def mode_pick(value: str, count_col: str) -> Column:
     """Aggregate over (value, count) rows: the value with the highest count,
@@ -34,26 +36,23 @@ def grouped_mode(df: DataFrame, keys: Sequence[str], value: str, out: str | None
     return counts.groupBy(*keys).agg(mode_pick(value, "_n").alias(out or f"mode_{value}"))
 
 
-SMALL_DOMAIN_PRECISION = 6   # decimal(p<=6): at most 2e6 distinct values per group
-
-
-def _small_domain(dtype: str) -> bool:
-    if dtype.startswith("decimal("):
-        return int(dtype[8:].split(",")[0]) <= SMALL_DOMAIN_PRECISION
-    return dtype in ("boolean", "tinyint", "smallint")
+def _sliced(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` in ascending slices of ``order``, the slice number stored in
+    ``_pid``. Range bounds are sampled, so a second plan over the same rows may
+    cut them elsewhere: the frame is checkpointed once and every reader of the
+    slices reads the stored number."""
+    checkpoint_dir(df.sparkSession)
+    return df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()).checkpoint()
 
 
 def percentile_cont(df: DataFrame, keys: Sequence[str], value: str, p: float = 0.5,
                     out: str = "median", approx: bool = False,
-                    accuracy: int = 10000, method: str = "auto", weight: str | None = None) -> DataFrame:
+                    accuracy: int = 10000, weight: str | None = None) -> DataFrame:
     """Exact PERCENTILE_CONT(p) of ``value`` per ``keys`` (NULLs ignored).
 
     For a DECIMAL input the interpolation stays DECIMAL (exact); other inputs
-    are interpolated as DOUBLE. ``method``: ``range`` (the distributed rank
-    search, any domain), ``histogram`` (a running count over each group's
-    distinct values -- one task per group, so only for value types whose
-    domain is small), ``auto`` (histogram when the type bounds the domain).
-    ``weight``: the rows are already a histogram, this column holds the counts.
+    are interpolated as DOUBLE. Groups may be of any size: ranks are found over
+    range slices. ``weight``: the rows are already a histogram, this column holds the counts.
     """
     if approx:
         return (df.where(F.col(value).isNotNull()).groupBy(*keys)
@@ -69,14 +68,8 @@ def percentile_cont(df: DataFrame, keys: Sequence[str], value: str, p: float = 0
     else:
         hist = base.groupBy("_g", value).agg(F.count(F.lit(1)).alias("_c"))
     dtype = dict(df.dtypes)[value]
-    if method == "histogram" or (method == "auto" and _small_domain(dtype)):
-        run = Window.partitionBy("_g").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-        ranked = (hist.withColumn("_end", F.sum("_c").over(run))
-                  .withColumn("_n", F.sum("_c").over(Window.partitionBy("_g")))
-                  .withColumn("_start", F.col("_end") - F.col("_c")))
-        return _pick(ranked, keys, value, p, out, dtype)
-    # 2. range partitions over (group, value): ordered, balanced, a hot group spans many
-    ranged = hist.repartitionByRange("_g", value).withColumn("_pid", F.spark_partition_id())
+    # 2. range slices over (group, value): ordered, balanced, a hot group spans many
+    ranged = _sliced(hist, ["_g", value])
     # 3. running count inside each (partition, group) slice
     wloc = Window.partitionBy("_pid", "_g").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_cum", F.sum("_c").over(wloc))
@@ -134,7 +127,7 @@ def running_before(df: DataFrame, part: Sequence[str], order: Sequence[str], wei
     one task. Rows are range-partitioned on (part, order); per-slice totals
     (one row per slice and group) give every slice its offset. Rows that tie
     on the order key must carry weight 0, except one."""
-    r = df.repartitionByRange(*part, *order).withColumn("_pid", F.spark_partition_id())
+    r = _sliced(df, [*part, *order])
     wl = Window.partitionBy("_pid", *part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = r.withColumn("_lb", F.coalesce(F.sum(weight).over(wl), F.lit(0)))
     sl = r.groupBy("_pid", *part).agg(F.sum(weight).alias("_sw"))
@@ -152,7 +145,7 @@ def running_last(df: DataFrame, part: Sequence[str], order: Sequence[str], value
     ``part`` (an as-of lookup), distributed like :func:`running_before`: a
     window inside each range slice, plus the last value of the earlier slices
     of the same group (one row per slice and group)."""
-    r = df.repartitionByRange(*part, *order).withColumn("_pid", F.spark_partition_id())
+    r = _sliced(df, [*part, *order])
     wl = Window.partitionBy("_pid", *part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = r.withColumn("_ll", F.last(value, ignorenulls=True).over(wl))
     part_struct = F.struct(*[F.col(c) for c in part]) if part else F.lit(0)
@@ -179,7 +172,6 @@ def merged_percentile(named: DataFrame, shared: DataFrame, gkeys: Sequence[str],
     k no N_g value covers falls on a shared-only value: U[k - J], J the N_g
     items before it, found by an as-of scan of the shared order."""
     g = list(gkeys)
-    from wardpulse.session import checkpoint_dir
     checkpoint_dir(named.sparkSession)
     # the histograms feed three range-partitioned scans (each samples its
     # input first): materialise them once in the cluster's checkpoint folder
