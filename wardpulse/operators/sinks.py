@@ -12,6 +12,7 @@ overwrite so the write never reads the files it replaces.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,31 +119,65 @@ def append(batch: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
 
 
 def rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """SNK-5 full rebuild into a fresh (versioned) path."""
-    w = df.write.mode("overwrite")
+    """SNK-5 full rebuild: what the table held before goes, old partitions too."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
+def _touched(frame: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The distinct partition values of ``frame`` as rows of the plan itself: the
+    files they come from may be replaced before they are used again."""
+    cols = frame.select(*partition_by)
+    return frame.sparkSession.createDataFrame(cols.distinct().collect(), cols.schema)   # bounded by partitions
+
+
+def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
+    return reduce(lambda x, y: x & y, [left[c].eqNullSafe(right[c]) for c in cols])
+
+
+def _in_partitions(target: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The target's rows in the touched partitions, a NULL partition included.
+    The value lists prune the scan; the join is exact for several columns."""
+    rows = touched.collect()
+    for c in partition_by:
+        values = {r[c] for r in rows}
+        cond = F.col(c).isin([v for v in values if v is not None])
+        target = target.where(cond | F.col(c).isNull() if None in values else cond)
+    return target.join(F.broadcast(touched), _same(target, touched, partition_by), "left_semi")
+
+
 def _rewrite(spark: SparkSession, path: str, new_rows: DataFrame, touched: DataFrame,
              partition_by: Sequence[str]) -> None:
+    """Replace the touched partitions by ``new_rows``; ``touched`` comes from
+    :func:`_touched`, so it does not read the files replaced here."""
     checkpoint_dir(spark)
     result = new_rows.checkpoint()        # cut the lineage to the files being replaced
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    result.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    (result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
     # partitions that were touched but are now empty: dynamic overwrite leaves them
-    emptied = touched.join(result.select(*partition_by).distinct(), list(partition_by), "left_anti")
-    if emptied.isEmpty():
-        return
+    left = result.select(*partition_by).distinct()
+    emptied = touched.join(left, _same(touched, left, partition_by), "left_anti")
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for row in emptied.toLocalIterator():   # partition values only: bounded by partitions
-        sub = "/".join(f"{c}={row[c]}" for c in partition_by)
+    for row in emptied.select(*[F.col(c).cast("string").alias(c) for c in partition_by]).collect():
+        sub = "/".join(_folder(c, row[c]) for c in partition_by)
         p = jvm.org.apache.hadoop.fs.Path(f"{path}/{sub}")
         p.getFileSystem(conf).delete(p, True)
 
 
+# Characters escaped in partition folder names, and the name of NULL.
+ESCAPED = "\"#%'*/:=?\\{}[]^\x7f" + "".join(map(chr, range(1, 32)))
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folder(column: str, value: str | None) -> str:
+    """The folder name of a partition value."""
+    name = lambda x: "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in x)
+    return f"{name(column)}={name(value) if value else NULL_PARTITION}"
+
+
 def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                  update: Sequence[str], partition_by: Sequence[str],
                  order: Sequence[str] | None = None,
@@ -158,8 +193,8 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
         out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return
     target = spark.read.parquet(path)
-    touched = batch.select(*partition_by).distinct()
-    tgt = target.join(touched, list(partition_by), "left_semi")
+    touched = _touched(batch.select(*target.columns), partition_by)
+    tgt = _in_partitions(target, touched, partition_by)
     merged = upsert(tgt, batch.select(*target.columns), keys, update, order, set_exprs)
     _rewrite(spark, path, merged, touched, partition_by)
 
@@ -174,7 +209,10 @@ def write_insert_ignore(spark: SparkSession, path: str, batch: DataFrame, keys:
     new = batch.select(*target.columns)
     if order:
         new = dedup_first(new, keys, order)
-    append(new.join(target.select(*keys), list(keys), "left_anti"), path, partition_by)
+    if not set(partition_by) <= set(keys):
+        raise ValueError("partition columns must be part of the key")
+    old = _in_partitions(target, _touched(new, partition_by), partition_by)
+    append(new.join(old.select(*keys), list(keys), "left_anti"), path, partition_by)
 
 
 def write_replace_where(spark: SparkSession, path: str, batch: DataFrame, predicate: Column,
@@ -185,8 +223,8 @@ def write_replace_where(spark: SparkSession, path: str, batch: DataFrame, predic
         batch.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return
     target = spark.read.parquet(path)
-    hit = target.where(F.coalesce(predicate, F.lit(False))).select(*partition_by).distinct()
-    touched = hit.unionByName(batch.select(*partition_by)).distinct()
-    tgt = target.join(touched, list(partition_by), "left_semi")
+    hit = target.where(F.coalesce(predicate, F.lit(False))).select(*partition_by)
+    touched = _touched(hit.unionByName(batch.select(*target.columns).select(*partition_by)), partition_by)
+    tgt = _in_partitions(target, touched, partition_by)
     _rewrite(spark, path, replace_where(tgt, batch.select(*target.columns), predicate),
              touched, partition_by)

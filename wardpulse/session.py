@@ -11,7 +11,6 @@ from pyspark.sql import SparkSession
 # coalesces small ones; ANSI stays on (failed casts are written as try_cast).
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
-    "spark.driver.memory": "16g",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -45,10 +44,13 @@ def get_spark(master: str | None = None, app: str = "wardpulse",
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared checkpoint folder named by the cluster (spark.checkpoint.dir).
 
-    Only when the session names none (tests, a laptop) is ``fallback`` set.
+    Only a local session that names none (tests, a laptop) gets ``fallback``;
+    on a cluster each machine has its own disk, so there it is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), "wardpulse-ckpt")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
