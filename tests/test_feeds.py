@@ -86,6 +86,13 @@ def test_ndvi_composite_fallback_and_mask(spark):
         rows.append((1, 1, 2024, m, 1, 95, 4, 10.0, 20.0))
     df = spark.createDataFrame(rows, "x int, y int, year int, month int, scene int, cloud int, scl int, "
                                      "b4 double, b8 double")
-    got = {(r.month): (round(r.ndvi, 9), r.is_fallback) for r in ndvi_composite(df).collect()}
+    # July: clear again; June has no scene at all
+    rows.append((1, 1, 2024, 7, 1, 10, 4, 10.0, 10.0))
+    df = df.unionByName(spark.createDataFrame(rows[-1:], df.schema))
+    months = lambda c: {(r.month): (round(r.ndvi, 9), r.is_fallback) for r in c.collect()}
     jan = round((0.5 + (40.0 / 60.0)) / 2, 9)         # median of (30-10)/40 and (50-10)/60
-    assert got == {1: (jan, False), 2: (jan, True), 3: (jan, True), 4: (jan, True)}   # May: nothing within 3 months
+    got = months(ndvi_composite(df))
+    assert got == {1: (jan, False), 7: (0.0, False), **{m: (jan, True) for m in (2, 3, 4, 5, 6)}}
+    # with a limit of three months May and June have nothing
+    got = months(ndvi_composite(df, fallback_months=3))
+    assert got == {1: (jan, False), 7: (0.0, False), **{m: (jan, True) for m in (2, 3, 4)}}

@@ -55,16 +55,22 @@ def test_complaint_pages(spark):
 
 def test_geojson_wards(spark, scratch):
     fc = {"type": "FeatureCollection", "features": [
-        {"type": "Feature", "properties": {"ward_name": "", "name": "Shantala Nagar", "ward_number": "111.0",
-                                           "area_sqkm": "2.5"},
+        {"type": "Feature", "properties": {"proposed_ward_name_en": "", "name_en": "Shantala Nagar", "id": "111.0",
+                                           "ward_area": "2.5"},
          "geometry": {"type": "Polygon", "coordinates": [[[77.6, 12.9], [77.61, 12.9], [77.61, 12.91], [77.6, 12.9]]]}},
-        {"type": "Feature", "properties": {"ward_number": "x"},
+        {"type": "Feature", "properties": {"id": "x"},
          "geometry": {"type": "MultiPolygon", "coordinates": [[[[77.0, 12.0], [77.1, 12.0], [77.1, 12.1]]],
                                                              [[[78.0, 13.0], [78.1, 13.0], [78.1, 13.1]]]]}}]}
     path = f"{scratch}/wards.geojson"
     with open(path, "w") as f:
         json.dump(fc, f)
-    w = sorted(read_ward_geojson(spark, path).collect(), key=lambda r: r.ward_number)
+    wards = read_ward_geojson(spark, path, city="Bengaluru")
+    w = sorted(wards.collect(), key=lambda r: r.ward_number)
+    assert {r.city for r in w} == {"Bengaluru"}
+    known = spark.createDataFrame([(7, "Old name", 111, "Bengaluru", "z")],
+                                  "ward_id long, ward_name string, ward_number int, city string, zone_name string")
+    both = {r.ward_number: (r.ward_id, r.ward_name) for r in upsert_wards(known, wards).collect()}
+    assert both[111] == (7, "Shantala Nagar") and set(both) == {0, 111}
     assert [(r.ward_name, r.ward_number, r.area_sqkm, len(r.rings)) for r in w] == \
         [("unknown", 0, 0.0, 2), ("Shantala Nagar", 111, 2.5, 1)]
     assert (w[0].min_x, w[0].max_y) == (77.0, 13.1)

@@ -91,7 +91,6 @@ AQI_GOOD_MAX = 50
 SCL_MASKED = (3, 8, 9, 10)
 SCENE_CLOUD_MAX = 30
 MONTH_CLOUD_MAX = 80
-NDVI_FALLBACK_MONTHS = 3
 
 # --- fixed values: spatial
 WARD_SNAP_METERS = 500.0

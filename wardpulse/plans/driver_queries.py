@@ -198,6 +198,13 @@ def aqi_readings(v: DriverViews) -> DataFrame:
                        nul.alias("co"), nul.alias("o3"), "aqi")
 
 
+def mart_readings(v: DriverViews) -> DataFrame:
+    """The readings for the mart: all events lie in 2024, so their days are spread
+    over the fixture's seven years (same day and month)."""
+    back = -12 * (23 + F.dayofmonth("date") % 7)
+    return aqi_readings(v).withColumn("date", F.add_months("date", back.cast("int")))
+
+
 def station_cities(v: DriverViews) -> DataFrame:
     """Stations placed in wards (containment) with the ward's city."""
     from wardpulse.operators.spatial import points_in_polygons
@@ -384,13 +391,15 @@ def q_stg_transit(spark, sf_dir):
 # ------------------------------------------------------------------ NDVI composite
 def ndvi_observations(v: DriverViews) -> DataFrame:
     """Scene-pixel observations from lineitem: pixel (supplier, part), scene =
-    line number with a fixed cloud percent per scene, class from quantity."""
+    line number with a fixed cloud percent per scene, class from quantity; in
+    two months of five all scenes are clouded over, so those fall back."""
     l = v.table("lineitem")
     return l.select(F.col("l_suppkey").alias("x"), F.col("l_partkey").alias("y"),
                     F.year("l_shipdate").cast("int").alias("year"),
                     F.month("l_shipdate").cast("int").alias("month"),
                     F.col("l_linenumber").alias("scene"),
-                    ((F.col("l_linenumber") * 11) % 40).alias("cloud"),
+                    F.when((F.year("l_shipdate") * 12 + F.month("l_shipdate")) % 5 < 2, 90)
+                    .otherwise((F.col("l_linenumber") * 11) % 40).alias("cloud"),
                     (F.col("l_quantity").cast("int") % 12).alias("scl"),
                     F.col("l_quantity").alias("b4"), (F.col("l_extendedprice") / 1000.0).alias("b8"))
 
@@ -418,7 +427,7 @@ def staged(v: DriverViews) -> dict:
         "crime": S.stg_crime(v.crime(), v.census(), wards, city=None, year_lo=YL, year_hi=YH,
                              by_city=True, count_col="cnt"),
         "complaints": S.stg_complaints(v.complaints(), wards, YL, YH),
-        "aqi": S.stg_aqi(aqi_readings(v), geo_w, YL, YH),
+        "aqi": S.stg_aqi(mart_readings(v), geo_w, YL, YH),
         "census": S.stg_census(census_feed(v), wards),
         "transit": S.stg_transit(v.stops_geo(), geo_w, YL, YH, freq=_freq(v)),
         "ndvi": S.stg_ndvi(ndvi_zonal_feed(v), YL, YH),

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from wardpulse import config as C
 from wardpulse.functions import geo
 from wardpulse.functions.text import safe_float, safe_int, source_city
-from wardpulse.operators.aggregates import percentile_cont
 
 # ------------------------------------------------------------ F-2 AQI payloads
 # fixed values: primary key -> alternate key of the station payloads
@@ -137,14 +136,15 @@ def normalized_difference(b8: Column, b4: Column) -> Column:
     return F.try_divide(b8 - b4, b8 + b4)
 
 
-def ndvi_composite(obs: DataFrame, pixel=("x", "y"), fallback_months: int = C.NDVI_FALLBACK_MONTHS) -> DataFrame:
+def ndvi_composite(obs: DataFrame, pixel=("x", "y"), fallback_months: int | None = None) -> DataFrame:
     """Monthly per-pixel median NDVI composite.
 
     ``obs``: one row per (scene, pixel): pixel columns, year, month, scene,
     cloud (scene cloud percent), scl (class), b4, b8. Mask P-7 (SCL not in
     3/8/9/10; scene cloud < 30); a month whose mean scene cloud is over 80 or
-    has no scene takes the newest usable month up to ``fallback_months``
-    back (S-39), else no composite (D-11).
+    has no scene takes the newest usable month before it (S-39), at most
+    ``fallback_months`` back if that is given, else no composite (D-11). The
+    months asked for are all from the first observed to the last.
     """
     pixel = list(pixel)
     mi = (F.col("year") * 12 + F.col("month") - 1).alias("_mi")
@@ -155,11 +155,14 @@ def ndvi_composite(obs: DataFrame, pixel=("x", "y"), fallback_months: int = C.ND
             .withColumn("_mi", (F.col("year") * 12 + F.col("month") - 1))
             .join(usable, "_mi", "left_semi")
             .withColumn("ndvi", normalized_difference(F.col("b8").cast("double"), F.col("b4").cast("double"))))
-    comp = percentile_cont(kept, pixel + ["_mi"], "ndvi", 0.5, out="ndvi")
-    # every requested month (those observed) -> newest usable month <= it, within the window
-    months = obs.select(mi).distinct()
+    # a pixel's group is its scenes of one month: a plain aggregate
+    comp = kept.groupBy(*pixel, "_mi").agg(F.percentile("ndvi", 0.5).alias("ndvi")).where("ndvi is not null")
+    # every calendar month -> newest usable month <= it, within the window
+    months = (obs.select(mi).agg(F.min("_mi").alias("a"), F.max("_mi").alias("b")).where("a is not null")
+              .select(F.explode(F.sequence("a", "b")).alias("_mi")))
     have = usable.withColumn("_src", F.col("_mi"))
-    w = Window.orderBy("_mi").rangeBetween(-fallback_months, 0)
+    far = Window.unboundedPreceding if fallback_months is None else -fallback_months
+    w = Window.orderBy("_mi").rangeBetween(far, 0)
     src = (months.join(have, "_mi", "left")
            .withColumn("_src", F.last("_src", ignorenulls=True).over(w)))
     # the month table is tiny (one row per calendar month), the global window is fine

@@ -139,20 +139,20 @@ def oracle(name: str, views: tuple[str, ...]):
 def _():
     return f"""
 , agg AS (
-  SELECT ward_name, CAST(year(date_filed) AS INTEGER) AS year, count(*) AS total_complaints,
+  SELECT lower(trim(ward_name)) AS ward_name, CAST(year(date_filed) AS INTEGER) AS year, count(*) AS total_complaints,
          count(*) FILTER (WHERE lower(status) IN ('pending','open','in progress','assigned')) AS pending_complaints,
          count(*) FILTER (WHERE lower(status) IN ('resolved','closed','completed')) AS resolved_complaints,
          count(*) FILTER (WHERE lower(status) IN ('rejected','cancelled')) AS rejected_complaints
   FROM d_complaints
   WHERE date_filed IS NOT NULL AND year(date_filed) BETWEEN {Y_LO} AND {Y_HI}
-  GROUP BY ward_name, CAST(year(date_filed) AS INTEGER)),
+  GROUP BY lower(trim(ward_name)), CAST(year(date_filed) AS INTEGER)),
 cat AS (
-  SELECT ward_name, CAST(year(date_filed) AS INTEGER) AS year, category,
-         row_number() OVER (PARTITION BY ward_name, CAST(year(date_filed) AS INTEGER)
+  SELECT lower(trim(ward_name)) AS ward_name, CAST(year(date_filed) AS INTEGER) AS year, category,
+         row_number() OVER (PARTITION BY lower(trim(ward_name)), CAST(year(date_filed) AS INTEGER)
                             ORDER BY count(*) DESC, category) AS rn
   FROM d_complaints
   WHERE date_filed IS NOT NULL AND year(date_filed) BETWEEN {Y_LO} AND {Y_HI} AND category IS NOT NULL
-  GROUP BY ward_name, CAST(year(date_filed) AS INTEGER), category)
+  GROUP BY lower(trim(ward_name)), CAST(year(date_filed) AS INTEGER), category)
 SELECT w.ward_id, w.ward_name, c.year,
        CAST(c.total_complaints AS BIGINT) AS total_complaints,
        CAST(c.pending_complaints AS BIGINT) AS pending_complaints,
@@ -163,7 +163,7 @@ SELECT w.ward_id, w.ward_name, c.year,
        CAST(NULL AS DECIMAL(8,2)) AS avg_resolution_days,
        m.category AS top_category
 FROM d_ward_boundaries w
-JOIN agg c ON lower(trim(w.ward_name)) = lower(trim(c.ward_name))
+JOIN agg c ON lower(trim(w.ward_name)) = c.ward_name
 LEFT JOIN cat m ON m.ward_name = c.ward_name AND m.year = c.year AND m.rn = 1"""
 
 
@@ -433,12 +433,12 @@ FROM d_stops s, m GROUP BY s.stop_id"""
 
 
 # ------------------------------------------------------------ air quality
-def _readings() -> str:
-    return """rd AS (
+def _readings(day: str = "date") -> str:
+    return f"""rd AS (
   SELECT station_id, 'station_' || station_id AS station_name,
          CAST(CAST(py AS DECIMAL(12,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(10,7)) AS latitude,
          CAST(CAST(px AS DECIMAL(12,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(10,7)) AS longitude,
-         date, pm25, aqi, px, py, ts, event_id
+         {day} AS date, pm25, aqi, px, py, ts, event_id
   FROM (SELECT *, row_number() OVER (PARTITION BY station_id, date ORDER BY ts DESC, event_id DESC) AS rn
         FROM d_aqi_feed) WHERE rn = 1)"""
 
@@ -450,9 +450,13 @@ scity AS (SELECT s.id AS station_id, s.ward_id, w.ward_name, w.city FROM spin s
           JOIN d_ward_boundaries w ON w.ward_id = s.ward_id)"""
 
 
-def stg_aqi_body(lo: int, hi: int) -> str:
+# the mart's readings: the days of 2024 spread over the fixture's seven years
+MART_DAY = "CAST(date - to_years(CAST(23 + day(date) % 7 AS INTEGER)) AS DATE)"
+
+
+def stg_aqi_body(lo: int, hi: int, day: str = "date") -> str:
     nulls = ", ".join(f"CAST(NULL AS DECIMAL(8,2)) AS avg_{p}" for p in ("pm10", "no2", "so2", "co", "o3"))
-    return f""", {_readings()}, {_station_city()},
+    return f""", {_readings(day)}, {_station_city()},
 j AS (SELECT c.ward_id, c.ward_name, CAST(year(r.date) AS INTEGER) AS year, r.*
       FROM rd r JOIN scity c ON c.station_id = r.station_id
       WHERE r.date IS NOT NULL AND year(r.date) BETWEEN {lo} AND {hi})
@@ -697,7 +701,8 @@ def _():
     return """
 , o AS (SELECT l_suppkey AS x, l_partkey AS y, CAST(year(l_shipdate) AS INTEGER) AS year,
                CAST(month(l_shipdate) AS INTEGER) AS month, l_linenumber AS scene,
-               (l_linenumber * 11) % 40 AS cloud, CAST(l_quantity AS INTEGER) % 12 AS scl,
+               CASE WHEN (year(l_shipdate) * 12 + month(l_shipdate)) % 5 < 2 THEN 90
+                    ELSE (l_linenumber * 11) % 40 END AS cloud, CAST(l_quantity AS INTEGER) % 12 AS scl,
                l_quantity AS b4, l_extendedprice / 1000.0 AS b8 FROM lineitem),
 sc AS (SELECT DISTINCT year, month, scene, cloud FROM o),
 mc AS (SELECT year * 12 + month - 1 AS mi, avg(cloud) AS mcl FROM sc GROUP BY 1),
@@ -708,8 +713,8 @@ r AS (SELECT x, y, mi, ndvi, row_number() OVER (PARTITION BY x, y, mi ORDER BY n
              count(*) OVER (PARTITION BY x, y, mi) AS n FROM k WHERE ndvi IS NOT NULL),
 c AS (SELECT x, y, mi, max(ndvi) FILTER (WHERE rk = (n - 1) // 2) AS lo,
              max(ndvi) FILTER (WHERE rk = n // 2) AS hi, max(n) AS n FROM r GROUP BY x, y, mi),
-ms AS (SELECT DISTINCT year * 12 + month - 1 AS mi FROM o),
-src AS (SELECT ms.mi, (SELECT max(u.mi) FROM us u WHERE u.mi BETWEEN ms.mi - 3 AND ms.mi) AS src FROM ms)
+ms AS (SELECT unnest(range(min(year * 12 + month - 1), max(year * 12 + month - 1) + 1)) AS mi FROM o),
+src AS (SELECT ms.mi, (SELECT max(u.mi) FROM us u WHERE u.mi <= ms.mi) AS src FROM ms)
 SELECT c.x, c.y, CAST(src.mi // 12 AS INTEGER) AS year, CAST(src.mi % 12 + 1 AS INTEGER) AS month,
        CAST(c.lo + (c.hi - c.lo) * (CASE WHEN c.n % 2 = 0 THEN 0.5 ELSE 0.0 END) AS DECIMAL(12,6)) AS ndvi,
        src.src <> src.mi AS is_fallback
@@ -761,7 +766,7 @@ _ALL_VIEWS = ("d_ward_boundaries", "d_ward_edges", "d_complaints", "d_crime", "d
 def _mart_sql() -> str:
     stg = {
         "s_crime": ORACLE_BODY["q_stg_crime"], "s_comp": ORACLE_BODY["q_stg_complaints"],
-        "s_aqi": stg_aqi_body(Y_LO, Y_HI), "s_census": ORACLE_BODY["q_stg_census"],
+        "s_aqi": stg_aqi_body(Y_LO, Y_HI, MART_DAY), "s_census": ORACLE_BODY["q_stg_census"],
         "s_transit": stg_transit_body(Y_LO, Y_HI), "s_ndvi": ORACLE_BODY["q_stg_ndvi"],
         "s_prop": ORACLE_BODY["q_stg_property"],
     }

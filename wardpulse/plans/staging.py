@@ -72,9 +72,10 @@ def stg_complaints(complaints: DataFrame, wards: DataFrame, year_lo: int = C.YEA
                    year_hi: int = C.YEAR_HI) -> DataFrame:
     st = F.lower(F.col("status"))
     yr = F.year("date_filed").cast("int")
-    # stage 1: per (ward name, year, category) -- feeds the counts and the mode
+    # stage 1: per (normalised ward name, year, category) -- feeds the counts and the
+    # mode; spellings that join the same ward are one group, so a ward-year is one row
     s1 = (complaints.where(F.col("date_filed").isNotNull() & in_years("date_filed", year_lo, year_hi))
-          .groupBy("ward_name", yr.alias("year"), "category")
+          .groupBy(norm_name(F.col("ward_name")).alias("ward_name"), yr.alias("year"), "category")
           .agg(F.count(F.lit(1)).alias("_n"),
                F.count_if(st.isin(*C.PENDING_STATUSES)).alias("_p"),
                F.count_if(st.isin(*C.RESOLVED_STATUSES)).alias("_r"),
@@ -87,7 +88,7 @@ def stg_complaints(complaints: DataFrame, wards: DataFrame, year_lo: int = C.YEA
                   round_ratio(F.col("resolved_complaints"), F.col("total_complaints"), 4, precision=5)) \
         .otherwise(F.lit(0)).cast("decimal(5,4)")
     w = wards.select("ward_id", F.col("ward_name").alias("_wn"))
-    j = w.join(agg, norm_name(w._wn) == norm_name(agg.ward_name))
+    j = w.join(agg, norm_name(w._wn) == agg.ward_name)
     return j.select("ward_id", F.col("_wn").alias("ward_name"), "year",
                     *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in
                       ("total_complaints", "pending_complaints", "resolved_complaints", "rejected_complaints")],

@@ -98,16 +98,21 @@ def first_stop_per_id(stops: DataFrame, order: str = "_line") -> DataFrame:
 _COORDS = "array<array<array<array<double>>>>"
 
 
-def wards_from_features(features: DataFrame) -> DataFrame:
+# The ward file's properties, in order of preference.
+WARD_NAME_PROPERTIES = ("proposed_ward_name_en", "name_en")
+WARD_NUMBER_PROPERTY, WARD_AREA_PROPERTY = "id", "ward_area"
+
+
+def wards_from_features(features: DataFrame, city: str | None = None) -> DataFrame:
     """SRC-1 one row per GeoJSON Feature (``properties`` map, ``geometry`` as JSON
-    text) -> wards with rings and bbox. Name: first non-empty of ward_name /
-    name else 'unknown'; number: int(float(ward_number)) else 0; area: float
-    else 0; zone 'unknown'. Polygon is wrapped as a one-part MultiPolygon."""
+    text) -> wards of ``city`` with rings and bbox. The name is the first
+    non-empty of the name properties, else 'unknown'; the number is the whole
+    part of the id, else 0; an area that is no number is 0; zone 'unknown'.
+    A Polygon is wrapped as a one-part MultiPolygon."""
     props = F.col("properties")
-    name = F.coalesce(F.nullif(props["ward_name"], F.lit("")), F.nullif(props["name"], F.lit("")),
-                      F.lit("unknown"))
-    num = F.coalesce(props["ward_number"].try_cast("double").try_cast("int"), F.lit(0))
-    area = F.coalesce(props["area_sqkm"].try_cast("double"), F.lit(0.0))
+    name = F.coalesce(*[F.nullif(props[p], F.lit("")) for p in WARD_NAME_PROPERTIES], F.lit("unknown"))
+    num = F.coalesce(props[WARD_NUMBER_PROPERTY].try_cast("double").try_cast("int"), F.lit(0))
+    area = F.coalesce(props[WARD_AREA_PROPERTY].try_cast("double"), F.lit(0.0))
     gtype = F.get_json_object(F.col("geometry"), "$.type")
     coords = F.get_json_object(F.col("geometry"), "$.coordinates")
     multi = F.when(gtype == "Polygon", F.from_json(F.concat(F.lit("["), coords, F.lit("]")), _COORDS)) \
@@ -115,7 +120,7 @@ def wards_from_features(features: DataFrame) -> DataFrame:
     rings = F.flatten(F.transform(multi, lambda poly: F.transform(
         poly, lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))))
     out = features.select(name.alias("ward_name"), num.alias("ward_number"), area.alias("area_sqkm"),
-                          F.lit("unknown").alias("zone_name"), rings.alias("rings"))
+                          F.lit(city).cast("string").alias("city"), F.lit("unknown").alias("zone_name"), rings.alias("rings"))
     pts = F.flatten(F.col("rings"))
     return out.select("*", F.array_min(F.transform(pts, lambda p: p["x"])).alias("min_x"),
                       F.array_min(F.transform(pts, lambda p: p["y"])).alias("min_y"),
@@ -123,7 +128,8 @@ def wards_from_features(features: DataFrame) -> DataFrame:
                       F.array_max(F.transform(pts, lambda p: p["y"])).alias("max_y"))
 
 
-def read_ward_geojson(spark: SparkSession, path: str, newline_delimited: bool = False) -> DataFrame:
+def read_ward_geojson(spark: SparkSession, path: str, newline_delimited: bool = False,
+                      city: str | None = None) -> DataFrame:
     """A FeatureCollection file (multiLine JSON, one file per task) or
     newline-delimited Features (splittable, for large inputs)."""
     schema = "type string, properties map<string,string>, geometry string"
@@ -133,7 +139,7 @@ def read_ward_geojson(spark: SparkSession, path: str, newline_delimited: bool =
         fc = spark.read.option("multiLine", True).schema(
             f"features array<struct<{schema.replace(' string', ':string').replace(' map', ':map')}>>").json(path)
         feats = fc.select(F.explode("features").alias("f")).select("f.*")
-    return wards_from_features(feats)
+    return wards_from_features(feats, city)
 
 
 def ward_key(city: Column, ward_number: Column, ward_name: Column) -> Column:
