@@ -323,9 +323,9 @@ def q_audit_state(spark, sf_dir):
 
 # ------------------------------------------------------------------ GTFS
 def raw_stops_txt(v: DriverViews) -> DataFrame:
-    """d_stops as the string columns of a stops.txt."""
+    """d_city_stops as the string columns of a stops.txt."""
     deg = F.lit("0.0001").cast("decimal(5,4)")
-    s = v.stops()
+    s = v.city_stops()
     return s.select(F.concat(F.lit(" "), F.col("stop_id").cast("string"), F.lit(" ")).alias("Stop_ID"),
                     F.concat(F.col("stop_name"), F.lit(" ")).alias("stop_name"),
                     (F.col("py").cast("decimal(12,0)") * deg).cast("decimal(10,4)").cast("string").alias("stop_lat"),
@@ -346,7 +346,8 @@ def q_bbox_filter(spark, sf_dir):
     from wardpulse.config import CITY_BBOXES
     from wardpulse.functions import geo
     from wardpulse.functions.text import source_city
-    st = _v(spark, sf_dir).stops_geo().withColumn("city", source_city(F.col("source")))
+    st = (_v(spark, sf_dir).city_stops().withColumn("city", source_city(F.col("source")))
+          .withColumn("longitude", F.col("px") / 10000.0).withColumn("latitude", F.col("py") / 10000.0))
     inside = None
     for city, b in CITY_BBOXES.items():
         cond = (F.col("city") == city) & geo.in_bbox(F.col("longitude"), F.col("latitude"),

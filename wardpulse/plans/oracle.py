@@ -73,6 +73,12 @@ SELECT p_partkey AS stop_id, p_name AS stop_name,
        120000 + CAST(floor(((p_partkey * 7) % (n + 1 + CAST(floor(n / 10.0) AS BIGINT))) / 32.0) AS BIGINT) * 200
               + 10 * (p_partkey % 17) + 5 AS py
 FROM part CROSS JOIN d_n""",
+    "d_city_stops": """
+SELECT p_partkey AS stop_id, p_name AS stop_name,
+       ['BMTC', 'BEST', 'DTC', 'BMRCL', 'MMRDA', 'DMRC'][p_partkey % 6 + 1] AS source,
+       [773000, 727000, 768000][p_partkey % 3 + 1] + (p_partkey * 53) % 600 * 10 + 5 AS px,
+       [127000, 188700, 284000][p_partkey % 3 + 1] + (p_partkey * 37) % 600 * 10 + 5 AS py
+FROM part""",
     "d_stop_times": "SELECT l_orderkey AS trip_id, l_partkey AS stop_id FROM lineitem",
     "d_trips": "SELECT o_orderkey AS trip_id, o_custkey AS route_id FROM orders",
     "d_ndvi_pixels": """
@@ -614,13 +620,13 @@ en AS (SELECT s.stop_id, s.stop_name, s.source, s.px, s.py,
        FROM d_stops s LEFT JOIN fq f ON f.stop_id = CAST(s.stop_id AS VARCHAR))"""
 
 
-@oracle("q_gtfs_stops", ("d_stops",))
+@oracle("q_gtfs_stops", ("d_city_stops",))
 def _():
     return """
 , raw AS (SELECT trim(CAST(stop_id AS VARCHAR)) AS stop_id, trim(stop_name || ' ') AS stop_name,
                  TRY_CAST(CAST(CAST(CAST(py AS DECIMAL(12,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(10,4)) AS VARCHAR) AS DOUBLE) AS latitude,
                  TRY_CAST(CAST(CAST(CAST(px AS DECIMAL(12,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(10,4)) AS VARCHAR) AS DOUBLE) AS longitude,
-                 source FROM d_stops)
+                 source FROM d_city_stops)
 SELECT stop_id, stop_name, latitude, longitude, source, '' AS stop_desc, '' AS zone_id FROM raw
 WHERE CASE WHEN source LIKE '%BMTC%' OR source LIKE '%BMRCL%' OR NOT (source LIKE '%BEST%' OR source LIKE '%MMRDA%' OR source LIKE '%DTC%' OR source LIKE '%DMRC%')
            THEN latitude BETWEEN 12.73 AND 13.18 AND longitude BETWEEN 77.35 AND 77.85
@@ -629,14 +635,14 @@ WHERE CASE WHEN source LIKE '%BMTC%' OR source LIKE '%BMRCL%' OR NOT (source LIK
            ELSE latitude BETWEEN 28.41 AND 28.88 AND longitude BETWEEN 76.84 AND 77.35 END"""
 
 
-@oracle("q_bbox_filter", ("d_stops",))
+@oracle("q_bbox_filter", ("d_city_stops",))
 def _():
     return """
 , s AS (SELECT stop_id, px / 10000.0 AS x, py / 10000.0 AS y,
                CASE WHEN source LIKE '%BMTC%' OR source LIKE '%BMRCL%' THEN 'Bengaluru'
                     WHEN source LIKE '%BEST%' OR source LIKE '%MMRDA%' THEN 'Mumbai'
                     WHEN source LIKE '%DTC%' OR source LIKE '%DMRC%' THEN 'Delhi' ELSE 'Bengaluru' END AS city
-        FROM d_stops)
+        FROM d_city_stops)
 SELECT stop_id, city,
        coalesce((city = 'Bengaluru' AND y BETWEEN 12.73 AND 13.18 AND x BETWEEN 77.35 AND 77.85)
              OR (city = 'Mumbai' AND y BETWEEN 18.89 AND 19.27 AND x BETWEEN 72.77 AND 72.98)

@@ -133,6 +133,16 @@ class DriverViews:
                         F.when(p.p_partkey % 50 == 0, "BMRCL").otherwise("BMTC").alias("source"),
                         _grid_x(p.p_partkey, n).alias("px"), _grid_y(p.p_partkey, n).alias("py"))
 
+    def city_stops(self) -> DataFrame:
+        """Stops of six sources in three cities, partly outside their city's box."""
+        p = self.table("part")
+        k = p.p_partkey
+        pick = lambda values: F.element_at(F.array(*[F.lit(x) for x in values]), (k % len(values) + 1).cast("int"))
+        return p.select(k.alias("stop_id"), p.p_name.alias("stop_name"),
+                        pick(["BMTC", "BEST", "DTC", "BMRCL", "MMRDA", "DMRC"]).alias("source"),
+                        (pick([773000, 727000, 768000]) + (k * 53) % 600 * 10 + 5).alias("px"),
+                        (pick([127000, 188700, 284000]) + (k * 37) % 600 * 10 + 5).alias("py"))
+
     def stop_times(self) -> DataFrame:
         return self.table("lineitem").select(F.col("l_orderkey").alias("trip_id"),
                                              F.col("l_partkey").alias("stop_id"))
