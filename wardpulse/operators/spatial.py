@@ -11,6 +11,8 @@ explosion, no Python.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,27 +44,15 @@ def cell_index(polys: DataFrame, cell: float = DEFAULT_CELL_DEG, grow_km: float
             .groupBy("cx", "cy").agg(F.collect_list("cand").alias("cands")))
 
 
-MAX_BROADCAST_INDEX_BYTES = 64 << 20
-
-
-def sized_broadcast(index: DataFrame, max_bytes: int = MAX_BROADCAST_INDEX_BYTES) -> DataFrame:
-    """Broadcast the cell index only when its measured size is below
-    ``max_bytes``: a small aggregate counts its rows and ring vertices (16
-    bytes a vertex plus a per-candidate allowance). Above the bound the plain
-    equi-join stays, and AQE plans a sort-merge join with skew splitting."""
-    verts = F.aggregate(F.col("cands"), F.lit(0).cast("bigint"),
-                        lambda acc, c: acc + F.size(F.flatten(c["rings"])) * 16 + 128)
-    est = index.agg(F.sum(verts).alias("b")).collect()[0]["b"] or 0   # one number to the driver
-    return F.broadcast(index) if est <= max_bytes else index
-
-
 def _with_cell(points: DataFrame, x: str, y: str, cell: float) -> DataFrame:
     return points.withColumn("_cx", _cell(F.col(x), cell)).withColumn("_cy", _cell(F.col(y), cell))
 
 
 def _join_index(points: DataFrame, index: DataFrame, x: str, y: str, cell: float) -> DataFrame:
     p = _with_cell(points, x, y, cell)
-    idx = sized_broadcast(index).withColumnRenamed("cx", "_cx").withColumnRenamed("cy", "_cy")
+    # a plain equi-join on the cell: its runtime size tells AQE whether to broadcast
+    # the index or to split hot cells
+    idx = index.withColumnRenamed("cx", "_cx").withColumnRenamed("cy", "_cy")
     return p.join(idx, ["_cx", "_cy"], "left").drop("_cx", "_cy")
 
 
@@ -117,7 +107,7 @@ def locate_points(points: DataFrame, polys: DataFrame, x: str = "longitude",
 def nearest_point(left: DataFrame, right: DataFrame, key: str, *, x: str = "longitude",
                   y: str = "latitude", rx: str = "longitude", ry: str = "latitude",
                   extent: tuple[str, str, str, str] | None = None, cell: float = 0.02,
-                  dist=None, bound=None, max_rounds: int = 40,
+                  dist=None, bound=None,
                   out: str = "nearest_km") -> DataFrame:
     """Exact distance from every ``left`` row to its nearest ``right`` point (J-13, G-5).
 
@@ -150,7 +140,7 @@ def nearest_point(left: DataFrame, right: DataFrame, key: str, *, x: str = "long
         return left.withColumn(out, F.lit(None).cast("double"))
     todo = left.where(F.col(mnx).isNotNull() & F.col(mny).isNotNull()).checkpoint()
     done = []
-    for r in range(max_rounds):
+    for r in count():           # ends at the latest when a cell spans the whole globe
         size = cell * (2 ** r)
         grid = rpts.withColumn("_cx", _cell(F.col("_rx"), size)).withColumn("_cy", _cell(F.col("_ry"), size))
         probe = (todo.withColumn("_cx", F.explode(F.sequence(_cell(F.col(mnx), size) - 1,
@@ -164,10 +154,8 @@ def nearest_point(left: DataFrame, right: DataFrame, key: str, *, x: str = "long
         step = todo.join(best, key, "left").withColumn("_ok", ok).checkpoint()
         done.append(step.where("_ok").select(key, F.col("_d").alias(out)))
         todo = step.where("NOT _ok").drop("_d", "_ok")
-        if todo.isEmpty():
+        if whole_globe or todo.isEmpty():
             break
-    else:
-        raise RuntimeError("nearest_point: search did not converge")
     res = done[0]
     for d in done[1:]:
         res = res.unionByName(d)
@@ -192,4 +180,4 @@ def plane_bound(min_lat: Column, max_lat: Column, half_deg: Column) -> Column:
 
 
 __all__ = ["cell_index", "points_in_polygons", "locate_points", "nearest_point", "haversine_bound",
-           "plane_bound", "sized_broadcast"]
+           "plane_bound"]
