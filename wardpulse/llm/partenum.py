@@ -16,7 +16,7 @@ it), so copies never meet as pairs. Between different sets:
 * An empty subset is no signature. A set has *live* groups, those with over k2
   filled parts; a linked pair that shares no signature needs ``k2 + 1``
   differences in each live group of either side, so both sides have
-  ``live * (k2 + 1)`` at most their own bound. Such thin sets (rare, as there
+  ``live * (k2 + 1)`` at most k and their own bound. Such thin sets (rare, as there
   are spare groups) are also filed under each of their elements.
 
 Under each signature every set meets the least set of that signature; of the
@@ -147,7 +147,8 @@ def signatures(owner: np.ndarray, prints: np.ndarray, n_docs: int, bands: Bands)
                 out_doc.append(doc_of[has])
                 out_sig.append(fold(key ^ fold(place + _MIX[4]))[has])
             live = np.bincount(doc_of, (filled.sum(axis=1) > bands.k2), minlength=n_docs)
-            thin = use & (live * (bands.k2 + 1) <= bands.bound(size))
+            # a pair under this tag differs in no more than the tag's k either
+            thin = use & (live * (bands.k2 + 1) <= np.minimum(bands.bound(size), bands.k[tag]))
             if thin.any():
                 of = thin[owner]
                 out_doc.append(owner[of])
@@ -247,7 +248,7 @@ def ngram_jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85,
     whole = "partition by sig"
     met = (rows.withColumn("least", F.expr(f"min(class) over ({whole})"))
            .withColumn("most", F.expr(f"max(class) over ({whole})"))
-           .where("least <> most").select("sig", "class", "least").distinct())
+           .where("least <> most").select("sig", "class", "least"))
     met = land(met, "met")
 
     stars = (met.where(F.col("class") != F.col("least")).select(F.col("class").alias("a"), F.col("least").alias("b"))
