@@ -12,10 +12,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-# The ASCII white space of the word rule [^\x20\x09-\x0D]+
-SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -89,16 +85,20 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POW[0], _POW[1]
 
 
+_PLAIN = np.array([chr(b).isalnum() or b > 127 for b in range(256)])
+
+
 class Words:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a batch of texts, as arrays.
 
     ``doc`` numbers the text of each word, ``start``/``end`` are byte places in
     ``data``; ``hash`` is a 64-bit fingerprint of the word's bytes (of its
     A-Z-lowered bytes if ``lower``). ``first`` has, for each text, the index of
-    its first word (length texts + 1). Null texts have no words.
+    its first word (length texts + 1). Null texts have no words. With ``plain``
+    words are runs of ASCII letters and digits and of characters beyond ASCII.
     """
 
-    def __init__(self, texts: pa.Array, lower: bool):
+    def __init__(self, texts: pa.Array, lower: bool, plain: bool = False):
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
         texts = texts.cast(pa.large_string()).fill_null("")
@@ -112,9 +112,11 @@ class Words:
             data = data + (up.astype(np.uint8) << 5)
         self.data = data
         n = len(data)
-        edge = np.zeros(n + 2, bool)
         if n:
-            inside = (data != 0x20) & ((data < 0x09) | (data > 0x0D))
+            if plain:
+                inside = _PLAIN.take(data)
+            else:
+                inside = (data != 0x20) & ((data < 0x09) | (data > 0x0D))
             starts = inside.copy()
             starts[1:] &= ~inside[:-1]
             ends = inside.copy()
@@ -127,7 +129,6 @@ class Words:
             self.end = np.flatnonzero(ends) + 1
         else:
             self.start = self.end = np.zeros(0, np.int64)
-        del edge
         self.doc = (np.searchsorted(off, self.start, side="right") - 1).astype(np.int32)
         self.first = np.searchsorted(self.doc, np.arange(self.n_docs + 1))
 

@@ -14,6 +14,9 @@ windows within that radius. Each hit is then verified exactly: the weighted
 Jaccard similarity of the item's shingles and those of the item-sized window
 (at the text's end what is left of it) must reach ``threshold``.
 
+Words are lower-cased runs of letters and digits, so that marks stuck to an
+item's words do not hide it.
+
 Returned are the verified (document, item) pairs with the best window. Null or
 empty texts and items match nothing; texts of any length are searched whole, a
 few thousand windows at a time. Items of fewer words than a shingle have one
@@ -27,6 +30,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -141,10 +145,14 @@ class ItemClass:
         return both // len(self.of), both % len(self.of)
 
 
+def _words(texts: pa.Array) -> Words:
+    return Words(pc.utf8_lower(texts), lower=False, plain=True)
+
+
 class ItemIndex:
     def __init__(self, texts: list[str], shingle: int, spread: int):
         self.shingle = shingle
-        words = Words(pa.array(texts, pa.string()), lower=True)
+        words = _words(pa.array(texts, pa.string()))
         h = words.hash()
         self.sets: list[dict[int, int]] = []
         self.sizes = np.diff(words.first)
@@ -180,7 +188,7 @@ class ItemIndex:
 
     def search(self, texts: pa.Array, threshold: float, chunk: int = 16384):
         """(text, item, first word, similarity) of the best verified windows."""
-        words = Words(texts, lower=True)
+        words = _words(texts)
         h, doc = words.hash(), words.doc
         best: dict[tuple[int, int], tuple[float, int]] = {}
         most = max([c.size for c in self.classes], default=0)
