@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardpulse.functions.text import norm_name
 from wardpulse.operators.aggregates import grouped_mode, percentile_cont, pivot_sum
 from wardpulse.plans import staging as S
 from wardpulse.sources.driver import FIX_YEAR_HI as YH, FIX_YEAR_LO as YL, DriverViews
@@ -485,13 +486,23 @@ def q_ward_history(spark, sf_dir):
     return ward_history(q_scores(spark, sf_dir))
 
 
+def in_city(feed: DataFrame, wards: DataFrame, moved) -> DataFrame:
+    """A feed with its ward's city; rows for which ``moved`` holds say ASIA, so
+    that the city equality has rows to drop."""
+    w = wards.select(norm_name(F.col("ward_name")).alias("_nm"), F.col("city").alias("_city"))
+    j = feed.withColumn("_nm", norm_name(F.col("ward_name"))).join(w, "_nm", "left")
+    return j.withColumn("city", F.when(moved, "ASIA").otherwise(F.col("_city"))).drop("_nm", "_city")
+
+
 @query
 def q_quick_features(spark, sf_dir):
     from wardpulse.plans.mart import quick_features
     v = _v(spark, sf_dir)
     aq = v.aqi_feed().join(station_cities(v).select("station_id", "city"), "station_id")
-    return quick_features(v.ward_boundaries(), v.crime(), v.complaints(), aq, v.census(),
-                          ndvi_zonal_feed(v), v.property(), year=YH, count_col="cnt")
+    w = v.ward_boundaries()
+    return quick_features(w, v.crime(), in_city(v.complaints(), w, F.col("complaint_id") % 5 == 0), aq,
+                          in_city(v.census(), w, F.col("population") % 500 == 0), ndvi_zonal_feed(v),
+                          in_city(v.property(), w, F.col("l_orderkey") % 5 == 0), year=YH, count_col="cnt")
 
 
 # ------------------------------------------------------------------ text functions

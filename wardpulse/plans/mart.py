@@ -154,24 +154,24 @@ def quick_features(wards: DataFrame, crime: DataFrame, complaints: DataFrame, aq
                    census: DataFrame, ndvi: DataFrame, listings: DataFrame, year: int,
                    count_col: str = "count") -> DataFrame:
     """Features straight from raw for one output year, each feed aggregated
-    before its join and joined on its right key (D-6): crime by city, complaints
-    and listings by normalised ward name, AQI by city, census by ward name
-    (newest census row), NDVI by ward id. 13 columns as the reference writes."""
+    before its join and joined on its right key (D-6): crime and AQI by city,
+    complaints, listings and census (newest row) by normalised ward name and
+    city, so equal names in two cities do not mix, NDVI by ward id. 13 columns
+    as the reference writes; its last one is named a median and holds the mean."""
     w = wards.select("ward_id", "ward_name", "city", norm_name(F.col("ward_name")).alias("_nm"))
     cr = crime.groupBy("city").agg(F.sum(count_col).alias("_cr_sum"), F.count(count_col).alias("_cr_n"))
-    co = (complaints.groupBy(norm_name(F.col("ward_name")).alias("_nm"))
+    co = (complaints.groupBy(norm_name(F.col("ward_name")).alias("_nm"), "city")
           .agg(F.count("complaint_id").alias("_co_n"),
                F.count_if(F.col("status") == "Resolved").alias("_co_r")))
     aq = aqi_by_city.groupBy("city").agg(F.sum("aqi").alias("_aq_s"), F.count("aqi").alias("_aq_n"))
-    latest = Window.partitionBy("_nm").orderBy(F.col("year").desc())
-    ce = (census.withColumn("_nm", norm_name(F.col("ward_name")))
-          .withColumn("_rk", F.row_number().over(latest)).where("_rk = 1")
-          .select("_nm", F.col("population").alias("_pop"), F.col("density").alias("_dens")))
+    newest = F.max_by(F.struct("population", "density"), F.col("year"))
+    ce = (census.groupBy(norm_name(F.col("ward_name")).alias("_nm"), "city").agg(newest.alias("_c"))
+          .select("_nm", "city", F.col("_c.population").alias("_pop"), F.col("_c.density").alias("_dens")))
     nd = ndvi.groupBy("ward_id").agg(F.sum("mean_ndvi").alias("_nd_s"), F.count("mean_ndvi").alias("_nd_n"))
-    pr = (listings.groupBy(norm_name(F.col("ward_name")).alias("_nm"))
+    pr = (listings.groupBy(norm_name(F.col("ward_name")).alias("_nm"), "city")
           .agg(F.sum("price_sqft").alias("_pr_s"), F.count("price_sqft").alias("_pr_n")))
-    j = (w.join(cr, "city", "left").join(co, "_nm", "left").join(aq, "city", "left")
-         .join(ce, "_nm", "left").join(nd, "ward_id", "left").join(pr, "_nm", "left"))
+    j = (w.join(cr, "city", "left").join(co, ["_nm", "city"], "left").join(aq, "city", "left")
+         .join(ce, ["_nm", "city"], "left").join(nd, "ward_id", "left").join(pr, ["_nm", "city"], "left"))
     z = lambda c: F.coalesce(c, F.lit(0))
     return j.select(
         "ward_id", "ward_name", "city", F.lit(year).alias("year"),
@@ -184,9 +184,19 @@ def quick_features(wards: DataFrame, crime: DataFrame, complaints: DataFrame, aq
         z(F.col("_pop")).cast("bigint").alias("population"),
         z(F.col("_dens")).cast("decimal(10,2)").alias("population_density"),
         z(round_ratio(F.col("_nd_s"), F.col("_nd_n"), 4, 4)).cast("decimal(6,4)").alias("avg_ndvi"),
-        z(round_ratio(F.col("_pr_s"), F.col("_pr_n"), 2, 2)).cast("decimal(10,2)").alias("avg_price_sqft"))
+        z(round_ratio(F.col("_pr_s"), F.col("_pr_n"), 2, 2)).cast("decimal(10,2)").alias("median_price_sqft"))
 
 
+QUICK_COLUMNS = ["total_ipc_offenses", "crime_rate_per_1000", "total_complaints", "resolution_rate", "avg_aqi",
+                 "avg_ndvi", "median_price_sqft"]
+
+
+def save_quick_features(spark, path: str, features: DataFrame) -> None:
+    """Upsert on (ward_id, year): the seven measured columns follow the batch,
+    others keep their first value. Partitioned by year."""
+    from wardpulse.operators.sinks import write_upsert
+    write_upsert(spark, path, features, ["ward_id", "year"], QUICK_COLUMNS, ["year"])
+
 
 SCORE_COLUMNS = ["composite_score", "safety_score", "aqi_score", "civic_score", "transit_score",
                  "green_score", "affordability_score"]

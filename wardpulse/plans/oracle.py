@@ -892,17 +892,19 @@ def _():
     return f""", {_station_city()}, {_zonal()},
 w AS (SELECT ward_id, ward_name, city, lower(trim(ward_name)) AS nm FROM d_ward_boundaries),
 cr AS (SELECT city, sum(cnt) AS s, count(cnt) AS n FROM d_crime GROUP BY city),
-co AS (SELECT lower(trim(ward_name)) AS nm, count(complaint_id) AS n,
-              count(*) FILTER (WHERE status = 'Resolved') AS r FROM d_complaints GROUP BY 1),
+co AS (SELECT w.nm, CASE WHEN complaint_id % 5 = 0 THEN 'ASIA' ELSE w.city END AS city, count(complaint_id) AS n,
+              count(*) FILTER (WHERE status = 'Resolved') AS r
+       FROM d_complaints f JOIN w ON w.nm = lower(trim(f.ward_name)) GROUP BY 1, 2),
 aq AS (SELECT c.city, sum(a.aqi) AS s, count(a.aqi) AS n FROM d_aqi_feed a
        JOIN scity c ON c.station_id = a.station_id GROUP BY c.city),
-ce AS (SELECT nm, population, density FROM (
-         SELECT lower(trim(ward_name)) AS nm, population, density,
-                row_number() OVER (PARTITION BY lower(trim(ward_name)) ORDER BY year DESC) AS rk
-         FROM d_census) WHERE rk = 1),
+ce AS (SELECT nm, city, population, density FROM (
+         SELECT *, row_number() OVER (PARTITION BY nm, city ORDER BY year DESC) AS rk
+         FROM (SELECT w.nm, CASE WHEN population % 500 = 0 THEN 'ASIA' ELSE w.city END AS city, population, density, year
+               FROM d_census f JOIN w ON w.nm = lower(trim(f.ward_name)))) WHERE rk = 1),
 nd AS (SELECT ward_id, sum(mean_ndvi) AS s, count(mean_ndvi) AS n FROM zonal GROUP BY ward_id),
-pr AS (SELECT lower(trim(ward_name)) AS nm, sum(price_sqft) AS s, count(price_sqft) AS n
-       FROM d_property GROUP BY 1)
+pr AS (SELECT w.nm, CASE WHEN l_orderkey % 5 = 0 THEN 'ASIA' ELSE w.city END AS city, sum(price_sqft) AS s,
+              count(price_sqft) AS n
+       FROM d_property f JOIN w ON w.nm = lower(trim(f.ward_name)) GROUP BY 1, 2)
 SELECT w.ward_id, w.ward_name, w.city, CAST({Y_HI} AS INTEGER) AS year,
   CAST(coalesce(cr.s, 0) AS BIGINT) AS total_ipc_offenses,
   CAST(coalesce({rr('cr.s * 1000', 'cr.n * ce.population', 4)}, 0) AS DECIMAL(12,4)) AS crime_rate_per_1000,
@@ -912,9 +914,9 @@ SELECT w.ward_id, w.ward_name, w.city, CAST({Y_HI} AS INTEGER) AS year,
   CAST(coalesce(ce.population, 0) AS BIGINT) AS population,
   CAST(coalesce(ce.density, 0) AS DECIMAL(10,2)) AS population_density,
   CAST(coalesce({rr('nd.s', 'nd.n', 4, 4)}, 0) AS DECIMAL(6,4)) AS avg_ndvi,
-  CAST(coalesce({rr('pr.s', 'pr.n', 2, 2)}, 0) AS DECIMAL(10,2)) AS avg_price_sqft
-FROM w LEFT JOIN cr ON cr.city = w.city LEFT JOIN co ON co.nm = w.nm LEFT JOIN aq ON aq.city = w.city
-LEFT JOIN ce ON ce.nm = w.nm LEFT JOIN nd ON nd.ward_id = w.ward_id LEFT JOIN pr ON pr.nm = w.nm"""
+  CAST(coalesce({rr('pr.s', 'pr.n', 2, 2)}, 0) AS DECIMAL(10,2)) AS median_price_sqft
+FROM w LEFT JOIN cr ON cr.city = w.city LEFT JOIN co ON co.nm = w.nm AND co.city = w.city LEFT JOIN aq ON aq.city = w.city
+LEFT JOIN ce ON ce.nm = w.nm AND ce.city = w.city LEFT JOIN nd ON nd.ward_id = w.ward_id LEFT JOIN pr ON pr.nm = w.nm AND pr.city = w.city"""
 
 
 # ------------------------------------------------------------ text functions
