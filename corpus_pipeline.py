@@ -33,9 +33,8 @@ LEAST_SHARE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    others = [c for c in docs.columns if c != "doc_id"]
-    judged = predict_language(docs, keep=others)
-    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
+    judged = predict_language(docs, carry=True)
+    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +49,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    found = personal_data(docs, keep=others).withColumn("text", redacted(F.col("spans")))
-    return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    clean = personal_data(docs, carry=True).select("row", redacted(F.col("spans")).alias("clean"))
+    # a null text stays null; the other columns are those of the row
+    text = F.when(F.col("row.text").isNotNull(), F.col("clean"))
+    new = {"text": text, "n_chars": F.length(text).cast("long")}
+    return clean.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,8 +53,9 @@ def test_language_edge_rows(spark, odd, none):
     assert got[1].lang_pred == got[2].lang_pred == got[3].lang_pred == "und" and got[1].score == 0
     assert got[4].lang_pred == "en" and not got[None].held_out
     assert predict_language(none).count() == 0
-    kept = predict_language(odd, keep=["n_chars", "spans"])
-    assert kept.columns == ["doc_id", "held_out", "n_chars", "spans", "lang_pred", "score"] and kept.count() == odd.count()
+    carried = predict_language(odd, carry=True)
+    assert carried.columns == ["doc_id", "held_out", "row", "lang_pred", "score"]
+    assert sorted(carried.select("row.*").collect(), key=repr) == sorted(odd.collect(), key=repr)
 
 
 def test_samples_without_replacement_follow_the_distribution():

@@ -65,7 +65,7 @@ def _near_copies(rng, n):
 
 @pytest.mark.parametrize("n,percent", [(4, 85), (5, 80)])
 def test_join_equals_brute_force(spark, small_rows, n, percent):
-    rows = _near_copies(np.random.default_rng(n), 120)
+    rows = _near_copies(np.random.default_rng(n), 200)
     rows += [(10 ** 4 + r[0], r[1]) for r in small_rows]
     sets = _sets(rows, n)
     want = _components(sets, percent)

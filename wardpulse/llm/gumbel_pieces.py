@@ -43,7 +43,7 @@ from .common import arrow, fold, pieces_of
 from .lattice import MARK, PieceTable, by_length
 
 #: Words whose lattices a worker remembers before it starts anew.
-MEMORY = 200_000
+MEMORY = 150_000
 #: A longer run without a word mark is cut there where no piece can span.
 _CUT = 64
 

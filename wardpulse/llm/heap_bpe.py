@@ -30,7 +30,7 @@ from .common import Memory, arrow, local_path, pieces_of
 
 MARK = "▁"
 #: Segments that a generation of a worker's memory holds.
-MEMORY = 600_000
+MEMORY = 400_000
 
 
 class PieceCounter:

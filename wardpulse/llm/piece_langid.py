@@ -36,7 +36,7 @@ from .lattice import MARK, PieceTable, by_length
 WORDS = re.compile(r"[^\W\d_]+")
 LONGEST = 32
 #: Words that a worker remembers before it starts anew.
-MEMORY = 500_000
+MEMORY = 300_000
 
 _TABLES: dict[str, PieceTable] = {}
 
@@ -210,14 +210,14 @@ _SCORERS: dict[int, Scorer] = {}
 
 def predict_language(docs: DataFrame, model: str = "piece_bpe_32k.model", rounds: int = 2, max_docs: int = 10_000,
                      id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                     keep: list[str] | None = None) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every document; columns named in
-    ``keep`` come along unchanged, before lang_pred."""
-    keep = keep or []
+                     carry: bool = False) -> DataFrame:
+    """doc_id, held_out, lang_pred, score for every document; with ``carry`` also
+    the whole input row as a struct column ``row``."""
     own = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"))
     langs, p = fit(own, model, rounds, max_docs)
     rows = docs.select(docs[text_col].alias("_t"), docs[id_col].alias("doc_id"),
-                       held_out(docs[id_col]).alias("held_out"), *[docs[c] for c in keep])
+                       held_out(docs[id_col]).alias("held_out"),
+                       *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []))
     if not langs:
         return rows.drop("_t").select("*", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
@@ -232,6 +232,6 @@ def predict_language(docs: DataFrame, model: str = "piece_bpe_32k.model", rounds
             for part in pieces_of(batch, "_t", 4 << 20):
                 lang, score = scorer.score(part.column(0).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(lang, pa.string()), pa.array(score)],
-                                                 names=["doc_id", "held_out", *keep, "lang_pred", "score"])
+                                                 names=[*part.schema.names[1:], "lang_pred", "score"])
 
     return arrow(rows, run, f"{schema}, lang_pred string, score double")
