@@ -33,10 +33,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: the
-    lineage ends there, so a lost executor costs no recomputation before it."""
+    lineage ends there, so a lost executor costs no recomputation before it.
+
+    The shuffles behind it are done with then. Spark deletes their files once
+    the driver has collected the plans that refer to them; it is asked to here,
+    as else they fill the executors' disks until it happens to."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -197,6 +202,19 @@ class Memory:
         return values
 
 
+_RESIDENT: list = [None, None]
+
+
+def resident(key, make):
+    """The one large object that this Python worker holds between tasks (a model
+    with its memory). Asking for another one lets the last one go, so that the
+    operators of a long session do not pile up in reused workers."""
+    if _RESIDENT[0] != key:
+        _RESIDENT[:] = [None, None]
+        _RESIDENT[:] = [key, make()]
+    return _RESIDENT[1]
+
+
 def local_path(name_or_path: str) -> str:
     """A tokenizer file: a path as it is, or a name of the public set."""
     if os.path.sep in name_or_path:

@@ -39,11 +39,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import arrow, fold, pieces_of
+from .common import arrow, fold, pieces_of, resident
 from .lattice import MARK, PieceTable, by_length
 
 #: Words whose lattices a worker remembers before it starts anew.
-MEMORY = 150_000
+MEMORY = 80_000
 #: A longer run without a word mark is cut there where no piece can span.
 _CUT = 64
 
@@ -86,30 +86,35 @@ class Lattices:
         for places, chars in by_length(words, 20000):
             m, width = chars.shape
             edges = [(i, size, rows, piece, self.weight[piece]) for i, size, rows, piece in self.table.edges(chars)]
-            # backward sums, each scaled so that long words do not underflow
+            # backward sums; those of long words are scaled so as not to underflow
             beta, scale = np.zeros((width + 1, m)), np.zeros((width + 1, m))
             beta[width] = 1.0
+            far = width > 60
             by_start: list[list] = [[] for _ in range(width)]
             for e in edges:
                 by_start[e[0]].append(e)
             flat = []
             for i in range(width - 1, -1, -1):
-                top = np.full(m, -np.inf)
-                for _, size, rows, _, _ in by_start[i]:
-                    np.maximum.at(top, rows, scale[i + size][rows])
+                top = np.full(m, -np.inf) if far else np.zeros(m)
+                for _, size, rows, _, _ in by_start[i] if far else ():
+                    top[rows] = np.maximum(top[rows], scale[i + size][rows])
                 total = np.zeros(m)
-                for _, size, rows, _, w in by_start[i]:
-                    total[rows] += w * beta[i + size][rows] * np.exp(scale[i + size][rows] - top[rows])
+                parts = []
                 for _, size, rows, piece, w in by_start[i]:
-                    part = w * beta[i + size][rows] * np.exp(scale[i + size][rows] - top[rows]) / total[rows]
-                    kind = np.where(piece >= 0, piece, -1 - chars[rows, i].astype(np.int64))
-                    flat.append((rows * (width + 1) + i, np.full(len(rows), size), kind, part))
-                beta[i], scale[i] = 1.0, top + np.log(total)
+                    part = w * beta[i + size][rows]
+                    if far:
+                        part *= np.exp(scale[i + size][rows] - top[rows])
+                    total[rows] += part
+                    parts.append((size, rows, piece, part))
+                for size, rows, piece, part in parts:
+                    kind = piece if size > 1 else np.where(piece >= 0, piece, -1 - chars[rows, i].astype(np.int64))
+                    flat.append((rows * (width + 1) + i, np.full(len(rows), size), kind, part / total[rows]))
+                beta[i], scale[i] = (1.0, top + np.log(total)) if far else (total, 0.0)
             node = np.concatenate([f[0] for f in flat])
             size = np.concatenate([f[1] for f in flat])
             kind = np.concatenate([f[2] for f in flat])
             prob = np.concatenate([f[3] for f in flat])
-            order = np.lexsort((size, node))
+            order = np.argsort(node * (width + 1) + size)
             node, size, kind, prob = node[order], size[order], kind[order], prob[order]
             count = np.bincount(node, minlength=m * (width + 1))
             begin = np.cumsum(count) - count
@@ -339,9 +344,6 @@ class Sampler:
         return text[1:] if text else text
 
 
-_SAMPLERS: dict[tuple, Sampler] = {}
-
-
 def sample_segmentations(docs: DataFrame, k: int = 2, alpha: float = 1.0, seed: int = 7,
                          model: str = "piece_bpe_32k.model", digest: bool = False,
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -352,12 +354,9 @@ def sample_segmentations(docs: DataFrame, k: int = 2, alpha: float = 1.0, seed:
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        name = (model, alpha, seed)
-        if name not in _SAMPLERS:
-            _SAMPLERS[name] = Sampler(model, alpha, seed)
-        sampler = _SAMPLERS[name]
+        sampler = resident(("gumbel_pieces", model, alpha, seed), lambda: Sampler(model, alpha, seed))
         for batch in batches:
-            for part in pieces_of(batch, "_t", 2 << 20):
+            for part in pieces_of(batch, "_t", 1 << 20):
                 texts = part.column(1).to_pylist()
                 keys = part.column(0).cast(pa.int64()).fill_null(0).to_numpy()
                 paths, kappa = sampler.sample(texts, keys, k)

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Memory, arrow, local_path, pieces_of
+from .common import Memory, arrow, local_path, pieces_of, resident
 
 MARK = "▁"
 #: Segments that a generation of a worker's memory holds.
@@ -121,18 +121,13 @@ class PieceCounter:
         return sum(self.memory.get_all(self.segments(text)))
 
 
-_COUNTERS: dict[str, PieceCounter] = {}
-
-
 def token_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", limit: int = 4096,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_bytes, n_tokens, over_limit (n_tokens > limit)."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        if model not in _COUNTERS:
-            _COUNTERS[model] = PieceCounter(model)
-        count = _COUNTERS[model].count
+        count = resident(("heap_bpe", model), lambda: PieceCounter(model)).count
         for batch in batches:
             for part in pieces_of(batch, "_t"):
                 texts = part.column(1).to_pylist()

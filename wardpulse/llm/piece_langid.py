@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, land, pieces_of
+from .common import arrow, land, pieces_of, resident
 from .lattice import MARK, PieceTable, by_length
 
 WORDS = re.compile(r"[^\W\d_]+")
@@ -205,9 +205,6 @@ class Scorer:
                 np.where(letters, share, 0.0))
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
 def predict_language(docs: DataFrame, model: str = "piece_bpe_32k.model", rounds: int = 2, max_docs: int = 10_000,
                      id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                      carry: bool = False) -> DataFrame:
@@ -224,10 +221,7 @@ def predict_language(docs: DataFrame, model: str = "piece_bpe_32k.model", rounds
     key = hash((model, tuple(langs), p.tobytes()))
 
     def run(batches):
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(model, langs, p)
-        scorer = _SCORERS[key]
+        scorer = resident(("piece_langid", key), lambda: Scorer(model, langs, p))
         for batch in batches:
             for part in pieces_of(batch, "_t", 4 << 20):
                 lang, score = scorer.score(part.column(0).to_pylist())

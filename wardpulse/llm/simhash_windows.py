@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, arrow, fold, pieces_of
+from .common import Words, arrow, fold, pieces_of, resident
 from .partenum import _MIX
 
 RADIUS_BLOCKS = 4
@@ -218,15 +218,8 @@ class ItemIndex:
         return [(d, k, at, s) for (d, k), (s, at) in sorted(best.items())]
 
 
-_INDEXES: dict[tuple, ItemIndex] = {}
-
-
 def _index(texts: list[str], shingle: int, spread: int) -> ItemIndex:
-    key = (shingle, spread, hash(tuple(texts)))
-    if key not in _INDEXES:
-        _INDEXES.clear()
-        _INDEXES[key] = ItemIndex(texts, shingle, spread)
-    return _INDEXES[key]
+    return resident(("simhash_windows", shingle, spread, tuple(texts)), lambda: ItemIndex(texts, shingle, spread))
 
 
 def _search_block(docs: DataFrame, ids: list, texts: list[str], shingle: int, spread: int, threshold: float,
