@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memory, arrow, land, pieces_of
+from .common import Memory, arrow, land, pieces_of, resident
 from .piece_langid import held_out
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -43,7 +43,7 @@ ADDRESS = frozenset("you your u du dich dein ihr tu te vous toi tú usted ti".sp
 QUOTES = "\"'`«»“”„‘’"
 STEM_SIZES = range(4, 8)
 FEATURES = 6
-MEMORY = 600_000
+MEMORY = 150_000
 
 
 class FuzzyLexicon:
@@ -167,7 +167,7 @@ def _term_counts(train: DataFrame) -> DataFrame:
     """Documents per label that hold each word and each stem."""
     def run(batches):
         for batch in batches:
-            for part in pieces_of(batch, "text", 8 << 20):
+            for part in pieces_of(batch, "text", 1 << 20):
                 counts: dict[tuple[str, bool], list[int]] = {}
                 for label, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     words = set(WORD.findall((text or "").lower()))
@@ -222,15 +222,8 @@ def logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float = 1e-
     return w
 
 
-_SCORERS: dict[tuple, Scorer] = {}
-
-
 def _scorer(terms, fuzzy_from, window) -> Scorer:
-    key = (tuple(terms), fuzzy_from, window)
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(terms, fuzzy_from, window)
-    return _SCORERS[key]
+    return resident(("toxic_automata", tuple(terms), fuzzy_from, window), lambda: Scorer(terms, fuzzy_from, window))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_docs: int = 8000, fuzzy_from: int = 5, window: int = 3,
@@ -248,7 +241,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_docs: int = 8000, fuzzy_fro
     share = F.when(F.col("label") == 1, min(1.0, max_docs / sizes[1])).otherwise(min(1.0, max_docs / sizes[0]))
     drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(23)), F.lit(1 << 30)) / float(1 << 30)
     chosen = marks.where(drawn < share)
-    train = land(docs.join(chosen, "doc_id").select("doc_id", "label", "text"), "labelled")
+    # the drawn ids are few by the sample's bound, so the documents stay where they are
+    train = land(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text"), "labelled")
     have = {0: 0, 1: 0} | {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not have[0] or not have[1]:
         return out.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).cast("int").alias("predicted"))
