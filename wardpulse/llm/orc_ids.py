@@ -1,8 +1,7 @@
 """Token-ID output as ORC: integer run-length encoded id lists, row indexes
 and Bloom filters on the document id, read back stripe by stripe.
 
-Documents are dealt into slices of ascending ids (bounds from the id's
-quantiles, about ``slice_bytes`` of text each), sorted within a slice, encoded
+Documents are range-partitioned by id into slices, sorted within a slice, encoded
 and written as one ORC file per slice: columns ``doc_id``, ``slice``,
 ``local_start`` (ids before the document in its slice), ``n_tokens`` and
 ``ids``. ORC writes integers run-length encoded in stripes, keeps min/max row
@@ -18,6 +17,7 @@ Extra columns are left out. An empty table gives an empty table.
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 import zlib
 
@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Memory, arrow, local_path, pieces_of, shared_dir
+from .common import Memory, arrow, local_path, pieces_of, resident, shared_dir
 
 #: Words that a generation of a worker's memory holds.
-MEMORY = 300_000
+MEMORY = 500_000
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 
 
@@ -43,6 +43,18 @@ def _byte_letters() -> dict[int, str]:
     return out
 
 
+def _after_letter(end: bytes) -> bool:
+    """Whether a text ends in an ASCII letter or digit or a Latin-1 letter: a
+    mark after it, before white space, is a pre-token of its own."""
+    if not end:
+        return False
+    return end[-1:].isalnum() or (len(end) == 2 and end[0] == 0xC3 and 0x80 <= end[1] <= 0xBF and end[1] not in (0x97, 0xB7))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder:
     """ids of texts by the tokenizers library, remembered word by word.
 
@@ -60,7 +72,7 @@ class WordEncoder:
         self.memory = Memory(self.word, MEMORY)
 
     def _whole(self, word: str) -> bytes:
-        return np.array(self.tok.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.tok.encode(word, add_special_tokens=False).ids)
 
     def word(self, w: bytes) -> bytes:
         s = w.decode()
@@ -72,57 +84,46 @@ class WordEncoder:
         if low != s:
             return self.memory.get(low.encode())
         mapped = s if s.isascii() else "".join(map(self.table.__getitem__, w))
-        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+        return _packed([t.id for t in self.model.tokenize(mapped)])
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids."""
         if not text:
             return b""
-        return b"".join(self.memory.get_all(text.encode("utf-8").split()))
-
-
-_ENCODERS: dict[str, WordEncoder] = {}
+        raw = text.encode("utf-8")
+        if b"<|" not in raw:                    # no special string: the tokenizer lowers all letters
+            raw = raw.lower()
+        for mark in (b". ", b".\n", b", ", b",\n"):
+            parts = raw.split(mark)
+            if len(parts) > 1 and all(map(_after_letter, {p[-2:] for p in parts[:-1]})):
+                raw = (b" " + mark).join(parts)
+        return b"".join(self.memory.get_all(raw.split()))
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json", end_id: int = 1,
-              slice_bytes: int = 32 << 20, stripe_bytes: int = 16 << 20, row_stride: int = 1000,
+              slice_bytes: int = 32 << 20, max_slices: int = 20_000, stripe_bytes: int = 16 << 20, row_stride: int = 1000,
               bloom_fpp: float = 0.01, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Encode every text and write the ORC files at ``path``."""
+    """Encode every text and write the ORC files at ``path``: slices of about
+    ``slice_bytes`` of text, larger ones if they would be over ``max_slices``."""
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    n = max(1, -(-size // slice_bytes))
-    if n > 1:
-        cuts = rows.agg(F.percentile_approx("doc_id", F.array(*[F.lit(i / n) for i in range(1, n)]), F.lit(20 * n))
-                        .alias("c")).first()["c"] or []
-        cuts = sorted(set(cuts))
-    else:
-        cuts = []
-    cut_list = F.array(*[F.lit(c) for c in cuts]) if cuts else None
-    # the slice is the number of cuts below the id: a function of the row alone
-    part = F.lit(0)
-    if cut_list is not None:
-        part = F.coalesce(F.size(F.filter(cut_list, lambda c: c < F.col("doc_id"))), F.lit(0))
-    dealt = (rows.withColumn("slice", part.cast("int"))
-             .repartitionById(len(cuts) + 1, F.col("slice"))
-             .sortWithinPartitions("slice", F.col("doc_id").asc_nulls_first(), "text"))
+    slices = min(max_slices, max(1, -(-size // slice_bytes)))
+    # the slice number is written with the rows, so readers need not derive it again
+    dealt = (rows.repartitionByRange(slices, F.col("doc_id").asc_nulls_first())
+             .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+             .withColumn("slice", F.spark_partition_id()))
 
     def run(batches):
-        if tokenizer not in _ENCODERS:
-            _ENCODERS[tokenizer] = WordEncoder(tokenizer)
-        encode, end = _ENCODERS[tokenizer].encode, np.array([end_id], "<u4").tobytes()
-        at, now = 0, None
+        encode = resident(("orc_ids", tokenizer), lambda: WordEncoder(tokenizer)).encode
+        end = np.array([end_id], "<u4").tobytes()
+        at = 0                                  # a task is one slice
         for batch in batches:
             for p in pieces_of(batch, "text", 4 << 20):
                 docs_ids = [encode(t) + end for t in p.column(1).to_pylist()]
                 counts = np.array([len(b) // 4 for b in docs_ids], np.int64)
-                slices = p.column(2).to_numpy()
-                starts = np.zeros(len(counts), np.int64)
-                for k, (s, c) in enumerate(zip(slices, counts)):
-                    if s != now:
-                        at, now = 0, s
-                    starts[k] = at
-                    at += c
+                ends = at + np.cumsum(counts)
+                starts, at = ends - counts, int(ends[-1])
                 flat = np.frombuffer(b"".join(docs_ids), "<u4").astype(np.int32)
                 offsets = np.zeros(len(counts) + 1, np.int32)
                 np.cumsum(counts, out=offsets[1:])
@@ -142,9 +143,9 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     doc_id reaches the ORC reader (row indexes, Bloom filters)."""
     rows = spark.read.orc(path)
     totals = rows.groupBy("slice").agg(F.sum("n_tokens").alias("_n"))
-    # one row per file: the running total over them is small by construction
+    # one row of two numbers per slice of some 32 MB of text: small by construction
     before = totals.select("slice", (F.sum("_n").over(Window.orderBy("slice")) - F.col("_n")).alias("_before"))
-    return (rows.join(before, "slice")
+    return (rows.join(F.broadcast(before), "slice")
             .withColumn("start", F.col("_before") + F.col("local_start")).drop("_before", "local_start"))
 
 
