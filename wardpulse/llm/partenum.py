@@ -172,8 +172,8 @@ def _classes(owner: np.ndarray, prints: np.ndarray, n_docs: int) -> np.ndarray:
     return fold(name).view(np.int64)
 
 
-def _describe(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
-    """doc_id, set size, class, odd sketch and signatures of every document."""
+def _describe(docs: DataFrame, n: int) -> DataFrame:
+    """doc_id, set size, class and odd sketch of every document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -185,14 +185,28 @@ def _describe(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
                 parity = np.bincount(owner.astype(np.int64) * CELLS + (prints % np.uint64(CELLS)).astype(np.int64),
                                      minlength=m * CELLS).reshape(m, CELLS) & 1
                 sketch = np.packbits(parity.astype(bool), axis=1).view(np.int64)
-                sig_doc, sig = signatures(owner, prints, m, bands)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(size), pa.array(_classes(owner, prints, m)),
-                     *[pa.array(np.ascontiguousarray(sketch[:, j])) for j in range(8)], _list_of(sig_doc, sig, m)],
-                    names=["doc_id", "n_shingles", "class", *[f"o{j}" for j in range(8)], "sigs"])
+                     *[pa.array(np.ascontiguousarray(sketch[:, j])) for j in range(8)]],
+                    names=["doc_id", "n_shingles", "class", *[f"o{j}" for j in range(8)]])
 
     cells = ", ".join(f"o{j} long" for j in range(8))
-    return arrow(docs, run, f"doc_id {kind}, n_shingles long, class long, {cells}, sigs array<long>")
+    return arrow(docs, run, f"doc_id {kind}, n_shingles long, class long, {cells}")
+
+
+def _signed(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
+    """A row (sig, class) for each signature of each document. The sets are
+    computed a second time here: that costs less than keeping the signatures."""
+    def run(batches):
+        for batch in batches:
+            for part in pieces_of(batch, "text", 4 << 20):
+                owner, prints = shingle_sets(part.column(0), n)
+                doc, sig = signatures(owner, prints, part.num_rows, bands)
+                name = _classes(owner, prints, part.num_rows)
+                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(name[doc])],
+                                                 names=["sig", "class"])
+
+    return arrow(docs.select("text"), run, "sig long, class long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -237,14 +251,14 @@ def ngram_jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85,
     100 * intersection >= percent * union of their n-word shingle sets."""
     docs = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     bands = Bands(percent)
-    told = land(_describe(docs, n, bands), "sets")
+    told = land(_describe(docs, n), "sets")
     filled = told.where("n_shingles > 0")
     kinds = filled.groupBy("class").agg(F.min("doc_id").alias("doc_id"),
                                         *[F.first(c).alias(c) for c in ["n_shingles", *[f"o{j}" for j in range(8)]]])
     kinds = land(kinds, "classes")
 
     # signatures under which different sets meet, with the least set of each
-    rows = filled.select(F.explode("sigs").alias("sig"), "class")
+    rows = _signed(docs, n, bands)
     whole = "partition by sig"
     met = (rows.withColumn("least", F.expr(f"min(class) over ({whole})"))
            .withColumn("most", F.expr(f"max(class) over ({whole})"))
@@ -265,7 +279,8 @@ def ngram_jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85,
     root = land(components(first), "roots1")
 
     # what still lies apart under one signature meets pairwise
-    apart = (met.select("sig", "class").join(root.withColumnRenamed("node", "class"), "class", "left")
+    # (copies repeat their class under a signature: here each counts once)
+    apart = (met.select("sig", "class").distinct().join(root.withColumnRenamed("node", "class"), "class", "left")
              .withColumn("root", F.coalesce("root", "class")))
     edges = "partition by sig"
     apart = (apart.withColumn("lo", F.expr(f"min(root) over ({edges})"))
@@ -273,9 +288,8 @@ def ngram_jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85,
     apart = land(apart.join(kinds.drop("doc_id"), "class"), "apart")
     left = apart.select("sig", F.col("root").alias("ra"), *_side(apart, "a"))
     right = apart.select("sig", F.col("root").alias("rb"), *_side(apart, "b"))
-    pairs = _near(left.join(right, "sig").where("ra <> rb and a < b"), percent).select("a", "b").distinct()
-    pairs = land(pairs.join(stars.select(F.col("a").alias("x"), F.col("b").alias("y")),
-                            (F.col("b") == F.col("x")) & (F.col("a") == F.col("y")), "left_anti"), "pairs2")
+    pairs = land(_near(left.join(right, "sig").where("ra <> rb and a < b"), percent).select("a", "b").distinct(),
+                 "pairs2")
     links = first.unionAll(_verified(pairs, sets_of(pairs, "set2"), percent))
     root = components(links)
 
