@@ -157,6 +157,45 @@ def test_hamming_blocks_find_all_within_the_radius():
         assert i in k.tolist()
 
 
+def _brute_pairs(docs, items, threshold):
+    """The best window of every (text, item) at or over the threshold."""
+    out = {}
+    for d, doc in enumerate(docs):
+        for k, item in enumerate(items):
+            q = min(5, len(item))
+            sets = lambda x: {tuple(x[j:j + q]): len(set(x[j:j + q])) for j in range(len(x) - q + 1)}
+            a = sets(item)
+            for at in range(len(doc)):
+                b = sets(doc[at:at + len(item)])
+                both = sum(v for s, v in a.items() if s in b)
+                got = both / (sum(a.values()) + sum(b.values()) - both)
+                if got >= threshold and got > out.get((d, k), (0, 0))[1]:
+                    out[d, k] = at, got
+    return out
+
+
+def test_altered_copies_are_all_found():
+    rng = np.random.default_rng(8)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 3000, n)]
+    docs, items = [], []
+    for size, changed in [(3, 0), (50, 1), (60, 1), (80, 1), (100, 1), (100, 2), (150, 2), (200, 3)] * 2:
+        item = word(size) if size < 80 else word(size - 12) + items[1][:12]
+        copy = list(item)
+        for at in rng.choice(size, changed, replace=False):
+            copy[at] = "other"
+        items.append(item)
+        docs.append(word(40) + copy + word(int(rng.integers(0, 2)) * 40))
+        docs.append(word(20) + item[:int(size * 0.9)])       # the text ends before the item does
+    docs += [["a", "b"] * 60 + ["c"] * 40, word(10)]
+    items += [["a", "b"] * 15, ["c"] * 30]
+    want = _brute_pairs(docs, items, 0.8)
+    assert len([s for _, s in want.values() if s < 0.95]) > 15
+    index = ItemIndex([" ".join(x) for x in items], 5, 1)
+    for chunk in (16384, 300):
+        got = index.search(pa.array([" ".join(x) for x in docs]), 0.8, chunk)
+        assert {(d, k): (at, s) for d, k, at, s in got} == want
+
+
 def test_decontamination_edge_rows(spark, odd, none):
     bench = spark.createDataFrame([(1, "one"), (2, None), (3, ""), (4, "leading double blanks"), (5, "ONE"), (6, "A  B")],
                                   "item_id long, text string")

@@ -14,6 +14,13 @@ windows within that radius. Each hit is then verified exactly: the weighted
 Jaccard similarity of the item's shingles and those of the item-sized window
 (at the text's end what is left of it) must reach ``threshold``.
 
+Altered copies may lie beyond any radius, so the rest is found by shingles: a
+window that reaches the threshold shares at least that part of the item's
+weight, so it holds one of the item's rarest shingles (rare among the block's
+items) that together weigh more than what may be missing. All windows over such
+a shingle are compared, sliding word by word. So every pair at or over the
+threshold is found, with its best window, the first one of equals.
+
 Words are lower-cased runs of letters and digits, so that marks stuck to an
 item's words do not hide it.
 
@@ -26,6 +33,7 @@ repeat a doc_id are searched row by row. Extra columns are left out.
 
 from __future__ import annotations
 
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -152,6 +160,7 @@ def _words(texts: pa.Array) -> Words:
 class ItemIndex:
     def __init__(self, texts: list[str], shingle: int, spread: int):
         self.shingle = shingle
+        self._rare: dict[float, dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
         words = _words(pa.array(texts, pa.string()))
         h = words.hash()
         self.sets: list[dict[int, int]] = []
@@ -177,6 +186,86 @@ class ItemIndex:
         for c in self.classes:
             c.close()
 
+    def rare(self, threshold: float) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each shingle size the sorted shingles of which a window at or
+        over the threshold holds one, where their items start, and the items."""
+        if threshold not in self._rare:
+            usual = Counter(p for mine in self.sets for p in mine)
+            pairs: dict[int, list[tuple[int, int]]] = {}
+            for i, mine in enumerate(self.sets):
+                left = sum(mine.values())
+                need = threshold * left * (1 - 1e-9)
+                of = pairs.setdefault(min(self.shingle, int(self.sizes[i])), [])
+                for p in sorted(mine, key=lambda p: (usual[p], p)):
+                    if left < need:         # what remains cannot reach the threshold alone
+                        break
+                    of.append((p, i))
+                    left -= mine[p]
+            out = {}
+            for q, of in pairs.items():
+                of.sort()
+                prints, start = np.unique(np.array([p for p, _ in of], np.uint64), return_index=True)
+                out[q] = prints, np.append(start, len(of)), np.array([i for _, i in of], np.int64)
+            self._rare[threshold] = out
+        return self._rare[threshold]
+
+    def best_window(self, item: int, h: np.ndarray, lo: int, hi: int, end: int, threshold: float):
+        """(similarity, first word) of the best window that starts in lo..hi-1
+        of a text that ends at ``end``, or None below the threshold."""
+        n, q, mine = int(self.sizes[item]), min(self.shingle, int(self.sizes[item])), self.sets[item]
+        prints, weight = shingle_prints(h[lo:min(hi - 1 + n, end)], q)
+        total = sum(mine.values())
+        shared = np.array([mine.get(p, 0) for p in prints.tolist()], np.int64)
+        sums = np.append(0, np.cumsum(shared))
+        at = np.arange(min(hi - lo, len(prints)))
+        # repeats counted, so never less than what the window shares
+        fit = np.flatnonzero(sums[np.minimum(at + n - q + 1, len(prints))] - sums[at] >= threshold * total * (1 - 1e-9))
+        if not len(fit):
+            return None
+        prints, weight, shared = prints.tolist(), weight.tolist(), shared.tolist()
+        inside: dict[int, int] = {}
+        best, common, whole, k = None, 0, 0, int(fit[0])
+        for s in range(int(fit[0]), int(fit[-1]) + 1):
+            while k < min(s + n - q + 1, len(prints)):
+                c = inside.get(prints[k], 0)
+                if not c:
+                    common, whole = common + shared[k], whole + weight[k]
+                inside[prints[k]] = c + 1
+                k += 1
+            got = common / (total + whole - common)
+            if got >= threshold and (best is None or got > best[0]):
+                best = got, lo + s
+            c = inside[prints[s]] - 1
+            inside[prints[s]] = c
+            if not c:
+                common, whole = common - shared[s], whole - weight[s]
+        return best
+
+    def _near_rare(self, prints: np.ndarray, q: int, lo: int, words: Words, threshold: float):
+        """(item, first start, last start + 1, text) of the windows over rare
+        shingles among ``prints``, those of the words from ``lo`` on."""
+        rare, start, owner = self.rare(threshold)[q]
+        place = np.minimum(np.searchsorted(rare, prints), len(rare) - 1)
+        at = np.flatnonzero(rare[place] == prints)
+        at = at[words.doc[lo + at] == words.doc[lo + at + q - 1]]
+        place = place[at]
+        n = start[place + 1] - start[place]
+        w = np.repeat(at, n) + lo
+        i = owner[np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[place], n)]
+        order = np.lexsort((w, i))
+        run = None
+        for k, hit in zip(i[order].tolist(), w[order].tolist()):
+            d = int(words.doc[hit])
+            first = max(hit - int(self.sizes[k]) + q, int(words.first[d]))
+            if run is not None and run[0] == k and run[3] == d and first <= run[2]:
+                run = (k, run[1], hit + 1, d)
+                continue
+            if run is not None:
+                yield run
+            run = (k, first, hit + 1, d)
+        if run is not None:
+            yield run
+
     def similarity(self, item: int, own: np.ndarray) -> float:
         """Weighted Jaccard of the item and a window's word fingerprints."""
         prints, weight = shingle_prints(own, min(self.shingle, int(self.sizes[item])))
@@ -191,6 +280,10 @@ class ItemIndex:
         words = _words(texts)
         h, doc = words.hash(), words.doc
         best: dict[tuple[int, int], tuple[float, int]] = {}
+
+        def keep(d, k, s, at):
+            best[d, k] = max(best.get((d, k), (0.0, 0)), (s, int(words.first[d]) - at))
+
         most = max([c.size for c in self.classes], default=0)
         for q in sorted({c.q for c in self.classes}):
             classes = [c for c in self.classes if c.q == q]
@@ -198,6 +291,10 @@ class ItemIndex:
                 prints, weight = shingle_prints(h[lo:lo + chunk + most - 1], q)
                 if not len(prints):
                     continue
+                for k, first, last, d in self._near_rare(prints[:chunk], q, lo, words, threshold):
+                    got = self.best_window(k, h, first, last, int(words.first[d + 1]), threshold)
+                    if got is not None:
+                        keep(d, k, *got)
                 sums = WindowSums(prints, weight, most - q + 1)
                 for c in classes:
                     n = c.size - q + 1
@@ -213,9 +310,9 @@ class ItemIndex:
                         d = int(doc[at])
                         end = min(at + int(self.sizes[k]), int(words.first[d + 1]))
                         s = self.similarity(k, h[at:end])
-                        if s >= threshold and s > best.get((d, k), (0.0, 0))[0]:
-                            best[d, k] = (s, at - int(words.first[d]))
-        return [(d, k, at, s) for (d, k), (s, at) in sorted(best.items())]
+                        if s >= threshold:
+                            keep(d, k, s, at)
+        return [(d, k, -at, s) for (d, k), (s, at) in sorted(best.items())]
 
 
 def _index(texts: list[str], shingle: int, spread: int) -> ItemIndex:
