@@ -12,7 +12,7 @@ from llm_fixtures import SF_SMALL, none, odd, small_rows  # noqa: F401
 from wardpulse.llm import queries as Q
 from wardpulse.llm.heap_bpe import token_counts
 from wardpulse.llm.orc_ids import lookup, orc_round_trip, read_ids, write_ids
-from wardpulse.llm.pii_boost import BASE, KINDS, digest, fit, personal_data
+from wardpulse.llm.pii_boost import BASE, KINDS, digest, fit, joined, personal_data
 from wardpulse.llm.suffix_rules import judge, repetition_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -76,6 +76,28 @@ def test_pii_trees_learn_formats(spark):
     assert got == {1: "phone:6:20", 2: "", 3: ""}
 
 
+def test_pii_missed_numbers_in_the_fitted_corpus_are_added(spark):
+    """One phone number in ten has no plus; the corpus is the one that is fitted."""
+    rng = np.random.default_rng(6)
+    rows, missed = [], {}
+    for k in range(800):
+        a, b, c = rng.integers(200, 999), rng.integers(200, 999), rng.integers(1000, 9999)
+        number = f"({a}) {b}-{c}"
+        if k % 2:
+            rows.append((k, f"on 20{a % 90 + 10}-11-{b % 18 + 10} it was"))
+        elif k % 20:
+            rows.append((k, f"call me +1 {number} soon"))
+        else:
+            rows.append((k, f"call me {number} soon"))
+            missed[k] = f"phone:8:{8 + len(number)}"
+    for k in range(800, 840):       # what the checks or the context speak against
+        a, b, c = rng.integers(200, 999), rng.integers(200, 999), rng.integers(1000, 9999)
+        rows.append((k, [f"the server/({a}) {b}-{c}/log", "at +5 2024-11-12 then", f"v {a}.{b}.{a}.{b} out", "no 4111 1111 1111 1112"][k % 4]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = personal_data(df).select("doc_id", joined("added").alias("added")).where("added != ''").collect()
+    assert len(missed) == 40 and {r.doc_id: r.added for r in found} == missed
+
+
 def test_pii_plan_has_no_python(spark, small_rows):
     plan = Q.QUERIES["op1_pii_boost"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan) and BASE.keys() == PLAIN.keys()
