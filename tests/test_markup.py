@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from wardpulse.operators.quality import limit_violations
 from wardpulse.sources.files import read_ward_geojson, upsert_wards
-from wardpulse.sources.markup import parse_complaint_pages, parse_listing_pages
+from wardpulse.sources.markup import (complaint_summary, parse_city_lists, parse_complaint_lists, parse_complaint_pages,
+                                      parse_listing_pages)
 
 MB = """<html><body>
 <div class="mb-srp__card"><div class="mb-srp__card__price">₹ 1.25 Cr</div>
@@ -53,6 +54,39 @@ def test_complaint_pages(spark):
     assert (r.subcategory, r.description) == ("Potholes", "desc from table")
 
 
+def test_complaint_lists(spark):
+    table = """<table class="wide complaint-list"><thead><tr><th>Id</th></tr></thead><tbody>
+    <tr><td><a href="/c/1?x=2">BB-1</a></td><td>Roads</td><td>Hebbal</td><td>01/02/2024</td><td>Open</td></tr>
+    <tr><td>BB-2</td><td>Water</td><td> Varthur </td><td>05/03/2024</td><td>Closed</td></tr>
+    <tr><td></td><td>Water</td><td>Varthur</td></tr><tr><td>BB-9</td><td>two cells</td></tr>
+    <tr><td>BB-3</td><td>Trees</td><td>Hebbal</td></tr></tbody></table>
+    <div class="complaint-card big"><div>text</div><a href="../d/7">more</a></div>
+    <div class="complaint-card"><div>no link</div></div><a class="next-page" href="/list?page=2">next</a>"""
+    other = """<div class="my-complaints"><table><tr><td>BB-4</td><td>Noise</td><td>Hebbal</td></tr></table></div>"""
+    pages = spark.createDataFrame([("https://s.in/complaints/list", table), ("https://s.in/x", other), ("https://s.in/y", None)],
+                                  "url string, html string")
+    got = {r.complaint_id: (r.category, r.ward_name, r.date_filed, r.status) for r in parse_complaint_lists(pages).collect()}
+    assert got == {"BB-2": ("Water", "Varthur", dt.date(2024, 3, 5), "Closed"), "BB-3": ("Trees", "Hebbal", None, ""),
+                   "BB-4": ("Noise", "Hebbal", None, "")}
+    summary = complaint_summary(pages.unionAll(pages))
+    assert {r.url: (r.complaint_id, r.category, r.ward_name, r.status) for r in summary.collect()} == {
+        "https://s.in/c/1?x=2": ("BB-1", "Roads", "Hebbal", "Open"), "https://s.in/d/7": (None, None, None, None)}
+    detail = spark.createDataFrame([("https://s.in/c/1?x=2", '<p class="description">a hole</p>')], "url string, html string")
+    (r,) = parse_complaint_pages(detail, summary).collect()
+    assert (r.complaint_id, r.ward_name, r.status, r.description) == ("BB-1", "Hebbal", "Open", "a hole")
+
+
+def test_city_lists(spark):
+    rows = [("Bengaluru", '<table class="complaint-list"><tr><th>Id</th></tr><tr><td class="id">B1</td><td class="cat">Roads</td>'
+                          '<td class="ward">Hebbal</td><td class="status">Open</td></tr></table>'),
+            ("Mumbai", '<div class="complaint-row"><div class="id">M1</div><b class="cat">Water</b><i class="ward">A</i>'
+                       '<i class="status">Closed</i></div><div class="complaint-row"><b class="cat">x</b></div><p class="id">no</p>'),
+            ("Delhi", '<li class="complaint-item"><b class="ref">D1</b><b class="type">Trees</b><b class="zone">Z</b></li>')]
+    pages = spark.createDataFrame([(*r, dt.datetime(2024, 5, 1)) for r in rows], "city string, html string, scraped_at timestamp")
+    got = sorted((r.city, r.complaint_id, r.category, r.ward_name, r.status) for r in parse_city_lists(pages).collect())
+    assert got == [("Bengaluru", "B1", "Roads", "Hebbal", "Open"), ("Delhi", "D1", "Trees", "Z", ""), ("Mumbai", "M1", "Water", "A", "Closed")]
+
+
 def test_geojson_wards(spark, scratch):
     fc = {"type": "FeatureCollection", "features": [
         {"type": "Feature", "properties": {"proposed_ward_name_en": "", "name_en": "Shantala Nagar", "id": "111.0",

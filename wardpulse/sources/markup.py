@@ -134,6 +134,132 @@ def parse_complaint_pages(pages: DataFrame, summary: DataFrame | None = None) ->
                     F.nullif(F.col("longitude"), F.lit("")).try_cast("double").alias("longitude")))
 
 
+# fixed values: the rows of a complaint list (element, class), else any whose class holds "complaint"
+LISTING_CARDS = ["complaint-card", "list-item"]
+# fixed values: the city portals' layouts, rows of a table or elements of a class, and the class of each field
+CITY_LISTINGS = {
+    "Bengaluru": {"table": "complaint-list", "complaint_id": "id", "category": "cat", "ward_name": "ward", "status": "status"},
+    "Mumbai": {"row": "complaint-row", "complaint_id": "id", "category": "cat", "ward_name": "ward", "status": "status"},
+    "Delhi": {"row": "complaint-item", "complaint_id": "ref", "category": "type", "ward_name": "zone", "status": "status"},
+}
+_COMPLAINT = ("complaint_id string, category string, subcategory string, ward_name string, ward_number int, "
+              "date_filed date, status string, description string, latitude double, longitude double")
+
+
+def _token(cls: str) -> str:
+    return f'class="(?:[^"]*\\s)?{cls}(?:\\s[^"]*)?"'
+
+
+def _elements(html: Column, start: str) -> Column:
+    """The elements whose opening tag matches ``start``, each up to its own
+    closing tag (elements of its name inside are counted)."""
+    cut = F.regexp_extract_all(html, F.lit(f"(?is)({start}.*?)(?={start}|$)"), 1)
+
+    def whole(part):
+        tag = F.lower(F.regexp_extract(part, "^<(\\w+)", 1))
+        opened, closed = F.concat(F.lit("<"), tag, F.lit("\\b")), F.concat(F.lit("</"), tag, F.lit("\\s{0,9}>"))
+        bits = F.split(part, F.concat(F.lit("(?i)(?="), opened, F.lit(")|(?<="), closed, F.lit(")")))
+
+        def add(acc, bit):
+            depth = (acc["depth"] + F.regexp_like(F.lower(bit), F.concat(F.lit("^"), opened)).cast("int")
+                     - F.regexp_like(F.lower(bit), F.concat(closed, F.lit("$"))).cast("int"))
+            more = F.struct(depth.alias("depth"), F.concat(acc["text"], bit).alias("text"), (depth <= 0).alias("done"))
+            return F.when(acc["done"] | (bit == ""), acc).otherwise(more)
+
+        zero = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"), F.lit(False).alias("done"))
+        return F.aggregate(bits, zero, add, lambda a: a["text"])
+
+    return F.transform(cut, whole)
+
+
+def _table_rows(html: Column, cls: str, body: bool) -> Column:
+    inner = F.regexp_extract_all(html, F.lit(f"(?is)<table\\b[^>]*{_token(cls)}[^>]*>(.*?)</table\\s*>"), 1)
+    if body:
+        inner = F.flatten(F.transform(inner, lambda t: F.regexp_extract_all(t, F.lit("(?is)<tbody\\b[^>]*>(.*?)</tbody\\s*>"), 1)))
+    return F.flatten(F.transform(inner, lambda t: F.regexp_extract_all(t, F.lit("(?is)(<tr\\b[^>]*>.*?</tr\\s*>)"), 1)))
+
+
+def _absolute(base: Column, href: Column) -> Column:
+    """A link as seen from a page, as urljoin gives it."""
+    host = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    page = F.regexp_replace(base, "[?#].*$", "")
+    folder = F.regexp_extract(F.substring(page, F.length(host) + 1, F.length(page)), "^(.*/)", 1)
+    path = F.when(href.startswith("/"), href).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), href))
+    tail = F.regexp_extract(path, "([?#].*)$", 1)
+    steps = F.split(F.regexp_replace(path, "[?#].*$", ""), "/")
+    up = lambda acc: F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1)))
+    done = F.aggregate(steps, F.array().cast("array<string>"),
+                       lambda acc, x: F.when(x == "..", up(acc)).when(x == ".", acc).otherwise(F.concat(acc, F.array(x))))
+    last = F.when(F.element_at(steps, -1).isin(".", ".."), "/").otherwise("")
+    return (F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), href)
+            .when(href.startswith("//"), F.concat(F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*:)", 1), href))
+            .when(href.startswith("?"), F.concat(page, href))
+            .when(href.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), href))
+            .otherwise(F.concat(host, F.array_join(done, "/"), last, tail)))
+
+
+def complaint_list_rows(pages: DataFrame) -> DataFrame:
+    """SRC-9 one row per entry of saved list pages (url, html): ``url`` of the
+    page, ``pos`` of the entry, ``detail_url`` (NULL without a link) and the
+    first text of each table cell. Entries are the body rows of
+    ``table.complaint-list`` and the cards; a page with neither gives its divs
+    and table rows whose class holds "complaint"."""
+    h = F.col("html")
+    usual = F.concat(_table_rows(h, "complaint-list", body=True),
+                     *[_elements(h, f"<div\\b[^>]*{_token(c)}[^>]*>") for c in LISTING_CARDS])
+    other = _elements(h, '<(?:div|tr)\\b[^>]*class="[^"]*complaint[^"]*"[^>]*>')
+    rows = (pages.select("url", F.coalesce(h, F.lit("")).alias("html"))
+            .select("url", usual.alias("_usual"), other.alias("_other"))
+            .select("url", F.posexplode(F.when(F.size("_usual") > 0, F.col("_usual")).otherwise(F.col("_other")))
+                    .alias("pos", "_row")))
+    href = F.trim(F.regexp_extract("_row", "(?is)<a\\b[^>]*?\\bhref\\s*=\\s*[\"']([^\"']*)[\"']", 1))
+    cells = F.regexp_extract_all("_row", F.lit("(?is)<td\\b[^>]*>(.*?)</td\\s*>"), F.lit(1))
+    text = lambda c: F.trim(F.regexp_replace(F.regexp_extract(c, "^(?:<[^>]+>)*([^<]*)", 1), "\\s+", " "))
+    return rows.select("url", "pos", F.when(href != "", _absolute(F.col("url"), href)).alias("detail_url"),
+                       F.transform(cells, text).alias("cells"))
+
+
+def complaint_summary(pages: DataFrame) -> DataFrame:
+    """The summary of each detail page that list pages link to (the first of
+    several), as ``parse_complaint_pages`` takes it."""
+    rows = complaint_list_rows(pages).where("detail_url is not null")
+    first = rows.groupBy(F.col("detail_url").alias("url")).agg(F.min_by("cells", F.struct("url", "pos")).alias("cells"))
+    field = lambda k: F.when(F.size("cells") >= 4, F.element_at("cells", k))
+    return first.select("url", field(1).alias("complaint_id"), field(2).alias("category"),
+                        field(3).alias("ward_name"), field(-1).alias("status"))
+
+
+def _complaints(rows: DataFrame, *more: str) -> DataFrame:
+    fill = {"subcategory": "''", "description": "''"}
+    cols = [x.strip().split(" ") for x in _COMPLAINT.split(",")]
+    return rows.select(*more, *[(F.col(c) if c in rows.columns else F.expr(fill.get(c, "NULL"))).cast(t).alias(c) for c, t in cols])
+
+
+def parse_complaint_lists(pages: DataFrame) -> DataFrame:
+    """F-4 the entries of list pages that link to no detail page: complaints by
+    themselves, if they have three cells and an id."""
+    at = lambda k: F.coalesce(F.get("cells", F.lit(k)), F.lit(""))
+    rows = complaint_list_rows(pages).where(F.col("detail_url").isNull() & (F.size("cells") >= 3) & (at(0) != ""))
+    return _complaints(rows.select(at(0).alias("complaint_id"), at(1).alias("category"), at(2).alias("ward_name"),
+                                   parse_date(at(3)).alias("date_filed"), at(4).alias("status")))
+
+
+def parse_city_lists(pages: DataFrame, layouts: dict | None = None) -> DataFrame:
+    """The list pages of the city portals (city, html, scraped_at): one complaint
+    with its city for each row that has an id; the date is the day of the scrape."""
+    outs = None
+    for city, lay in (layouts or CITY_LISTINGS).items():
+        h = F.coalesce(F.col("html"), F.lit(""))
+        found = _table_rows(h, lay["table"], body=False) if "table" in lay else _elements(h, f"<\\w+\\b[^>]*{_token(lay['row'])}[^>]*>")
+        rows = pages.where(F.col("city") == city).select("city", F.to_date("scraped_at").alias("date_filed"), F.explode(found).alias("_row"))
+        tag = "td" if "table" in lay else "\\w+"
+        field = lambda c: F.trim(F.regexp_extract("_row", f"(?is)<{tag}\\b[^>]*{_token(lay[c])}[^>]*>([^<]*)", 1))  # noqa: B023, E731
+        rows = rows.select("city", "date_filed", *[field(c).alias(c) for c in ("complaint_id", "category", "ward_name", "status")])
+        got = _complaints(rows.where("complaint_id != ''"), "city")
+        outs = got if outs is None else outs.unionByName(got)
+    return outs
+
+
 def read_saved_pages(spark: SparkSession, root: str) -> DataFrame:
     """F-9 pages saved as ``root/source=<s>/locality=<l>/*.html``: a partitioned
     whole-file scan, one row per page; unreadable pages simply yield no cards."""
