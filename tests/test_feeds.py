@@ -96,3 +96,18 @@ def test_ndvi_composite_fallback_and_mask(spark):
     # with a limit of three months May and June have nothing
     got = months(ndvi_composite(df, fallback_months=3))
     assert got == {1: (jan, False), 7: (0.0, False), **{m: (jan, True) for m in (2, 3, 4)}}
+
+
+def test_ndvi_composite_of_several_cities(spark):
+    """A clouded city falls back by itself; scenes with one number and cloud percent stay two."""
+    from wardpulse.plans.feeds import ndvi_composite
+    rows = [("A", 1, 1, 2024, m, 1, 10, 4, 10.0, 30.0) for m in (1, 2)]
+    rows += [("B", 1, 1, 2024, 1, 1, 10, 4, 10.0, 50.0)]
+    rows += [("B", 1, 1, 2024, 2, s, 95, 4, 10.0, 20.0) for s in range(2, 12)] + [("B", 1, 1, 2024, 2, 1, 10, 4, 10.0, 10.0)]
+    rows += [("C", 1, 1, 2024, 3, 1, 10, 4, 10.0, 10.0), (None, 1, 1, 2024, 1, 1, 10, 4, 10.0, 10.0)]
+    df = spark.createDataFrame(rows, "city string, x int, y int, year int, month int, scene int, cloud int, scl int, "
+                                     "b4 double, b8 double")
+    got = {(r.city, r.month): (round(r.ndvi, 9), r.is_fallback) for r in ndvi_composite(df).collect()}
+    b = round(40.0 / 60.0, 9)
+    assert got == {("A", 1): (0.5, False), ("A", 2): (0.5, False), ("A", 3): (0.5, True),
+                   ("B", 1): (b, False), ("B", 2): (b, True), ("B", 3): (b, True), ("C", 3): (0.0, False)}

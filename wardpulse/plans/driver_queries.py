@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wardpulse.functions.text import norm_name
 from wardpulse.operators.aggregates import grouped_mode, percentile_cont, pivot_sum
 from wardpulse.plans import staging as S
-from wardpulse.sources.driver import FIX_YEAR_HI as YH, FIX_YEAR_LO as YL, DriverViews
+from wardpulse.sources.driver import DEG, FIX_YEAR_HI as YH, FIX_YEAR_LO as YL, DriverViews
 
 QUERIES: dict = {}
 
@@ -414,6 +414,26 @@ def q_ndvi_composite(spark, sf_dir):
                     "is_fallback")
 
 
+def city_observations(v: DriverViews) -> DataFrame:
+    """The same observations with a pixel at the part's stop and three cities,
+    clouded over in different months."""
+    stops = v.stops()
+    stops = stops.select("stop_id", "px", "py", F.element_at(F.array(*[F.lit(c) for c in ("Bengaluru", "Mumbai", "Delhi")]),
+                                                             (F.col("stop_id") % 3 + 1).cast("int")).alias("city"))
+    obs = ndvi_observations(v).withColumnRenamed("y", "stop_id").drop("x").join(stops, "stop_id")
+    late = (F.col("year") * 12 + F.col("month") + F.col("stop_id") % 3) % 5
+    return obs.withColumn("cloud", F.when(late < 2, 90).otherwise((F.col("scene") * 11) % 40))
+
+
+@query
+def q_ndvi_wards(spark, sf_dir):
+    from wardpulse.plans.feeds import ndvi_by_ward, ndvi_composite
+    v = _v(spark, sf_dir)
+    c = ndvi_composite(city_observations(v), pixel=("px", "py"))
+    c = c.select("year", "month", "ndvi", (F.col("px") / DEG).alias("longitude"), (F.col("py") / DEG).alias("latitude"))
+    return ndvi_by_ward(c, _wards_geo(v))
+
+
 @query
 def q_semi_join(spark, sf_dir):
     v = _v(spark, sf_dir)

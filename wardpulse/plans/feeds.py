@@ -145,28 +145,47 @@ def ndvi_composite(obs: DataFrame, pixel=("x", "y"), fallback_months: int | None
     has no scene takes the newest usable month before it (S-39), at most
     ``fallback_months`` back if that is given, else no composite (D-11). The
     months asked for are all from the first observed to the last.
+
+    With a ``city`` column every city has scenes, month means, usable months and
+    a fallback of its own; all are asked for the same months. Rows without a city
+    are in no city's box and so in no composite.
     """
     pixel = list(pixel)
+    by = ["city"] if "city" in obs.columns else []
+    if by:
+        obs = obs.where("city is not null")
     mi = (F.col("year") * 12 + F.col("month") - 1).alias("_mi")
-    scenes = obs.select("year", "month", "scene", "cloud").distinct()
-    month_cloud = scenes.groupBy(mi).agg(F.avg("cloud").alias("_mean_cloud"))   # A-19
-    usable = month_cloud.where(F.col("_mean_cloud") <= C.MONTH_CLOUD_MAX).select("_mi")
+    scenes = obs.select(*by, "year", "month", "scene", "cloud").distinct()
+    month_cloud = scenes.groupBy(*by, mi).agg(F.avg("cloud").alias("_mean_cloud"))   # A-19
+    usable = month_cloud.where(F.col("_mean_cloud") <= C.MONTH_CLOUD_MAX).select(*by, "_mi")
     kept = (obs.where(~F.col("scl").isin(*C.SCL_MASKED) & (F.col("cloud") < C.SCENE_CLOUD_MAX))
             .withColumn("_mi", (F.col("year") * 12 + F.col("month") - 1))
-            .join(usable, "_mi", "left_semi")
+            .join(usable, [*by, "_mi"], "left_semi")
             .withColumn("ndvi", normalized_difference(F.col("b8").cast("double"), F.col("b4").cast("double"))))
     # a pixel's group is its scenes of one month: a plain aggregate
-    comp = kept.groupBy(*pixel, "_mi").agg(F.percentile("ndvi", 0.5).alias("ndvi")).where("ndvi is not null")
+    comp = kept.groupBy(*by, *pixel, "_mi").agg(F.percentile("ndvi", 0.5).alias("ndvi")).where("ndvi is not null")
     # every calendar month -> newest usable month <= it, within the window
-    months = (obs.select(mi).agg(F.min("_mi").alias("a"), F.max("_mi").alias("b")).where("a is not null")
-              .select(F.explode(F.sequence("a", "b")).alias("_mi")))
+    span = (obs.select(*by, mi).agg(F.min("_mi").alias("a"), F.max("_mi").alias("b"),
+                                    *[F.collect_set(c).alias(c) for c in by]).where("a is not null"))
+    for c in by:    # one row for each city
+        span = span.withColumn(c, F.explode(c))
+    months = span.select(*by, F.explode(F.sequence("a", "b")).alias("_mi"))
     have = usable.withColumn("_src", F.col("_mi"))
     far = Window.unboundedPreceding if fallback_months is None else -fallback_months
-    w = Window.orderBy("_mi").rangeBetween(far, 0)
-    src = (months.join(have, "_mi", "left")
+    w = (Window.partitionBy(*by).orderBy("_mi") if by else Window.orderBy("_mi")).rangeBetween(far, 0)
+    src = (months.join(have, [*by, "_mi"], "left")
            .withColumn("_src", F.last("_src", ignorenulls=True).over(w)))
     # the month table is tiny (one row per calendar month), the global window is fine
-    res = comp.withColumnRenamed("_mi", "_src").join(F.broadcast(src), "_src")
-    return res.select(*pixel, (F.floor(F.col("_mi") / 12)).cast("int").alias("year"),
+    res = comp.withColumnRenamed("_mi", "_src").join(F.broadcast(src), [*by, "_src"])
+    return res.select(*by, *pixel, (F.floor(F.col("_mi") / 12)).cast("int").alias("year"),
                       ((F.col("_mi") % 12) + 1).cast("int").alias("month"),
                       "ndvi", (F.col("_src") != F.col("_mi")).alias("is_fallback"))
+
+
+def ndvi_by_ward(composite: DataFrame, wards: DataFrame, x: str = "longitude", y: str = "latitude") -> DataFrame:
+    """F-6 a composite's pixels placed in the wards, then statistics per ward and
+    month; a pixel in no ward counts nowhere."""
+    from wardpulse.operators.spatial import points_in_polygons
+    from wardpulse.plans.staging import zonal_stats
+    pixels = composite.withColumn("ndvi", F.col("ndvi").cast("decimal(12,6)").cast("decimal(6,4)"))
+    return zonal_stats(points_in_polygons(pixels, wards, x, y, how="inner"))

@@ -727,6 +727,38 @@ SELECT c.x, c.y, CAST(src.mi // 12 AS INTEGER) AS year, CAST(src.mi % 12 + 1 AS
 FROM c JOIN src ON c.mi = src.src"""
 
 
+@oracle("q_ndvi_wards", ("d_stops", "d_ward_edges"))
+def _():
+    return f"""
+, o AS (SELECT ['Bengaluru', 'Mumbai', 'Delhi'][stop_id % 3 + 1] AS city, px, py,
+               year(l_shipdate) * 12 + month(l_shipdate) - 1 AS mi, l_linenumber AS scene,
+               CASE WHEN (year(l_shipdate) * 12 + month(l_shipdate) + stop_id % 3) % 5 < 2 THEN 90
+                    ELSE (l_linenumber * 11) % 40 END AS cloud, CAST(l_quantity AS INTEGER) % 12 AS scl,
+               l_quantity AS b4, l_extendedprice / 1000.0 AS b8 FROM lineitem JOIN d_stops ON l_partkey = stop_id),
+us AS (SELECT city, mi FROM (SELECT DISTINCT city, mi, scene, cloud FROM o) GROUP BY 1, 2 HAVING avg(cloud) <= 80),
+k AS (SELECT city, px, py, mi, (b8 - b4) / nullif(b8 + b4, 0) AS ndvi FROM o SEMI JOIN us USING (city, mi)
+      WHERE scl NOT IN (3, 8, 9, 10) AND cloud < 30),
+c AS (SELECT city, px, py, mi, quantile_cont(CAST(ndvi AS DOUBLE), 0.5) AS ndvi FROM k
+      WHERE ndvi IS NOT NULL GROUP BY ALL),
+ms AS (SELECT unnest(range(min(mi), max(mi) + 1)) AS mi FROM o),
+src AS (SELECT ms.mi, us.city, max(us.mi) AS src FROM ms JOIN us ON us.mi <= ms.mi GROUP BY 1, 2),
+pts AS (SELECT DISTINCT px, py, px * 10000000 + py AS id FROM o),
+pin AS ({inward('pts', 'id')}),
+px AS (SELECT pin.ward_id, CAST(src.mi // 12 AS INTEGER) AS year, CAST(src.mi % 12 + 1 AS INTEGER) AS month,
+              CAST(CAST(c.ndvi AS DECIMAL(12,6)) AS DECIMAL(6,4)) AS ndvi
+       FROM c JOIN src ON c.city = src.city AND c.mi = src.src JOIN pin ON pin.id = c.px * 10000000 + c.py),
+zr AS (SELECT *, row_number() OVER (PARTITION BY ward_id, year, month ORDER BY ndvi) - 1 AS rk,
+              count(*) OVER (PARTITION BY ward_id, year, month) AS n FROM px)
+SELECT ward_id, year, month, {rr('sum(ndvi)', 'count(ndvi)', 4, 4, 6)} AS mean_ndvi,
+       CAST(round((max(ndvi) FILTER (WHERE rk = (n - 1) // 2) + max(ndvi) FILTER (WHERE rk = n // 2))
+                  * CAST(0.5 AS DECIMAL(2,1)), 4) AS DECIMAL(6,4)) AS median_ndvi,
+       CAST(min(ndvi) AS DECIMAL(6,4)) AS min_ndvi, CAST(max(ndvi) AS DECIMAL(6,4)) AS max_ndvi,
+       -- through text: of two pixels the std is often a tie, rounded by its shortest digits
+       CAST(CAST(sqrt(CAST(sum(ndvi * ndvi) * count(*) - sum(ndvi) * sum(ndvi) AS DOUBLE)
+                      / (CAST(count(*) AS DOUBLE) * count(*))) AS VARCHAR) AS DECIMAL(6,4)) AS std_ndvi, CAST(count(*) AS INTEGER) AS pixel_count
+FROM zr GROUP BY ward_id, year, month"""
+
+
 @oracle("q_semi_join", ("d_ndvi_pixels", "d_ward_boundaries"))
 def _():
     return """

@@ -251,7 +251,9 @@ def zonal_stats(pixels: DataFrame, keys=("ward_id", "year", "month"), value: str
     stats = hist.groupBy(*keys).agg(
         F.sum(v * F.col("_c")).alias("_s"), F.sum("_c").alias("_n"),
         F.sum(v * v * F.col("_c")).alias("_ss"), F.min(v).alias("_mn"), F.max(v).alias("_mx"))
-    num = F.col("_ss") * F.col("_n") - F.col("_s") * F.col("_s")
+    # narrow enough that the products keep all eight digits
+    n, total = F.col("_n").cast("decimal(12,0)"), F.col("_s").cast("decimal(18,4)")
+    num = F.col("_ss").cast("decimal(24,8)") * n - total * total
     var = num.cast("double") / (F.col("_n").cast("double") * F.col("_n").cast("double"))
     med = percentile_cont(hist, keys, value, 0.5, out="_med", weight="_c")
     return (stats.join(med, keys).where(F.col("_n") > 0)
