@@ -9,16 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .bond_scan import hard_negatives
 from .common import table
 from .gumbel_pieces import sample_segmentations
 from .heap_bpe import token_counts
 from .orc_ids import orc_round_trip
 from .partenum import ngram_jaccard_components
+from .periodic_runs import periodic_runs, planted, run_columns
 from .piece_langid import predict_language
 from .pii_boost import digest, personal_data
 from .preference import ORACLE as PREFERENCE_SQL
 from .preference import format_preferences
 from .simhash_windows import contaminated
+from .stable_kdtree import nearest
 from .suffix_rules import repetition_rules
 from .toxic_automata import toxicity
 
@@ -85,3 +88,43 @@ def op9_simhash_windows(spark, sf_dir):
 @query
 def op10_partenum_join(spark, sf_dir):
     return ngram_jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+@query
+def op11_bond_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op11_bond_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+         CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+pos AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM p WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS "rank",
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN p USING (anchor_id)
+WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY "rank" <= 3"""
+
+
+@query
+def op12_stable_kdtree(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    return run_columns(periodic_runs(planted(table(spark, sf_dir, "documents")), digest=True))
