@@ -19,18 +19,21 @@ it), so copies never meet as pairs. Between different sets:
   ``live * (k2 + 1)`` at most k and their own bound. Such thin sets (rare, as there
   are spare groups) are also filed under each of their elements.
 
-Under each signature every set meets the least set of that signature; of the
-meetings that pass the size test and the odd-sketch test (differing parities of
-512 domain cells never exceed the true difference, so this drops no link) the
-least partner of each set is verified exactly first. What then still lies in
-different components under one signature meets pairwise, again behind both
-tests, and is verified exactly. So links inside a group of thousands of near
-copies need not be enumerated, and no link between components is lost.
+Under each signature every set meets that signature's hub, the set that meets
+most others over all signatures; what passes the size test and the odd-sketch test
+(differing parities of 512 domain cells never exceed the true difference, so this
+drops no link) is verified exactly. A second round takes the hub of what the first
+hub's component does not hold. What then still lies in different components under
+one signature meets pairwise, again behind both tests, and is verified exactly. So
+links inside a group of thousands of near copies need not be enumerated, and no
+link between components is lost. A class signs about once a task, and shared
+signatures are found by counts that combine before the shuffle, so a group of
+copies with a third of all rows costs no more than another class.
 
 Null texts and texts without words have an empty set, linked with nothing
 (component_id is their own id). Every row is judged by its own text, also where
-rows share a doc_id. A null doc_id is carried as it is; a class of texts that
-has no id at all is verified with nothing and has a null component. Extra columns are left out; an empty table gives an empty one.
+rows share a doc_id. A null doc_id is carried as it is; its text links like any
+other, and components without any id have a null component_id. Extra columns are left out; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Words, arrow, fold, land, pieces_of
@@ -48,6 +51,8 @@ from .links import components
 _MIX = [np.uint64(c) for c in (0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                                0x85EBCA77C2B2AE63, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x94D049BB133111EB)]
 CELLS = 512
+#: Classes that a task remembers as signed.
+SEEN = 500_000
 
 
 def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,7 +90,7 @@ def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
 class Bands:
     """Size bands, and for each the difference bound and division of its tag."""
 
-    def __init__(self, percent: int, growth: float = 1.3, most: int = 1 << 31):
+    def __init__(self, percent: int, growth: float = 1.6, most: int = 1 << 31):
         self.percent = percent
         upper = []
         u = 0
@@ -172,8 +177,14 @@ def _classes(owner: np.ndarray, prints: np.ndarray, n_docs: int) -> np.ndarray:
     return fold(name).view(np.int64)
 
 
+def text_key(text: Column) -> Column:
+    """A name of a text: rows with equal texts have equal ones (null counts as empty)."""
+    text = F.coalesce(text, F.lit(""))
+    return F.concat_ws(":", F.xxhash64(F.lit(1), text), F.xxhash64(F.lit(2), text))
+
+
 def _describe(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, set size, class and odd sketch of every document."""
+    """doc_id, text key, set size, class and odd sketch of every document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -186,42 +197,61 @@ def _describe(docs: DataFrame, n: int) -> DataFrame:
                                      minlength=m * CELLS).reshape(m, CELLS) & 1
                 sketch = np.packbits(parity.astype(bool), axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(size), pa.array(_classes(owner, prints, m)),
+                    [part.column(0), part.column(2), pa.array(size), pa.array(_classes(owner, prints, m)),
                      *[pa.array(np.ascontiguousarray(sketch[:, j])) for j in range(8)]],
-                    names=["doc_id", "n_shingles", "class", *[f"o{j}" for j in range(8)]])
+                    names=["doc_id", "text_key", "n_shingles", "class", *[f"o{j}" for j in range(8)]])
 
     cells = ", ".join(f"o{j} long" for j in range(8))
-    return arrow(docs, run, f"doc_id {kind}, n_shingles long, class long, {cells}")
+    return arrow(docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key")), run,
+                 f"doc_id {kind}, text_key string, n_shingles long, class long, {cells}")
 
 
 def _signed(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
-    """A row (sig, class) for each signature of each document. The sets are
-    computed a second time here: that costs less than keeping the signatures."""
+    """A row (sig, class) for each signature of each class, once a task or a few
+    times (copies sign once as long as the task remembers their class). The sets
+    are computed anew each time: that costs less than keeping the signatures.
+
+    Signatures keep 48 bits: a chance meeting costs a test and changes nothing."""
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
             for part in pieces_of(batch, "text", 4 << 20):
                 owner, prints = shingle_sets(part.column(0), n)
-                doc, sig = signatures(owner, prints, part.num_rows, bands)
                 name = _classes(owner, prints, part.num_rows)
-                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(name[doc])],
+                if len(seen) > SEEN:
+                    seen.clear()
+                fresh = np.zeros(part.num_rows, bool)
+                for k, c in enumerate(name.tolist()):
+                    if c not in seen:
+                        seen.add(c)
+                        fresh[k] = True
+                mine = fresh[owner]
+                doc, sig = signatures(owner[mine], prints[mine], part.num_rows, bands)
+                yield pa.RecordBatch.from_arrays([pa.array((sig >> np.uint64(16)).view(np.int64)), pa.array(name[doc])],
                                                  names=["sig", "class"])
 
     return arrow(docs.select("text"), run, "sig long, class long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(class, elements) of the wanted classes; ``wanted`` has class and doc_id."""
+    """(class, elements) of the wanted classes; ``wanted`` has class and doc_id,
+    the least id of a row of the class, or null if no row of it has an id."""
     def run(batches):
         for batch in batches:
             for part in pieces_of(batch, "text", 4 << 20):
                 owner, prints = shingle_sets(part.column(1), n)
-                same = _classes(owner, prints, part.num_rows) == part.column(0).to_numpy()
-                yield pa.RecordBatch.from_arrays([part.column(0), _list_of(owner, prints, part.num_rows)],
+                name = _classes(owner, prints, part.num_rows)
+                given = part.column(0)
+                # rows that share an id may hold other texts: only those of the class stay
+                same = np.array([c is None or c == x for c, x in zip(given.to_pylist(), name.tolist())], bool)
+                yield pa.RecordBatch.from_arrays([pa.array(name), _list_of(owner, prints, part.num_rows)],
                                                  names=["class", "elements"]).filter(pa.array(same))
 
-    # rows that share an id may hold other texts: only those of the class stay
-    rows = docs.join(wanted, "doc_id").select("class", "text")
-    return arrow(rows, run, "class long, elements array<long>").dropDuplicates(["class"])
+    shape = "class long, elements array<long>"
+    named = arrow(docs.join(wanted.where("doc_id is not null"), "doc_id").select("class", "text"), run, shape)
+    bare = docs.where("doc_id is null").select(F.lit(None).cast("long").alias("class"), "text")
+    bare = arrow(bare, run, shape).join(wanted.where("doc_id is null").select("class"), "class", "left_semi")
+    return named.unionAll(bare).dropDuplicates(["class"])
 
 
 def _near(pairs: DataFrame, percent: int) -> DataFrame:
@@ -245,10 +275,12 @@ def _side(frame: DataFrame, side: str) -> list:
             *[F.col(f"o{j}").alias(f"{side}o{j}") for j in range(8)]]
 
 
-def ngram_jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85,
+def ngram_jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, detail: bool = False,
                              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for every document: documents link when
-    100 * intersection >= percent * union of their n-word shingle sets."""
+    100 * intersection >= percent * union of their n-word shingle sets. With
+    ``detail`` also ``text_key`` and ``component``, a name of the component that
+    does not need ids (null for empty sets)."""
     docs = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     bands = Bands(percent)
     told = land(_describe(docs, n), "sets")
@@ -257,47 +289,70 @@ def ngram_jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85,
                                         *[F.first(c).alias(c) for c in ["n_shingles", *[f"o{j}" for j in range(8)]]])
     kinds = land(kinds, "classes")
 
-    # signatures under which different sets meet, with the least set of each
-    rows = _signed(docs, n, bands)
-    whole = "partition by sig"
-    met = (rows.withColumn("least", F.expr(f"min(class) over ({whole})"))
-           .withColumn("most", F.expr(f"max(class) over ({whole})"))
-           .where("least <> most").select("sig", "class", "least"))
-    met = land(met, "met")
-
-    stars = (met.where(F.col("class") != F.col("least")).select(F.col("class").alias("a"), F.col("least").alias("b"))
-             .distinct())
-    stars = (stars.join(kinds.select(*_side(kinds, "a")), "a").join(kinds.select(*_side(kinds, "b")), "b"))
-    stars = land(_near(stars, percent).groupBy("a").agg(F.min("b").alias("b")), "stars")
+    # signatures under which different sets meet: counted first, as counts combine before
+    # the shuffle however many rows share a signature
+    shared = (_signed(docs, n, bands).groupBy("sig")
+              .agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count("*").alias("n"))
+              .where("lo <> hi").select("sig", "n"))
+    met = land(_signed(docs, n, bands).join(land(shared, "shared"), "sig").distinct(), "met")
+    weight = land(met.groupBy("class").agg(F.sum("n").alias("weight")), "weights")
 
     def sets_of(pairs: DataFrame, name: str) -> DataFrame:
         ends = pairs.select(F.col("a").alias("class")).unionAll(pairs.select(F.col("b").alias("class"))).distinct()
-        wanted = ends.join(kinds.select("class", "doc_id"), "class").where("doc_id is not null")
-        return land(_sets(docs, wanted, n), name)
-
-    first = land(_verified(stars, sets_of(stars, "set1"), percent), "links1")
-    root = land(components(first), "roots1")
+        return land(_sets(docs, ends.join(kinds.select("class", "doc_id"), "class"), n), name)
+
+    def stars(rows: DataFrame, hubs: DataFrame, name: str) -> DataFrame:
+        """True links (a, b) between the sets under a signature and its hub."""
+        pairs = (rows.join(hubs, "sig").where("class <> hub")
+                 .select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct())
+        pairs = pairs.join(kinds.select(*_side(kinds, "a")), "a").join(kinds.select(*_side(kinds, "b")), "b")
+        pairs = land(_near(pairs, percent).select("a", "b"), f"{name}-pairs")
+        return land(_verified(pairs, sets_of(pairs, f"{name}-sets"), percent), f"{name}-links")
+
+    def hub_of(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("sig").agg(F.max_by("class", F.struct("weight", "class")).alias("hub"))
+
+    def rooted(rows: DataFrame, root: DataFrame) -> DataFrame:
+        """Rows with the root of their class."""
+        return (rows.join(root.withColumnRenamed("node", "class"), "class", "left")
+                .withColumn("root", F.coalesce("root", "class")))
+
+    def still_apart(rows: DataFrame) -> DataFrame:
+        """Rows of the signatures that hold more than one root."""
+        two = (rows.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+               .select("sig"))
+        return rows.join(two, "sig", "left_semi")
+
+    # the set that meets most others is the hub of a signature: of a group of near
+    # copies it is the one the others come from, so one round links most of them
+    weighed = met.select("sig", "class").join(weight, "class")
+    hubs = land(hub_of(weighed), "hubs")
+    links = stars(met.select("sig", "class"), hubs, "first")
+    root = land(components(links), "roots1")
+
+    # a second round: the hub of those that the first hub's component does not hold
+    apart = land(still_apart(rooted(weighed, root)), "apart1")
+    own = apart.join(hubs, "sig").join(root.select(F.col("node").alias("hub"), F.col("root").alias("of")), "hub", "left")
+    others = own.where(F.col("root") != F.coalesce("of", "hub")).select("sig", "class", "weight")
+    links = links.unionAll(stars(apart.select("sig", "class"), hub_of(others), "second"))
+    root = land(components(links), "roots2")
 
     # what still lies apart under one signature meets pairwise
-    # (copies repeat their class under a signature: here each counts once)
-    apart = (met.select("sig", "class").distinct().join(root.withColumnRenamed("node", "class"), "class", "left")
-             .withColumn("root", F.coalesce("root", "class")))
-    edges = "partition by sig"
-    apart = (apart.withColumn("lo", F.expr(f"min(root) over ({edges})"))
-             .withColumn("hi", F.expr(f"max(root) over ({edges})")).where("lo <> hi").drop("lo", "hi"))
-    apart = land(apart.join(kinds.drop("doc_id"), "class"), "apart")
+    apart = still_apart(rooted(apart.select("sig", "class"), root))
+    apart = land(apart.join(kinds.drop("doc_id"), "class"), "apart2")
     left = apart.select("sig", F.col("root").alias("ra"), *_side(apart, "a"))
     right = apart.select("sig", F.col("root").alias("rb"), *_side(apart, "b"))
     pairs = land(_near(left.join(right, "sig").where("ra <> rb and a < b"), percent).select("a", "b").distinct(),
-                 "pairs2")
-    links = first.unionAll(_verified(pairs, sets_of(pairs, "set2"), percent))
+                 "last-pairs")
+    links = links.unionAll(_verified(pairs, sets_of(pairs, "last-sets"), percent))
     root = components(links)
 
-    ids = (filled.select("doc_id", "n_shingles", "class")
-           .join(root.withColumnRenamed("node", "class"), "class", "left")
-           .withColumn("root", F.coalesce("root", "class")))
-    ids = land(ids.select("doc_id", "n_shingles", "root"), "ids")
-    least = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = ids.join(least, "root").select("doc_id", "n_shingles", "component_id")
-    empty = told.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return found.unionAll(empty)
+    # components get their least id class by class; only then the rows follow
+    of_class = land(rooted(kinds.select("class", "doc_id"), root), "roots")
+    least = of_class.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    of_class = of_class.join(least, "root").select("class", "component_id", F.col("root").alias("component"))
+    columns = ["doc_id", "n_shingles", "component_id", *(["text_key", "component"] if detail else [])]
+    found = filled.select("doc_id", "text_key", "n_shingles", "class").join(of_class, "class").select(*columns)
+    empty = told.where("n_shingles = 0").select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"),
+                                                F.lit(None).cast("long").alias("component"))
+    return found.unionAll(empty.select(*columns))
