@@ -43,9 +43,9 @@ from .common import _powers, arrow, fold, pieces_of, resident
 from .lattice import MARK, PieceTable, by_length
 
 #: Lattices that a worker remembers; beyond it the half used least goes.
-MEMORY = 300_000
-#: Bytes of text that are drawn together.
-_TOGETHER = 3 << 20
+MEMORY = 200_000
+#: Bytes of text that are drawn together: more are quicker and take more memory.
+_TOGETHER = 1 << 20
 
 _U = np.uint64
 
@@ -203,12 +203,12 @@ class Lattices:
         """Sample from each node to its word's end: (row, transition) in row
         order. ``place`` tells the draws of one key apart."""
         rows, steps = [], []
-        row = np.arange(len(node))
+        row = np.arange(len(node), dtype=np.int32)
         hop = 0
         while len(row):
             t = self.choose(node, uniform(key, salt, (place << _U(32)) + _U(hop)))
             rows.append(row)
-            steps.append(t)
+            steps.append(t.astype(np.int32))
             node = self.next[t]
             go = node >= 0
             row, node, key, place = row[go], node[go], key[go], place[go]
@@ -216,8 +216,9 @@ class Lattices:
         if not rows:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         row, step = np.concatenate(rows), np.concatenate(steps)
+        del rows, steps
         order = np.argsort(row, kind="stable")
-        return row[order], step[order]
+        return row[order], step[order].astype(np.int64)
 
 
 def _prints(chars: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -311,6 +312,7 @@ class Sampler:
         kind = self.kind[chars]
         begin = np.ones(len(chars) + 1, bool)
         begin[1:-1] = ~self.together[kind[:-1], kind[1:]]
+        del kind
         begin[-1] = True
         end = np.cumsum(np.fromiter(map(len, marked), np.int64, len(marked)))
         begin[end] = True
@@ -342,12 +344,14 @@ class Sampler:
         lat = self.lat
         text, chars, cut, count = self.parts(texts)
         flat = lat.numbers(text, chars, cut) if len(chars) else np.zeros(0, np.int64)
+        del text, chars, cut                        # batches are large: let go what is not needed any more
         n = len(texts)
         owner = np.repeat(np.arange(n), count)
         place = (np.arange(len(flat)) - np.repeat(np.cumsum(count) - count, count)).astype(_U)
         keys = fold(keys.astype(np.int64).view(_U) + _U(self.seed * 0xA0761D6478BD642F & 0xFFFFFFFFFFFFFFFF))
         row, step = lat.walk(lat.first[flat], keys[owner], 1, place)
         first = Paths(step, place[row].astype(np.int64), owner[row], n)
+        del row, step
         first.there = np.ones(n, bool)
         none = np.zeros(n)
         self._opened(first, keys, 3, -np.log(-np.log(uniform(keys, 2, np.zeros(n, _U)))), none.astype(np.int64), none)
