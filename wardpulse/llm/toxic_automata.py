@@ -37,7 +37,7 @@ from .common import Memory, arrow, land, pieces_of, resident
 from .piece_langid import held_out
 
 WORD = re.compile(r"[^\W\d_]+")
-#: Words that report speech, and words of address.
+#: Defaults of two parameters: words that report speech, and words of address.
 REPORTING = frozenset("said says wrote quoted called word term sagte schrieb zitiert dijo escribió dit écrit".split())
 ADDRESS = frozenset("you your u du dich dein ihr tu te vous toi tú usted ti".split())
 QUOTES = "\"'`«»“”„‘’"
@@ -134,9 +134,10 @@ class FuzzyLexicon:
 
 
 class Scorer:
-    def __init__(self, terms: list[tuple[str, bool]], fuzzy_from: int, window: int):
+    def __init__(self, terms: list[tuple[str, bool]], fuzzy_from: int, window: int,
+                 reporting: frozenset = REPORTING, address: frozenset = ADDRESS):
         self.lexicon = FuzzyLexicon(terms, fuzzy_from)
-        self.window = window
+        self.window, self.reporting, self.address = window, reporting, address
         self.memory = Memory(self.lexicon.match, MEMORY)
 
     def features(self, text: str | None) -> list[float]:
@@ -154,9 +155,9 @@ class Scorer:
                 continue
             around = words[max(0, k - self.window):k] + words[k + 1:k + 1 + self.window]
             marks = low[max(0, m.start() - 1):m.start()] + low[m.end():m.end() + 1]
-            if any(q in marks for q in QUOTES) or not REPORTING.isdisjoint(around):
+            if any(q in marks for q in QUOTES) or not self.reporting.isdisjoint(around):
                 quoted += 1
-            elif not ADDRESS.isdisjoint(around):
+            elif not self.address.isdisjoint(around):
                 addressed += 1
         hits = exact + fuzzy
         return [float(np.log1p(exact)), float(np.log1p(fuzzy)), float(exact > 0), quoted / hits, addressed / hits,
@@ -184,15 +185,17 @@ def _term_counts(train: DataFrame) -> DataFrame:
     return rows.groupBy("term", "stem").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def learn_lexicon(train: DataFrame, sizes: dict[int, int], most: int = 2000) -> list[tuple[str, bool]]:
+def learn_lexicon(train: DataFrame, sizes: dict[int, int]) -> list[tuple[str, bool]]:
     """Terms in at least 5 toxic documents (and 1 in 400) that are at least 20
     times as frequent there as elsewhere; a term that a shorter chosen stem
-    covers is left out, and a stem none of whose words is common stays a word."""
+    covers is left out, and a stem none of whose words is common stays a word. Every
+    term that meets these rules counts; as a document of the bounded sample holds a
+    bounded number of such terms, 400 times that number bounds the table."""
     counts = _term_counts(train)
     least = max(5, sizes[1] // 400)
     lift = ((F.col("n1") + 0.0) / sizes[1]) / ((F.col("n0") + 0.5) / sizes[0])
-    rows = (counts.where((F.col("n1") >= least) & (lift >= 20.0)).orderBy(F.desc("n1"), "term", "stem")
-            .limit(most).collect())     # the lexicon's size is its bound
+    rows = sorted(counts.where((F.col("n1") >= least) & (lift >= 20.0)).collect(),
+                  key=lambda r: (-r["n1"], r["term"], r["stem"]))
     support = {(r["term"], r["stem"]): r["n1"] for r in rows}
     stems: list[str] = []
     for (term, stem), n in sorted(support.items(), key=lambda x: (len(x[0][0]), x[0][0])):
@@ -222,13 +225,16 @@ def logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float = 1e-
     return w
 
 
-def _scorer(terms, fuzzy_from, window) -> Scorer:
-    return resident(("toxic_automata", tuple(terms), fuzzy_from, window), lambda: Scorer(terms, fuzzy_from, window))
+def _scorer(*how) -> Scorer:
+    terms, *rest = how
+    return resident(("toxic_automata", tuple(terms), *rest), lambda: Scorer(*how))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_docs: int = 8000, fuzzy_from: int = 5, window: int = 3,
-             id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """doc_id, held_out, score, predicted for every document."""
+             id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+             reporting: frozenset = REPORTING, address: frozenset = ADDRESS) -> DataFrame:
+    """doc_id, held_out, score, predicted for every document. ``reporting`` and
+    ``address`` are the words that speak for a quotation and for abuse."""
     docs = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     marks = (labels.select(labels["doc_id"].alias("doc_id"), labels[label_col].cast("int").alias("label"))
@@ -249,7 +255,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_docs: int = 8000, fuzzy_fro
     terms = learn_lexicon(train, have)
 
     def describe(batches):
-        scorer = _scorer(terms, fuzzy_from, window)
+        scorer = _scorer(terms, fuzzy_from, window, reporting, address)
         for batch in batches:
             got = [scorer.features(t) for t in batch.column(1).to_pylist()]
             cols = np.array(got).reshape(-1, FEATURES).T
@@ -267,7 +273,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_docs: int = 8000, fuzzy_fro
     weights = logistic(x, y, np.where(y == 1, sizes[1] / have[1], sizes[0] / have[0]))
 
     def score(batches):
-        scorer = _scorer(terms, fuzzy_from, window)
+        scorer = _scorer(terms, fuzzy_from, window, reporting, address)
         for batch in batches:
             for part in pieces_of(batch, "text", 8 << 20):
                 f = np.array([scorer.features(t) for t in part.column(2).to_pylist()]).reshape(-1, FEATURES)
