@@ -1,16 +1,19 @@
 """Token-ID output as ORC: integer run-length encoded id lists, row indexes
 and Bloom filters on the document id, read back stripe by stripe.
 
-Documents are range-partitioned by id into slices, sorted within a slice, encoded
-and written as one ORC file per slice: columns ``doc_id``, ``slice``,
+Documents are range-partitioned by id, and within an id by a hash of the text, into
+slices, so a hot id spreads over several; they are sorted within a slice, encoded and
+written as one ORC file per slice: columns ``doc_id``, ``slice``,
 ``local_start`` (ids before the document in its slice), ``n_tokens`` and
 ``ids``. ORC writes integers run-length encoded in stripes, keeps min/max row
 indexes and, for ``doc_id``, Bloom filters, so a filter on it skips stripes
-and row groups. A document's global ``start`` adds the slice totals (a few
-numbers per file) to its local start; no step sees all ids.
+and row groups. A document's global ``start`` adds the totals of the slices before to
+its local start; these are running sums in blocks of ``BLOCK`` slices, of the blocks'
+sums in blocks again, and so on, so no task sees the totals of all slices.
 
 A null text is an empty document (just the end id). Null document ids sort
-first. Rows that repeat an id stay, ordered among themselves by their text.
+first. Rows that repeat an id stay, ordered among themselves by a hash of their text,
+then by the text.
 Extra columns are left out. An empty table gives an empty table.
 """
 
@@ -26,8 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Memory, arrow, local_path, pieces_of, resident, shared_dir
+from .common import Memory, arrow, land, local_path, pieces_of, resident, shared_dir
 
+#: Slices (or blocks of them) that one running sum covers, and how often they are blocked again.
+BLOCK, LEVELS = 2048, 4
 #: Words that a generation of a worker's memory holds.
 MEMORY = 500_000
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
@@ -101,18 +106,18 @@ class WordEncoder:
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json", end_id: int = 1,
-              slice_bytes: int = 32 << 20, max_slices: int = 20_000, stripe_bytes: int = 16 << 20, row_stride: int = 1000,
+              slice_bytes: int = 32 << 20, stripe_bytes: int = 16 << 20, row_stride: int = 1000,
               bloom_fpp: float = 0.01, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text and write the ORC files at ``path``: slices of about
-    ``slice_bytes`` of text, larger ones if they would be over ``max_slices``."""
+    ``slice_bytes`` of text."""
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    slices = min(max_slices, max(1, -(-size // slice_bytes)))
+    slices = max(1, -(-size // slice_bytes))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("print")]
     # the slice number is written with the rows, so readers need not derive it again
-    dealt = (rows.repartitionByRange(slices, F.col("doc_id").asc_nulls_first())
-             .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-             .withColumn("slice", F.spark_partition_id()))
+    dealt = (rows.withColumn("print", F.xxhash64("text")).repartitionByRange(slices, *order)
+             .sortWithinPartitions(*order, "text").drop("print").withColumn("slice", F.spark_partition_id()))
 
     def run(batches):
         encode = resident(("orc_ids", tokenizer), lambda: WordEncoder(tokenizer)).encode
@@ -138,14 +143,27 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json",
      .option("orc.bloom.filter.fpp", str(bloom_fpp)).option("compression", "zstd").orc(path))
 
 
+def totals_before(totals: DataFrame, levels: int = LEVELS) -> DataFrame:
+    """(k, before): the sum of ``n`` over all smaller ``k``, from a row (k, n) per
+    number k. Running sums go over blocks of ``BLOCK`` neighbouring numbers, and the
+    blocks' sums are treated alike; ``levels`` blockings cover BLOCK ** levels numbers."""
+    block = F.floor(F.col("k") / BLOCK).cast("long")
+    run = Window.partitionBy(block).orderBy("k")
+    inner = totals.select("k", block.alias("b"), (F.sum("n").over(run) - F.col("n")).alias("before"))
+    if levels == 1:
+        return inner.select("k", "before")
+    above = totals_before(totals.groupBy(block.alias("k")).agg(F.sum("n").alias("n")), levels - 1)
+    return (inner.join(above.select(F.col("k").alias("b"), F.col("before").alias("more")), "b")
+            .select("k", (F.col("before") + F.col("more")).alias("before")))
+
+
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """The files' rows with each document's global ``start``. A filter on
     doc_id reaches the ORC reader (row indexes, Bloom filters)."""
     rows = spark.read.orc(path)
-    totals = rows.groupBy("slice").agg(F.sum("n_tokens").alias("_n"))
-    # one row of two numbers per slice of some 32 MB of text: small by construction
-    before = totals.select("slice", (F.sum("_n").over(Window.orderBy("slice")) - F.col("_n")).alias("_before"))
-    return (rows.join(F.broadcast(before), "slice")
+    totals = land(rows.groupBy(F.col("slice").cast("long").alias("k")).agg(F.sum("n_tokens").alias("n")), "totals")
+    before = totals_before(totals).select(F.col("k").cast("int").alias("slice"), F.col("before").alias("_before"))
+    return (rows.join(before, "slice")
             .withColumn("start", F.col("_before") + F.col("local_start")).drop("_before", "local_start"))
 
 
