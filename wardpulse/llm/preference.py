@@ -69,13 +69,24 @@ def format_preferences(turns: DataFrame, pair_col: str = "pair_id", chosen_col:
                         _text(F.col("rc")).alias("rejected"), _mask(F.col("rc")).alias("rejected_mask"))
 
 
-#: The same over the conversations table (even ids chosen, the next id rejected).
+#: The same over the conversations table: chosen as it is, rejected with the last assistant
+#: turn replaced by that of the conversation whose id differs in the last bit.
 ORACLE = """
-WITH t AS (
-  SELECT conv_id >> 1 AS pair_id, conv_id % 2 = 0 AS side, role, text,
+WITH la AS (
+  SELECT conv_id, turn AS at, text FROM conversations WHERE conv_id IS NOT NULL AND role = 'assistant'
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, text DESC NULLS LAST) = 1),
+src AS (
+  SELECT conv_id AS pair_id, true AS side, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL
+  SELECT c.conv_id, false, c.turn, c.role,
+         CASE WHEN c.role = 'assistant' AND c.turn = la.at AND o.conv_id IS NOT NULL THEN o.text ELSE c.text END
+  FROM conversations c LEFT JOIN la ON la.conv_id = c.conv_id LEFT JOIN la o ON o.conv_id = xor(c.conv_id, 1)
+  WHERE c.conv_id IS NOT NULL),
+t AS (
+  SELECT pair_id, side, role, text,
          '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10) AS shown,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos
-  FROM conversations WHERE conv_id IS NOT NULL),
+         row_number() OVER (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos
+  FROM src),
 matched AS (
   SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, coalesce(c.pos, r.pos) AS pos,
          c.pos IS NOT NULL AND r.pos IS NOT NULL AND c.role IS NOT DISTINCT FROM r.role

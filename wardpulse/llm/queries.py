@@ -71,9 +71,18 @@ def op4_suffix_rules(spark, sf_dir):
 
 @query
 def op8_preference(spark, sf_dir):
+    """Pairs of one conversation: as it is, and with its last assistant turn replaced
+    by that of the conversation whose id differs in the last bit (if there is one)."""
     turns = table(spark, sf_dir, "conversations").where("conv_id is not null")
-    pairs = (turns.withColumn("pair_id", F.shiftright("conv_id", 1))
-             .withColumn("is_chosen", F.pmod("conv_id", F.lit(2)) == 0))
+    last = (turns.where("role = 'assistant'").groupBy("conv_id")
+            .agg(F.max(F.struct("turn", "text")).alias("last")).select("conv_id", "last.*"))
+    other = last.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("text").alias("other"), F.lit(True).alias("has"))
+    swap = last.select("conv_id", F.col("turn").alias("at")).join(other, "conv_id")
+    changed = turns.join(swap, "conv_id", "left")
+    here = (F.col("role") == "assistant") & (F.col("turn") == F.col("at")) & F.col("has")
+    rejected = changed.withColumn("text", F.when(here, F.col("other")).otherwise(F.col("text"))).select(*turns.columns)
+    pairs = (turns.withColumn("is_chosen", F.lit(True)).unionAll(rejected.withColumn("is_chosen", F.lit(False)))
+             .withColumnRenamed("conv_id", "pair_id"))
     return format_preferences(pairs)
 
 
