@@ -127,6 +127,21 @@ def test_automaton_equals_edit_distance():
         assert lexicon.match(w) == (2 if exact else 1 if near else 0), w
 
 
+def test_context_windows_tell_quotation_from_abuse():
+    from wardpulse.llm.toxic_automata import Scorer
+    s = Scorer([("blorg", False), ("zwickel", True)], 5, 3)
+    #           text -> share of quoted hits, share of addressed hits
+    for text, quoted, addressed in [
+            ("you are a blorg", 0, 1), ('he said the word "blorg" there', 1, 0), ("the «blorg» here", 1, 0),
+            ("she wrote blorg again", 1, 0), ("a b c d blorg e f g h", 0, 0), ("you one two three four blorg", 0, 0),
+            ("you blorg and he said blorg", 0.5, 0.5), ("you are a blorgg", 0, 1), ("du bist ein zwickelmann", 0, 1)]:
+        f = s.features(text)
+        assert (round(f[3], 2), round(f[4], 2)) == (quoted, addressed), text
+    own = Scorer([("blorg", False)], 5, 3, reporting=frozenset(["quoth"]), address=frozenset(["thou"]))
+    assert own.features("thou blorg")[4] == 1 and own.features("you blorg")[4] == 0 and own.features("quoth blorg")[3] == 1
+    assert s.features("word " * 50_000 + "blorg")[0] > 0 and s.features(None) == [0.0] * 6
+
+
 def test_toxicity_held_out(spark):
     docs, labels = (table(spark, "/root/testdata/sf0.1", x) for x in ("documents", "labels"))
     rows = toxicity(docs, labels).where("held_out").join(labels, "doc_id").collect()

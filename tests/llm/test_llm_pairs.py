@@ -227,6 +227,57 @@ def test_preferences_equal_oracle(spark, scratch):
         assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest(cols, cur.fetchall())[0]
 
 
+def test_preference_query_has_real_prefixes(spark):
+    """Both sides are one conversation up to its last assistant turn."""
+    rows = Q.QUERIES["op8_preference"](spark, SF_SMALL).collect()
+    assert all(r.paired for r in rows) and max(r.n_prefix_turns for r in rows) > 0
+    changed = [r for r in rows if r.chosen != r.rejected]
+    assert len(changed) > len(rows) // 2 and all(r.prompt and r.chosen_mask and r.rejected_mask for r in changed if r.n_prefix_turns)
+
+
+def test_links_run_through_rows_without_id(spark):
+    """A links with N and N with B, A does not link with B: one component, also
+    where N has no id; rows that share an id keep their own texts."""
+    words = [f"w{k}" for k in range(100)]
+    a, n, b = words, words[:97] + ["x1", "x2", "x3"], ["y1", "y2", "y3"] + words[3:97] + ["x1", "x2", "x3"]
+    rows = [(7, " ".join(a)), (None, " ".join(n)), (9, " ".join(b)), (9, "something else entirely it is"), (None, "alone without any id")]
+    schema = "doc_id long, text string"
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_jaccard_components(
+        spark.createDataFrame(rows, schema), n=4, percent=85).collect()), key=str)
+    assert got == sorted([(7, 97, 7), (None, 97, 7), (9, 97, 7), (9, 2, 9), (None, 1, None)], key=str)
+
+
+def test_copies_and_near_copies_in_large_groups(spark):
+    """A base with many near copies that do not link with each other, exact copies,
+    and strangers: brute force."""
+    rng = np.random.default_rng(21)
+    base = [f"b{k}" for k in range(200)]
+    rows = []
+    for k in range(120):
+        own = list(base)
+        for at in rng.integers(0, 200, int(rng.integers(0, 5))):
+            own[at] = f"c{k}_{at}"
+        rows.append((k, " ".join(own)))
+    rows += [(200 + k, rows[3][1]) for k in range(40)]
+    rows += [(300 + k, " ".join(f"s{x}" for x in rng.integers(0, 500, 60))) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    want = _components(_sets(rows, 4), 85)
+    assert {r.doc_id: r.component_id for r in ngram_jaccard_components(df, n=4, percent=85).collect()} == want
+
+
+def test_pipeline_keeps_other_texts_of_one_id(spark, tmp_path):
+    """Near duplicates: rows of one id with texts that are not linked stay, repeated
+    rows and copies go, whichever ids they have."""
+    one, two = " ".join(f"a{k}" for k in range(60)), " ".join(f"z{k}" for k in range(60))
+    rows = [(1, one, "en", "s", 1), (1, two, "en", "s", 1), (1, one, "en", "s", 1), (2, one, "fr", "t", 1), (None, two, "en", "s", 1),
+            (None, "a lonely text without an id here", "en", "s", 1), (3, "", "en", "s", 1), (3, "", "en", "s", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, df, "")
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(
+        [(1, one), (1, two), (None, "a lonely text without an id here"), (3, ""), (3, "")], key=str)
+
+
 def test_preferences_masks(spark):
     rows = [(1, True, 0, "user", "hi"), (1, True, 1, "assistant", "yes"), (1, False, 0, "user", "hi"),
             (1, False, 1, "assistant", "no"), (2, True, 0, "assistant", None), (None, True, 0, "user", "x")]

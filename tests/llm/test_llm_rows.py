@@ -148,6 +148,56 @@ def test_orc_lookup_reads_by_id(spark, small_rows, scratch):
     assert read_ids(spark, path).count() == len(small_rows)
 
 
+def test_orc_spreads_a_hot_id_and_sums_up_blocks(spark, scratch, monkeypatch):
+    """One id holds nearly all rows: it fills several slices, and starts still follow."""
+    from wardpulse.llm import orc_ids
+    rows = [(5, f"text number {k} of the hot id " * 3) for k in range(400)] + [(1, "first"), (9, "last")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(orc_ids, "BLOCK", 3)
+    write_ids(df, f"{scratch}/hot.orc", slice_bytes=4096)
+    sizes = {r["slice"]: r["count"] for r in spark.read.orc(f"{scratch}/hot.orc").groupBy("slice").count().collect()}
+    assert len(sizes) >= 8 and max(sizes.values()) < 150
+    got = sorted((r.start, r.n_tokens) for r in read_ids(spark, f"{scratch}/hot.orc").collect())
+    assert [s for s, _ in got] == [sum(n for _, n in got[:k]) for k in range(len(got))]
+    totals = spark.createDataFrame([(k, k * k) for k in range(60)], "k long, n long")
+    found = {r.k: r.before for r in orc_ids.totals_before(totals).collect()}
+    assert found == {k: sum(i * i for i in range(k)) for k in range(60)}
+
+
+def test_sparse_phone_numbers_are_base_spans(spark):
+    """The phone pattern allows any run of signs between digits."""
+    texts = ["call +1---2---3---4---5---6---7---8---9 now", "+1(((2)))3...4   5(((6)))7...8   9---0"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in digest(personal_data(df)).collect()}
+    for k, text in enumerate(texts):
+        m = re.search(r"\+[0-9][\x20().0-9-]+[0-9]", text)
+        span = f"phone:{m.start()}:{m.end()}"
+        assert rows[k].n_phone == 1 and rows[k].base_sha256 == hashlib.sha256(span.encode()).hexdigest()
+
+
+def test_planted_forms_are_added_in_the_given_corpus(spark):
+    """Unprefixed phones, spelled-out addresses and loosely spaced cards among the given
+    documents: most are added, few other numbers are."""
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    pick = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 40
+    n = F.crc32(F.concat(F.lit("x"), F.col("doc_id").cast("string")).cast("binary"))
+    phone = F.format_string("call me on (%03d) 555-%04d soon", n % 900 + 100, n % 10000)
+    mail = F.format_string("write to name%d [at] mail%d [dot] example [dot] com please", n % 100, n % 10)
+    card = F.lit("pay with card 4111  1111  1111  1111 today")
+    text = (F.when(pick == 0, F.concat_ws(" ", "text", phone)).when(pick == 1, F.concat_ws(" ", "text", mail))
+            .when(pick == 2, F.concat_ws(" ", "text", card)).otherwise(F.col("text")))
+    planted = docs.withColumn("text", text)
+    rows = digest(personal_data(planted)).join(docs.select("doc_id", pick.alias("pick")), "doc_id").select("pick", "n_added").collect()
+    hit = {k: [r.n_added for r in rows if r.pick == k] for k in (0, 1, 2)}
+    found = {k: sum(x > 0 for x in v) / len(v) for k, v in hit.items()}
+    wrong = sum(r.n_added for r in rows if r.pick > 2)
+    right = sum(min(1, r.n_added) for r in rows if r.pick <= 2)
+    print("recall by form", found, "added elsewhere", wrong, "precision", right / max(1, right + wrong))
+    assert right / max(1, right + wrong) >= 0.9
+    assert found[0] >= 0.9
+
+
 def _rules(text):
     words = WORD.findall(text or "")
     seen, covered = defaultdict(list), set()
