@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from wardpulse.functions import geo
-from wardpulse.operators.spatial import locate_points, nearest_point, points_in_polygons
+from wardpulse.operators.spatial import cell_index, locate_points, nearest_point, points_in_polygons
 
 
 def polys(spark):
@@ -81,3 +81,135 @@ def test_nearest_point_far_and_sparse(spark):
         assert abs(got[k] - min(hav(x, y, 77.21, 28.61), hav(x, y, 77.10, 28.70))) < 1e-9
     empty = spark.createDataFrame([], "longitude double, latitude double")
     assert all(r.nearest_km is None for r in nearest_point(L, empty, "k").collect())
+
+
+def _hav(a, b, c, d):
+    p1, p2 = math.radians(b), math.radians(d)
+    h = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin((math.radians(c) - math.radians(a)) / 2) ** 2
+    return 2 * 6371.0088 * math.asin(math.sqrt(min(1.0, h)))
+
+
+def test_nearest_point_across_the_180th_meridian(spark):
+    R = spark.createDataFrame([(-179.9, 0.0), (178.0, 0.0)], "longitude double, latitude double")
+    L = spark.createDataFrame([(1, 179.9, 0.0), (2, -178.5, 1.0), (3, 90.0, 89.5)], "k int, longitude double, latitude double")
+    got = {r.k: r.nearest_km for r in nearest_point(L, R, "k").collect()}
+    assert abs(got[1] - _hav(179.9, 0, -179.9, 0)) < 1e-9 and got[1] < 23
+    assert abs(got[2] - _hav(-178.5, 1, -179.9, 0)) < 1e-9
+    assert abs(got[3] - min(_hav(90, 89.5, -179.9, 0), _hav(90, 89.5, 178, 0))) < 1e-9
+
+
+def test_nearest_point_keeps_one_row_for_each_left_row(spark):
+    """Repeated keys and rows, rows without a place, repeated targets."""
+    L = spark.createDataFrame([(1, 77.5, 12.9), (1, 77.6, 12.8), (2, 77.5, 12.9), (2, 77.5, 12.9), (3, None, 12.9)],
+                              "k int, longitude double, latitude double")
+    R = spark.createDataFrame([(77.4, 12.9)] * 40 + [(77.7, 12.8), (None, 1.0)], "longitude double, latitude double")
+    got = sorted((r.k, r.longitude is None, round(r.nearest_km or -1, 9)) for r in nearest_point(L, R, "k").collect())
+    a, b = round(_hav(77.5, 12.9, 77.4, 12.9), 9), round(_hav(77.6, 12.8, 77.7, 12.8), 9)
+    assert got == sorted([(1, False, a), (1, False, b), (2, False, a), (2, False, a), (3, True, -1)])
+
+
+def test_nearest_point_work_stays_near_linear_with_a_far_dense_cluster(spark):
+    """No row meets the whole cluster: 2,000 targets in a far city, 400 rows here."""
+    rnd = random.Random(4)
+    left = [(i, 77.0 + rnd.random(), 12.5 + rnd.random()) for i in range(400)]
+    right = [(77.1 + rnd.random() * 0.3, 28.4 + rnd.random() * 0.3) for _ in range(2000)]
+    L = spark.createDataFrame(left, "k int, longitude double, latitude double")
+    R = spark.createDataFrame(right, "longitude double, latitude double")
+    rows = nearest_point(L, R, "k", work="work").collect()
+    for r in rows[::20]:
+        assert abs(r.nearest_km - min(_hav(r.longitude, r.latitude, x, y) for x, y in right)) < 1e-9
+    assert sum(r.work for r in rows) < 400 * 2000 * 0.25
+    near = [(i, 77.1 + rnd.random() * 0.3, 28.4 + rnd.random() * 0.3) for i in range(400)]
+    rows = nearest_point(spark.createDataFrame(near, L.schema), R, "k", work="work").collect()
+    assert sum(r.work for r in rows) < 400 * 2000 * 0.1
+
+
+def test_nearest_point_to_few_targets_needs_no_join(spark):
+    """Some hundred targets: one level, a map over the left rows; the plan shuffles none of them."""
+    rnd = random.Random(8)
+    L = spark.createDataFrame([(i, 77 + rnd.random(), 12.5 + rnd.random()) for i in range(50)], "k int, longitude double, latitude double")
+    targets = [(77 + rnd.random() * 0.6, 12.5 + rnd.random() * 0.6) for _ in range(150)]
+    R = spark.createDataFrame(targets, "longitude double, latitude double")
+    found = nearest_point(L, R, "k")
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("Subquery")[0]
+    assert "Join" not in plan.split("scalar-subquery")[0] and "Window" not in plan
+    for r in found.collect():
+        assert abs(r.nearest_km - min(_hav(r.longitude, r.latitude, x, y) for x, y in targets)) < 1e-9
+
+
+def _star(rnd, n, x, y, r):
+    """A ring of n corners around a point, at changing distance: concave."""
+    angles = [2 * math.pi * k / n for k in range(n)]
+    return [(x + r * (0.4 + 0.6 * rnd.random()) * math.cos(a), y + r * (0.4 + 0.6 * rnd.random()) * math.sin(a)) for a in angles]
+
+
+def _wards(spark, shapes):
+    rows = [(i, f"w{i}", [[{"x": x, "y": y} for x, y in ring] for ring in rings]) for i, rings in shapes]
+    return spark.createDataFrame(rows, "ward_id int, ward_name string, rings array<array<struct<x:double,y:double>>>")
+
+
+def _even_odd(rings, x, y):
+    odd = False
+    for ring in rings:
+        for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]):
+            if (ay > y) != (by > y) and x < ax + (bx - ax) * (y - ay) / (by - ay):
+                odd = not odd
+    return odd
+
+
+def test_clipped_cells_equal_brute_force_on_rough_polygons(spark):
+    """Concave rings, a hole, overlapping wards, two wards with one id, several cell sizes."""
+    rnd = random.Random(5)
+    outer, hole = _star(rnd, 90, 77.5, 12.9, 0.2), _star(rnd, 20, 77.5, 12.9, 0.05)
+    shapes = [(1, [outer, hole]), (2, [_star(rnd, 60, 77.6, 12.95, 0.15)]), (3, [_star(rnd, 7, 77.9, 13.2, 0.03)]),
+              (3, [_star(rnd, 5, 77.2, 12.7, 0.02)]), (4, [[(77.0, 12.5), (77.1, 12.5), (77.1, 12.6), (77.0, 12.6)]])]
+    places = [(i, 77.0 + rnd.random(), 12.5 + rnd.random()) for i in range(1500)]
+    P = spark.createDataFrame(places, "pid int, longitude double, latitude double")
+    want = sorted((p, i) for p, x, y in places for i, rings in shapes if _even_odd(rings, x, y))
+    assert len(want) > 100
+    for cell in (0.007, 0.05, 0.6):
+        got = points_in_polygons(P, _wards(spark, shapes), how="inner", cell=cell).collect()
+        assert sorted((r.pid, r.ward_id) for r in got) == want, cell
+
+
+def test_cell_index_holds_few_edges_and_no_rings(spark):
+    """A ring of 4,000 corners over thousands of cells: no cell carries more than a
+    small part of it, and inner cells carry nothing."""
+    ring = [(77.5 + 0.4 * math.cos(2 * math.pi * k / 4000), 12.9 + 0.4 * math.sin(2 * math.pi * k / 4000)) for k in range(4000)]
+    index = cell_index(_wards(spark, [(1, [ring])]), cell=0.01)
+    cells = [(c["whole"], len(c["edges"])) for r in index.collect() for c in r["inside"]]
+    inner = [n for whole, n in cells if whole]
+    edge = [n for whole, n in cells if not whole]
+    assert len(inner) > 4000 and max(inner) == 0
+    assert max(edge) < 300 and sum(edge) < 20 * 4000
+    assert "rings" not in index.schema.simpleString()
+
+
+def test_locate_points_equals_brute_force_distance(spark):
+    rnd = random.Random(6)
+    shapes = [(i, [_star(rnd, 12, 77.0 + 0.05 * (i % 5), 12.5 + 0.05 * (i // 5), 0.03)]) for i in range(25)]
+    places = [(i, 76.95 + 0.3 * rnd.random(), 12.45 + 0.3 * rnd.random()) for i in range(600)]
+    P = spark.createDataFrame(places, "pid int, longitude double, latitude double")
+    km = 6371.0088 * math.pi / 180
+
+    def far(ring, x, y):
+        best = 1e9
+        for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]):
+            kx = math.cos(math.radians(y)) * km
+            ux, uy, wx, wy = (bx - ax) * kx, (by - ay) * km, (x - ax) * kx, (y - ay) * km
+            t = max(0.0, min(1.0, (wx * ux + wy * uy) / (ux * ux + uy * uy)))
+            best = min(best, math.hypot(wx - t * ux, wy - t * uy))
+        return best
+
+    got = {r.pid: (r.ward_id, r.match) for r in locate_points(P, _wards(spark, shapes), snap_km=0.5).collect()}
+    assert len(got) == 600
+    seen = set()
+    for p, x, y in places:
+        inside = [i for i, rings in shapes if _even_odd(rings, x, y)]
+        near = min((far(rings[0], x, y), i) for i, rings in shapes)
+        want = (min(inside), "contains") if inside else (near[1], "nearest") if near[0] <= 0.5 else (None, None)
+        assert got[p] == want
+        seen.add(want[1])
+    assert seen == {"contains", "nearest", None}
+    only = {r.pid: (r.ward_id, r.match) for r in locate_points(P, _wards(spark, shapes), snap_km=None).collect()}
+    assert all(only[p] == (got[p] if got[p][1] == "contains" else (None, None)) for p in got)

@@ -35,40 +35,46 @@ def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column,
     return 2 * radius_km * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
 
 
-def _edge(r: Column, i: Column):
-    a = r[i]
-    b = r[(i + 1) % F.size(r)]
-    return a["x"], a["y"], b["x"], b["y"]
+def ring_edges(rings: Column) -> Column:
+    """All edges of all rings as structs (ax, ay, bx, by); a ring closes itself."""
+    def of(r: Column) -> Column:
+        return F.transform(r, lambda a, i: F.struct(
+            a["x"].alias("ax"), a["y"].alias("ay"), r[(i + 1) % F.size(r)]["x"].alias("bx"),
+            r[(i + 1) % F.size(r)]["y"].alias("by")))
+    return F.flatten(F.transform(rings, of))
 
 
-def _crosses(r: Column, i: Column, x: Column, y: Column) -> Column:
-    ax, ay, bx, by = _edge(r, i)
+def _crosses(e: Column, x: Column, y: Column) -> Column:
+    ax, ay, bx, by = (e[c] for c in ("ax", "ay", "bx", "by"))
     straddles = (ay > y) != (by > y)
     # x < ax + (bx-ax)(y-ay)/(by-ay), written without a division
     left_of = ((x - ax) * (by - ay) - (bx - ax) * (y - ay)) * F.signum(by - ay) < 0
     return straddles & left_of
 
 
-def _on_edge(r: Column, i: Column, x: Column, y: Column) -> Column:
-    ax, ay, bx, by = _edge(r, i)
+def _on_edge(e: Column, x: Column, y: Column) -> Column:
+    ax, ay, bx, by = (e[c] for c in ("ax", "ay", "bx", "by"))
     collinear = (bx - ax) * (y - ay) - (by - ay) * (x - ax) == 0
     return (collinear & (x >= F.least(ax, bx)) & (x <= F.greatest(ax, bx))
             & (y >= F.least(ay, by)) & (y <= F.greatest(ay, by)))
 
 
-def _edges(r: Column) -> Column:
-    return F.sequence(F.lit(0), F.size(r) - 1)
+def odd_crossings(start: Column, edges: Column, x: Column, y: Column) -> Column:
+    """``start``, turned over by each edge that the ray to +x crosses."""
+    return F.aggregate(edges, start, lambda acc, e: acc != _crosses(e, x, y))
+
+
+def on_edges(edges: Column, x: Column, y: Column) -> Column:
+    return F.exists(edges, lambda e: _on_edge(e, x, y))
 
 
 def even_odd(rings: Column, x: Column, y: Column) -> Column:
     """Odd number of ring-edge crossings of the ray to +x."""
-    return F.aggregate(rings, F.lit(False),
-                       lambda acc, r: acc != F.aggregate(_edges(r), F.lit(False),
-                                                         lambda a, i: a != _crosses(r, i, x, y)))
+    return odd_crossings(F.lit(False), ring_edges(rings), x, y)
 
 
 def on_boundary(rings: Column, x: Column, y: Column) -> Column:
-    return F.exists(rings, lambda r: F.exists(_edges(r), lambda i: _on_edge(r, i, x, y)))
+    return on_edges(ring_edges(rings), x, y)
 
 
 def contains(rings: Column, x: Column, y: Column) -> Column:
@@ -76,8 +82,8 @@ def contains(rings: Column, x: Column, y: Column) -> Column:
     return even_odd(rings, x, y) & ~on_boundary(rings, x, y)
 
 
-def _seg_dist_km(r: Column, i: Column, x: Column, y: Column) -> Column:
-    ax, ay, bx, by = _edge(r, i)
+def _seg_dist_km(e: Column, x: Column, y: Column) -> Column:
+    ax, ay, bx, by = (e[c] for c in ("ax", "ay", "bx", "by"))
     kx = F.cos(F.radians(y)) * KM_PER_DEG
     ky = F.lit(KM_PER_DEG)
     ux, uy = (bx - ax) * kx, (by - ay) * ky
@@ -88,13 +94,14 @@ def _seg_dist_km(r: Column, i: Column, x: Column, y: Column) -> Column:
     return F.sqrt(dx * dx + dy * dy)
 
 
+def edges_distance_km(edges: Column, x: Column, y: Column) -> Column:
+    """Distance from a point to the nearest of some edges."""
+    return F.aggregate(edges, F.lit(None).cast("double"), lambda a, e: F.least(a, _seg_dist_km(e, x, y)))
+
+
 def polygon_distance_km(rings: Column, x: Column, y: Column) -> Column:
     """G-4 distance from a point to a polygon, 0 inside (boundary counts as 0)."""
-    edge_min = F.aggregate(
-        rings, F.lit(None).cast("double"),
-        lambda acc, r: F.least(acc, F.aggregate(_edges(r), F.lit(None).cast("double"),
-                                                 lambda a, i: F.least(a, _seg_dist_km(r, i, x, y)))))
-    return F.when(even_odd(rings, x, y), F.lit(0.0)).otherwise(edge_min)
+    return F.when(even_odd(rings, x, y), F.lit(0.0)).otherwise(edges_distance_km(ring_edges(rings), x, y))
 
 
 def in_bbox(x: Column, y: Column, west, south, east, north) -> Column:

@@ -1,61 +1,120 @@
-"""Spatial joins on a cell index.
-
-Polygons are cut into grid cells (cell size in degrees); each cell carries the
-array of wards whose (optionally grown) bounding box touches it. Points join
-that index on (cx, cy) -- an equi-join, so Spark picks a broadcast hash join
-when the index is small (AQE checks the runtime size) and a sort-merge join
-with skew splitting otherwise. Exact tests then run on the handful of
-candidates with higher-order functions: one row per point in, no pair
-explosion, no Python.
+"""Spatial joins: a clipped-edge cell index for polygons, a pyramid of cells for
+nearest points.
+
+Polygons are cut by a grid (cell size in degrees). A cell that lies wholly inside
+a polygon says so and needs no test; a cell at its boundary carries the few edges
+that a ray from inside the cell can cross, and whether an odd number of edges
+farther right is crossed by every such ray. No cell holds a ring. Points join the
+index on (cx, cy) -- an equi-join, so Spark picks a broadcast hash join when the
+index is small (AQE checks the runtime size) and a sort-merge join with skew
+splitting otherwise. Exact tests then run with higher-order functions on what the
+cell carries: one row per point in, no pair explosion, no Python.
+
+Nearest points are found by branch and bound on a pyramid of cells over the target
+points, without a loop over results: see :func:`nearest_point`.
 """
 
 from __future__ import annotations
 
-from itertools import count
+import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardpulse.functions import geo
 
 DEFAULT_CELL_DEG = 0.01
+#: Rounding margin of cell borders, as a share of the cell.
+_MARGIN = 1e-9
 
 
 def _cell(v: Column, cell: float) -> Column:
     return F.floor(v / F.lit(cell)).cast("bigint")
 
 
-def cell_index(polys: DataFrame, cell: float = DEFAULT_CELL_DEG, grow_km: float = 0.0,
-               id_col: str = "ward_id", carry: tuple[str, ...] = ("ward_name",)) -> DataFrame:
-    """(cx, cy) -> array of candidate polygons whose bbox, grown by ``grow_km``,
-    touches the cell. Size grows with wards x cells, not with points."""
-    gy = grow_km / geo.KM_PER_DEG
-    lat_max = F.greatest(F.abs(F.col("min_y")), F.abs(F.col("max_y")))
-    gx = F.lit(grow_km) / (F.lit(geo.KM_PER_DEG) * F.cos(F.radians(F.least(lat_max + gy, F.lit(89.0)))))
-    cand = F.struct(F.col(id_col).alias("id"), *[F.col(c) for c in carry], F.col("rings"),
-                    F.col("min_x"), F.col("min_y"), F.col("max_x"), F.col("max_y"))
-    return (polys
-            .select(cand.alias("cand"),
-                    F.explode(F.sequence(_cell(F.col("min_x") - gx, cell),
-                                         _cell(F.col("max_x") + gx, cell))).alias("cx"),
-                    F.sequence(_cell(F.col("min_y") - gy, cell),
-                               _cell(F.col("max_y") + gy, cell)).alias("_cys"))
-            .select("cand", "cx", F.explode("_cys").alias("cy"))
-            .groupBy("cx", "cy").agg(F.collect_list("cand").alias("cands")))
+def _cells(lo: Column, hi: Column, cell: float) -> Column:
+    """The numbers of the cells that a stretch touches, margins included."""
+    e = cell * _MARGIN
+    return F.sequence(_cell(lo - e, cell), _cell(hi + e, cell))
+
+
+def _edges_of(polys: DataFrame, id_col: str, carry: tuple[str, ...]) -> DataFrame:
+    """A row (poly, who, e) per ring edge; ``poly`` numbers the polygons, as ids
+    may repeat."""
+    who = F.struct(F.col(id_col).alias("id"), *[F.col(c) for c in carry]).alias("who")
+    # numbered first: in one step with the explode each edge would get a number
+    numbered = polys.select(F.monotonically_increasing_id().alias("poly"), who, geo.ring_edges(F.col("rings")).alias("es"))
+    return numbered.select("poly", "who", F.explode("es").alias("e"))
 
 
-def _with_cell(points: DataFrame, x: str, y: str, cell: float) -> DataFrame:
-    return points.withColumn("_cx", _cell(F.col(x), cell)).withColumn("_cy", _cell(F.col(y), cell))
+def cell_index(polys: DataFrame, cell: float = DEFAULT_CELL_DEG, id_col: str = "ward_id",
+               carry: tuple[str, ...] = ("ward_name",)) -> DataFrame:
+    """(cx, cy) -> ``inside``, an array of (who, whole, flip, edges) for the polygons
+    that meet the cell. Its size grows with the cells polygons cover and with their
+    edges in the rows of boundary cells, not with points."""
+    e = cell * _MARGIN
+    edge = F.col("e")
+    lo_x, hi_x = F.least("e.ax", "e.bx"), F.greatest("e.ax", "e.bx")
+    # the edges of a polygon in one row of cells
+    rows = (_edges_of(polys, id_col, carry)
+            .select("poly", "who", edge, F.explode(_cells(F.least("e.ay", "e.by"), F.greatest("e.ay", "e.by"), cell))
+                    .alias("cy"))
+            .groupBy("poly", "cy").agg(F.first("who").alias("who"), F.collect_list("e").alias("row"),
+                                       F.min(lo_x).alias("min_x"), F.max(hi_x).alias("max_x")))
+    x0, x1 = F.col("cx") * cell - e, (F.col("cx") + 1) * cell + e
+    y0, y1 = F.col("cy") * cell - e, (F.col("cy") + 1) * cell + e
+    right = F.filter("row", lambda s: F.greatest(s["ax"], s["bx"]) >= x0)
+
+    def beyond(s: Column) -> Column:
+        """Right of the cell and crossed by the ray from any of its points."""
+        return ((F.least(s["ax"], s["bx"]) > x1) & (F.least(s["ay"], s["by"]) <= y0)
+                & (F.greatest(s["ay"], s["by"]) >= y1))
+
+    cells = (rows.select("who", "row", "cy", F.explode(_cells(F.col("min_x"), F.col("max_x"), cell)).alias("cx"))
+             .withColumn("right", right)
+             .withColumn("touched", F.exists("right", lambda s: F.least(s["ax"], s["bx"]) <= x1))
+             .withColumn("flip", F.size(F.filter("right", beyond)) % 2 == 1)
+             .withColumn("edges", F.filter("right", lambda s: ~beyond(s)))
+             .withColumn("whole", ~F.col("touched") & geo.odd_crossings(
+                 F.col("flip"), F.col("edges"), (F.col("cx") + 0.5) * cell, (F.col("cy") + 0.5) * cell))
+             .where("touched or whole"))
+    held = F.struct("who", "whole", "flip", F.when(F.col("touched"), F.col("edges"))
+                    .otherwise(F.slice("edges", F.lit(1), F.lit(0))).alias("edges"))
+    return cells.groupBy("cx", "cy").agg(F.collect_list(held).alias("inside"))
+
+
+def near_index(polys: DataFrame, cell: float, grow_km: float, id_col: str = "ward_id",
+               carry: tuple[str, ...] = ("ward_name",)) -> DataFrame:
+    """(cx, cy) -> ``near``, an array of (who, edges): the polygons with an edge whose
+    box, grown by ``grow_km``, touches the cell, with these edges only."""
+    gy = grow_km / geo.KM_PER_DEG
+    far = F.least(F.greatest(F.abs(F.col("e.ay")), F.abs(F.col("e.by"))) + gy, F.lit(89.0))
+    gx = F.lit(grow_km) / (F.lit(geo.KM_PER_DEG) * F.cos(F.radians(far)))
+    lo_x, hi_x = F.least("e.ax", "e.bx"), F.greatest("e.ax", "e.bx")
+    lo_y, hi_y = F.least("e.ay", "e.by"), F.greatest("e.ay", "e.by")
+    return (_edges_of(polys, id_col, carry)
+            .select("poly", "who", "e", F.explode(_cells(lo_x - gx, hi_x + gx, cell)).alias("cx"),
+                    _cells(lo_y - gy, hi_y + gy, cell).alias("_cys"))
+            .select("poly", "who", "e", "cx", F.explode("_cys").alias("cy"))
+            .groupBy("cx", "cy", "poly").agg(F.first("who").alias("who"), F.collect_list("e").alias("edges"))
+            .groupBy("cx", "cy").agg(F.collect_list(F.struct("who", "edges")).alias("near")))
 
 
 def _join_index(points: DataFrame, index: DataFrame, x: str, y: str, cell: float) -> DataFrame:
-    p = _with_cell(points, x, y, cell)
+    p = points.withColumn("_cx", _cell(F.col(x), cell)).withColumn("_cy", _cell(F.col(y), cell))
     # a plain equi-join on the cell: its runtime size tells AQE whether to broadcast
     # the index or to split hot cells
     idx = index.withColumnRenamed("cx", "_cx").withColumnRenamed("cy", "_cy")
     return p.join(idx, ["_cx", "_cy"], "left").drop("_cx", "_cy")
 
 
+def _inside(x: Column, y: Column) -> Column:
+    """The entries of ``inside`` whose polygon contains the point."""
+    return F.filter(F.coalesce(F.col("inside"), F.array()), lambda c: c["whole"] | (
+        geo.odd_crossings(c["flip"], c["edges"], x, y) & ~geo.on_edges(c["edges"], x, y)))
+
+
 def points_in_polygons(points: DataFrame, polys: DataFrame, x: str = "longitude",
                        y: str = "latitude", cell: float = DEFAULT_CELL_DEG,
                        how: str = "left", id_col: str = "ward_id",
@@ -63,15 +122,13 @@ def points_in_polygons(points: DataFrame, polys: DataFrame, x: str = "longitude"
     """J-6 ``points JOIN polys ON ST_Contains(geom, point)``: one output row per
     (point, containing polygon); with ``how='left'`` a point in no polygon
     keeps one row with NULL polygon columns. Points with NULL x/y never match."""
-    joined = _join_index(points, cell_index(polys, cell, 0.0, id_col, carry), x, y, cell)
-    X, Y = F.col(x), F.col(y)
-    hits = F.filter(F.coalesce(F.col("cands"), F.array()),
-                    lambda c: (X >= c["min_x"]) & (X <= c["max_x"]) & (Y >= c["min_y"])
-                    & (Y <= c["max_y"]) & geo.contains(c["rings"], X, Y))
-    gen = F.explode_outer if how == "left" else F.explode
-    out = joined.withColumn("_hit", gen(hits)).drop("cands")
+    joined = _join_index(points, cell_index(polys, cell, id_col, carry), x, y, cell)
+    # outer for both: a plain explode would first test each point's candidates once more, for their number
+    out = joined.withColumn("_hit", F.explode_outer(_inside(F.col(x), F.col(y)))).drop("inside")
+    if how != "left":
+        out = out.where("_hit is not null")
     return out.select(*[c for c in out.columns if c != "_hit"],
-                      F.col("_hit.id").alias(id_col), *[F.col(f"_hit.{c}").alias(c) for c in carry])
+                      F.col("_hit.who.id").alias(id_col), *[F.col(f"_hit.who.{c}").alias(c) for c in carry])
 
 
 def locate_points(points: DataFrame, polys: DataFrame, x: str = "longitude",
@@ -82,19 +139,21 @@ def locate_points(points: DataFrame, polys: DataFrame, x: str = "longitude",
     else (``snap_km``) the nearest ward within that distance, ties to the lowest
     id; else NULL. Adds ``ward_id``, carried columns and ``match``
     ('contains' / 'nearest' / NULL) and ``distance_km``."""
-    grow = snap_km or 0.0
-    joined = _join_index(points, cell_index(polys, cell, grow, id_col, carry), x, y, cell)
     X, Y = F.col(x), F.col(y)
-    cands = F.coalesce(F.col("cands"), F.array())
-    inside = F.filter(cands, lambda c: (X >= c["min_x"]) & (X <= c["max_x"]) & (Y >= c["min_y"])
-                      & (Y <= c["max_y"]) & geo.contains(c["rings"], X, Y))
-    best_in = F.array_min(F.transform(inside, lambda c: F.struct(c["id"].alias("k"), c.alias("c"))))
-    near = F.transform(cands, lambda c: F.struct(geo.polygon_distance_km(c["rings"], X, Y).alias("d"),
-                                                  c["id"].alias("k"), c.alias("c")))
-    best_near = F.array_min(F.filter(near, lambda s: s["d"] <= F.lit(grow))) if snap_km else F.lit(None)
-    res = (joined.withColumn("_in", best_in)
-           .withColumn("_near", F.when(F.col("_in").isNull(), best_near))
-           .drop("cands"))
+    joined = _join_index(points, cell_index(polys, cell, id_col, carry), x, y, cell)
+    best_in = F.array_min(F.transform(_inside(X, Y), lambda c: F.struct(c["who"]["id"].alias("k"), c["who"].alias("c"))))
+    res = joined.withColumn("_in", best_in).drop("inside")
+    if snap_km:
+        res = _join_index(res, near_index(polys, cell, snap_km, id_col, carry), x, y, cell)
+        near = F.transform(F.coalesce(F.col("near"), F.array()), lambda c: F.struct(
+            geo.edges_distance_km(c["edges"], X, Y).alias("d"), c["who"]["id"].alias("k"), c["who"].alias("c")))
+        best_near = F.array_min(F.filter(near, lambda s: s["d"] <= F.lit(snap_km)))
+        res = res.withColumn("_near", F.when(F.col("_in").isNull(), best_near)).drop("near")
+    else:
+        nothing = ("cast(null as struct<d: double, k: bigint, c: struct<" +
+                   ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in res.schema["_in"].dataType["c"].dataType)
+                   + ">>)")
+        res = res.withColumn("_near", F.expr(nothing))
     pick = F.coalesce(F.col("_in.c"), F.col("_near.c"))
     return res.select(*[c for c in res.columns if c not in ("_in", "_near")],
                       pick["id"].alias(id_col), *[pick[c].alias(c) for c in carry],
@@ -104,80 +163,173 @@ def locate_points(points: DataFrame, polys: DataFrame, x: str = "longitude",
                        .otherwise(F.col("_near.d")).alias("distance_km"))
 
 
+# ------------------------------------------------------------------ nearest points
+
+#: The pyramid: cells of the first level (degrees), children of a cell along one side,
+#: and the most points that a cell holds itself instead of being divided.
+TOP, FAN, HELD = 22.5, 8, 16
+#: Cells that a row may look at in its first step; more are reached through coarser ones.
+FIRST = 256
+
+
+def haversine_below(extent: tuple[str, str, str, str]):
+    """A lower bound (km) of the great-circle distance from a left row's extent to
+    any point of a box, also across the 180th meridian."""
+    min_x, min_y, max_x, max_y = (F.col(c) for c in extent)
+
+    def below(box: Column) -> Column:
+        lat = F.greatest(F.lit(0.0), box["y0"] - max_y, min_y - box["y1"])
+        lon = F.least(*[F.greatest(F.lit(0.0), box["x0"] + turn - max_x, min_x - box["x1"] - turn)
+                        for turn in (-360.0, 0.0, 360.0)])
+        narrow = lambda a, b: F.cos(F.radians(F.least(F.greatest(F.abs(a), F.abs(b)), F.lit(90.0))))
+        h = (F.pow(F.sin(F.radians(F.least(lat, F.lit(180.0))) / 2), 2)
+             + narrow(min_y, max_y) * narrow(box["y0"], box["y1"])
+             * F.pow(F.sin(F.radians(F.least(lon, F.lit(180.0))) / 2), 2))
+        return 2 * geo.EARTH_RADIUS_KM * F.asin(F.sqrt(F.greatest(F.lit(0.0), F.least(F.lit(1.0), h)))) * (1 - 1e-9)
+
+    return below
+
+
+def plane_below(extent: tuple[str, str, str, str]):
+    """The same bound for the local equirectangular distance of G-4."""
+    min_x, min_y, max_x, max_y = (F.col(c) for c in extent)
+
+    def below(box: Column) -> Column:
+        lat = F.greatest(F.lit(0.0), box["y0"] - max_y, min_y - box["y1"])
+        lon = F.greatest(F.lit(0.0), box["x0"] - max_x, min_x - box["x1"])
+        narrow = F.cos(F.radians(F.least(F.greatest(F.abs(box["y0"]), F.abs(box["y1"])), F.lit(90.0))))
+        return F.sqrt(lat * lat + lon * lon * narrow * narrow) * geo.KM_PER_DEG * (1 - 1e-9)
+
+    return below
+
+
+def pyramid(points: DataFrame, levels: int) -> list[DataFrame]:
+    """Tables of cells from the coarsest level to the finest. A cell has the number of
+    its distinct points ``n``, their box, one of them (``one``) and, if it holds
+    ``HELD`` at most, all of them (``held``). Each level is summed up from the next
+    finer one; no cell gathers more than ``HELD`` points a child."""
+    fine = TOP / FAN ** (levels - 1)
+    own = points.withColumn("cx", _cell(F.col("px"), fine)).withColumn("cy", _cell(F.col("py"), fine))
+    p = F.struct(F.col("px").alias("x"), F.col("py").alias("y"))
+    cells = own.groupBy("cx", "cy").agg(
+        F.count(F.lit(1)).alias("n"), F.min("px").alias("x0"), F.min("py").alias("y0"), F.max("px").alias("x1"),
+        F.max("py").alias("y1"), F.min(p).alias("one"))
+    few = (own.join(cells.where(F.col("n") <= HELD).select("cx", "cy"), ["cx", "cy"], "left_semi")
+           .groupBy("cx", "cy").agg(F.collect_list(p).alias("held")))
+    cells = cells.join(few, ["cx", "cy"], "left")
+    out = [cells]
+    for _ in range(levels - 1):
+        up = lambda c: F.floor(F.col(c) / FAN).cast("bigint").alias(c)
+        n = F.sum("n")
+        small = F.when(F.col("n") <= HELD, F.col("held"))
+        cells = (cells.withColumn("held", small).groupBy(up("cx"), up("cy")).agg(
+            n.alias("n"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"),
+            F.max("y1").alias("y1"), F.min("one").alias("one"),
+            F.when(n <= HELD, F.flatten(F.collect_list("held"))).alias("held")))
+        out.append(cells)
+    return out[::-1]
+
+
 def nearest_point(left: DataFrame, right: DataFrame, key: str, *, x: str = "longitude",
                   y: str = "latitude", rx: str = "longitude", ry: str = "latitude",
-                  extent: tuple[str, str, str, str] | None = None, cell: float = 0.02,
-                  dist=None, bound=None,
-                  out: str = "nearest_km") -> DataFrame:
+                  extent: tuple[str, str, str, str] | None = None, cell: float = 0.005,
+                  dist=None, below=None, out: str = "nearest_km", work: str | None = None) -> DataFrame:
     """Exact distance from every ``left`` row to its nearest ``right`` point (J-13, G-5).
 
-    Rounds of a grid search on a coarsening grid: in round r the cell size is
-    ``cell * 2**r`` and each unresolved left row meets the right points of the
-    3 x 3 block of cells around its extent (an equi-join on the cell id, never
-    a cross product). A row is resolved once its best distance is at most
-    ``bound(half_width)``, the least distance any right point outside the
-    searched box can have. The probe per row stays at nine cells however far
-    the nearest point is (a city without metro stops resolves after about
-    log2(distance / cell) rounds). Both inputs and every round are checkpointed
-    into the cluster's checkpoint folder, so the loop's lineage stays short.
-
-    ``extent`` (min_x, min_y, max_x, max_y) defaults to the point (x, y).
-    ``dist(rx, ry)`` and ``bound(half_deg)`` are column expressions over the
-    left row's columns; the defaults are haversine km from (x, y) and its
-    lower bound outside the box. Left rows stay NULL when ``right`` is empty.
+    Branch and bound on a pyramid of cells over the distinct right points, from cells
+    of ``TOP`` degrees down to about ``cell``. A row keeps its best distance to a point
+    seen so far: each opened cell gives the distance to one of its points, or to all
+    if it holds ``HELD`` at most. Of a cell's children only those are opened whose
+    lower bound is under the best. At the finest level the points of the cells
+    still open are met. Each level is one equi-join on the cell and a minimum per row,
+    so a far or dense cluster costs a row a few cells a level.
+
+    One aggregate over the right points (not the left rows) tells which levels are
+    needed: the search starts at the finest level with ``FIRST`` cells at most, whose
+    cells come to every row as one value, and ends where every cell holds its points. A
+    few hundred targets need one level, and then no join or shuffle at all. There is no
+    loop over results and nothing to checkpoint.
+
+    ``extent`` (min_x, min_y, max_x, max_y) defaults to the point (x, y). ``dist(px,
+    py)`` and ``below(box)`` (box fields x0, y0, x1, y1) are column expressions over
+    the left row's columns; the defaults are haversine km from (x, y) and its lower
+    bound, also across the 180th meridian. Every left row gives one row, also where
+    ``key`` repeats; it is NULL when ``right`` is empty or the row has no place.
+    ``work`` names a column for the number of cells and points looked at.
     """
-    spark = left.sparkSession
-    mnx, mny, mxx, mxy = extent or (x, y, x, y)
+    extent = extent or (x, y, x, y)
     dist = dist or (lambda px, py: geo.haversine_km(F.col(x), F.col(y), px, py))
-    bound = bound or (lambda half: haversine_bound(F.col(mny), F.col(mxy), half))
-    from wardpulse.session import checkpoint_dir
-    checkpoint_dir(spark)
-    # both inputs are materialised once: the rounds re-read them instead of
-    # recomputing their lineage
-    rpts = (right.where(F.col(rx).isNotNull() & F.col(ry).isNotNull())
-            .select(F.col(rx).alias("_rx"), F.col(ry).alias("_ry")).checkpoint())
-    if rpts.isEmpty():
-        return left.withColumn(out, F.lit(None).cast("double"))
-    todo = left.where(F.col(mnx).isNotNull() & F.col(mny).isNotNull()).checkpoint()
-    done = []
-    for r in count():           # ends at the latest when a cell spans the whole globe
-        size = cell * (2 ** r)
-        grid = rpts.withColumn("_cx", _cell(F.col("_rx"), size)).withColumn("_cy", _cell(F.col("_ry"), size))
-        probe = (todo.withColumn("_cx", F.explode(F.sequence(_cell(F.col(mnx), size) - 1,
-                                                             _cell(F.col(mxx), size) + 1)))
-                 .withColumn("_cy", F.explode(F.sequence(_cell(F.col(mny), size) - 1,
-                                                         _cell(F.col(mxy), size) + 1))))
-        best = (probe.join(grid, ["_cx", "_cy"])
-                .groupBy(key).agg(F.min(dist(F.col("_rx"), F.col("_ry"))).alias("_d")))
-        whole_globe = size >= 360.0
-        ok = F.col("_d").isNotNull() & (F.lit(whole_globe) | (F.col("_d") <= bound(F.lit(size))))
-        step = todo.join(best, key, "left").withColumn("_ok", ok).checkpoint()
-        done.append(step.where("_ok").select(key, F.col("_d").alias(out)))
-        todo = step.where("NOT _ok").drop("_d", "_ok")
-        if whole_globe or todo.isEmpty():
-            break
-    res = done[0]
-    for d in done[1:]:
-        res = res.unionByName(d)
-    return left.join(res, key, "left")
-
-
-def haversine_bound(min_lat: Column, max_lat: Column, half_deg: Column) -> Column:
-    """Least haversine km from any point with latitude in [min_lat, max_lat] to a
-    point more than ``half_deg`` degrees away in latitude or longitude
-    (``half_deg`` below 180)."""
-    r = geo.EARTH_RADIUS_KM
-    by_lat = F.radians(half_deg) * r
-    far = F.least(F.greatest(F.abs(min_lat), F.abs(max_lat)) + half_deg, F.lit(90.0))
-    by_lon = 2 * r * F.asin(F.least(F.lit(1.0), F.cos(F.radians(far)) * F.sin(F.radians(half_deg) / 2)))
-    return F.least(by_lat, by_lon)
-
-
-def plane_bound(min_lat: Column, max_lat: Column, half_deg: Column) -> Column:
-    """The same bound for the local equirectangular distance of G-4."""
-    far = F.least(F.greatest(F.abs(min_lat), F.abs(max_lat)) + half_deg, F.lit(90.0))
-    return half_deg * geo.KM_PER_DEG * F.least(F.lit(1.0), F.cos(F.radians(far)))
+    below = below or haversine_below(extent)
+    levels = 1 + max(0, math.ceil(math.log(TOP / cell, FAN)))
+    points = (right.where(F.col(rx).isNotNull() & F.col(ry).isNotNull())
+              .select(F.col(rx).cast("double").alias("px"), F.col(ry).cast("double").alias("py")).distinct())
+    tables = pyramid(points, levels)
+    told = [t.agg(F.lit(i).alias("level"), F.count(F.lit(1)).alias("cells"), F.max("n").alias("most"))
+            for i, t in enumerate(tables)]
+    told = {r["level"]: r for r in reduce(DataFrame.unionAll, told).collect()}         # one row a level
+    if not told[0]["cells"]:
+        return left.withColumn(out, F.lit(None).cast("double")).select("*", *([F.lit(0).cast("bigint").alias(work)] if work else []))
+    first = max((i for i in range(levels) if told[i]["cells"] <= FIRST), default=0)
+    last = next((i for i in range(first, levels) if told[i]["most"] <= HELD), levels)  # levels: points are met one by one
+    cell_of = F.struct("cx", "cy", "n", "x0", "y0", "x1", "y1", "one", "held")
+    columns = left.columns
+    placed = F.col(extent[0]).isNotNull() & F.col(extent[1]).isNotNull()
+    by_row = Window.partitionBy("_row")
+
+    def looked(cells: Column) -> Column:
+        """The cells that can hold a nearer point, each with its lower bound and the
+        least distance known in it."""
+        near = F.filter(F.transform(cells, lambda c: F.struct(c.alias("c"), below(c).alias("lo"))),
+                        lambda x: F.coalesce(x["lo"] < F.col("_best"), F.lit(True)))
+        return F.transform(near, lambda x: F.struct(
+            x["c"]["cx"].alias("cx"), x["c"]["cy"].alias("cy"), x["c"]["held"].isNull().alias("more"), x["lo"].alias("lo"),
+            F.coalesce(F.size(x["c"]["held"]), F.lit(1)).alias("seen"),
+            F.when(x["c"]["held"].isNotNull(), F.array_min(F.transform(x["c"]["held"], lambda p: dist(p["x"], p["y"]))))
+            .otherwise(dist(x["c"]["one"]["x"], x["c"]["one"]["y"])).alias("hi")))
+
+    def spent() -> Column:
+        return F.coalesce(F.size("_cells") + F.aggregate("_looked", F.lit(0), lambda a, c: a + c["seen"]), F.lit(0)).cast("bigint")
+
+    def opened(rows: DataFrame) -> DataFrame:
+        """From ``_cells`` (the children of the row's open cell) to one row for each
+        cell to open next; a row without any stays, with a number that no cell has
+        (many different ones, so that such rows do not meet in one task)."""
+        nowhere = F.lit(-(1 << 40)) - F.pmod("_row", F.lit(1 << 16))
+        seen = rows.withColumn("_looked", looked(F.col("_cells")))
+        seen = (seen.withColumn("_work", F.col("_work") + F.sum(spent()).over(by_row))
+                .withColumn("_best", F.least("_best", F.array_min(F.transform("_looked", lambda c: c["hi"]))))
+                .withColumn("_best", F.min("_best").over(by_row)))
+        next_ = F.filter("_looked", lambda c: c["more"] & (c["lo"] < F.col("_best")))
+        return (seen.withColumn("_at", F.explode_outer(next_)).drop("_cells", "_looked")
+                .withColumn("_cx", F.coalesce(F.col("_at.cx"), nowhere))
+                .withColumn("_cy", F.coalesce(F.col("_at.cy"), nowhere)).drop("_at"))
+
+    # at most FIRST cells, or the 16 x 8 that cover the globe: they come as one value
+    top = tables[first].select(F.collect_list(cell_of)).scalar()
+    rows = left.select(F.monotonically_increasing_id().alias("_row"), F.struct(*columns).alias("_left"), *columns,
+                       F.lit(None).cast("double").alias("_best"), F.lit(0).cast("bigint").alias("_work"),
+                       F.when(placed, top).alias("_cells"))
+    if first == last:                      # every cell holds its points: the row alone is enough
+        cells = rows.withColumn("_looked", looked(F.col("_cells")))
+        cells = cells.withColumn("_best", F.array_min(F.transform("_looked", lambda c: c["hi"])))
+        extra = [spent().alias(work)] if work else []
+        return cells.select(*[F.col("_left")[c].alias(c) for c in columns], F.col("_best").alias(out), *extra)
+    rows = opened(rows)
+    for table in tables[first + 1:last + 1]:
+        up = [F.floor(F.col(c) / FAN).cast("bigint").alias(f"_{c}") for c in ("cx", "cy")]
+        kids = table.groupBy(*up).agg(F.collect_list(cell_of).alias("_cells"))      # FAN * FAN at most
+        rows = opened(rows.join(kids, ["_cx", "_cy"], "left").drop("_cx", "_cy"))
+    best, cost = F.min("_best"), F.max("_work")
+    if last == levels:                     # the points of finest cells with more than HELD of them
+        fine = TOP / FAN ** (levels - 1)
+        ends = points.withColumn("_cx", _cell(F.col("px"), fine)).withColumn("_cy", _cell(F.col("py"), fine))
+        rows = rows.join(ends, ["_cx", "_cy"], "left")
+        best = F.least(best, F.min(F.when(F.col("px").isNotNull(), dist(F.col("px"), F.col("py")))))
+        cost = cost + F.count("px")
+    found = rows.groupBy("_row").agg(F.first("_left").alias("_left"), best.alias(out), cost.alias("_work"))
+    extra = [F.col("_work").alias(work)] if work else []
+    return found.select(*[F.col("_left")[c].alias(c) for c in columns], out, *extra)
 
 
-__all__ = ["cell_index", "points_in_polygons", "locate_points", "nearest_point", "haversine_bound",
-           "plane_bound"]
+__all__ = ["cell_index", "near_index", "points_in_polygons", "locate_points", "nearest_point", "haversine_below",
+           "plane_below"]
