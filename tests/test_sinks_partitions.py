@@ -69,3 +69,22 @@ def test_insert_ignore_reads_touched_partitions_only(spark, scratch):
     _table(spark, path, [(1, "a", 1), (2, "b", 2)])
     write_insert_ignore(spark, path, spark.createDataFrame([(1, "a", 7), (2, "a", 8)], SCHEMA), ["p", "id"], ["p"])
     assert _read(spark, path) == _sorted([(1, "a", 1), (2, "b", 2), (2, "a", 8)])
+
+
+def test_partition_values_that_look_like_numbers_or_dates_stay_strings(spark, scratch):
+    """"01" is not 1, in each of the three writers."""
+    rows = [(1, "01", 1), (2, "01", 2), (3, "2", 3), (4, "2024-01-05", 4)]
+    for name, write, want in (
+            ("upsert", lambda p, b: write_upsert(spark, p, b, ["p", "id"], ["v"], ["p"]),
+             [(1, "01", 9), (2, "01", 2), (3, "2", 3), (4, "2024-01-05", 4), (5, "1", 5)]),
+            ("ignore", lambda p, b: write_insert_ignore(spark, p, b, ["p", "id"], ["p"]),
+             [(1, "01", 1), (2, "01", 2), (3, "2", 3), (4, "2024-01-05", 4), (5, "1", 5)]),
+            ("replace", lambda p, b: write_replace_where(spark, p, b, F.col("p") == "01", ["p"]),
+             [(1, "01", 9), (3, "2", 3), (4, "2024-01-05", 4), (5, "1", 5)])):
+        path = f"{scratch}/{name}"
+        write_upsert(spark, path, spark.createDataFrame(rows, SCHEMA), ["p", "id"], ["v"], ["p"])
+        batch = spark.createDataFrame([(1, "01", 9), (5, "1", 5)], SCHEMA)
+        write(path, batch)
+        assert _read(spark, path) == _sorted(want), name
+        write(path, batch)          # a replay changes nothing
+        assert _read(spark, path) == _sorted(want), name

@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wardpulse.session import checkpoint_dir
 
@@ -110,6 +111,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def read_table(spark: SparkSession, path: str, like: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The table at ``path`` with its own columns; the partition columns have the
+    types of ``like``. Folder names do not tell them: "01" would come back as 1."""
+    stored = spark.read.parquet(path).schema
+    fields = [like.schema[f.name] if f.name in partition_by else f for f in stored]
+    return spark.read.schema(StructType(fields)).parquet(path)
+
+
 def append(batch: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """SNK-1 bulk append (an empty batch writes nothing new)."""
     w = batch.write.mode("append")
@@ -192,7 +201,7 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
         out = upsert(batch.limit(0), batch, keys, update, order, set_exprs)
         out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return
-    target = spark.read.parquet(path)
+    target = read_table(spark, path, batch, partition_by)
     touched = _touched(batch.select(*target.columns), partition_by)
     tgt = _in_partitions(target, touched, partition_by)
     merged = upsert(tgt, batch.select(*target.columns), keys, update, order, set_exprs)
@@ -205,7 +214,7 @@ def write_insert_ignore(spark: SparkSession, path: str, batch: DataFrame, keys:
         (dedup_first(batch, keys, order) if order else batch).write.mode("overwrite") \
             .partitionBy(*partition_by).parquet(path)
         return
-    target = spark.read.parquet(path)
+    target = read_table(spark, path, batch, partition_by)
     new = batch.select(*target.columns)
     if order:
         new = dedup_first(new, keys, order)
@@ -222,7 +231,7 @@ def write_replace_where(spark: SparkSession, path: str, batch: DataFrame, predic
     if not _exists(spark, path):
         batch.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return
-    target = spark.read.parquet(path)
+    target = read_table(spark, path, batch, partition_by)
     hit = target.where(F.coalesce(predicate, F.lit(False))).select(*partition_by)
     touched = _touched(hit.unionByName(batch.select(*target.columns).select(*partition_by)), partition_by)
     tgt = _in_partitions(target, touched, partition_by)
