@@ -142,3 +142,37 @@ def test_observed_counts(spark):
     assert out.where(F.col("v").isNotNull()).count() == 2
     assert obs.get == {"rows": 3, "dropped": 1}
     assert observed_counts(df, "x", nulls=F.col("v").isNull()).count() == 3
+
+
+def test_nested_cards_and_fields(spark):
+    """A card inside a card, fields wrapped several levels deep, open and void
+    elements, comments, scripts and quoted brackets; a page that tells its city."""
+    html = """<body><script>var x = "<div class='mb-srp__card'>";</script><!-- <div class="mb-srp__card"> -->
+    <div class='outer mb-srp__card' data-x="a>b"><div><div class="mb-srp__card__price"><div><span>₹</span><b>45</b><br>Lac</div></div></div>
+      <ul><li>one<li>two</ul><img src="x"><div class="mb-srp__card__summary"><div><p>2 BHK<div class="mb-srp__card__summary--value">
+      <span>1,000</span> sqft</div></div></div>
+      <div class="mb-srp__card"><div class="mb-srp__card__price">1 Cr</div><div class="mb-srp__card__summary">4 BHK</div></div>
+      <div class="mb-srp__card__property--type"><i><b>Villa</b></i></div></div>
+    <div class="mb-srp__card__price">9 Cr</div><div class="mb-srp__card"><div class="mb-srp__card__price">7 Lac</div>"""
+    pages = spark.createDataFrame([("magicbricks", "x-y", html, "Mumbai", dt.datetime(2024, 5, 1)),
+                                   ("magicbricks", "x-y", None, "Delhi", dt.datetime(2024, 5, 1)),
+                                   ("magicbricks", "z", '<div class="mb-srp__card"><p class="mb-srp__card__price">3 Lac</p></div>', None,
+                                    dt.datetime(2024, 5, 1))],
+                                  "source string, locality string, html string, city string, scraped_at timestamp")
+    got = sorted((int(r.price_total), r.area_sqft and int(r.area_sqft), r.bedrooms, r.property_type, r.city)
+                 for r in parse_listing_pages(pages, "Bengaluru").collect())
+    assert got == [(300000, None, None, "", "Bengaluru"), (700000, None, None, "", "Mumbai"),
+                   (4500000, 1000, 2, "Villa", "Mumbai"), (10000000, None, 4, "", "Mumbai")]
+
+
+def test_entries_inside_entries(spark):
+    """A table inside a cell gives no entries of its own; an inner card is an entry and the outer one is whole."""
+    table = """<table class="complaint-list"><tbody><tr><td>BB-1</td><td>Roads</td><td><table><tr><td>Hebbal</td><td>x</td></tr>
+    <tr><td>BB-7</td><td>no</td><td>no</td></tr></table></td><td>01/02/2024</td><td>Open</td></tr></tbody></table>"""
+    rows = parse_complaint_lists(spark.createDataFrame([("https://s.in/l", table)], "url string, html string")).collect()
+    assert [(r.complaint_id, r.category, r.ward_name, r.status) for r in rows] == [("BB-1", "Roads", "Hebbal", "Open")]
+    city = """<div class="complaint-row"><div class="wrap"><div class="id"><b>M1</b></div></div><div class="more">
+    <div class="complaint-row"><div class="id">M2</div><i class="cat">Water</i></div></div><i class="cat">Roads</i><i class="status">Open</i></div>"""
+    pages = spark.createDataFrame([("Mumbai", city, dt.datetime(2024, 5, 1))], "city string, html string, scraped_at timestamp")
+    got = sorted((r.complaint_id, r.status) for r in parse_city_lists(pages).collect())
+    assert got == [("M1", "Open"), ("M2", "")]

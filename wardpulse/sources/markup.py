@@ -1,10 +1,11 @@
 """Saved HTML pages to rows (SRC-8/F-3 listing cards, SRC-9/F-4 complaint
-pages, F-9 page scans), with regexes on the executors.
+pages, F-9 page scans), with column expressions on the executors.
 
 Input is a table of landed pages (source, locality, url, html) -- one row per
-page, so pages spread over tasks; cards are cut with ``regexp_extract_all``
-and exploded. Single-level markup (the card layouts below) is handled by the
-patterns; deeply nested markup would need a real parser and is not built.
+page, so pages spread over tasks. Cards, list entries and their fields are elements
+found by one pass over a page's tags (:mod:`wardpulse.sources.tagstack`), so they
+may be nested to any depth; the fields of detail pages are text nodes found by
+patterns.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from wardpulse.functions.text import (first_nonempty, parse_area, parse_bedrooms, parse_date, parse_price,
                                       price_per_sqft, slug_label)
+from wardpulse.sources import tagstack as T
 
 _TAGS = "<[^>]+>"
 
@@ -25,23 +27,6 @@ def strip_tags(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(c, _TAGS, " "), "\\s+", " "))
 
 
-def _class_block(cls: str) -> str:
-    """Pattern for the inner markup of the first element whose class contains ``cls``."""
-    return f'(?is)<(\\w+)[^>]*class="[^"]*{cls}[^"]*"[^>]*>(.*?)</\\1>'
-
-
-def element_text(html: Column, cls: str, tight: bool = True) -> Column:
-    t = strip_tags(F.regexp_extract(html, _class_block(cls), 2))
-    return F.when(t != "", t).otherwise(F.lit("")) if tight else t
-
-
-def cut_cards(html: Column, card_class: str) -> Column:
-    """Each card: from an opening ``<div class="... card_class ...">`` (the class
-    token itself, not a longer one) up to the next card or the end."""
-    start = f'<div[^>]*class="(?:[^"]*\\s)?{card_class}(?:\\s[^"]*)?"[^>]*>'
-    return F.regexp_extract_all(html, F.lit(f"(?is)({start}.*?)(?={start}|$)"), 1)
-
-
 # fixed values: the two listing-site layouts (card class, field classes)
 LAYOUTS = {
     "magicbricks": {"card": "mb-srp__card", "price": "mb-srp__card__price",
@@ -51,28 +36,31 @@ LAYOUTS = {
 }
 
 
-def parse_listing_pages(pages: DataFrame, city: str = "Bengaluru") -> DataFrame:
+def parse_listing_pages(pages: DataFrame, city: str | Column = "Bengaluru") -> DataFrame:
     """F-3 one row per listing card: price, area, bedrooms, type, price per
     sq ft; a card with neither price is dropped (S-25). ``pages``: source,
-    locality (slug), html, scraped_at."""
+    locality (slug), html, scraped_at, and ``city`` where a page tells its own;
+    pages without one are of ``city``."""
+    if "city" in pages.columns:
+        city = F.coalesce(F.col("city"), F.lit(city) if isinstance(city, str) else city)
+    elif isinstance(city, str):
+        city = F.lit(city)
     outs = []
     for source, lay in LAYOUTS.items():
-        p = pages.where(F.col("source") == source)
-        cards = p.select("*", F.explode(cut_cards(F.col("html"), lay["card"])).alias("_card"))
-        card = F.col("_card")
-        price = parse_price(element_text(card, lay["price"]))
+        p = pages.where(F.col("source") == source).withColumn("_city", city)
+        cards = T.explode_elements(T.with_tokens(p, F.col("html")), T.opening(lay["card"], "div"))
+        part = lambda k: T.field(T.opening(lay[k], part=True))  # noqa: B023, E731
+        price = parse_price(part("price"))
         if source == "magicbricks":
-            area = parse_area(element_text(card, lay["area"]))
-            beds = parse_bedrooms(element_text(card, lay["config"]))
-            ptype = element_text(card, lay["type"])
+            area, beds, ptype = parse_area(part("area")), parse_bedrooms(part("config")), part("type")
         else:
             # the text node holding "sq ft", read from its parent element
-            area = parse_area(F.regexp_extract(strip_tags(card), "(?i)([0-9,]+\\.?[0-9]*\\s*sq\\.?\\s*ft)", 1))
-            beds = parse_bedrooms(strip_tags(card))
-            ptype = F.lit("")
+            whole = T.plain(F.col("_toks"))
+            area = parse_area(F.regexp_extract(whole, "(?i)([0-9,]+\\.?[0-9]*\\s*sq\\.?\\s*ft)", 1))
+            beds, ptype = parse_bedrooms(whole), F.lit("")
         rows = cards.select(F.lit(None).cast("string").alias("listing_id"), F.lit(source).alias("source"),
                             slug_label(F.col("locality")).alias("locality"),
-                            F.lit(None).cast("string").alias("ward_name"), F.lit(city).alias("city"),
+                            F.lit(None).cast("string").alias("ward_name"), F.col("_city").alias("city"),
                             price.alias("price_total"), area.alias("area_sqft"), beds.alias("bedrooms"),
                             ptype.alias("property_type"), F.to_date("scraped_at").alias("listing_date"),
                             F.col("scraped_at"))
@@ -146,37 +134,39 @@ _COMPLAINT = ("complaint_id string, category string, subcategory string, ward_na
               "date_filed date, status string, description string, latitude double, longitude double")
 
 
-def _token(cls: str) -> str:
-    return f'class="(?:[^"]*\\s)?{cls}(?:\\s[^"]*)?"'
-
+#: Entries that are cards come after a page's table rows.
+CARDS_AFTER = 1_000_000
 
-def _elements(html: Column, start: str) -> Column:
-    """The elements whose opening tag matches ``start``, each up to its own
-    closing tag (elements of its name inside are counted)."""
-    cut = F.regexp_extract_all(html, F.lit(f"(?is)({start}.*?)(?={start}|$)"), 1)
 
-    def whole(part):
-        tag = F.lower(F.regexp_extract(part, "^<(\\w+)", 1))
-        opened, closed = F.concat(F.lit("<"), tag, F.lit("\\b")), F.concat(F.lit("</"), tag, F.lit("\\s{0,9}>"))
-        bits = F.split(part, F.concat(F.lit("(?i)(?="), opened, F.lit(")|(?<="), closed, F.lit(")")))
+def _own_rows(seen: DataFrame, table: tuple[str, str], body: bool) -> DataFrame:
+    """A row for each ``<tr>`` of the tables that match (inside their ``<tbody>`` if
+    ``body``), without those of tables nested in a cell."""
+    tables = T.explode_elements(seen, table, pos="_table")
+    toks, tagged = F.col("_toks"), F.col("_tags")
+    rows = tables.withColumn("_trs", T.element_slices(toks, tagged, T.opening(name="tr")))
+    rows = rows.withColumn("_deep", F.filter(T.element_slices(toks, tagged, T.opening(name="table")), lambda x: x["at"] > 1))
+    rows = rows.withColumn("_body", T.element_slices(toks, tagged, T.opening(name="tbody")))
+    within = lambda x, o: (x["at"] > o["at"]) & (x["at"] < o["at"] + o["n"])
+    own = F.filter("_trs", lambda x: ~F.exists(F.col("_deep"), lambda o: within(x, o))
+                   & (F.exists(F.col("_body"), lambda o: within(x, o)) if body else F.lit(True)))
+    rows = rows.withColumn("_own", own).select("*", F.posexplode_outer("_own").alias("_row", "_span")).where("_span is not null")
+    cut = lambda c: F.slice(c, F.col("_span.at"), F.col("_span.n"))
+    return (rows.withColumn("pos", F.col("_table") * 1000 + F.col("_row")).withColumn("_tags", cut(F.col("_tags")))
+            .withColumn("_toks", cut(F.col("_toks"))).drop("_trs", "_deep", "_body", "_own", "_row", "_span", "_table"))
 
-        def add(acc, bit):
-            depth = (acc["depth"] + F.regexp_like(F.lower(bit), F.concat(F.lit("^"), opened)).cast("int")
-                     - F.regexp_like(F.lower(bit), F.concat(closed, F.lit("$"))).cast("int"))
-            more = F.struct(depth.alias("depth"), F.concat(acc["text"], bit).alias("text"), (depth <= 0).alias("done"))
-            return F.when(acc["done"] | (bit == ""), acc).otherwise(more)
 
-        zero = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"), F.lit(False).alias("done"))
-        return F.aggregate(bits, zero, add, lambda a: a["text"])
+def _first_texts() -> Column:
+    """The first text of each cell of an entry, without cells inside cells."""
+    toks, tagged = F.col("_toks"), F.col("_tags")
+    cells = T.element_slices(toks, tagged, T.opening(name="td"))
+    own = F.filter(cells, lambda x: ~F.exists(cells, lambda o: (x["at"] > o["at"]) & (x["at"] < o["at"] + o["n"])))
 
-    return F.transform(cut, whole)
+    def first(x: Column) -> Column:
+        inside = F.slice(toks, x["at"], x["n"])
+        text = F.get(F.filter(inside, lambda t: ~(t.startswith("<") & (F.length(t) > 1)) & (F.trim(F.regexp_replace(t, "\\s+", " ")) != "")), F.lit(0))
+        return F.coalesce(F.trim(F.regexp_replace(text, "\\s+", " ")), F.lit(""))
 
-
-def _table_rows(html: Column, cls: str, body: bool) -> Column:
-    inner = F.regexp_extract_all(html, F.lit(f"(?is)<table\\b[^>]*{_token(cls)}[^>]*>(.*?)</table\\s*>"), 1)
-    if body:
-        inner = F.flatten(F.transform(inner, lambda t: F.regexp_extract_all(t, F.lit("(?is)<tbody\\b[^>]*>(.*?)</tbody\\s*>"), 1)))
-    return F.flatten(F.transform(inner, lambda t: F.regexp_extract_all(t, F.lit("(?is)(<tr\\b[^>]*>.*?</tr\\s*>)"), 1)))
+    return F.transform(own, first)
 
 
 def _absolute(base: Column, href: Column) -> Column:
@@ -204,19 +194,21 @@ def complaint_list_rows(pages: DataFrame) -> DataFrame:
     first text of each table cell. Entries are the body rows of
     ``table.complaint-list`` and the cards; a page with neither gives its divs
     and table rows whose class holds "complaint"."""
-    h = F.col("html")
-    usual = F.concat(_table_rows(h, "complaint-list", body=True),
-                     *[_elements(h, f"<div\\b[^>]*{_token(c)}[^>]*>") for c in LISTING_CARDS])
-    other = _elements(h, '<(?:div|tr)\\b[^>]*class="[^"]*complaint[^"]*"[^>]*>')
-    rows = (pages.select("url", F.coalesce(h, F.lit("")).alias("html"))
-            .select("url", usual.alias("_usual"), other.alias("_other"))
-            .select("url", F.posexplode(F.when(F.size("_usual") > 0, F.col("_usual")).otherwise(F.col("_other")))
-                    .alias("pos", "_row")))
-    href = F.trim(F.regexp_extract("_row", "(?is)<a\\b[^>]*?\\bhref\\s*=\\s*[\"']([^\"']*)[\"']", 1))
-    cells = F.regexp_extract_all("_row", F.lit("(?is)<td\\b[^>]*>(.*?)</td\\s*>"), F.lit(1))
-    text = lambda c: F.trim(F.regexp_replace(F.regexp_extract(c, "^(?:<[^>]+>)*([^<]*)", 1), "\\s+", " "))
+    seen = T.with_tokens(pages.select("url", "html"), F.col("html"))
+    table = T.opening("complaint-list", "table")
+    toks = F.col("_toks")
+    # body rows of the list's own table, not of tables in its cells
+    body = F.exists(toks, lambda t: T.opens(t, table))
+    cards = F.exists(toks, lambda t: T.opens(t, T.opening("(?:" + "|".join(LISTING_CARDS) + ")", "div")))
+    usual = seen.where(body | cards)
+    rows = _own_rows(usual.drop("html"), table, True).unionByName(T.explode_elements(
+        usual.drop("html"), *[T.opening(c, "div") for c in LISTING_CARDS], pos="pos").withColumn("pos", F.col("pos") + CARDS_AFTER))
+    other = T.explode_elements(seen.where(~(body | cards)).drop("html"), T.opening("complaint", "(?:div|tr)", part=True), pos="pos")
+    rows = rows.unionByName(other)
+    link = F.get(F.filter(toks, lambda t: t.rlike("(?is)^<a\\b[^>]*\\bhref\\s*=")), F.lit(0))
+    href = F.trim(F.regexp_extract(link, "(?is)\\bhref\\s*=\\s*[\"']([^\"']*)[\"']", 1))
     return rows.select("url", "pos", F.when(href != "", _absolute(F.col("url"), href)).alias("detail_url"),
-                       F.transform(cells, text).alias("cells"))
+                       _first_texts().alias("cells"))
 
 
 def complaint_summary(pages: DataFrame) -> DataFrame:
@@ -249,12 +241,15 @@ def parse_city_lists(pages: DataFrame, layouts: dict | None = None) -> DataFrame
     with its city for each row that has an id; the date is the day of the scrape."""
     outs = None
     for city, lay in (layouts or CITY_LISTINGS).items():
-        h = F.coalesce(F.col("html"), F.lit(""))
-        found = _table_rows(h, lay["table"], body=False) if "table" in lay else _elements(h, f"<\\w+\\b[^>]*{_token(lay['row'])}[^>]*>")
-        rows = pages.where(F.col("city") == city).select("city", F.to_date("scraped_at").alias("date_filed"), F.explode(found).alias("_row"))
+        seen = T.with_tokens(pages.where(F.col("city") == city).select("city", "html", F.to_date("scraped_at").alias("date_filed")),
+                             F.col("html")).drop("html")
+        if "table" in lay:
+            rows = _own_rows(seen, T.opening(lay["table"], "table"), False).drop("pos")
+        else:
+            rows = T.explode_elements(seen, T.opening(lay["row"]))
         tag = "td" if "table" in lay else "\\w+"
-        field = lambda c: F.trim(F.regexp_extract("_row", f"(?is)<{tag}\\b[^>]*{_token(lay[c])}[^>]*>([^<]*)", 1))  # noqa: B023, E731
-        rows = rows.select("city", "date_filed", *[field(c).alias(c) for c in ("complaint_id", "category", "ward_name", "status")])
+        rows = rows.select("city", "date_filed", *[T.field(T.opening(lay[c], tag)).alias(c)
+                                                   for c in ("complaint_id", "category", "ward_name", "status")])
         got = _complaints(rows.where("complaint_id != ''"), "city")
         outs = got if outs is None else outs.unionByName(got)
     return outs
