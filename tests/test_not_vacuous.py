@@ -36,3 +36,21 @@ def test_one_mart_row_per_ward_year(ask):
     assert n == keys and 0 < aqi
     n, keys, whole = ask("q_scores", "count(*), count(DISTINCT (ward_id, year, month)), count(composite_score)")
     assert n == keys and 0 < whole
+
+
+def test_semi_join_and_census_drop_rows(ask):
+    kept, = ask("q_semi_join", "count(*)")
+    assert 0 < kept < 60000
+    rows, filled, empty = ask("q_census_clean", "count(*), count(density), count(*) FILTER (WHERE density IS NULL)")
+    assert 0 < rows < 700 and filled > 0 and empty > 0
+
+
+def test_every_kind_of_rule_fails_somewhere(ask):
+    kinds, = ask("q_dq_report", "list_sort(list(DISTINCT check_name) FILTER (WHERE failures > 0))")
+    assert kinds == ["accepted_values", "check", "not_null", "relationships", "unique"]
+    assert ask("q_dq_report", "count(*)") == (21,)
+
+
+def test_orders_are_part_of_the_values(ask):
+    assert ask("q_city_scores", "max(place_in_city) > 7, count(*) = count(place_in_city)") == (True, True)
+    assert ask("q_ward_history", "max(place_in_ward)") == (7,)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wardpulse import config as C
@@ -18,9 +18,12 @@ REPORT_SCHEMA = "table_name string, check_name string, column_name string, failu
 
 
 def _rows(table: str, check: str, pairs: Iterable[tuple[str, Column]]) -> list[Column]:
-    return [F.struct(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
-                     F.lit(col).alias("column_name"), cnt.cast("bigint").alias("failures"))
-            for col, cnt in pairs]
+    return [_row(table, check, col, cnt) for col, cnt in pairs]
+
+
+def _row(table: str, check: str, column: str, failures: Column) -> Column:
+    return F.struct(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
+                    F.lit(column).alias("column_name"), failures.cast("bigint").alias("failures"))
 
 
 def _explode(df: DataFrame, structs: list[Column]) -> DataFrame:
@@ -54,6 +57,79 @@ def orphans(df: DataFrame, dim: DataFrame, table: str, left: Column, right: Colu
     return _explode(d, _rows(table, "relationships", [(column, F.col("n"))]))
 
 
+class Rules:
+    """Rules of one table, compiled into few passes: all row rules (not null,
+    accepted values, checks, limits) and references are counts of one aggregate, each
+    key is one grouped pass. References join the distinct values of their dimension
+    first, so that a row without a match is one more condition of the aggregate.
+
+    ``observed`` takes the same counts while the table is written, without a pass of
+    their own."""
+
+    def __init__(self, table: str):
+        self.table = table
+        self.rows: list[tuple[str, str, Column]] = []                  # check, column, failing rows
+        self.keys: list[tuple[str, list[str]]] = []
+        self.references: list[tuple[str, Column, DataFrame, Column]] = []
+
+    def not_null(self, *columns: str) -> Rules:
+        self.rows += [("not_null", c, F.col(c).isNull()) for c in columns]
+        return self
+
+    def check(self, column: str, ok: Column, name: str = "check") -> Rules:
+        """Q-3/Q-5: rows where ``ok`` is false; NULL passes, as in SQL CHECK."""
+        self.rows.append((name, column, ~F.coalesce(ok, F.lit(True))))
+        return self
+
+    def limits(self, limits: dict) -> Rules:
+        """Q-9, as :func:`limit_violations`."""
+        self.rows += [("limits", c, F.coalesce(bad, F.lit(False))) for c, bad in _limit_checks(limits)]
+        return self
+
+    def unique(self, *keys: str, name: str | None = None) -> Rules:
+        self.keys.append((name or ",".join(keys), list(keys)))
+        return self
+
+    def reference(self, column: str, left: Column, dim: DataFrame, right: Column) -> Rules:
+        """Q-6: values without a row in ``dim``; NULL passes."""
+        self.references.append((column, left, dim, right))
+        return self
+
+    def _with_references(self, df: DataFrame) -> tuple[DataFrame, list[tuple[str, str, Column]]]:
+        more = []
+        for i, (column, left, dim, right) in enumerate(self.references):
+            value, key = f"_v{i}", f"_r{i}"
+            keys = dim.select(right.alias(key)).where(F.col(key).isNotNull()).distinct()
+            df = df.withColumn(value, left).join(keys, F.col(value) == F.col(key), "left")
+            more.append(("relationships", column, F.col(value).isNotNull() & F.col(key).isNull()))
+        return df, more
+
+    def _unique(self, df: DataFrame) -> list[DataFrame]:
+        return [unique(df, self.table, keys, name) for name, keys in self.keys]
+
+    def report(self, df: DataFrame) -> DataFrame:
+        """Rows as the other checks give them, one per rule."""
+        wide, more = self._with_references(df)
+        rules = self.rows + more
+        parts = []
+        if rules:
+            agg = wide.agg(*[F.count_if(bad).alias(f"f{i}") for i, (_, _, bad) in enumerate(rules)])
+            parts.append(_explode(agg, [_row(self.table, check, column, F.col(f"f{i}"))
+                                        for i, (check, column, _) in enumerate(rules)]))
+        return report(*parts, *self._unique(df))
+
+    def observed(self, df: DataFrame) -> tuple[DataFrame, Observation]:
+        """The table with its row rules counted as it is written; ``told`` reads them."""
+        watch = Observation(f"rules_{self.table}")
+        metrics = [F.count_if(bad).alias(f"f{i}") for i, (_, _, bad) in enumerate(self.rows)]
+        return df.observe(watch, F.count(F.lit(1)).alias("rows"), *metrics), watch
+
+    def told(self, watch: Observation) -> dict[tuple[str, str], int]:
+        """(check, column) -> failures, after the write."""
+        got = watch.get
+        return {(check, column): got[f"f{i}"] for i, (check, column, _) in enumerate(self.rows)}
+
+
 def report(*parts: DataFrame) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
@@ -104,9 +180,7 @@ def observed_counts(df: DataFrame, name: str, **conditions: Column) -> DataFrame
     return df.observe(name, *metrics)
 
 
-def limit_violations(df: DataFrame, table: str, limits: dict) -> DataFrame:
-    """Q-9 values that would not fit the warehouse column: ``limits`` maps a
-    column to ("varchar", n) or ("numeric", precision, scale). One pass."""
+def _limit_checks(limits: dict) -> list[tuple[str, Column]]:
     checks = []
     for c, spec in limits.items():
         if spec[0] == "varchar":
@@ -116,5 +190,12 @@ def limit_violations(df: DataFrame, table: str, limits: dict) -> DataFrame:
             v = F.col(c).cast("decimal(38,10)")
             bad = (F.abs(v) >= F.lit(10 ** (p - s))) | (F.round(v, s) != v)
         checks.append((c, bad))
+    return checks
+
+
+def limit_violations(df: DataFrame, table: str, limits: dict) -> DataFrame:
+    """Q-9 values that would not fit the warehouse column: ``limits`` maps a
+    column to ("varchar", n) or ("numeric", precision, scale). One pass."""
+    checks = _limit_checks(limits)
     agg = df.agg(*[F.count_if(b).alias(c) for c, b in checks])
     return _explode(agg, _rows(table, "limits", [(c, F.col(c)) for c, _ in checks]))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wardpulse.functions.text import norm_name
 from wardpulse.operators.aggregates import grouped_mode, percentile_cont, pivot_sum
 from wardpulse.plans import staging as S
-from wardpulse.sources.driver import DEG, FIX_YEAR_HI as YH, FIX_YEAR_LO as YL, DriverViews
+from wardpulse.sources.driver import DEG, FIX_YEAR_HI as YH, FIX_YEAR_LO as YL, TABLES, DriverViews
 
 QUERIES: dict = {}
 
@@ -104,11 +104,19 @@ def q_stg_census(spark, sf_dir):
 def q_census_clean(spark, sf_dir):
     """SRC-4 loader rules (title-cased names, density fill, drop incomplete rows)."""
     from wardpulse.sources.files import load_census
-    c = load_census(census_feed(_v(spark, sf_dir)))
+    c = load_census(gappy_census(_v(spark, sf_dir)))
     return c.select("ward_name", "ward_number", "year", "population", "male_population",
                     "female_population", "area_sqkm", "density", "literacy_rate")
 
 
+def gappy_census(v: DriverViews) -> DataFrame:
+    """A census file without any density, and with rows that lack a name or a population."""
+    k = F.col("population") + F.col("year")
+    return (census_feed(v).withColumn("ward_name", F.when(k % 11 != 0, F.col("ward_name")))
+            .withColumn("population", F.when(k % 13 != 0, F.col("population")))
+            .withColumn("density", F.lit(None).cast("decimal(10,2)")))
+
+
 @query
 def q_census_validate(spark, sf_dir):
     from wardpulse.operators.quality import census_validation
@@ -172,14 +180,13 @@ def q_nearest_metro(spark, sf_dir):
 def q_ward_metro(spark, sf_dir):
     """G-5 ward polygon -> nearest metro stop, km (local plane, 0 inside)."""
     from wardpulse.functions import geo
-    from wardpulse.operators.spatial import nearest_point, plane_bound
+    from wardpulse.operators.spatial import nearest_point, plane_below
     v = _v(spark, sf_dir)
     wards = _wards_geo(v)
     metros = v.stops_geo().where(F.col("source") == "BMRCL")
-    d = nearest_point(wards, metros, "ward_id", extent=("min_x", "min_y", "max_x", "max_y"),
-                      dist=lambda px, py: geo.polygon_distance_km(F.col("rings"), px, py),
-                      bound=lambda kdeg: plane_bound(F.col("min_y"), F.col("max_y"), kdeg),
-                      out="metro_km")
+    extent = ("min_x", "min_y", "max_x", "max_y")
+    d = nearest_point(wards, metros, "ward_id", extent=extent, below=plane_below(extent),
+                      dist=lambda px, py: geo.polygon_distance_km(F.col("rings"), px, py), out="metro_km")
     return d.select("ward_id", F.round(F.col("metro_km").cast("decimal(20,10)"), 3)
                     .cast("decimal(10,3)").alias("metro_km"))
 
@@ -437,29 +444,36 @@ def q_ndvi_wards(spark, sf_dir):
 @query
 def q_semi_join(spark, sf_dir):
     v = _v(spark, sf_dir)
-    wards = v.ward_boundaries().where(F.col("city").isNotNull()).select("ward_id")
+    wards = v.ward_boundaries().where(F.col("city").isin("ASIA", "EUROPE")).select("ward_id")
     return v.ndvi_pixels().join(wards, "ward_id", "left_semi")
 
 
 # ------------------------------------------------------------------ mart and scores
-def staged(v: DriverViews) -> dict:
+def staged_lazily(v: DriverViews) -> dict:
+    """The seven staging models, each built when it is called."""
     wards = v.ward_boundaries()
     geo_w = _wards_geo(v)
     return {
-        "crime": S.stg_crime(v.crime(), v.census(), wards, city=None, year_lo=YL, year_hi=YH,
-                             by_city=True, count_col="cnt"),
-        "complaints": S.stg_complaints(v.complaints(), wards, YL, YH),
-        "aqi": S.stg_aqi(mart_readings(v), geo_w, YL, YH),
-        "census": S.stg_census(census_feed(v), wards),
-        "transit": S.stg_transit(v.stops_geo(), geo_w, YL, YH, freq=_freq(v)),
-        "ndvi": S.stg_ndvi(ndvi_zonal_feed(v), YL, YH),
-        "property": S.stg_property(v.property(), wards, YL, YH, mode="exact"),
+        "crime": lambda: S.stg_crime(v.crime(), v.census(), wards, city=None, year_lo=YL, year_hi=YH,
+                                     by_city=True, count_col="cnt"),
+        "complaints": lambda: S.stg_complaints(v.complaints(), wards, YL, YH),
+        "aqi": lambda: S.stg_aqi(mart_readings(v), geo_w, YL, YH),
+        "census": lambda: S.stg_census(census_feed(v), wards),
+        "transit": lambda: S.stg_transit(v.stops_geo(), geo_w, YL, YH, freq=_freq(v)),
+        "ndvi": lambda: S.stg_ndvi(ndvi_zonal_feed(v), YL, YH),
+        "property": lambda: S.stg_property(v.property(), wards, YL, YH, mode="exact"),
     }
 
 
 def mart(v: DriverViews) -> DataFrame:
-    from wardpulse.plans.mart import mart_ward_features
-    return mart_ward_features(v.ward_boundaries(), staged(v), YL, YH)
+    """The mart over staging models that are landed once for these input files."""
+    from wardpulse.plans.mart import MART_FEATURES, mart_ward_features
+    from wardpulse.plans.warehouse import landed
+    models = staged_lazily(v)
+    stored = {feed: landed(v.spark, v.sf_dir, TABLES, f"stg_{feed}",
+                           lambda feed=feed, cols=cols: models[feed]().select("ward_id", "year", *cols))
+              for feed, cols in MART_FEATURES.items()}
+    return mart_ward_features(v.ward_boundaries(), stored, YL, YH)
 
 
 @query
@@ -480,12 +494,10 @@ def q_latest_year(spark, sf_dir):
 
 
 def materialized_mart(spark, sf_dir) -> DataFrame:
-    """The mart as a table: scoring reads the written mart, as the reference
-    does; a reliable checkpoint in the cluster's checkpoint folder stands in
-    for the mart table here and cuts the lineage of the seven models."""
-    from wardpulse.session import checkpoint_dir
-    checkpoint_dir(spark)
-    return mart(_v(spark, sf_dir)).checkpoint()
+    """The mart as a table: scoring reads the written mart, as the reference does. It
+    is landed once for these input files and read by every key that scores it."""
+    from wardpulse.plans.warehouse import landed
+    return landed(spark, sf_dir, TABLES, "mart", lambda: mart(_v(spark, sf_dir)))
 
 
 @query
@@ -496,14 +508,16 @@ def q_scores(spark, sf_dir):
 
 @query
 def q_city_scores(spark, sf_dir):
+    """V-1 with each row's place, so that the order is part of the values."""
     from wardpulse.plans.mart import city_scores
-    return city_scores(q_scores(spark, sf_dir))
+    return city_scores(q_scores(spark, sf_dir), place="place_in_city")
 
 
 @query
 def q_ward_history(spark, sf_dir):
+    """V-2 with each row's place, so that the order is part of the values."""
     from wardpulse.plans.mart import ward_history
-    return ward_history(q_scores(spark, sf_dir))
+    return ward_history(q_scores(spark, sf_dir), place="place_in_ward")
 
 
 def in_city(feed: DataFrame, wards: DataFrame, moved) -> DataFrame:
@@ -525,6 +539,50 @@ def q_quick_features(spark, sf_dir):
                           in_city(v.property(), w, F.col("l_orderkey") % 5 == 0), year=YH, count_col="cnt")
 
 
+@query
+def q_mart_incremental(spark, sf_dir):
+    """M-8 by change propagation: a mart without a tenth of the complaints takes them
+    as a batch; only the touched ward-years are computed and rewritten."""
+    import uuid
+
+    from wardpulse.plans.incremental import IncrementalMart, touched_ward_years
+    from wardpulse.plans.mart import MART_FEATURES
+    from wardpulse.plans.warehouse import landed
+    from wardpulse.session import checkpoint_dir
+    v = _v(spark, sf_dir)
+    wards, models = v.ward_boundaries(), staged_lazily(v)
+    late = F.col("complaint_id") % 10 == 0
+    stored = {feed: landed(spark, v.sf_dir, TABLES, f"stg_{feed}",
+                           lambda feed=feed, cols=cols: models[feed]().select("ward_id", "year", *cols))
+              for feed, cols in MART_FEATURES.items() if feed != "complaints"}
+    stored["complaints"] = S.stg_complaints(v.complaints().where(~late), wards, YL, YH)
+    inc = IncrementalMart(spark, f"{checkpoint_dir(spark).rstrip('/')}/incremental-{uuid.uuid4().hex}")
+    inc.rebuild(wards, {feed: stored[feed] for feed in MART_FEATURES}, YL, YH)
+    touched = touched_ward_years("complaints", v.complaints().where(late), wards, F.year("date_filed"), year_lo=YL, year_hi=YH)
+
+    def model(hit: DataFrame) -> DataFrame:
+        some = wards.join(hit.select("ward_id").distinct(), "ward_id", "left_semi")
+        names = some.select(norm_name(F.col("ward_name")).alias("_nm"))
+        rows = v.complaints().withColumn("_nm", norm_name(F.col("ward_name"))).join(names, "_nm", "left_semi")
+        return S.stg_complaints(rows, some, YL, YH)
+
+    inc.apply("complaints", touched, model)
+    return inc.mart.read()
+
+
+@query
+def q_ndvi_sketch(spark, sf_dir):
+    """A-3/A-6 exact figures of a city's year from the merged sketch table of its
+    wards' months."""
+    from wardpulse.operators import sketches
+    v = _v(spark, sf_dir)
+    months = sketches.build(v.ndvi_pixels(), ["ward_id", "year", "month"], "ndvi", member="ward_id")
+    placed = months.join(v.ward_boundaries().select("ward_id", "city"), "ward_id")
+    years = sketches.merge(placed, ["city", "year"])
+    return years.select("city", "year", F.col("n").cast("bigint").alias("n"), F.col("total").cast("decimal(20,4)").alias("total"),
+                        "least", "most", sketches.distinct().alias("n_wards"))
+
+
 # ------------------------------------------------------------------ text functions
 @query
 def q_clean_text(spark, sf_dir):
@@ -602,30 +660,138 @@ def q_parse_price(spark, sf_dir):
     return r.where(~(falsy("price_total") & falsy("price_sqft")))
 
 
+# ------------------------------------------------------------------ page and table parsers
+def _joined_rows(rows: DataFrame, key: str, order: str, html, between: str = "") -> DataFrame:
+    """One text per key: the rows' pieces in order."""
+    return rows.groupBy(key).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), html.alias("h")))), lambda x: x["h"]), between).alias("rows"),
+        F.count(F.lit(1)).alias("n"))
+
+
+def listing_pages(v: DriverViews) -> DataFrame:
+    """A page per order whose cards lie in one another, with wrapped fields."""
+    l, s = v.table("lineitem"), lambda c: c.cast("string")
+    card = F.concat(
+        F.lit('<div class="mb-srp__card" data-note="a > b"><div class="mb-srp__card__price"><span>₹</span> <b>'),
+        s(F.floor(F.col("l_extendedprice") / 1000) + 1), F.lit('</b><br> Lac</div><div class="mb-srp__card__summary"><div>'),
+        s(F.col("l_linenumber") % 4 + 1), F.lit(' BHK</div><p><div class="mb-srp__card__summary--value"><span>'),
+        s(F.col("l_quantity").cast("int") * 37), F.lit('</span> sqft</div></div><i class="mb-srp__card__property--type"><b>Kind '),
+        s(F.col("l_linenumber")), F.lit("</b></i>"))
+    pages = _joined_rows(l, "l_orderkey", "l_linenumber", card)
+    city = F.when(F.col("l_orderkey") % 3 == 0, "Mumbai").when(F.col("l_orderkey") % 3 == 1, "Delhi")
+    return pages.select(F.lit("magicbricks").alias("source"), F.concat(F.lit("order-"), F.col("l_orderkey")).alias("locality"),
+                        F.concat(F.lit("<html><body>"), F.col("rows"), F.repeat(F.lit("</div>"), F.col("n").cast("int"))).alias("html"),
+                        city.alias("city"), F.lit("2024-05-01").cast("timestamp").alias("scraped_at"))
+
+
+@query
+def q_listing_cards(spark, sf_dir):
+    """F-3 cards inside cards; a page without a city is of the default one."""
+    from wardpulse.sources.markup import parse_listing_pages
+    r = parse_listing_pages(listing_pages(_v(spark, sf_dir)), "Bengaluru")
+    return r.select("locality", "city", "price_total", "area_sqft", "bedrooms", "property_type", "price_sqft")
+
+
+def complaint_list_pages(v: DriverViews) -> DataFrame:
+    """A list page per customer in one of the three cities' layouts: a table with
+    tables in its cells, rows inside rows, and plain items."""
+    o = v.table("orders")
+    k, cust = F.col("o_orderkey").cast("string"), F.col("o_custkey")
+    cat, ward, status = F.col("o_orderpriority"), F.concat(F.lit("W"), cust), F.col("o_orderstatus")
+
+    def of(layout: int, *parts, between: str = "") -> DataFrame:
+        html = F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+        return _joined_rows(o.where(cust % 3 == layout), "o_custkey", "o_orderkey", html, between)
+
+    table = of(0, '<tr><td class="id">', k, '</td><td class="cat"><b>', cat, '</b></td><td class="ward"><table><tr><td class="ward">',
+               ward, '</td></tr></table></td><td class="wide status">', status, "</td></tr>")
+    inner = of(1, '<div class="complaint-row"><div class="id"><u>', k, '</u></div><p><i class="cat">', cat, '</i><b class="ward">',
+               ward, '</b><i class="status">', status, "</i>")
+    items = of(2, '<li class="complaint-item"><b class="ref">', k, '</b><b class="type"><u>', cat, '</u></b><b class="zone">',
+               ward, '</b><b class="status">', status, "</b>")
+    whole = (table.select("o_custkey", F.lit("Bengaluru").alias("city"),
+                          F.concat(F.lit('<table class="x complaint-list"><tr><th>Id</th></tr>'), "rows", F.lit("</table>")).alias("html"))
+             .unionByName(inner.select("o_custkey", F.lit("Mumbai").alias("city"),
+                                       F.concat("rows", F.repeat(F.lit("</div>"), F.col("n").cast("int"))).alias("html")))
+             .unionByName(items.select("o_custkey", F.lit("Delhi").alias("city"),
+                                       F.concat(F.lit("<ul>"), F.replace("rows", F.lit("<li"), F.lit("</li><li")), F.lit("</ul>")).alias("html"))))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (cust % 28).cast("int"))
+    return whole.select("city", "html", day.cast("timestamp").alias("scraped_at"))
+
+
+@query
+def q_complaint_pages(spark, sf_dir):
+    """F-4 the three cities' list pages."""
+    from wardpulse.sources.markup import parse_city_lists
+    r = parse_city_lists(complaint_list_pages(_v(spark, sf_dir)))
+    return r.select("city", "complaint_id", "category", "ward_name", "status", "date_filed")
+
+
+def crime_report_tables(v: DriverViews) -> DataFrame:
+    """A report table per year and region: a header, then a row for each ward with
+    the city's name spelled in three ways, counts with commas, dashes and words."""
+    l = v.table("lineitem")
+    k, n = F.col("l_suppkey"), F.col("c")
+    g = l.groupBy("l_suppkey", F.year("l_shipdate").cast("int").alias("year")).agg(F.count(F.lit(1)).alias("c"))
+    city = F.when(k % 4 == 0, " Bangalore (Urban)").when(k % 4 == 1, "DELHI city").when(k % 4 == 2, "Mumbai").otherwise("Elsewhere")
+    number = F.when(n % 5 == 0, F.concat((n + 1).cast("string"), F.lit(","), F.lpad((k % 1000).cast("string"), 3, "0"))) \
+        .when(n % 5 == 1, "-").when(n % 5 == 2, "not known").otherwise(n.cast("string"))
+    cells = F.array(F.concat(F.lit("S"), (k % 9).cast("string")), city, number, (n * 2).cast("string"))
+    rows = g.select("year", (k % 10).cast("int").alias("page"), F.struct(k.alias("k"), cells.alias("r")).alias("row"))
+    head = F.array(*[F.lit(x) for x in ("State/UT", "Name of  City", "Murder (IPC)", "Theft")])
+    t = rows.groupBy("year", "page").agg(F.transform(F.array_sort(F.collect_list("row")), lambda x: x["r"]).alias("rs"))
+    return t.select(F.concat(F.array(head), "rs").alias("cells"), "year", F.col("page").alias("page_number"),
+                    F.concat(F.lit("report_"), F.col("year"), F.lit(".pdf")).alias("source_pdf"))
+
+
+@query
+def q_crime_tables(spark, sf_dir):
+    """F-1 report tables to long rows of every target city, with the year of the file name."""
+    from wardpulse.sources.crime_tables import parse_crime_tables, report_year
+    t = crime_report_tables(_v(spark, sf_dir)).withColumn("year", report_year(F.col("source_pdf")))
+    r = parse_crime_tables(t, target_city=None)
+    return r.select("state", "city", "year", "offense_category", "count", "source_pdf", "page_number")
+
+
 # ------------------------------------------------------------------ data quality
+def faulty_feeds(v: DriverViews) -> dict[str, DataFrame]:
+    """Four feeds with faults of every kind that the report looks for."""
+    c, k = v.complaints(), F.col("complaint_id")
+    complaints = (c.withColumn("status", F.when(k % 211 == 0, "Lost").otherwise(F.col("status")))
+                  .withColumn("category", F.when(k % 401 != 0, F.col("category")))
+                  .withColumn("ward_name", F.when(k % 307 == 0, "Nowhere").otherwise(F.col("ward_name"))))
+    census = (v.census().withColumn("literacy_rate", F.when(F.col("population") % 700 == 0, F.col("literacy_rate") + 40)
+                                    .otherwise(F.col("literacy_rate")).cast("decimal(6,2)"))
+              .withColumn("year", F.when(F.col("population") % 900 == 0, F.col("year") + 30).otherwise(F.col("year"))))
+    px, m = v.ndvi_pixels(), F.col("ndvi") * 10000
+    pixels = (px.withColumn("month", F.when(m % 1600 == 0, F.col("month") + 12).otherwise(F.col("month")))
+              .withColumn("ward_id", F.when(m % 2400 == 0, F.col("ward_id") + 1000000).otherwise(F.col("ward_id"))))
+    return {"complaints": complaints, "census": census, "aqi": v.aqi_feed(), "ndvi": pixels}
+
+
 @query
 def q_dq_report(spark, sf_dir):
+    """Q-1..Q-6 as lists of rules, each table read once for its row rules and once for
+    each of its keys."""
     from wardpulse import config as C
-    from wardpulse.operators import quality as Q
+    from wardpulse.operators.quality import Rules
     v = _v(spark, sf_dir)
-    comp, cen, aqi, px, wards = v.complaints(), v.census(), v.aqi_feed(), v.ndvi_pixels(), v.ward_boundaries()
+    feeds, wards = faulty_feeds(v), v.ward_boundaries()
     statuses = C.PENDING_STATUSES + C.RESOLVED_STATUSES + C.REJECTED_STATUSES
-    return Q.report(
-        Q.not_null(comp, "complaints", ["complaint_id", "category", "ward_name", "date_filed", "status"]),
-        Q.unique(comp, "complaints", ["complaint_id"]),
-        Q.predicate_failures(comp, "complaints", "accepted_values", "status",
-                             F.lower(F.col("status")).isin(*statuses)),
-        Q.orphans(comp, wards, "complaints", S.norm_name(F.col("ward_name")),
-                  S.norm_name(F.col("ward_name")), "ward_name"),
-        Q.not_null(cen, "census", ["ward_name", "ward_number", "population", "year"]),
-        Q.unique(cen, "census", ["ward_name", "year"]),
-        Q.predicate_failures(cen, "census", "accepted_values", "year", F.col("year").between(YL, YH)),
-        Q.predicate_failures(cen, "census", "check", "literacy_rate", F.col("literacy_rate") <= 100),
-        Q.not_null(aqi, "aqi", ["station_id", "date", "pm25"]),
-        Q.unique(aqi, "aqi", ["station_id", "date"]),
-        Q.predicate_failures(px, "ndvi", "check", "month", F.col("month").between(1, 12)),
-        Q.orphans(px, wards, "ndvi", F.col("ward_id"), F.col("ward_id"), "ward_id"),
-    )
+    name = S.norm_name(F.col("ward_name"))
+    rules = {
+        "complaints": Rules("complaints").not_null("complaint_id", "category", "ward_name", "date_filed", "status")
+        .unique("complaint_id").check("status", F.lower(F.col("status")).isin(*statuses), "accepted_values")
+        .reference("ward_name", name, wards, name),
+        "census": Rules("census").not_null("ward_name", "ward_number", "population", "year").unique("ward_name", "year")
+        .check("year", F.col("year").between(YL, YH), "accepted_values")
+        .check("literacy_rate", F.col("literacy_rate") <= 100),
+        "aqi": Rules("aqi").not_null("station_id", "date", "pm25").unique("station_id", "date"),
+        "ndvi": Rules("ndvi").check("month", F.col("month").between(1, 12))
+        .reference("ward_id", F.col("ward_id"), wards, F.col("ward_id")),
+    }
+    from wardpulse.operators import quality as Q
+    return Q.report(*[r.report(feeds[t]) for t, r in rules.items()])
 
 
 @query

@@ -117,19 +117,29 @@ def scores(mart: DataFrame, weights: Mapping[str, float] = C.WEIGHTS,
 
 
 # ------------------------------------------------------------------ serving
-def city_scores(scored: DataFrame, city: str | None = None) -> DataFrame:
+def _placed(df: DataFrame, group: str, order: list, place: str | None) -> DataFrame:
+    if place:
+        df = df.withColumn(place, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    return df.orderBy(group, *order)
+
+
+def city_scores(scored: DataFrame, city: str | None = None, place: str | None = None) -> DataFrame:
     """V-1 wards of a city best first (city title-cased as the API does);
-    ``city=None`` serves every city, each ordered by its own composite."""
+    ``city=None`` serves every city, each ordered by its own composite. ``place`` names
+    a column for each row's place in its city."""
     df = scored
     if city is not None:
         df = df.where(title_case(F.col("city")) == title_case(F.lit(city)))
-    return df.orderBy("city", F.col("composite_score").desc_nulls_last(), "ward_id")
+    # a ward has a score for each year: ties of one ward go by year
+    order = [F.col("composite_score").desc_nulls_last(), F.col("ward_id"), F.col("year")]
+    return _placed(df, "city", order, place)
 
 
-def ward_history(scored: DataFrame, ward_id: int | None = None) -> DataFrame:
-    """V-2 one ward's scores by year and month (every ward when ``ward_id`` is None)."""
+def ward_history(scored: DataFrame, ward_id: int | None = None, place: str | None = None) -> DataFrame:
+    """V-2 one ward's scores by year and month (every ward when ``ward_id`` is None).
+    ``place`` names a column for each row's place in its ward."""
     df = scored if ward_id is None else scored.where(F.col("ward_id") == ward_id)
-    return df.orderBy("ward_id", "year", "month")
+    return _placed(df, "ward_id", [F.col("year"), F.col("month")], place)
 
 
 def latest_readings(readings: DataFrame, k: int = 10, group: str = "city",

@@ -762,7 +762,7 @@ FROM zr GROUP BY ward_id, year, month"""
 @oracle("q_semi_join", ("d_ndvi_pixels", "d_ward_boundaries"))
 def _():
     return """
-SELECT * FROM d_ndvi_pixels WHERE ward_id IN (SELECT ward_id FROM d_ward_boundaries WHERE city IS NOT NULL)"""
+SELECT * FROM d_ndvi_pixels WHERE ward_id IN (SELECT ward_id FROM d_ward_boundaries WHERE city IN ('ASIA', 'EUROPE'))"""
 
 
 # ------------------------------------------------------------ census loader
@@ -776,7 +776,18 @@ def _census_loaded() -> str:
        FROM d_census WHERE ward_name IS NOT NULL AND population IS NOT NULL)"""
 
 
-ORACLES["q_census_clean"] = q(("d_census",), f""", {_census_loaded()}
+ORACLES["q_census_clean"] = q(("d_census",), f""", gaps AS (
+  SELECT * REPLACE (CASE WHEN (population + year) % 11 <> 0 THEN ward_name END AS ward_name,
+                    CASE WHEN (population + year) % 13 <> 0 THEN population END AS population)
+  FROM d_census),
+cl AS (SELECT {title('trim(ward_name)')} AS ward_name, CAST(ward_number AS BIGINT) AS ward_number,
+              CAST(year AS BIGINT) AS year, CAST(population AS BIGINT) AS population,
+              CAST(male_population AS BIGINT) AS male_population,
+              CAST(female_population AS BIGINT) AS female_population,
+              CAST(area_sqkm AS DECIMAL(10,4)) AS area_sqkm,
+              CASE WHEN area_sqkm > 0 THEN {rr('population', 'area_sqkm', 2, 0, 10, den_scale=4)} END AS density,
+              CAST(literacy_rate AS DECIMAL(5,2)) AS literacy_rate
+       FROM gaps WHERE ward_name IS NOT NULL AND population IS NOT NULL)
 SELECT * FROM cl""")
 
 
@@ -911,10 +922,16 @@ def _register_late() -> None:
 SELECT ward_id, ward_name, ward_number, zone_name, city, CAST(y.year AS INTEGER) AS year
 FROM d_ward_boundaries, range({Y_LO}, {Y_HI + 1}) y(year)""")
     ORACLES["q_mart"] = q(_ALL_VIEWS, _mart_sql() + "\nSELECT * FROM mart")
+    ORACLES["q_mart_incremental"] = ORACLES["q_mart"]
     ORACLES["q_latest_year"] = q(_ALL_VIEWS, _mart_sql() + "\nSELECT * FROM mart WHERE year = (SELECT max(year) FROM mart)")
     ORACLES["q_scores"] = q(_ALL_VIEWS, _scores_sql() + "\nSELECT * FROM scores")
-    ORACLES["q_city_scores"] = q(_ALL_VIEWS, _scores_sql() + "\nSELECT * FROM scores ORDER BY city, composite_score DESC NULLS LAST, ward_id")
-    ORACLES["q_ward_history"] = q(_ALL_VIEWS, _scores_sql() + "\nSELECT * FROM scores ORDER BY ward_id, year, month")
+    ORACLES["q_city_scores"] = q(_ALL_VIEWS, _scores_sql() + """
+SELECT *, CAST(row_number() OVER (PARTITION BY city ORDER BY composite_score DESC NULLS LAST, ward_id, year) AS INTEGER)
+       AS place_in_city
+FROM scores ORDER BY city, place_in_city""")
+    ORACLES["q_ward_history"] = q(_ALL_VIEWS, _scores_sql() + """
+SELECT *, CAST(row_number() OVER (PARTITION BY ward_id ORDER BY year, month) AS INTEGER) AS place_in_ward
+FROM scores ORDER BY ward_id, place_in_ward""")
 
 
 # ------------------------------------------------------------ M-9 quick features
@@ -1035,6 +1052,52 @@ z AS (SELECT *, CAST(CASE WHEN price_total > 0 AND area_sqft > 0
 SELECT * FROM z WHERE NOT ((price_total IS NULL OR price_total = 0) AND (price_sqft IS NULL OR price_sqft = 0))"""
 
 
+@oracle("q_ndvi_sketch", ("d_ndvi_pixels", "d_ward_boundaries"))
+def _():
+    return """
+SELECT city, year, count(ndvi) AS n, CAST(sum(ndvi) AS DECIMAL(20,4)) AS total, min(ndvi) AS least, max(ndvi) AS most,
+       count(DISTINCT ward_id) AS n_wards
+FROM d_ndvi_pixels JOIN d_ward_boundaries USING (ward_id) GROUP BY city, year"""
+
+
+# ------------------------------------------------------------ page and table parsers
+@oracle("q_listing_cards", ())
+def _():
+    return f""", x AS (
+  SELECT 'Order ' || l_orderkey AS locality,
+         CASE l_orderkey % 3 WHEN 0 THEN 'Mumbai' WHEN 1 THEN 'Delhi' ELSE 'Bengaluru' END AS city,
+         CAST((floor(l_extendedprice / 1000) + 1) * 100000 AS DECIMAL(24,4)) AS price_total,
+         CAST(CAST(l_quantity AS INTEGER) * 37 AS DECIMAL(20,4)) AS area_sqft,
+         CAST(l_linenumber % 4 + 1 AS INTEGER) AS bedrooms, 'Kind ' || l_linenumber AS property_type
+  FROM lineitem)
+SELECT *, CASE WHEN area_sqft > 0 THEN {rr('price_total', 'area_sqft', 2, 4, 14, den_scale=4)} END AS price_sqft FROM x"""
+
+
+@oracle("q_complaint_pages", ())
+def _():
+    return """
+SELECT CASE o_custkey % 3 WHEN 0 THEN 'Bengaluru' WHEN 1 THEN 'Mumbai' ELSE 'Delhi' END AS city,
+       CAST(o_orderkey AS VARCHAR) AS complaint_id, o_orderpriority AS category, 'W' || o_custkey AS ward_name,
+       o_orderstatus AS status, CAST(DATE '2024-01-01' + CAST(o_custkey % 28 AS INTEGER) AS DATE) AS date_filed
+FROM orders"""
+
+
+@oracle("q_crime_tables", ())
+def _():
+    return """, g AS (
+  SELECT l_suppkey AS k, CAST(year(l_shipdate) AS INTEGER) AS yr, count(*) AS c FROM lineitem GROUP BY 1, 2),
+r AS (
+  SELECT 'S' || (k % 9) AS state, CASE k % 4 WHEN 0 THEN 'Bengaluru' WHEN 1 THEN 'Delhi' ELSE 'Mumbai' END AS city,
+         CASE WHEN yr BETWEEN 2000 AND 2099 THEN yr ELSE 2022 END AS year, yr, k, c
+  FROM g WHERE k % 4 <> 3)
+SELECT state, city, year, 'murder' AS offense_category,
+       CAST(CASE WHEN c % 5 = 0 THEN (c + 1) * 1000 + k % 1000 WHEN c % 5 = 1 THEN 0 ELSE c END AS INTEGER) AS "count",
+       'report_' || yr || '.pdf' AS source_pdf, CAST(k % 10 AS INTEGER) AS page_number
+FROM r WHERE c % 5 <> 2
+UNION ALL
+SELECT state, city, year, 'theft', CAST(c * 2 AS INTEGER), 'report_' || yr || '.pdf', CAST(k % 10 AS INTEGER) FROM r"""
+
+
 # ------------------------------------------------------------ data quality
 @oracle("q_dq_report", ("d_complaints", "d_census", "d_aqi_feed", "d_ndvi_pixels", "d_ward_boundaries"))
 def _():
@@ -1050,22 +1113,35 @@ def _():
     def pf(t, v, check, col, ok):
         return [f"SELECT '{t}', '{check}', '{col}', CAST(count(*) FILTER (WHERE NOT coalesce({ok}, true)) AS BIGINT) FROM {v}"]
     statuses = "'pending','open','in progress','assigned','resolved','closed','completed','rejected','cancelled'"
-    parts = (nn("complaints", "d_complaints", ["complaint_id", "category", "ward_name", "date_filed", "status"])
-             + uq("complaints", "d_complaints", ["complaint_id"])
-             + pf("complaints", "d_complaints", "accepted_values", "status", f"lower(status) IN ({statuses})")
-             + ["SELECT 'complaints', 'relationships', 'ward_name', CAST(count(*) AS BIGINT) FROM d_complaints c "
+    faulty = """, f_complaints AS (
+  SELECT * REPLACE (CASE WHEN complaint_id % 211 = 0 THEN 'Lost' ELSE status END AS status,
+                    CASE WHEN complaint_id % 401 <> 0 THEN category END AS category,
+                    CASE WHEN complaint_id % 307 = 0 THEN 'Nowhere' ELSE ward_name END AS ward_name)
+  FROM d_complaints),
+f_census AS (
+  SELECT * REPLACE (CAST(CASE WHEN population % 700 = 0 THEN literacy_rate + 40 ELSE literacy_rate END AS DECIMAL(6,2)) AS literacy_rate,
+                    CASE WHEN population % 900 = 0 THEN year + 30 ELSE year END AS year)
+  FROM d_census),
+f_pixels AS (
+  SELECT * REPLACE (CASE WHEN CAST(ndvi * 10000 AS BIGINT) % 1600 = 0 THEN month + 12 ELSE month END AS month,
+                    CASE WHEN CAST(ndvi * 10000 AS BIGINT) % 2400 = 0 THEN ward_id + 1000000 ELSE ward_id END AS ward_id)
+  FROM d_ndvi_pixels)"""
+    parts = (nn("complaints", "f_complaints", ["complaint_id", "category", "ward_name", "date_filed", "status"])
+             + uq("complaints", "f_complaints", ["complaint_id"])
+             + pf("complaints", "f_complaints", "accepted_values", "status", f"lower(status) IN ({statuses})")
+             + ["SELECT 'complaints', 'relationships', 'ward_name', CAST(count(*) AS BIGINT) FROM f_complaints c "
                 "WHERE lower(trim(c.ward_name)) IS NOT NULL AND NOT EXISTS (SELECT 1 FROM d_ward_boundaries w "
                 "WHERE lower(trim(w.ward_name)) = lower(trim(c.ward_name)))"]
-             + nn("census", "d_census", ["ward_name", "ward_number", "population", "year"])
-             + uq("census", "d_census", ["ward_name", "year"])
-             + pf("census", "d_census", "accepted_values", "year", f"year BETWEEN {Y_LO} AND {Y_HI}")
-             + pf("census", "d_census", "check", "literacy_rate", "literacy_rate <= 100")
+             + nn("census", "f_census", ["ward_name", "ward_number", "population", "year"])
+             + uq("census", "f_census", ["ward_name", "year"])
+             + pf("census", "f_census", "accepted_values", "year", f"year BETWEEN {Y_LO} AND {Y_HI}")
+             + pf("census", "f_census", "check", "literacy_rate", "literacy_rate <= 100")
              + nn("aqi", "d_aqi_feed", ["station_id", "date", "pm25"])
              + uq("aqi", "d_aqi_feed", ["station_id", "date"])
-             + pf("ndvi", "d_ndvi_pixels", "check", "month", "month BETWEEN 1 AND 12")
-             + ["SELECT 'ndvi', 'relationships', 'ward_id', CAST(count(*) AS BIGINT) FROM d_ndvi_pixels p "
+             + pf("ndvi", "f_pixels", "check", "month", "month BETWEEN 1 AND 12")
+             + ["SELECT 'ndvi', 'relationships', 'ward_id', CAST(count(*) AS BIGINT) FROM f_pixels p "
                 "WHERE ward_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM d_ward_boundaries w WHERE w.ward_id = p.ward_id)"])
-    return "\n" + "\nUNION ALL\n".join(parts)
+    return faulty + "\n" + "\nUNION ALL\n".join(parts)
 
 
 _register_late()
