@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import glob
 import os
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -210,7 +213,12 @@ def resident(key, make):
     with its memory). Asking for another one lets the last one go, so that the
     operators of a long session do not pile up in reused workers."""
     if _RESIDENT[0] != key:
-        _RESIDENT[:] = [None, None]
+        if _RESIDENT[0] is not None:
+            _RESIDENT[:] = [None, None]
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if sys.platform.startswith("linux"):        # freed pages go back to the system
+                ctypes.CDLL(None).malloc_trim(0)
         _RESIDENT[:] = [key, make()]
     return _RESIDENT[1]
 

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, arrow, fold, land, pieces_of
+from .common import Words, arrow, fold, land, pieces_of, resident
 from .links import components
 
 _MIX = [np.uint64(c) for c in (0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
@@ -188,6 +188,7 @@ def _describe(docs: DataFrame, n: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
+        resident("partenum", lambda: True)          # a model of an operator before this one goes
         for batch in batches:
             for part in pieces_of(batch, "text", 1 << 20):
                 owner, prints = shingle_sets(part.column(1), n)
@@ -213,6 +214,7 @@ def _signed(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
 
     Signatures keep 48 bits: a chance meeting costs a test and changes nothing."""
     def run(batches):
+        resident("partenum", lambda: True)          # a model of an operator before this one goes
         seen: set[int] = set()
         for batch in batches:
             for part in pieces_of(batch, "text", 1 << 20):
@@ -237,6 +239,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """(class, elements) of the wanted classes; ``wanted`` has class and doc_id,
     the least id of a row of the class, or null if no row of it has an id."""
     def run(batches):
+        resident("partenum", lambda: True)          # a model of an operator before this one goes
         for batch in batches:
             for part in pieces_of(batch, "text", 1 << 20):
                 owner, prints = shingle_sets(part.column(1), n)
