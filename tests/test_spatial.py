@@ -119,9 +119,14 @@ def test_nearest_point_work_stays_near_linear_with_a_far_dense_cluster(spark):
     for r in rows[::20]:
         assert abs(r.nearest_km - min(_hav(r.longitude, r.latitude, x, y) for x, y in right)) < 1e-9
     assert sum(r.work for r in rows) < 400 * 2000 * 0.25
-    near = [(i, 77.1 + rnd.random() * 0.3, 28.4 + rnd.random() * 0.3) for i in range(400)]
-    rows = nearest_point(spark.createDataFrame(near, L.schema), R, "k", work="work").collect()
-    assert sum(r.work for r in rows) < 400 * 2000 * 0.1
+    # rows amid the cluster: four times the targets cost a row less than twice the work
+    N = spark.createDataFrame([(i, 77.1 + rnd.random() * 0.3, 28.4 + rnd.random() * 0.3) for i in range(400)], L.schema)
+    more = right + [(77.1 + rnd.random() * 0.3, 28.4 + rnd.random() * 0.3) for _ in range(6000)]
+    work = []
+    for targets in (right, more):
+        rows = nearest_point(N, spark.createDataFrame(targets, "longitude double, latitude double"), "k", work="work").collect()
+        work.append(sum(r.work for r in rows) / 400)
+    assert work[1] < 2 * work[0] and work[1] < 0.1 * len(more)
 
 
 def test_nearest_point_to_few_targets_needs_no_join(spark):
