@@ -134,7 +134,7 @@ def test_context_windows_tell_quotation_from_abuse():
     for text, quoted, addressed in [
             ("you are a blorg", 0, 1), ('he said the word "blorg" there', 1, 0), ("the «blorg» here", 1, 0),
             ("she wrote blorg again", 1, 0), ("a b c d blorg e f g h", 0, 0), ("you one two three four blorg", 0, 0),
-            ("you blorg and he said blorg", 0.5, 0.5), ("you are a blorgg", 0, 1), ("du bist ein zwickelmann", 0, 1)]:
+            ("you blorg a b c d he said blorg", 0.5, 0.5), ("you are a blorgg", 0, 1), ("du bist ein zwickelmann", 0, 1)]:
         f = s.features(text)
         assert (round(f[3], 2), round(f[4], 2)) == (quoted, addressed), text
     own = Scorer([("blorg", False)], 5, 3, reporting=frozenset(["quoth"]), address=frozenset(["thou"]))
