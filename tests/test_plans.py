@@ -1,7 +1,9 @@
 """Plan assertions: rewrites keep hash joins, no Python in the hot path,
 scans prune columns; every registered query runs at sf0.001."""
 
+import datetime as dt
 import re
+from decimal import Decimal
 
 import pytest
 
@@ -52,3 +54,17 @@ def test_query_runs_small(spark, name):
     df = core()[name](spark, SF_SMALL)
     df.write.format("noop").mode("overwrite").save()
     assert len(df.columns) == len(set(df.columns))
+
+
+def test_semi_join_keeps_the_pixels_of_every_city(spark, scratch):
+    from wardpulse.plans.driver_queries import QUERIES
+    day = dt.datetime(2000, 5, 1)
+    tables = {
+        "region": ([(r, f"R{r}") for r in range(3)] + [(3, None)], "r_regionkey int, r_name string"),
+        "nation": ([(n, f"N{n}", n) for n in range(4)], "n_nationkey int, n_name string, n_regionkey int"),
+        "supplier": ([(k, f"S{k}", k % 4) for k in range(8)], "s_suppkey long, s_name string, s_nationkey int"),
+        "lineitem": ([(k, day, Decimal("0.05")) for k in range(10)], "l_suppkey long, l_shipdate timestamp, l_discount decimal(15,2)")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{scratch}/{name}.parquet")
+    kept = sorted(r.ward_id for r in QUERIES["q_semi_join"](spark, scratch).collect())
+    assert kept == [0, 1, 2, 4, 5, 6]      # suppliers 3 and 7 have no city, 8 and 9 are no wards
