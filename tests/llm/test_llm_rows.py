@@ -7,8 +7,10 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_fixtures import SF_SMALL, none, odd, small_rows  # noqa: F401
+from wardpulse.llm import pii_boost
 from wardpulse.llm import queries as Q
 from wardpulse.llm.heap_bpe import token_counts
 from wardpulse.llm.orc_ids import lookup, orc_round_trip, read_ids, write_ids
@@ -98,6 +100,23 @@ def test_pii_missed_numbers_in_the_fitted_corpus_are_added(spark):
     assert len(missed) == 40 and {r.doc_id: r.added for r in found} == missed
 
 
+def test_pii_fits_on_every_document(spark):
+    """More documents than any bound: the features of a rare kind of number, and
+    digits that stand apart, are counted wherever they are."""
+    n = 30_000
+    text = (F.when(F.col("id") % 1500 == 0, F.concat(F.lit("call me +1 (212) 5"), 10 + F.col("id") % 90, F.lit("-4567 soon")))
+            .otherwise(F.concat(F.lit("version 20"), 10 + F.col("id") % 90, F.lit(" of it"))))
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text"))
+    seen = []
+    own, pii_boost.Trees = pii_boost.Trees, lambda rows: seen.append(rows) or own(rows)
+    try:
+        fit(docs.unionAll(spark.createDataFrame([(n, "at 1 2 3 4 5 6 7 8")], "doc_id long, text string")))
+    finally:
+        pii_boost.Trees = own
+    assert len(seen) == 1 and sum(r[1] for r in seen[0]) == spark.range(n).select(F.col("id"), text.alias("text")).where(
+        "id % 1500 = 0").where(F.pmod(F.xxhash64("id", "text", F.lit(31)), F.lit(2)) == 0).count()
+
+
 def test_pii_plan_has_no_python(spark, small_rows):
     plan = Q.QUERIES["op1_pii_boost"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan) and BASE.keys() == PLAIN.keys()

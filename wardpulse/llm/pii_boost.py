@@ -1,7 +1,7 @@
 """Personal data: high-recall candidates chosen by gradient-boosted trees.
 
 Built-in functions only; no row leaves its place and nothing is shuffled but
-the fitting sample's counts.
+the counts for fitting.
 
 Base: four patterns with fixed checks (email; ip with parts to 255; card with
 13 to 19 digits passing Luhn; phone with 9 to 15 digits). Their valid spans
@@ -15,8 +15,7 @@ go to boosted trees, one model for each kind. A candidate that overlaps no base
 span is added under its most probable kind if the probability reaches that
 kind's threshold.
 
-Fitting: candidates of at most ``max_docs`` documents by a hash of the id (the
-documented bound). The label of a candidate is the kind of the valid base span
+Fitting: candidates of all documents. The label of a candidate is the kind of the valid base span
 it overlaps, if any (over spans of two kinds it is no example); a leading plus and country code are no features, so
 unprefixed numbers look like prefixed ones. A candidate without a base span has
 no label for a kind if it has a format learned from that kind's base spans and
@@ -44,6 +43,7 @@ import math
 from collections import Counter
 from functools import partial
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -216,39 +216,40 @@ class Trees:
     def __init__(self, rows: list[tuple[dict, float, float]], rounds: int = 12, rate: float = 0.5):
         """rows: (features, weight of positives, weight of negatives)."""
         self.trees = []
-        pos, neg = sum(r[1] for r in rows), sum(r[2] for r in rows)
-        self.start = math.log((pos + 0.5) / (neg + 0.5))
-        score = [self.start] * len(rows)
-        splits = [(f, v) for f in FEATURES for v in sorted({r[0][f] for r in rows})[:-1]]
+        pos, neg = (np.array([float(r[k]) for r in rows]) for k in (1, 2))
+        self.start = math.log((pos.sum() + 0.5) / (neg.sum() + 0.5))
+        x = np.array([[int(r[0][f]) for f in FEATURES] for r in rows])
+        score = np.full(len(rows), self.start)
         for _ in range(rounds):
-            grad, hess = [], []
-            for (_, p, n), s in zip(rows, score):
-                q = 1.0 / (1.0 + math.exp(-s))
-                grad.append(p * (1 - q) - n * q)
-                hess.append((p + n) * q * (1 - q))
-            tree = self._grow(rows, grad, hess, list(range(len(rows))), splits, 2, rate)
-            self.trees.append(tree)
-            score = [s + self._value(tree, r[0]) for s, r in zip(score, rows)]
-
-    def _grow(self, rows, grad, hess, at, splits, depth, rate):
-        g, h = sum(grad[i] for i in at), sum(hess[i] for i in at)
+            q = 1.0 / (1.0 + np.exp(-score))
+            grad, hess = pos * (1 - q) - neg * q, (pos + neg) * q * (1 - q)
+            step = np.zeros(len(rows))
+            self.trees.append(self._grow(x, grad, hess, np.arange(len(rows)), 2, rate, step))
+            score = score + step
+
+    def _grow(self, x, grad, hess, at, depth, rate, step):
+        """A tree over the rows ``at``; writes the rows' values to ``step``."""
+        g, h = grad[at].sum(), hess[at].sum()
         best = (1e-6, None)
-        if depth:
-            for f, v in splits:
-                left = [i for i in at if rows[i][0][f] <= v]
-                if not left or len(left) == len(at):
-                    continue
-                gl, hl = sum(grad[i] for i in left), sum(hess[i] for i in left)
-                gain = gl * gl / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g * g / (h + 1)
-                if gain > best[0]:
-                    best = (gain, (f, v, left))
+        for k, f in enumerate(FEATURES if depth else []):
+            own = x[at, k]
+            values, place = np.unique(own, return_inverse=True)
+            if len(values) < 2:
+                continue
+            # for each cut all that is left of it
+            gl = np.cumsum(np.bincount(place, grad[at]))[:-1]
+            hl = np.cumsum(np.bincount(place, hess[at]))[:-1]
+            gain = gl * gl / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g * g / (h + 1)
+            for v, gained in zip(values[:-1].tolist(), gain.tolist()):
+                if gained > best[0] * (1 + 1e-9):       # equal cuts: the first, whatever the sums' last digits
+                    best = (gained, (k, f, v))
         if best[1] is None:
-            return rate * g / (h + 1)
-        f, v, left = best[1]
-        inside = set(left)
-        right = [i for i in at if i not in inside]
-        return (f, v, self._grow(rows, grad, hess, left, splits, depth - 1, rate),
-                self._grow(rows, grad, hess, right, splits, depth - 1, rate))
+            step[at] = value = float(rate * g / (h + 1))
+            return value
+        k, f, v = best[1]
+        left = x[at, k] <= v
+        return (f, v, self._grow(x, grad, hess, at[left], depth - 1, rate, step),
+                self._grow(x, grad, hess, at[~left], depth - 1, rate, step))
 
     def _value(self, tree, x):
         while isinstance(tree, tuple):
@@ -270,14 +271,9 @@ class Trees:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
-def fit(docs: DataFrame, max_docs: int = 20_000, precision: float = 0.98) -> dict[str, tuple[Trees, float]]:
+def fit(docs: DataFrame, precision: float = 0.98) -> dict[str, tuple[Trees, float]]:
     """For each kind its trees and threshold (above 1: adds nothing)."""
-    hinted = docs.where(F.col("text").rlike("[0-9]{2}|@"))
-    n = hinted.count()
-    if not n:
-        return {}
-    drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(29)), F.lit(1 << 30)) / float(1 << 30)
-    rows = _spans(hinted.where(drawn < min(1.0, max_docs / n)))
+    rows = _spans(docs)
     # a run over base spans of two kinds is no example of either
     touched = F.filter(F.array(*[F.when(_touches(F.col(f"b_{k}"), F.col("x")), k) for k in KINDS]), lambda k: k.isNotNull())
     label = F.when(F.size("touched") > 1, MIXED).otherwise(F.coalesce(F.get("touched", F.lit(0)), F.lit("")))
