@@ -176,3 +176,21 @@ def test_entries_inside_entries(spark):
     pages = spark.createDataFrame([("Mumbai", city, dt.datetime(2024, 5, 1))], "city string, html string, scraped_at timestamp")
     got = sorted((r.complaint_id, r.status) for r in parse_city_lists(pages).collect())
     assert got == [("M1", "Open"), ("M2", "")]
+
+
+def test_fields_are_read_once_and_long_elements_whole(spark):
+    """Elements longer than the first look, deep ones and unclosed ones; no field is
+    looked for in more than one place of the plan, also not by the filter on it."""
+    from wardpulse.sources import tagstack as T
+    deep = '<div class="mb-srp__card">' + "<div>" * 60 + '<p class="mb-srp__card__price">3 Lac</p>' + "</div>" * 60 \
+        + '<i class="mb-srp__card__property--type">' + "<b>x</b> " * 40 + '</i></div><div class="mb-srp__card">open <b class="mb-srp__card__price">4 Lac'
+    pages = spark.createDataFrame([("magicbricks", "x", deep, dt.datetime(2024, 5, 1))],
+                                  "source string, locality string, html string, scraped_at timestamp")
+    found = parse_listing_pages(pages)
+    got = sorted((int(r.price_total), r.property_type) for r in found.collect())
+    assert got == [(300000, " ".join(["x"] * 40)), (400000, "")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("mb-srp__card__price") <= 2      # what its opening tag holds, and the pattern
+    toks = spark.createDataFrame([(deep,)], "html string")
+    spans = T.with_tokens(toks, F.col("html")).select(T.element_slices(F.col("_toks"), F.col("_tags"), T.opening("mb-srp__card", "div")).alias("s")).first().s
+    assert [x.n for x in spans] == [1 + 60 + 3 + 60 + 1 + 40 * 4 + 1 + 1, 4]

@@ -50,19 +50,20 @@ def parse_listing_pages(pages: DataFrame, city: str | Column = "Bengaluru") -> D
         p = pages.where(F.col("source") == source).withColumn("_city", city)
         cards = T.explode_elements(T.with_tokens(p, F.col("html")), T.opening(lay["card"], "div"))
         part = lambda k: T.field(T.opening(lay[k], part=True))  # noqa: B023, E731
-        price = parse_price(part("price"))
+        # the texts first and once each: what reads them uses them several times
         if source == "magicbricks":
-            area, beds, ptype = parse_area(part("area")), parse_bedrooms(part("config")), part("type")
+            cards = T.once(cards, _price=part("price"), _area=part("area"), _beds=part("config"), _type=part("type"))
+            area = parse_area(F.col("_area"))
         else:
             # the text node holding "sq ft", read from its parent element
-            whole = T.plain(F.col("_toks"))
-            area = parse_area(F.regexp_extract(whole, "(?i)([0-9,]+\\.?[0-9]*\\s*sq\\.?\\s*ft)", 1))
-            beds, ptype = parse_bedrooms(whole), F.lit("")
+            cards = T.once(cards, _price=part("price"), _beds=T.plain(F.col("_toks")), _type=F.lit(""))
+            area = parse_area(F.regexp_extract(F.col("_beds"), "(?i)([0-9,]+\\.?[0-9]*\\s*sq\\.?\\s*ft)", 1))
+        cards = T.once(cards, price_total=parse_price(F.col("_price")), area_sqft=area)
         rows = cards.select(F.lit(None).cast("string").alias("listing_id"), F.lit(source).alias("source"),
                             slug_label(F.col("locality")).alias("locality"),
                             F.lit(None).cast("string").alias("ward_name"), F.col("_city").alias("city"),
-                            price.alias("price_total"), area.alias("area_sqft"), beds.alias("bedrooms"),
-                            ptype.alias("property_type"), F.to_date("scraped_at").alias("listing_date"),
+                            "price_total", "area_sqft", parse_bedrooms(F.col("_beds")).alias("bedrooms"),
+                            F.col("_type").alias("property_type"), F.to_date("scraped_at").alias("listing_date"),
                             F.col("scraped_at"))
         rows = rows.withColumn("price_sqft", price_per_sqft(F.col("price_total"), F.col("area_sqft")))
         # Python's "not price_total and not price_sqft": a zero or missing price drops the card
@@ -143,9 +144,10 @@ def _own_rows(seen: DataFrame, table: tuple[str, str], body: bool) -> DataFrame:
     ``body``), without those of tables nested in a cell."""
     tables = T.explode_elements(seen, table, pos="_table")
     toks, tagged = F.col("_toks"), F.col("_tags")
-    rows = tables.withColumn("_trs", T.element_slices(toks, tagged, T.opening(name="tr")))
-    rows = rows.withColumn("_deep", F.filter(T.element_slices(toks, tagged, T.opening(name="table")), lambda x: x["at"] > 1))
-    rows = rows.withColumn("_body", T.element_slices(toks, tagged, T.opening(name="tbody")))
+    # once for each table: in a filter's lambda they would be looked for again for each row
+    rows = T.once(tables, _trs=T.element_slices(toks, tagged, T.opening(name="tr")),
+                  _deep=F.filter(T.element_slices(toks, tagged, T.opening(name="table")), lambda x: x["at"] > 1),
+                  _body=T.element_slices(toks, tagged, T.opening(name="tbody")) if body else F.lit(None))
     within = lambda x, o: (x["at"] > o["at"]) & (x["at"] < o["at"] + o["n"])
     own = F.filter("_trs", lambda x: ~F.exists(F.col("_deep"), lambda o: within(x, o))
                    & (F.exists(F.col("_body"), lambda o: within(x, o)) if body else F.lit(True)))
@@ -158,8 +160,7 @@ def _own_rows(seen: DataFrame, table: tuple[str, str], body: bool) -> DataFrame:
 def _first_texts() -> Column:
     """The first text of each cell of an entry, without cells inside cells."""
     toks, tagged = F.col("_toks"), F.col("_tags")
-    cells = T.element_slices(toks, tagged, T.opening(name="td"))
-    own = F.filter(cells, lambda x: ~F.exists(cells, lambda o: (x["at"] > o["at"]) & (x["at"] < o["at"] + o["n"])))
+    own = T.outermost(T.element_slices(toks, tagged, T.opening(name="td")))
 
     def first(x: Column) -> Column:
         inside = F.slice(toks, x["at"], x["n"])
@@ -207,8 +208,9 @@ def complaint_list_rows(pages: DataFrame) -> DataFrame:
     rows = rows.unionByName(other)
     link = F.get(F.filter(toks, lambda t: t.rlike("(?is)^<a\\b[^>]*\\bhref\\s*=")), F.lit(0))
     href = F.trim(F.regexp_extract(link, "(?is)\\bhref\\s*=\\s*[\"']([^\"']*)[\"']", 1))
-    return rows.select("url", "pos", F.when(href != "", _absolute(F.col("url"), href)).alias("detail_url"),
-                       _first_texts().alias("cells"))
+    rows = T.once(rows, _href=href, cells=_first_texts())
+    return T.once(rows, detail_url=F.when(F.col("_href") != "", _absolute(F.col("url"), F.col("_href")))).select(
+        "url", "pos", "detail_url", "cells")
 
 
 def complaint_summary(pages: DataFrame) -> DataFrame:
@@ -248,8 +250,8 @@ def parse_city_lists(pages: DataFrame, layouts: dict | None = None) -> DataFrame
         else:
             rows = T.explode_elements(seen, T.opening(lay["row"]))
         tag = "td" if "table" in lay else "\\w+"
-        rows = rows.select("city", "date_filed", *[T.field(T.opening(lay[c], tag)).alias(c)
-                                                   for c in ("complaint_id", "category", "ward_name", "status")])
+        fields = ("complaint_id", "category", "ward_name", "status")
+        rows = T.once(rows, **{c: T.field(T.opening(lay[c], tag)) for c in fields}).select("city", "date_filed", *fields)
         got = _complaints(rows.where("complaint_id != ''"), "city")
         outs = got if outs is None else outs.unionByName(got)
     return outs

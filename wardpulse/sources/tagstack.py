@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 # fixed values: the elements that HTML defines as void
 VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
+DEEP, SHORT = 1 << 31, 24
 _TOKEN = (r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>|<(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<")
 
 
@@ -38,16 +39,28 @@ def _bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are computed once for each row, however often they are used
+    later; a plain select would be written into every use of them, and into filters."""
+    one = F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))
+    return df.select("*", F.explode_outer(one).alias("_one")).select(*[c for c in df.columns if c not in columns], "_one.*")
+
+
 def _length(tagged: Column, at: Column) -> Column:
     """Tokens of the element whose opening tag is token ``at`` (from 1)."""
     def of(name: Column) -> Column:
+        # tokens seen, and the elements of the name that are open times DEEP: one number, as a
+        # struct would be made anew for each token; at its end none is open
         def add(acc: Column, t: Column) -> Column:
-            depth = acc["depth"] + F.when(t["name"] == name, t["step"]).otherwise(0)
-            return F.when(acc["done"], acc).otherwise(F.struct(
-                depth.alias("depth"), (acc["n"] + 1).alias("n"), (depth <= 0).alias("done")))
+            step = F.when(t["name"] == name, t["step"]).otherwise(0)
+            return F.when((acc > 0) & (acc < DEEP), acc).otherwise(acc + step * F.lit(DEEP) + F.lit(1).cast("bigint"))
+
+        def run(n: Column) -> Column:
+            return F.aggregate(F.slice(tagged, at, n), F.lit(0).cast("bigint"), add)
 
-        zero = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("done"))
-        return F.aggregate(F.slice(tagged, at, F.size(tagged)), zero, add, lambda a: a["n"])
+        # most elements are short: the rest of the page only for those that are not
+        whole = _bound(run(F.lit(SHORT)), lambda acc: F.when((acc > 0) & (acc < DEEP), acc).otherwise(run(F.size(tagged))))
+        return (whole % DEEP).cast("int")
 
     return _bound(F.element_at(tagged, at)["name"], of)
 
@@ -69,7 +82,7 @@ def opening(cls: str | None = None, name: str = r"\w+", part: bool = False) -> t
 
 
 def opens(t: Column, start: tuple[str, str]) -> Column:
-    return F.contains(F.lower(t), F.lit(start[1])) & t.rlike(start[0])
+    return t.startswith("<") & ~t.startswith("</") & F.contains(F.lower(t), F.lit(start[1])) & t.rlike(start[0])
 
 
 def with_tokens(df: DataFrame, html: Column) -> DataFrame:
@@ -85,15 +98,14 @@ def explode_elements(df: DataFrame, *starts: tuple[str, str], inside: tuple[str,
     toks, tagged = F.col("_toks"), F.col("_tags")
     found = F.concat(*[element_slices(toks, tagged, s) for s in starts])
     if inside:
-        outer = element_slices(toks, tagged, inside)
-        df = df.withColumn("_outer", outer)
-        found = F.filter(found, lambda x: F.exists(F.col("_outer"), lambda o: (x["at"] > o["at"]) & (x["at"] < o["at"] + o["n"])))
+        within = lambda outer: F.filter(found, lambda x: F.exists(outer, lambda o: (x["at"] > o["at"]) & (x["at"] < o["at"] + o["n"])))
+        found = _bound(element_slices(toks, tagged, inside), within)
     df = df.withColumn("_spans", found)
     if pos:
         df = df.select("*", F.posexplode_outer("_spans").alias(pos, "_span"))
     else:
         df = df.withColumn("_span", F.explode_outer("_spans"))
-    df = df.where("_span is not null").drop("_spans", "_outer")
+    df = df.where("_span is not null").drop("_spans")
     cut = lambda c: F.slice(c, F.col("_span.at"), F.col("_span.n"))
     return df.withColumn("_tags", cut(F.col("_tags"))).withColumn("_toks", cut(F.col("_toks"))).drop("_span")
 
@@ -113,11 +125,16 @@ def field(start: tuple[str, str], toks: Column | str = "_toks", tagged: Column |
     return _bound(first, lambda at: F.when(at > 0, plain(F.slice(toks, at, _length(tagged, at)))).otherwise(F.lit("")))
 
 
+def outermost(spans: Column) -> Column:
+    """The spans that lie in no other one."""
+    return _bound(spans, lambda all_: F.filter(all_, lambda x: ~F.exists(all_, lambda o: (x["at"] > o["at"]) & (x["at"] < o["at"] + o["n"]))))
+
+
 def texts(start: tuple[str, str], depth_one: bool = False) -> Column:
     """The texts of all matching elements of ``_toks``; with ``depth_one`` only of
     those that lie in no other one."""
     toks, tagged = F.col("_toks"), F.col("_tags")
     spans = element_slices(toks, tagged, start)
     if depth_one:
-        spans = F.filter(spans, lambda x: ~F.exists(spans, lambda o: (x["at"] > o["at"]) & (x["at"] < o["at"] + o["n"])))
+        spans = outermost(spans)
     return F.transform(spans, lambda x: plain(F.slice(toks, x["at"], x["n"])))
