@@ -180,19 +180,58 @@ def merged_percentile(named: DataFrame, shared: DataFrame, gkeys: Sequence[str],
     UH = (shared.where(F.col(value).isNotNull()).groupBy(skey, value)
           .agg(F.count(F.lit(1)).alias("_cu")).checkpoint())
     nN = NH.groupBy(*g).agg(F.sum("_c").alias("_nN"))
+    # ranks of N values inside their group
+    return merged_ranks(running_before(NH, g, [value], "_c", "_ltN"), nN, UH, g, skey, value, groups, p, out)
+
+
+def _target_ranks(n: Column, p: float) -> tuple[Column, Column, Column]:
+    """The two ranks (from 0) that PERCENTILE_CONT(p) of ``n`` values lies between, and its place between them."""
+    pos = (n - 1).cast("decimal(28,0)") * F.lit(str(Decimal(str(p)))).cast("decimal(20,10)")
+    return F.floor(pos).cast("bigint"), F.ceil(pos).cast("bigint"), pos - F.floor(pos)
+
+
+def near_targets(NR: DataFrame, UH: DataFrame, skey: str, value: str, p: float) -> DataFrame:
+    """The rows of ``NR`` (value, _c, _ltN, _nx the group's next value, _n the group's
+    total) that :func:`merged_ranks` needs, without a shuffle of them.
+
+    Rank k of n own and m shared values is an own value of rank k - m at least and k at
+    most, or lies between the shared values of rank k - n and k; of the own values before
+    these only the last tells how many there are. The shared values are looked up for
+    group sizes up to each power of two: one small row for each of these and ``skey``."""
+    UR = running_before(UH, [skey], [value], "_cu", "_ltU")
+    sizes = (UH.groupBy(skey).agg(F.sum("_cu").alias("_m"))
+             .select(skey, "_m", F.explode(F.sequence(F.lit(1), F.lit(48))).alias("_bits")))
+    most = F.expr("shiftleft(1L, _bits)")
+    lo, hi, _ = _target_ranks(most + F.col("_m"), p)
+    sizes = sizes.withColumn("_from", lo - most).withColumn("_to", hi)
+    holds = lambda k: (F.col("_ltU") <= F.col(k)) & (F.col(k) < F.col("_ltU") + F.col("_cu"))
+    known = (UR.join(F.broadcast(sizes.where("_from >= 0 or _to < _m")), skey).where(holds("_from") | holds("_to"))
+             .groupBy(skey, "_bits").agg(F.max(F.when(holds("_from"), F.col(value))).alias("_a"),
+                                         F.max(F.when(holds("_to"), F.col(value))).alias("_b")))
+    bounds = sizes.select(skey, "_bits", "_m").join(known, [skey, "_bits"], "left")
+    n, m, v = F.col("_n"), F.coalesce(F.col("_m"), F.lit(0)), F.col(value)
+    lo, hi, _ = _target_ranks(n + m, p)
+    needed = ((F.col("_ltN") + F.col("_c") >= lo - m) & (F.col("_ltN") <= hi)
+              & (F.col("_b").isNull() | (v <= F.col("_b")))
+              & (F.col("_a").isNull() | (v >= F.col("_a")) | F.col("_nx").isNull() | (F.col("_nx") >= F.col("_a"))))
+    return (NR.withColumn("_bits", F.length(F.bin("_n"))).join(F.broadcast(bounds), [skey, "_bits"], "left")
+            .where(needed).drop("_bits", "_m", "_a", "_b"))
+
+
+def merged_ranks(NR: DataFrame, nN: DataFrame, UH: DataFrame, g: list, skey: str, value: str, groups: DataFrame,
+                 p: float, out: str) -> DataFrame:
+    """:func:`merged_percentile` from ranked own values ``NR`` (g..., value, _c, _ltN),
+    the groups' totals ``nN`` (g..., _nN) and the shared histogram ``UH`` (skey, value, _cu)."""
     nU = UH.groupBy(skey).agg(F.sum("_cu").alias("_nU"))
-    pdec = F.lit(str(Decimal(str(p)))).cast("decimal(20,10)")
+    lo, hi, frac = _target_ranks(F.col("_n"), p)
     tg = (groups.join(nN, g, "left").join(nU, skey, "left")
           .withColumn("_n", F.coalesce(F.col("_nN"), F.lit(0)) + F.coalesce(F.col("_nU"), F.lit(0)))
-          .where(F.col("_n") > 0)
-          .withColumn("_pos", (F.col("_n") - 1).cast("decimal(28,0)") * pdec)
-          .withColumn("_frac", F.col("_pos") - F.floor("_pos")))
+          .where(F.col("_n") > 0).withColumn("_lo", lo).withColumn("_hi", hi).withColumn("_frac", frac))
     targets = tg.select(*g, "_frac", F.explode(F.array(
-        F.struct(F.lit("lo").alias("t"), F.floor("_pos").cast("bigint").alias("k")),
-        F.struct(F.lit("hi").alias("t"), F.ceil("_pos").cast("bigint").alias("k")))).alias("_t")) \
+        F.struct(F.lit("lo").alias("t"), F.col("_lo").alias("k")),
+        F.struct(F.lit("hi").alias("t"), F.col("_hi").alias("k")))).alias("_t")) \
         .select(*g, "_frac", F.col("_t.t").alias("_tn"), F.col("_t.k").alias("_k"))
-    # ranks of N values inside their group, and shared values below each N value
-    NR = running_before(NH, g, [value], "_c", "_ltN")
+    # shared values below each N value
     R = (NR.select(*g, value, "_c", "_ltN", F.lit(0).alias("_tag"), F.lit(0).cast("bigint").alias("_w"))
          .unionByName(UH.select(skey, value, F.col("_cu").alias("_w"), F.lit(1).alias("_tag")),
                       allowMissingColumns=True))
@@ -214,11 +253,11 @@ def merged_percentile(named: DataFrame, shared: DataFrame, gkeys: Sequence[str],
     q = hit.where(F.col("_vN").isNull()).withColumn("_j", F.col("_k") - F.col("_J"))
     Urows = R.where(F.col("_tag") == 1).select(skey, F.col("_ltU").alias("_pos"), value,
                                                F.lit(0).alias("_qt"))
-    qrows = q.select(*g, "_tn", F.col("_j").alias("_pos"), F.lit(1).alias("_qt"),
-                     F.lit(None).cast(dict(shared.dtypes)[value]).alias(value))
-    asof = running_last(Urows.unionByName(qrows, allowMissingColumns=True), [skey], ["_pos", "_qt"],
-                        value, "_vU")
-    vu = asof.where(F.col("_qt") == 1).select(*g, "_tn", "_vU")
+    # many groups ask for the same rank
+    qrows = q.select(skey, F.col("_j").alias("_pos")).distinct().select(
+        skey, "_pos", F.lit(1).alias("_qt"), F.lit(None).cast(dict(UH.dtypes)[value]).alias(value))
+    asof = running_last(Urows.unionByName(qrows), [skey], ["_pos", "_qt"], value, "_vU")
+    vu = q.join(asof.where(F.col("_qt") == 1).select(skey, F.col("_pos").alias("_j"), "_vU"), [skey, "_j"]).select(*g, "_tn", "_vU")
     res = (hit.join(vu, [*g, "_tn"], "left")
            .withColumn("_v", F.coalesce(F.col("_vN"), F.col("_vU")))
            .groupBy(*g).agg(F.max(F.when(F.col("_tn") == "lo", F.col("_v"))).alias("_vlo"),

@@ -8,14 +8,17 @@ rounded exactly from integers (:mod:`wardpulse.functions.numeric`).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardpulse import config as C
 from wardpulse.functions.numeric import round_ratio
 from wardpulse.functions.text import norm_name
-from wardpulse.operators.aggregates import merged_percentile, mode_pick, percentile_cont, pivot_sum
+from wardpulse.operators.aggregates import merged_ranks, mode_pick, near_targets, percentile_cont, pivot_sum
 from wardpulse.operators.spatial import DEFAULT_CELL_DEG, nearest_point, points_in_polygons
+from wardpulse.session import checkpoint_dir, written
 
 
 def in_years(date_col: str, year_lo: int, year_hi: int) -> Column:
@@ -242,21 +245,33 @@ def zonal_stats(pixels: DataFrame, keys=("ward_id", "year", "month"), value: str
 
     One pass over the pixels builds the (zone, value) histogram -- partial
     aggregation shrinks it before the shuffle, and a decimal(6,4) index has at
-    most 20001 values per zone -- and every statistic comes from it. The
+    most 20001 values per zone -- and every statistic comes from it, the median by
+    ranks within the zone. The
     population std uses exact sums: var = (n*sum(v^2) - sum(v)^2) / n^2."""
     keys = list(keys)
-    hist = (pixels.where(F.col(value).isNotNull()).groupBy(*keys, value)
-            .agg(F.count(F.lit(1)).alias("_c")))
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, value]])
+    hist = pixels.where(known).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    v = F.col(value)
+    # ranks inside the zone: its values are few, and the statistics follow without another shuffle
+    w = Window.partitionBy(*keys).orderBy(value)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    hist = (hist.withColumn("_end", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("_all", F.sum("_c").over(whole)))
     v = F.col(value)
+    # values at the two middle ranks
+    at = lambda k: F.max(F.when((F.col("_end") - F.col("_c") <= k) & (k < F.col("_end")), v))
+    low, high = F.floor((F.col("_all") - 1) / 2).cast("bigint"), F.floor(F.col("_all") / 2).cast("bigint")
     stats = hist.groupBy(*keys).agg(
         F.sum(v * F.col("_c")).alias("_s"), F.sum("_c").alias("_n"),
-        F.sum(v * v * F.col("_c")).alias("_ss"), F.min(v).alias("_mn"), F.max(v).alias("_mx"))
+        F.sum(v * v * F.col("_c")).alias("_ss"), F.min(v).alias("_mn"), F.max(v).alias("_mx"),
+        at(low).alias("_vlo"), at(high).alias("_vhi"))
     # narrow enough that the products keep all eight digits
     n, total = F.col("_n").cast("decimal(12,0)"), F.col("_s").cast("decimal(18,4)")
     num = F.col("_ss").cast("decimal(24,8)") * n - total * total
     var = num.cast("double") / (F.col("_n").cast("double") * F.col("_n").cast("double"))
-    med = percentile_cont(hist, keys, value, 0.5, out="_med", weight="_c")
-    return (stats.join(med, keys).where(F.col("_n") > 0)
+    half = F.lit("0.5").cast("decimal(2,1)")
+    stats = stats.withColumn("_med", F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * half)
+    return (stats.where(F.col("_n") > 0)
             .select(*keys,
                     round_ratio(F.col("_s"), F.col("_n"), 4, value_scale, precision=6).alias("mean_ndvi"),
                     F.round("_med", 4).cast("decimal(6,4)").alias("median_ndvi"),
@@ -277,12 +292,18 @@ def stg_ndvi(ndvi: DataFrame, year_lo: int = C.YEAR_LO, year_hi: int = C.YEAR_HI
     """``ndvi``: ward_id, ward_name, year, month, mean/median/min/max_ndvi decimal(6,4), pixel_count."""
     keys = ["ward_id", "ward_name", "year"]
     base = ndvi.where(F.col("ward_id").isNotNull() & F.col("year").between(year_lo, year_hi))
-    agg = base.groupBy(*keys).agg(
+    # a ward's year is its months: their medians are ranked where they are summed up
+    w = Window.partitionBy(*keys).orderBy(F.col("median_ndvi").asc_nulls_last())
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    base = base.withColumn("_at", F.row_number().over(w)).withColumn("_all", F.count("median_ndvi").over(whole))
+    at = lambda k: F.max(F.when(F.col("_at") == k, F.col("median_ndvi")))
+    j = base.groupBy(*keys).agg(
         round_ratio(F.sum("mean_ndvi"), F.count("mean_ndvi"), 4, 4, precision=6).alias("avg_ndvi"),
         F.round(F.min("min_ndvi"), 4).alias("min_ndvi"), F.round(F.max("max_ndvi"), 4).alias("max_ndvi"),
-        F.sum("pixel_count").alias("total_pixels"))
-    med = percentile_cont(base, keys, "median_ndvi", 0.5, out="_med")
-    j = agg.join(med, keys, "left")
+        F.sum("pixel_count").alias("total_pixels"),
+        at(F.floor((F.col("_all") + 1) / 2)).alias("_vlo"), at(F.floor(F.col("_all") / 2) + 1).alias("_vhi"))
+    half = F.lit("0.5").cast("decimal(2,1)")
+    j = j.withColumn("_med", F.when(F.col("ward_name").isNotNull(), F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * half))
     w = Window.partitionBy("ward_id").orderBy("year")
     chg = F.col("avg_ndvi") - F.lag("avg_ndvi").over(w)
     return j.select("ward_id", "ward_name", "year", "avg_ndvi",
@@ -316,55 +337,76 @@ def _property_exact(base: DataFrame, wards: DataFrame, year_lo: int, year_hi: in
     """Aggregates per (ward, year) over the ward's named listings plus every
     unnamed listing of the year (J-7 as the reference joins them), computed
     from per-ward and per-year parts -- no listing x ward pairs."""
-    keys = ["ward_id", "ward_name", "year"]
-    inyr = F.col("year").between(year_lo, year_hi)
-    # the in-band listings feed every part below: materialise them once (checkpoint folder)
-    from wardpulse.session import checkpoint_dir
-    checkpoint_dir(base.sparkSession)
-    base = base.where(inyr).select("ward_name", "year", "price_sqft", "property_type").checkpoint()
-    wn = wards.select("ward_id", F.col("ward_name").alias("_wname"))
-    named = base.where(F.col("ward_name").isNotNull())
-    N = (named.join(wn, norm_name(named.ward_name) == norm_name(wn._wname))
-         .select("ward_id", F.col("_wname").alias("ward_name"), "year", "price_sqft", "property_type"))
-    U = base.where(F.col("ward_name").isNull()).select("year", "price_sqft", "property_type")
-    spine = year_spine(wards, year_lo, year_hi, "ward_id", "ward_name")
-    NA = N.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nN"), F.sum("price_sqft").alias("_sN"),
-                              F.min("price_sqft").alias("_mnN"), F.max("price_sqft").alias("_mxN"))
-    UA = U.groupBy("year").agg(F.count(F.lit(1)).alias("_nU"), F.sum("price_sqft").alias("_sU"),
+    spark = base.sparkSession
+    checkpoint_dir(spark)
+    band = (base.where(F.col("year").between(year_lo, year_hi))
+            .groupBy(norm_name(F.col("ward_name")).alias("_nm"), "year", "price_sqft", "property_type")
+            .agg(F.count(F.lit(1)).alias("_c")))
+    # the listings are counted by ward name before they meet the wards. Written in the order
+    # of names and prices, so that what is grouped by them afterwards shrinks before its
+    # shuffle; unnamed ones need no ranks here and go to many tasks
+    part = Window.partitionBy("_nm", "year", F.when(F.col("_nm").isNull(), F.pmod(F.hash("price_sqft"), F.lit(64))))
+    w = part.orderBy("price_sqft", "property_type")
+    band = written(band.select("*", F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ltN"),
+                               F.lead("price_sqft").over(w).alias("_nx"),
+                               F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_n")),
+                   "listings")
+    N, U = band.where("_nm is not null"), band.where("_nm is null")
+    # a ward that is there _d times has each of its named listings as often
+    same = Window.partitionBy("ward_id", "ward_name")
+    wn = written(wards.select("ward_id", "ward_name").select("*", F.count(F.lit(1)).over(same).alias("_d"),
+                 F.when(F.col("ward_id").isNotNull(), norm_name(F.col("ward_name"))).alias("_nm")), "wards")
+    often = F.broadcast(wn.where("_d > 1 and _nm is not null").select("_nm", "_d").distinct())
+
+    def times(rows: DataFrame, *counts: str) -> DataFrame:
+        more = rows.join(often, "_nm").select(*[(F.col(c) * F.col("_d")).alias(c) if c in counts else F.col(c) for c in rows.columns], "_d")
+        return rows.withColumn("_d", F.lit(1).cast("bigint")).unionByName(more)
+
+    total = F.sum(F.col("price_sqft") * F.col("_c"))
+    if dict(base.dtypes)["price_sqft"].startswith("decimal"):
+        total = total.cast("decimal(20,2)")
+    NA = N.groupBy("_nm", "year").agg(F.sum("_c").alias("_nN"), total.alias("_sN"),
+                                      F.min("price_sqft").alias("_mnN"), F.max("price_sqft").alias("_mxN"))
+    NA = written(NA, "names")
+    UA = U.groupBy("year").agg(F.sum("_c").alias("_nU"), total.alias("_sU"),
                                F.min("price_sqft").alias("_mnU"), F.max("price_sqft").alias("_mxU"))
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
-    agg = (spine.join(NA, keys, "left").join(UA, "year", "left")
-           .withColumn("listing_count", z("_nN") + z("_nU"))
+    spine = year_spine(wn, year_lo, year_hi, "ward_id", "ward_name", "_nm", "_d")
+    agg = (spine.join(NA, ["_nm", "year"], "left").join(UA, "year", "left")
+           .withColumn("listing_count", z("_nN") * F.col("_d") + z("_nU"))
            .where(F.col("listing_count") > 0)
-           .withColumn("_s", F.coalesce(F.col("_sN"), F.lit(0)) + F.coalesce(F.col("_sU"), F.lit(0)))
+           .withColumn("_s", F.coalesce((F.col("_sN") * F.col("_d")).cast(dict(NA.dtypes)["_sN"]), F.lit(0)) + F.coalesce(F.col("_sU"), F.lit(0)))
            .withColumn("min_price_sqft", F.least("_mnN", "_mnU"))
            .withColumn("max_price_sqft", F.greatest("_mxN", "_mxU")))
-    groups = agg.select(*keys)
-    # mode: the best named type (named + unnamed count), or the best unnamed type
-    # absent from the ward's named types (found in the year's top K+1 unnamed types)
-    NT = N.where(F.col("property_type").isNotNull()).groupBy(*keys, "property_type") \
-          .agg(F.count(F.lit(1)).alias("_cN"))
+    keys = ["_nm", "_d", "year"]
+    groups = agg.where("_nm is not null").select(*keys).distinct()
+    # mode: the best named type (named + unnamed count), or the best unnamed type absent
+    # from the ward's named types
+    NT = written(N.where(F.col("property_type").isNotNull()).groupBy("_nm", "year", "property_type").agg(F.sum("_c").alias("_cN")), "types")
     UT = U.where(F.col("property_type").isNotNull()).groupBy("year", "property_type") \
-          .agg(F.count(F.lit(1)).alias("_cU"))
+          .agg(F.sum("_c").alias("_cU"))
     UT = UT.withColumn("_rk", F.row_number().over(
         Window.partitionBy("year").orderBy(F.col("_cU").desc(), F.col("property_type"))))
-    best_a = (NT.join(UT.select("year", "property_type", "_cU"), ["year", "property_type"], "left")
+    best_a = (times(NT, "_cN").join(UT.select("year", "property_type", "_cU"), ["year", "property_type"], "left")
               .withColumn("_tot", F.col("_cN") + F.coalesce(F.col("_cU"), F.lit(0)))
               .groupBy(*keys).agg(F.min(F.struct((-F.col("_tot")).alias("n"),
                                                  F.col("property_type").alias("t"))).alias("_a")))
-    kn = NT.groupBy(*keys).agg(F.count(F.lit(1)).alias("_k"))
-    probe = (groups.join(kn, keys, "left")
-             .select(*keys, F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_k"), F.lit(0)) + 1)).alias("_rk")))
-    best_b = (probe.join(UT, ["year", "_rk"])
-              .join(NT.select(*keys, "property_type"), [*keys, "property_type"], "left_anti")
-              .groupBy(*keys).agg(F.min(F.struct(F.col("_rk").alias("r"), (-F.col("_cU")).alias("n"),
-                                                 F.col("property_type").alias("t"))).alias("_b")))
-    b_cand = F.when(F.col("_b").isNotNull(), F.struct(F.col("_b.n").alias("n"), F.col("_b.t").alias("t")))
-    best = F.least(F.col("_a"), b_cand)
-    med = merged_percentile(N, U, keys, "year", "price_sqft", groups, 0.5, "_med")
-    return (agg.join(best_a, keys, "left").join(best_b, keys, "left").join(med, keys, "left")
-            .withColumn("dominant_property_type", best["t"])
-            .select(*keys, "listing_count", "_s", "min_price_sqft", "max_price_sqft",
+    # ranks 1, 2, .. without a gap: the next one is the best absent
+    place = F.row_number().over(Window.partitionBy("_nm", "year").orderBy("_rk"))
+    absent = (NT.join(UT.select("year", "property_type", "_rk"), ["year", "property_type"])
+              .select("_nm", "year", "_rk", place.alias("_place")).where("_rk = _place")
+              .groupBy("_nm", "year").agg(F.count(F.lit(1)).alias("_k")))
+    best_b = UT.select("year", "_rk", F.struct((-F.col("_cU")).alias("n"), F.col("property_type").alias("t")).alias("_b"))
+    UH = U.groupBy("year", "price_sqft").agg(F.sum("_c").alias("_cu")).checkpoint()
+    ranked = times(N.select("_nm", "year", "price_sqft", "_c", "_ltN", "_nx", "_n"), "_c", "_ltN", "_n")
+    ranked = near_targets(ranked, UH, "year", "price_sqft", 0.5).select(*keys, "price_sqft", "_c", "_ltN").checkpoint()
+    totals = times(NA.select("_nm", "year", "_nN"), "_nN")
+    med = merged_ranks(ranked, totals, UH, keys, "year", "price_sqft", groups, 0.5, "_med")
+    rows = (agg.join(best_a, keys, "left").join(absent, ["_nm", "year"], "left").withColumn("_rk", (z("_k") + 1).cast("int"))
+            .join(best_b, ["year", "_rk"], "left").join(med, keys, "left"))
+    best = F.when(F.col("_nm").isNotNull(), F.least("_a", "_b"))
+    return (rows.withColumn("dominant_property_type", best["t"])
+            .select("ward_id", "ward_name", "year", "listing_count", "_s", "min_price_sqft", "max_price_sqft",
                     "dominant_property_type", "_med"))
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that make the plans behave the same on local[N] and on a cluster:
 # AQE re-plans joins from runtime sizes, splits skewed shuffle partitions and
@@ -55,3 +56,12 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the checkpoint folder and read: what is read more
+    than once, in columns and compressed."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/written-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
