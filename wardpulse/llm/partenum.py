@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, arrow, fold, land, pieces_of, resident
+from .common import Words, arrow, fold, land, pieces_of, resident, trim
 from .links import components
 
 _MIX = [np.uint64(c) for c in (0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
@@ -183,6 +183,17 @@ def text_key(text: Column) -> Column:
     return F.concat_ws(":", F.xxhash64(F.lit(1), text), F.xxhash64(F.lit(2), text))
 
 
+def _trimmed(run):
+    """``run`` that lets its memory go when a task is done."""
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return whole
+
+
 def _describe(docs: DataFrame, n: int) -> DataFrame:
     """doc_id, text key, set size, class and odd sketch of every document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -203,7 +214,7 @@ def _describe(docs: DataFrame, n: int) -> DataFrame:
                     names=["doc_id", "text_key", "n_shingles", "class", *[f"o{j}" for j in range(8)]])
 
     cells = ", ".join(f"o{j} long" for j in range(8))
-    return arrow(docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key")), run,
+    return arrow(docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key")), _trimmed(run),
                  f"doc_id {kind}, text_key string, n_shingles long, class long, {cells}")
 
 
@@ -232,7 +243,7 @@ def _signed(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array((sig >> np.uint64(16)).view(np.int64)), pa.array(name[doc])],
                                                  names=["sig", "class"])
 
-    return arrow(docs.select("text"), run, "sig long, class long")
+    return arrow(docs.select("text"), _trimmed(run), "sig long, class long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -251,9 +262,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                                                  names=["class", "elements"]).filter(pa.array(same))
 
     shape = "class long, elements array<long>"
-    named = arrow(docs.join(wanted.where("doc_id is not null"), "doc_id").select("class", "text"), run, shape)
+    named = arrow(docs.join(wanted.where("doc_id is not null"), "doc_id").select("class", "text"), _trimmed(run), shape)
     bare = docs.where("doc_id is null").select(F.lit(None).cast("long").alias("class"), "text")
-    bare = arrow(bare, run, shape).join(wanted.where("doc_id is null").select("class"), "class", "left_semi")
+    bare = arrow(bare, _trimmed(run), shape).join(wanted.where("doc_id is null").select("class"), "class", "left_semi")
     return named.unionAll(bare).dropDuplicates(["class"])
 
 
