@@ -208,15 +208,6 @@ class Memory:
 _RESIDENT: list = [None, None]
 
 
-def trim():
-    """Give the memory that a worker has freed back to the system: idle workers keep
-    it else beside those of the next stage and the JVM."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    if sys.platform.startswith("linux"):
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 def resident(key, make):
     """The one large object that this Python worker holds between tasks (a model
     with its memory). Asking for another one lets the last one go, so that the
@@ -224,7 +215,10 @@ def resident(key, make):
     if _RESIDENT[0] != key:
         if _RESIDENT[0] is not None:
             _RESIDENT[:] = [None, None]
-            trim()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if sys.platform.startswith("linux"):        # freed pages go back to the system
+                ctypes.CDLL(None).malloc_trim(0)
         _RESIDENT[:] = [key, make()]
     return _RESIDENT[1]
 
