@@ -265,6 +265,30 @@ def test_copies_and_near_copies_in_large_groups(spark):
     assert {r.doc_id: r.component_id for r in ngram_jaccard_components(df, n=4, percent=85).collect()} == want
 
 
+def test_large_sets_that_share_a_passage_are_not_compared(spark, monkeypatch):
+    """Sets of thousands that share a passage meet under its signatures, but only those
+    that may link are compared element by element; linked ones on both sides of a
+    power of two are found."""
+    from wardpulse.llm import partenum
+    compared = []
+    verified = partenum._verified
+
+    def counted(pairs, *args):
+        compared.append(pairs.count())
+        return verified(pairs, *args)
+
+    monkeypatch.setattr(partenum, "_verified", counted)
+    passage = [f"p{x}" for x in range(300)]
+    rows = [(k, " ".join(passage + [f"d{k}_{x}" for x in range(2000 + 10 * k)])) for k in range(8)]
+    body = [f"c{x}" for x in range(1100)]
+    rows += [(100 + k, " ".join(body[:size])) for k, size in enumerate((980, 1020, 1030, 1100))]
+    want = _components(_sets(rows, 5), 80)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in ngram_jaccard_components(df, n=5, percent=80).collect()}
+    assert got == want and want[103] == 100 and len(set(want.values())) == 9
+    assert 0 < sum(compared) <= 6           # of the four linked texts; 31 pairs came this far before
+
+
 def test_pipeline_keeps_other_texts_of_one_id(spark, tmp_path):
     """Near duplicates: rows of one id with texts that are not linked stay, repeated
     rows and copies go, whichever ids they have."""

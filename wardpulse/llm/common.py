@@ -34,16 +34,26 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+#: Spark's setting by which a query's shuffle files go when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: the
     lineage ends there, so a lost executor costs no recomputation before it.
 
-    The shuffles behind it are done with then. Spark deletes their files once
-    the driver has collected the plans that refer to them; it is asked to here,
-    as else they fill the executors' disks until it happens to."""
+    The shuffles behind it are done with then. Spark is told to delete their files
+    as the write ends; by itself it does so when the driver happens to collect the
+    plans that refer to them, and until then they fill the executors' disks. Other
+    remains of the plans (broadcasts) go with a collection asked for here."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 

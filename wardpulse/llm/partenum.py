@@ -22,9 +22,11 @@ it), so copies never meet as pairs. Between different sets:
 Under each signature every set meets that signature's hub, the set that meets
 most others over all signatures; what passes the size test and the odd-sketch test
 (differing parities of 512 domain cells never exceed the true difference, so this
-drops no link) is verified exactly. A second round takes the hub of what the first
+drops no link) is verified exactly. The 512 cells of a set of thousands say nothing:
+sets of more elements also have a wide sketch, with a cell or two for each element, and
+what passes the first test must pass that one too. A second round takes the hub of what the first
 hub's component does not hold. What then still lies in different components under
-one signature meets pairwise, again behind both tests, and is verified exactly. So
+one signature meets pairwise, again behind these tests, and is verified exactly. So
 links inside a group of thousands of near copies need not be enumerated, and no
 link between components is lost. A class signs about once a task, and shared
 signatures are found by counts that combine before the shuffle, so a group of
@@ -177,6 +179,20 @@ def _classes(owner: np.ndarray, prints: np.ndarray, n_docs: int) -> np.ndarray:
     return fold(name).view(np.int64)
 
 
+def _wide_sketches(owner: np.ndarray, prints: np.ndarray, size: np.ndarray) -> pa.ListArray:
+    """The odd sketch of each set of more than CELLS elements in a power of two of cells,
+    as many as elements at least; none for the others. Halves of it laid over each other
+    are the sketch of half the cells."""
+    cells = np.where(size > CELLS, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64), 0)
+    end = np.cumsum(cells)
+    large = cells[owner] > 0
+    o = owner[large]
+    at = (end - cells)[o] + (prints[large] & (cells[o] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(at, minlength=int(cells.sum())) & 1
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], end // 64]).astype(np.int32)),
+                                    pa.array(np.packbits(odd.astype(bool)).view(np.int64)))
+
+
 def text_key(text: Column) -> Column:
     """A name of a text: rows with equal texts have equal ones (null counts as empty)."""
     text = F.coalesce(text, F.lit(""))
@@ -184,7 +200,7 @@ def text_key(text: Column) -> Column:
 
 
 def _describe(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, text key, set size, class and odd sketch of every document."""
+    """doc_id, text key, set size, class and odd sketches of every document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -199,12 +215,12 @@ def _describe(docs: DataFrame, n: int) -> DataFrame:
                 sketch = np.packbits(parity.astype(bool), axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array(size), pa.array(_classes(owner, prints, m)),
-                     *[pa.array(np.ascontiguousarray(sketch[:, j])) for j in range(8)]],
-                    names=["doc_id", "text_key", "n_shingles", "class", *[f"o{j}" for j in range(8)]])
+                     *[pa.array(np.ascontiguousarray(sketch[:, j])) for j in range(8)], _wide_sketches(owner, prints, size)],
+                    names=["doc_id", "text_key", "n_shingles", "class", *[f"o{j}" for j in range(8)], "wide"])
 
     cells = ", ".join(f"o{j} long" for j in range(8))
     return arrow(docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key")), run,
-                 f"doc_id {kind}, text_key string, n_shingles long, class long, {cells}")
+                 f"doc_id {kind}, text_key string, n_shingles long, class long, {cells}, wide array<long>")
 
 
 def _signed(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
@@ -265,6 +281,23 @@ def _near(pairs: DataFrame, percent: int) -> DataFrame:
                        & (apart * (100 + percent) <= (small + large) * (100 - percent)))
 
 
+def _near_widely(pairs: DataFrame, kinds: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, an, bn) that pass the test of their wide sketches, laid over each
+    other down to the smaller one's cells. Where a set has none they pass."""
+    both = (pairs.join(kinds.select(F.col("class").alias("a"), F.col("wide").alias("aw")), "a")
+            .join(kinds.select(F.col("class").alias("b"), F.col("wide").alias("bw")), "b"))
+    longs = F.least(F.size("aw"), F.size("bw"))
+
+    def laid(wide: str, at: Column) -> Column:
+        return F.aggregate(F.sequence(at, F.size(wide), longs), F.lit(0).cast("long"),
+                           lambda acc, j: acc.bitwiseXOR(F.element_at(wide, j)))
+
+    apart = F.aggregate(F.sequence(F.lit(1), longs), F.lit(0).cast("long"),
+                        lambda acc, i: acc + F.bit_count(laid("aw", i).bitwiseXOR(laid("bw", i))))
+    return both.where(F.when(longs > 0, apart * (100 + percent) <= (F.col("an") + F.col("bn")) * (100 - percent))
+                      .otherwise(F.lit(True))).select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sets truly link."""
     both = (pairs.join(sets.select(F.col("class").alias("a"), F.col("elements").alias("ea")), "a")
@@ -289,7 +322,7 @@ def ngram_jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, det
     told = land(_describe(docs, n), "sets")
     filled = told.where("n_shingles > 0")
     kinds = filled.groupBy("class").agg(F.min("doc_id").alias("doc_id"),
-                                        *[F.first(c).alias(c) for c in ["n_shingles", *[f"o{j}" for j in range(8)]]])
+                                        *[F.first(c).alias(c) for c in ["n_shingles", *[f"o{j}" for j in range(8)], "wide"]])
     kinds = land(kinds, "classes")
 
     # signatures under which different sets meet: counted first, as counts combine before
@@ -309,7 +342,7 @@ def ngram_jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, det
         pairs = (rows.join(hubs, "sig").where("class <> hub")
                  .select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct())
         pairs = pairs.join(kinds.select(*_side(kinds, "a")), "a").join(kinds.select(*_side(kinds, "b")), "b")
-        pairs = land(_near(pairs, percent).select("a", "b"), f"{name}-pairs")
+        pairs = land(_near_widely(_near(pairs, percent).select("a", "b", "an", "bn"), kinds, percent), f"{name}-pairs")
         return land(_verified(pairs, sets_of(pairs, f"{name}-sets"), percent), f"{name}-links")
 
     def hub_of(rows: DataFrame) -> DataFrame:
@@ -342,11 +375,11 @@ def ngram_jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, det
 
     # what still lies apart under one signature meets pairwise
     apart = still_apart(rooted(apart.select("sig", "class"), root))
-    apart = land(apart.join(kinds.drop("doc_id"), "class"), "apart2")
+    apart = land(apart.join(kinds.drop("doc_id", "wide"), "class"), "apart2")
     left = apart.select("sig", F.col("root").alias("ra"), *_side(apart, "a"))
     right = apart.select("sig", F.col("root").alias("rb"), *_side(apart, "b"))
-    pairs = land(_near(left.join(right, "sig").where("ra <> rb and a < b"), percent).select("a", "b").distinct(),
-                 "last-pairs")
+    pairs = _near(left.join(right, "sig").where("ra <> rb and a < b"), percent).select("a", "b", "an", "bn").distinct()
+    pairs = land(_near_widely(pairs, kinds, percent), "last-pairs")
     links = links.unionAll(_verified(pairs, sets_of(pairs, "last-sets"), percent))
     root = components(links)
 
