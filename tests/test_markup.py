@@ -39,6 +39,40 @@ def test_listing_cards(spark):
     ]
 
 
+def test_element_texts_are_those_of_the_tokens(spark):
+    from wardpulse.sources import tagstack as T
+    deep = "".join(f'<div class="x card"><p class="price">{i}</p><div class="sum">' for i in range(20)) + "end" + "</div>" * 33
+    htmls = [None, "", "no tags", deep, '<DIV class="card"><b CLASS=\'a price b\'>1</b></Div> after <b class="price">2</b>',
+             '<div class="card"/><div class="card">in<div class="card">deep<i class="price">3<div>x</i>y</div></div>out',
+             '<div class="card"><br class="price">4<div class="sum">5</div><p class="price">6<p>7</div>8</div>',
+             '<div class="card"><!-- <b class="price">9</b> --><script>"</div>"</script><b class="price" t="a > b">10 < 11</b></div>',
+             '<div class="card"><b t="a > b" class="price">12</b><div-x class="sum">13<div>14</div-x>15</div></div>',
+             '<div class="card">\x01\x02\x04 \t\n16<a href="x>17<b class="price">18</b></div>', '<div:a class="card">19</div>20</div:a><1x class="price">21',
+             '<div class="card"><div class="card price">22</div><div class="sum"><div class="sum">23</div>24</div></div>',
+             '<div class="card"><div class="card"><b class="price">25</b></div>26<u class="sum"/>27</div><div class="cards">28',
+             '<div class="card"><i class="price sum">29<div class="card">30</div></i></div>', '<div class="card"><b class="price">31<\x85u>\u00a032</b></div>']
+    pages = spark.createDataFrame(list(enumerate(htmls)), "page int, html string")
+    card, price, total = T.opening("card", "div"), T.opening("price", part=True), T.opening("sum", part=True)
+    by_tokens = T.once(T.explode_elements(T.with_tokens(pages, F.col("html")), card), price=T.field(price), total=T.field(total),
+                       whole=T.plain(F.col("_toks"))).select("page", "price", "total", "whole")
+    for whole in ("whole", None):
+        got = T.element_texts(pages, F.col("html"), card, whole=whole, price=price, total=total).drop("html")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, by_tokens.select(*got.columns).collect()))
+
+
+def test_a_page_of_many_cards_is_read_once(spark):
+    """Each card used to be ended by the whole rest of its page: minutes."""
+    import time
+    n = 8000
+    card = '<div class="mb-srp__card"><div class="mb-srp__card__price">85 Lac</div>' + "<p><b>x</b></p>" * 8 + "</div>"
+    pages = spark.createDataFrame([("magicbricks", "hsr", card * n, dt.datetime(2024, 5, 1))],
+                                  "source string, locality string, html string, scraped_at timestamp")
+    began = time.monotonic()
+    (r,) = parse_listing_pages(pages).groupBy("price_total").count().collect()
+    assert (r.price_total, r["count"]) == (Decimal("8500000.0000"), n)
+    assert time.monotonic() - began < 60
+
+
 def test_complaint_pages(spark):
     page = """<div class="complaint-id">BB-101</div><span class="category">Roads</span>
     <div id="ward-name-x"> Koramangala </div><div class="ward-no">151</div>

@@ -47,21 +47,22 @@ def parse_listing_pages(pages: DataFrame, city: str | Column = "Bengaluru") -> D
         city = F.lit(city)
     outs = []
     for source, lay in LAYOUTS.items():
-        p = pages.where(F.col("source") == source).withColumn("_city", city)
-        cards = T.explode_elements(T.with_tokens(p, F.col("html")), T.opening(lay["card"], "div"))
-        part = lambda k: T.field(T.opening(lay[k], part=True))  # noqa: B023, E731
-        # the texts first and once each: what reads them uses them several times
+        # what a page says is worked out once, not for each of its cards
+        p = pages.where(F.col("source") == source).select(slug_label(F.col("locality")).alias("locality"), city.alias("_city"),
+                                                          F.col("scraped_at"), F.col("html"))
+        parts = {c: T.opening(lay[k], part=True) for k, c in
+                 (("price", "_price"), ("area", "_area"), ("config", "_beds"), ("type", "_type")) if k in lay}
+        card = T.opening(lay["card"], "div")
         if source == "magicbricks":
-            cards = T.once(cards, _price=part("price"), _area=part("area"), _beds=part("config"), _type=part("type"))
+            cards = T.element_texts(p, F.col("html"), card, **parts)
             area = parse_area(F.col("_area"))
         else:
             # the text node holding "sq ft", read from its parent element
-            cards = T.once(cards, _price=part("price"), _beds=T.plain(F.col("_toks")), _type=F.lit(""))
+            cards = T.element_texts(p, F.col("html"), card, whole="_beds", **parts).withColumn("_type", F.lit(""))
             area = parse_area(F.regexp_extract(F.col("_beds"), "(?i)([0-9,]+\\.?[0-9]*\\s*sq\\.?\\s*ft)", 1))
-        cards = T.once(cards, price_total=parse_price(F.col("_price")), area_sqft=area)
+        cards = T.once(cards.drop("html"), price_total=parse_price(F.col("_price")), area_sqft=area)
         rows = cards.select(F.lit(None).cast("string").alias("listing_id"), F.lit(source).alias("source"),
-                            slug_label(F.col("locality")).alias("locality"),
-                            F.lit(None).cast("string").alias("ward_name"), F.col("_city").alias("city"),
+                            "locality", F.lit(None).cast("string").alias("ward_name"), F.col("_city").alias("city"),
                             "price_total", "area_sqft", parse_bedrooms(F.col("_beds")).alias("bedrooms"),
                             F.col("_type").alias("property_type"), F.to_date("scraped_at").alias("listing_date"),
                             F.col("scraped_at"))

@@ -7,17 +7,31 @@ are counted, so a card inside a card, or a table inside a cell, ends where it en
 Other elements left open inside (a ``<p>`` or ``<li>`` without an end) do not matter.
 Void elements and ``<x/>`` hold nothing; an element that is never closed runs to the
 end of what it lies in.
+
+Two ways lead there. :func:`with_tokens` makes an array of the tokens, for layouts that
+ask for more than an element's text. :func:`element_texts` keeps the page one text with
+marks at its tags, in which one pattern finds an element with its inside: the pattern
+knows elements of the same name up to ``NESTED`` deep, and the few that are nested
+deeper or never closed go by their tokens.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # fixed values: the elements that HTML defines as void
 VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
 DEEP, SHORT = 1 << 31, 24
-_TOKEN = (r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>|<(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<")
+# possessive: a tag is read without a step back, and without a call for each of its characters
+_TOKEN = (r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>|<(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^<]++|<")
+#: The mark at the tags of a page, and what stands for it and for its sign in the page's own text.
+MARK, _OWN_MARK, _OWN_SIGN, _SIGN = "\x01", "\x02\x04", "\x02\x03", "\x02"
+_TAG = _TOKEN.replace("(?is)", "(?is)<(?:").replace("|<", "|").replace("(?:<!--", "(?:!--").replace("|[^<]++", "") + ")"
+#: Elements of one name inside each other that a pattern follows.
+NESTED = 16
 
 
 def tokens(html: Column) -> Column:
@@ -138,3 +152,81 @@ def texts(start: tuple[str, str], depth_one: bool = False) -> Column:
     if depth_one:
         spans = outermost(spans)
     return F.transform(spans, lambda x: plain(F.slice(toks, x["at"], x["n"])))
+
+
+# ------------------------------------------------------------------ pages with marks
+def marked(html: Column) -> Column:
+    """A page as one text with a ``MARK`` before and after each tag (and each comment,
+    script, style and lone ``<``), and at both ends."""
+    own = F.replace(F.replace(F.coalesce(html, F.lit("")), F.lit(_SIGN), F.lit(_OWN_SIGN)), F.lit(MARK), F.lit(_OWN_MARK))
+    return F.concat(F.lit(MARK), F.regexp_replace(own, _TAG, f"{MARK}$0{MARK}"), F.lit(MARK))
+
+
+def _opening_at(start: tuple[str, str]) -> str:
+    """The pattern of :func:`opening` after a mark of a page. The word's border is looked
+    at where its first letter is, not at every place of the tag."""
+    return (start[0].replace("(?is)^", "").replace("[^>]*", f"[^>{MARK}]*").replace("[^\"']*", f"[^\"'{MARK}]*")
+            .replace(r"\bclass", r"c(?<=\bc)lass"))
+
+
+def _element_at(start: tuple[str, str]) -> str:
+    """A pattern for the first element that matches, with its inside; where that is not
+    found it takes everything up to the last mark. It begins with a plain character, as
+    anything else would be tried at every place of the text."""
+    whole, rest = r"(?![\w:-])", rf"[^{MARK}]*+"
+    void = "|".join([*VOID, "script", "style"])
+    opens_, closes = (rf"{MARK}<{c}\1{whole}{rest}(?<!/>)" for c in ("", "/"))
+    others = rf"(?:{MARK}(?!</?\1{whole}){rest})*+"
+    inner = ""
+    for _ in range(NESTED - 1):
+        inner = f"(?:{opens_}{others}{inner}{closes}{others})*+"
+    first = rf"<(?!(?:{void}){whole})([A-Za-z][\w:-]*+){rest}(?<!/>)"
+    return f"(?is){MARK}(?={_opening_at(start)})(?:{first}{others}{inner}{closes}|.*)"
+
+
+def _by_tokens(found: Column) -> Column:
+    """The element that a marked text begins with, whatever is inside it."""
+    def of(toks: Column) -> Column:
+        cut = F.slice(toks, F.lit(1), _length(tags(toks), F.lit(1)))
+        return F.concat(F.lit(MARK), F.array_join(cut, MARK))
+
+    return _bound(F.slice(F.split(found, MARK), F.lit(2), F.length(found)), of)
+
+
+def shown(marks: Column) -> Column:
+    """:func:`plain` of a marked text."""
+    text = F.trim(F.regexp_replace(F.regexp_replace(marks, f"{MARK}<[^{MARK}]+", ""), rf"[\s{MARK}]+", " "))
+    return F.replace(F.replace(text, F.lit(_OWN_MARK), F.lit(MARK)), F.lit(_OWN_SIGN), F.lit(_SIGN))
+
+
+def element_texts(df: DataFrame, html: Column, start: tuple[str, str], whole: str | None = None,
+                  **fields: tuple[str, str]) -> DataFrame:
+    """A row for each element of a page that matches ``start``, nested ones too, with the
+    :func:`field` of each of ``fields`` in it; ``whole`` names a column for all its text.
+
+    A page is cut where such an element begins. What an element holds before the next one
+    begins is mostly enough: the elements inside it are read with it only where a field is
+    not found there, or has not ended."""
+    ended = lambda c: F.when(c.endswith(MARK), _by_tokens(c)).otherwise(c)
+    found = lambda c, s: F.regexp_extract(c, _element_at(s), 0)
+    here = lambda c: F.concat(F.lit(MARK), c, F.lit(MARK))
+    page = once(df, _page=marked(html))
+    page = once(page, _pieces=F.split("_page", f"(?is){MARK}(?={_opening_at(start)})")).drop("_page")
+    # the first piece is what stands before all elements
+    last = F.size("_pieces")
+    # by an array that is made by a lambda: its rows come one by one, where those of a plain one
+    # would be held at once, each with the whole page
+    places = F.transform(F.sequence(F.lit(2), last), lambda i: i)
+    rows = page.select("*", F.explode_outer(F.when(last > 1, places)).alias("_at")).where("_at is not null")
+    rows = once(rows, _here=found(here(F.element_at("_pieces", F.col("_at"))), start))
+    open_, more = F.col("_here").endswith(MARK), F.col("_at") < last
+    rows = once(rows, _own=F.concat(F.when(open_ & ~more, _by_tokens(F.col("_here"))).otherwise(F.col("_here")), F.lit(MARK)),
+                _on=F.when(open_ & more, F.array_join(F.slice("_pieces", F.col("_at"), last), MARK))).drop("_here", "_pieces", "_at")
+    rows = once(rows, **{f"_in{k}": found(F.col("_own"), s) for k, s in fields.items()})
+    lacks = {k: (F.col(f"_in{k}") == "") | F.col(f"_in{k}").endswith(MARK) for k in fields}
+    needed = F.col("_on").isNotNull() & (F.lit(True) if whole else reduce(lambda a, b: a | b, lacks.values()))
+    rows = once(rows, _rest=F.when(needed, found(here(F.col("_on")), start))).drop("_on")
+    rows = once(rows, _own=F.coalesce(F.concat(ended(F.col("_rest")), F.lit(MARK)), F.col("_own"))).drop("_rest")
+    rows = once(rows, **{f"_in{k}": F.when(lacks[k], found(F.col("_own"), s)).otherwise(F.col(f"_in{k}")) for k, s in fields.items()})
+    texts = {k: shown(ended(F.col(f"_in{k}"))) for k in fields} | ({whole: shown(F.col("_own"))} if whole else {})
+    return once(rows, **texts).drop("_own", *[f"_in{k}" for k in fields])
