@@ -94,3 +94,39 @@ def test_zone_medians_need_no_slices(spark, monkeypatch):
     for (a, y), v in years.items():
         of = [float(got[k][0]) for k in got if k[:2] == (a, y)]
         assert abs(float(v) - round(float(np.median(of)) + 1e-9, 4)) < 1e-9
+
+
+def _repetitive(spark, path: str, *columns: str) -> DataFrame:
+    """Many ward-years in a small file: 25 MB of rows in less than 3."""
+    none = [F.lit(0).cast("bigint").alias(c) for c in columns]
+    spark.range(300_000).select(F.col("id").alias("ward_id"), F.lit(1999).alias("year"), *none).coalesce(1).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _planned(df: DataFrame) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ward_years_are_not_broadcast_by_the_size_of_their_files(spark, scratch):
+    from wardpulse.plans.mart import MART_FEATURES, mart_ward_features
+    staged = {feed: _repetitive(spark, f"{scratch}/{feed}", *cols) for feed, cols in MART_FEATURES.items() if feed in ("crime", "aqi")}
+    wards = spark.range(50).select(F.col("id").alias("ward_id"), F.lit("w").alias("ward_name"), F.lit(1).alias("ward_number"),
+                                   F.lit("z").alias("zone_name"), F.lit("c").alias("city"))
+    m = mart_ward_features(wards, staged, 1999, 2000)
+    assert "BroadcastHashJoin" not in _planned(m)
+    assert m.where("total_ipc_offenses = 0 and avg_aqi = 0").count() == 50 and m.count() == 100
+
+
+def test_a_landed_model_is_planned_by_the_size_of_rows(spark, scratch):
+    from wardpulse.plans.warehouse import landed
+    key = "spark.sql.sources.fileCompressionFactor"
+    a, b = (_repetitive(spark, f"{scratch}/{t}.parquet", *[f"{t}{i}" for i in range(8)]) for t in "ab")
+    before, plans = spark.conf.get(key), []
+
+    def build() -> DataFrame:
+        both = spark.read.parquet(f"{scratch}/a.parquet").join(spark.read.parquet(f"{scratch}/b.parquet"), ["ward_id", "year"])
+        plans.append(_planned(both))
+        return both
+
+    assert landed(spark, scratch, ("a", "b"), "both", build).count() == a.count() == b.count()
+    assert "BroadcastHashJoin" not in plans[0] and spark.conf.get(key) == before

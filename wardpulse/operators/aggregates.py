@@ -238,7 +238,7 @@ def merged_ranks(NR: DataFrame, nN: DataFrame, UH: DataFrame, g: list, skey: str
     # R feeds both the N-side ranges and the shared-side as-of scan: materialise it
     R = running_before(R, [skey], [value, "_tag"], "_w", "_ltU").checkpoint()
     Nrows = (R.where(F.col("_tag") == 0)
-             .join(UH.select(skey, value, "_cu"), [skey, value], "left")
+             .join(UH.select(skey, value, "_cu").hint("merge"), [skey, value], "left")   # as many as the shared values
              .withColumn("_s", F.col("_ltN") + F.col("_ltU"))
              .withColumn("_e", F.col("_ltN") + F.col("_c") + F.col("_ltU") + F.coalesce(F.col("_cu"), F.lit(0))))
     # data rows on the left of an inner join: the (small) targets can be

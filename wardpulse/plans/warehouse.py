@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardpulse import config as C
 from wardpulse.operators.versioned import VersionedTable
-from wardpulse.session import checkpoint_dir
+from wardpulse.session import checkpoint_dir, sized_by_rows
 
 
 def _state_of(spark: SparkSession, paths: Sequence[str]) -> str:
@@ -40,7 +40,8 @@ def landed(spark: SparkSession, root: str, tables: Sequence[str], name: str, bui
     app = spark.sparkContext.applicationId
     table = VersionedTable(spark, f"{checkpoint_dir(spark).rstrip('/')}/landed/{app}/{state}/{name}")
     if not table.exists():
-        table.rebuild(build())
+        with sized_by_rows(spark):
+            table.rebuild(build())
     return table.read()
 
 
